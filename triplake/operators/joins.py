@@ -1,0 +1,19 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is broadcast only if it has at most this many rows (the zone lookup has 265).
+DIMENSION_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+    """Hint a broadcast only after proving the side has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the frame is returned
+    unhinted and Catalyst/AQE pick a shuffle join.
+    """
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
