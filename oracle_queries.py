@@ -14,16 +14,20 @@ TRIPS_TAXI = """
 trips_taxi AS (
   SELECT l.l_orderkey AS trip_key, CAST(l.l_linenumber AS BIGINT) AS trip_line, l.l_suppkey % 7 AS vendorid,
     CASE WHEN l.l_linestatus = 'F' THEN 'yellow' ELSE 'green' END AS tipo_taxi,
-    CASE WHEN l.l_returnflag = 'A' THEN 'CAS' WHEN l.l_returnflag = 'R' THEN 'Credit' ELSE '1.0' END AS payment_type_raw,
+    CASE l.l_suppkey % 7 WHEN 1 THEN 'CMT' WHEN 2 THEN 'vts' WHEN 3 THEN 'XYZ' ELSE CAST(l.l_suppkey % 7 AS VARCHAR) END AS vendor_raw,
+    CASE WHEN l.l_returnflag = 'A' THEN 'CAS' WHEN l.l_returnflag = 'R' THEN 'Credit'
+      WHEN l.l_linenumber = 1 THEN 'NO CHARGE' WHEN l.l_linenumber = 2 THEN 'Dispute'
+      WHEN l.l_linenumber = 3 THEN 'UNK' WHEN l.l_linenumber = 4 THEN '0' ELSE '1.0' END AS payment_type_raw,
     o.o_orderdate + INTERVAL 16 YEAR AS pickup_datetime,
     l.l_shipdate + INTERVAL 16 YEAR AS dropoff_datetime,
-    l.l_quantity - 1 AS trip_distance,
+    CASE WHEN l.l_quantity <> 50 THEN l.l_quantity - 1 END AS trip_distance,
     CAST(CASE WHEN l.l_returnflag = 'R' AND l.l_linenumber = 7 THEN -1 ELSE 1 END * l.l_extendedprice AS DECIMAL(18,2)) AS fare_amount,
     CAST(ROUND(l.l_extendedprice * l.l_discount) AS DECIMAL(18,2)) AS tip_amount,
     CAST(ROUND(l.l_extendedprice * l.l_tax) AS DECIMAL(18,2)) AS tolls_amount,
     CAST(CASE WHEN l.l_linenumber % 2 = 0 THEN 2.50 ELSE NULL END AS DECIMAL(18,2)) AS congestion_surcharge,
     CAST(ROUND(l.l_extendedprice * (1 + l.l_discount + l.l_tax)) AS DECIMAL(18,2)) AS total_amount,
-    CAST(s.s_nationkey AS BIGINT) AS pulocationid,
+    CAST(CASE WHEN s.s_nationkey = 23 THEN 265 WHEN s.s_nationkey = 22 AND l.l_linenumber = 3 THEN NULL
+      ELSE s.s_nationkey END AS BIGINT) AS pulocationid,
     CAST(CASE WHEN c.c_nationkey = 24 THEN 264 ELSE c.c_nationkey END AS BIGINT) AS dolocationid,
     CAST(year(o.o_orderdate + INTERVAL 16 YEAR) AS VARCHAR) AS anio,
     lpad(CAST(month(o.o_orderdate + INTERVAL 16 YEAR) AS VARCHAR), 2, '0') AS mes
@@ -188,3 +192,204 @@ ORACLE: dict[str, str] = {
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# ------------------------------------------------------------------ normalisation, rules, dedup
+def SL(x: str) -> str:
+    """safe bigint: text -> double -> truncate toward zero -> bigint; NULL when malformed or out of range."""
+    return f"TRY_CAST(trunc(TRY_CAST(CAST({x} AS VARCHAR) AS DOUBLE)) AS BIGINT)"
+
+
+def SD(x: str) -> str:
+    return f"TRY_CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
+
+
+def PAY(x: str) -> str:
+    u = f"upper(CAST({x} AS VARCHAR))"
+    return (f"COALESCE(CASE WHEN {u} IN ('CAS','CASH') THEN 2 WHEN {u} IN ('CRD','CREDIT') THEN 1 "
+            f"WHEN {u} IN ('NOC','NO CHARGE') THEN 3 WHEN {u} IN ('DIS','DISPUTE') THEN 4 END, {SL(x)})")
+
+
+def VEND(x: str) -> str:
+    u = f"upper(CAST({x} AS VARCHAR))"
+    return f"COALESCE(CASE WHEN {u} = 'CMT' THEN 1 WHEN {u} = 'VTS' THEN 2 END, {SL(x)})"
+
+
+def YW(lo: int, hi: int, c: str = "pickup_datetime") -> str:
+    return f"COALESCE(year({c}) BETWEEN {lo} AND {hi}, false)"
+
+
+def NN(c: str) -> str:
+    return f"({c} IS NULL OR {c} >= 0)"
+
+
+CHRONO = "COALESCE(dropoff_datetime >= pickup_datetime, false)"
+CHRONO_NULLABLE = "COALESCE(dropoff_datetime IS NULL OR dropoff_datetime >= pickup_datetime, false)"
+PLACEHOLDER_OK = "COALESCE(NOT (trip_distance = 0 AND pulocationid IN (264, 265)), false)"
+WINDOW = {"yellow": (2009, 2026), "green": (2014, 2026), "fhv": (2015, 2026), "fhvhv": (2019, 2026)}
+
+# normalised taxi rows (payment and vendor codes, money as double), fhv with the sentinel removed
+TAXI_NORM = f"""
+taxi_norm AS (
+  SELECT trip_key, trip_line, tipo_taxi, anio, mes, {VEND('vendorid')} AS vendorid, pickup_datetime, dropoff_datetime,
+    {PAY('payment_type_raw')} AS payment_type, {SD('fare_amount')} AS fare_amount, {SD('trip_distance')} AS trip_distance,
+    {SD('tip_amount')} AS tip_amount, {SD('tolls_amount')} AS tolls_amount, {SD('total_amount')} AS total_amount,
+    {SD('congestion_surcharge')} AS congestion_surcharge, pulocationid, dolocationid
+  FROM trips_taxi
+)"""
+FHV_NORM = """
+fhv_norm AS (
+  SELECT event_id, anio, mes, dispatching_base_num, pickup_datetime,
+    NULLIF(dropoff_datetime, TIMESTAMP '1989-01-01 00:00:00') AS dropoff_datetime, pulocationid, dolocationid
+  FROM trips_fhv
+)"""
+
+
+def _reason(fmt: str) -> str:
+    lo, hi = WINDOW[fmt]
+    chain = [("dropoff_before_pickup", CHRONO_NULLABLE if fmt == "fhv" else CHRONO),
+             ("pickup_year_out_of_range", YW(lo, hi))]
+    if fmt in ("yellow", "green"):
+        chain += [("negative_fare", f"COALESCE({NN('fare_amount')}, false)"),
+                  ("negative_distance", f"COALESCE({NN('trip_distance')}, false)")]
+    if fmt == "green":
+        chain += [("placeholder_unknown_zone", PLACEHOLDER_OK)]
+    if fmt == "fhvhv":
+        chain += [("negative_trip_miles", f"COALESCE({NN('trip_miles')}, false)"),
+                  ("negative_trip_time", f"COALESCE({NN('trip_time')}, false)"),
+                  ("negative_base_fare", f"COALESCE({NN('base_passenger_fare')}, false)")]
+    return "CASE " + " ".join(f"WHEN NOT {p} THEN '{n}'" for n, p in chain) + " END"
+
+
+CAST_TEXT = """CASE l_linenumber WHEN 1 THEN CAST(l_partkey AS VARCHAR) WHEN 2 THEN CAST(l_partkey AS VARCHAR) || '.0'
+  WHEN 3 THEN CAST(l_partkey AS VARCHAR) || '.7' WHEN 4 THEN '-' || CAST(l_partkey AS VARCHAR) || '.5'
+  WHEN 5 THEN 'UNK' WHEN 6 THEN '' WHEN 7 THEN CAST(l_partkey AS VARCHAR) || 'e30' END"""
+
+LEGACY = f"""
+legacy AS (
+  SELECT vendor_raw AS vendor_name, CAST(pickup_datetime AS VARCHAR) AS trip_pickup_datetime,
+    CAST(dropoff_datetime AS VARCHAR) AS trip_dropoff_datetime, trip_line AS passenger_count, trip_distance,
+    payment_type_raw AS payment_type, fare_amount AS fare_amt, tip_amount AS tip_amt, tolls_amount AS tolls_amt,
+    total_amount AS total_amt, congestion_surcharge AS surcharge, CAST(pulocationid AS DOUBLE) AS pulocationid,
+    dolocationid, 'N' AS store_and_forward, trip_key, trip_line
+  FROM trips_taxi
+)"""
+
+CANONICAL = with_views(LEGACY.strip() + f"""
+SELECT {VEND('vendor_name')} AS vendorid,
+  TRY_CAST(trip_pickup_datetime AS TIMESTAMP) AS pickup_datetime,
+  TRY_CAST(trip_dropoff_datetime AS TIMESTAMP) AS dropoff_datetime,
+  {SL('passenger_count')} AS passenger_count, {SD('trip_distance')} AS trip_distance,
+  CAST(NULL AS DOUBLE) AS pickup_longitude, CAST(NULL AS DOUBLE) AS pickup_latitude,
+  CAST(NULL AS BIGINT) AS ratecodeid, CAST(store_and_forward AS VARCHAR) AS store_and_fwd_flag,
+  CAST(NULL AS DOUBLE) AS dropoff_longitude, CAST(NULL AS DOUBLE) AS dropoff_latitude,
+  {PAY('payment_type')} AS payment_type, {SD('fare_amt')} AS fare_amount, {SD('surcharge')} AS extra,
+  CAST(NULL AS DOUBLE) AS mta_tax, {SD('tip_amt')} AS tip_amount, {SD('tolls_amt')} AS tolls_amount,
+  {SD('total_amt')} AS total_amount, {SL('pulocationid')} AS pulocationid, {SL('dolocationid')} AS dolocationid,
+  CAST(NULL AS BIGINT) AS trip_type, CAST(NULL AS DOUBLE) AS improvement_surcharge,
+  CAST(NULL AS DOUBLE) AS congestion_surcharge, CAST(NULL AS DOUBLE) AS airport_fee, CAST(NULL AS DOUBLE) AS ehail_fee,
+  trip_key, trip_line
+FROM legacy""", TRIPS_TAXI)
+
+DEDUP_TAXI_KEY = {"yellow": "vendorid, pickup_datetime, dropoff_datetime, fare_amount",
+                  "green": "vendorid, pickup_datetime, dropoff_datetime, pulocationid, dolocationid, fare_amount"}
+
+
+def _dedup_taxi(tipo: str) -> str:
+    return with_views(f"""
+SELECT trip_key, trip_line, anio, mes, vendorid, pickup_datetime, dropoff_datetime, pulocationid, dolocationid,
+  CAST(fare_amount AS DOUBLE) AS fare_amount
+FROM trips_taxi WHERE tipo_taxi = '{tipo}'
+QUALIFY row_number() OVER (PARTITION BY {DEDUP_TAXI_KEY[tipo]}, anio, mes ORDER BY trip_key, trip_line) = 1""",
+                      TRIPS_TAXI)
+
+
+def _taxi_flags_select() -> str:
+    vend = " ".join(f"WHEN vendorid = {k} THEN '{v}'" for k, v in
+                    [(1, "CMT"), (2, "VeriFone"), (3, "Unofficial 3"), (4, "Unofficial 4"), (5, "Unofficial 5"),
+                     (6, "Unofficial 6"), (7, "Unofficial 7")])
+    parts = ["fare_amount", "NULL", "NULL", "tip_amount", "tolls_amount", "NULL", "congestion_surcharge", "NULL"]
+    total = " + ".join(f"COALESCE(CAST({p} AS DOUBLE), 0.0::DOUBLE)" for p in parts)
+    return f"""
+SELECT trip_key, trip_line, tipo_taxi AS formato, COALESCE(fare_amount < 0, false) AS is_reversal,
+  CASE WHEN payment_type = 0 THEN 'Flex Fare' END AS payment_label,
+  {total} AS calculated_total,
+  CASE {vend} WHEN vendorid IS NOT NULL THEN 'Other' END AS vendor_label,
+  COALESCE(pulocationid, 264) AS pulocationid_filled, COALESCE(dolocationid, 264) AS dolocationid_filled
+FROM taxi_norm"""
+
+
+def _clean_taxi(tipo: str) -> str:
+    lo, hi = WINDOW[tipo]
+    rules = [CHRONO, YW(lo, hi), f"COALESCE({NN('fare_amount')}, false)", f"COALESCE({NN('trip_distance')}, false)"]
+    if tipo == "green":
+        rules.append(PLACEHOLDER_OK)
+    return f"""
+SELECT trip_key, trip_line, tipo_taxi, anio, mes, vendorid, pickup_datetime, dropoff_datetime, payment_type,
+  fare_amount, trip_distance, pulocationid, dolocationid
+FROM taxi_norm WHERE tipo_taxi = '{tipo}' AND {' AND '.join(rules)}
+QUALIFY row_number() OVER (PARTITION BY {DEDUP_TAXI_KEY[tipo]}, anio, mes ORDER BY trip_key, trip_line) = 1"""
+
+
+ORACLE.update({
+    "clean_chronology": with_views(f"""
+SELECT trip_key, trip_line, tipo_taxi, pickup_datetime, dropoff_datetime FROM trips_taxi WHERE dropoff_datetime >= pickup_datetime""",
+                                   TRIPS_TAXI),
+    "clean_chronology_nullable": with_views(FHV_NORM.strip() + """
+SELECT event_id, pickup_datetime, dropoff_datetime FROM fhv_norm
+WHERE dropoff_datetime IS NULL OR dropoff_datetime >= pickup_datetime""", TRIPS_FHV),
+    "clean_year_window": with_views(f"""
+SELECT tipo_taxi AS formato, CAST(trip_key AS VARCHAR) || ':' || CAST(trip_line AS VARCHAR) AS trip_id, anio
+FROM trips_taxi WHERE (tipo_taxi = 'yellow' AND {YW(2009, 2026)}) OR (tipo_taxi = 'green' AND {YW(2014, 2026)})
+UNION ALL SELECT 'fhvhv', CAST(event_id AS VARCHAR), anio FROM trips_fhvhv WHERE {YW(2019, 2026)}
+UNION ALL SELECT 'fhv', CAST(event_id AS VARCHAR), anio FROM trips_fhv WHERE {YW(2015, 2026)}""",
+                                    TRIPS_TAXI, TRIPS_FHVHV, TRIPS_FHV),
+    "clean_nonnegative": with_views(f"""
+SELECT trip_key, trip_line, CAST(fare_amount AS DOUBLE) AS fare_amount, trip_distance FROM trips_taxi
+WHERE {NN('fare_amount')} AND {NN('trip_distance')}""", TRIPS_TAXI),
+    "clean_app_nonnegative": with_views(f"""
+SELECT event_id, trip_miles, trip_time FROM trips_fhvhv
+WHERE {NN('trip_miles')} AND {NN('trip_time')} AND {NN('base_passenger_fare')}""", TRIPS_FHVHV),
+    "clean_placeholder_3vl": with_views("""
+SELECT trip_key, trip_line, trip_distance, pulocationid FROM trips_taxi
+WHERE tipo_taxi = 'green' AND NOT (trip_distance = 0 AND pulocationid IN (264, 265))""", TRIPS_TAXI),
+    "safe_cast_matrix": f"""
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {CAST_TEXT} AS raw_text,
+  {SL(CAST_TEXT)} AS as_bigint, {SD(CAST_TEXT)} AS as_double
+FROM lineitem""",
+    "normalize_payment": with_views(f"""
+SELECT trip_key, trip_line, payment_type_raw, {PAY('payment_type_raw')} AS payment_type FROM trips_taxi""", TRIPS_TAXI),
+    "normalize_vendor": with_views(f"""
+SELECT trip_key, trip_line, vendor_raw, {VEND('vendor_raw')} AS vendorid FROM trips_taxi""", TRIPS_TAXI),
+    "canonical_schema": CANONICAL,
+    "dedup_yellow": _dedup_taxi("yellow"),
+    "dedup_green": _dedup_taxi("green"),
+    "dedup_fhv": with_views(FHV_NORM.strip() + """
+SELECT event_id, anio, mes, dispatching_base_num, pickup_datetime, dropoff_datetime, pulocationid, dolocationid
+FROM fhv_norm
+QUALIFY row_number() OVER (PARTITION BY dispatching_base_num, pickup_datetime, dropoff_datetime, pulocationid,
+  dolocationid, anio, mes ORDER BY event_id) = 1""", TRIPS_FHV),
+    "dedup_fhvhv": with_views("""
+SELECT event_id, anio, mes, hvfhs_license_num, dispatching_base_num, pickup_datetime, dropoff_datetime,
+  pulocationid, dolocationid
+FROM trips_fhvhv
+QUALIFY row_number() OVER (PARTITION BY hvfhs_license_num, dispatching_base_num, pickup_datetime, dropoff_datetime,
+  pulocationid, dolocationid, anio, mes ORDER BY event_id) = 1""", TRIPS_FHVHV),
+    "quarantine_reasons": with_views(TAXI_NORM.strip() + ",\n" + FHV_NORM.strip() + f"""
+, r AS (
+  SELECT tipo_taxi AS formato, CASE tipo_taxi WHEN 'yellow' THEN {_reason('yellow')} ELSE {_reason('green')} END AS reject_reason
+  FROM taxi_norm
+  UNION ALL SELECT 'fhvhv', {_reason('fhvhv')} FROM trips_fhvhv
+  UNION ALL SELECT 'fhv', {_reason('fhv')} FROM fhv_norm
+)
+SELECT formato, reject_reason, COUNT(*) AS filas FROM r WHERE reject_reason IS NOT NULL GROUP BY 1, 2""",
+                                     TRIPS_TAXI, TRIPS_FHVHV, TRIPS_FHV),
+    "rule_flags": with_views(TAXI_NORM.strip() + _taxi_flags_select(), TRIPS_TAXI),
+    "rule_flags_app": with_views("""
+SELECT event_id, hvfhs_license_num, hvfhs_license_num IN ('HV0004') AS zero_pay_allowed,
+  COALESCE(driver_pay = 0 AND hvfhs_license_num NOT IN ('HV0004'), false) AS driver_pay_suspect,
+  COALESCE(pulocationid, 264) AS pulocationid_filled, COALESCE(dolocationid, 264) AS dolocationid_filled
+FROM trips_fhvhv""", TRIPS_FHVHV),
+    "clean_taxi_staging": with_views(TAXI_NORM.strip() + _clean_taxi("yellow") + "\nUNION ALL" + _clean_taxi("green"),
+                                     TRIPS_TAXI),
+})

@@ -50,4 +50,7 @@ QUERIES: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    from triplake import catalog_rules
+    out = dict(QUERIES)
+    out.update(catalog_rules.QUERIES)
+    return out

@@ -6,6 +6,8 @@ staging column names so the marts, rules and profiles run on them unchanged.
 
 Design notes
   * Money is DECIMAL(18,2) so sums are exact and every engine agrees on them.
+  * Taxi rows include unknown pickup zones (265), NULL zones and NULL distances, and text
+    spellings of vendor and payment codes, so every cleaning rule has rows to act on.
   * Taxi timestamps are the order/ship dates moved forward 16 years (a multiple of four, so
     leap days stay valid), which puts them in 2011-2017: inside the taxi era, partly before
     the green window (2014) and partly after the zone-id era (2016).
@@ -48,18 +50,25 @@ def trips_taxi(spark: SparkSession, root: str) -> DataFrame:
         F.col("l_linenumber").cast("bigint").alias("trip_line"),
         (F.col("l_suppkey") % 7).alias("vendorid"),
         F.when(F.col("l_linestatus") == "F", "yellow").otherwise("green").alias("tipo_taxi"),
+        F.when(F.col("l_suppkey") % 7 == 1, "CMT").when(F.col("l_suppkey") % 7 == 2, "vts")
+         .when(F.col("l_suppkey") % 7 == 3, "XYZ").otherwise((F.col("l_suppkey") % 7).cast("string"))
+         .alias("vendor_raw"),
         F.when(F.col("l_returnflag") == "A", "CAS").when(F.col("l_returnflag") == "R", "Credit")
+         .when(F.col("l_linenumber") == 1, "NO CHARGE").when(F.col("l_linenumber") == 2, "Dispute")
+         .when(F.col("l_linenumber") == 3, "UNK").when(F.col("l_linenumber") == 4, "0")
          .otherwise("1.0").alias("payment_type_raw"),
         pickup.alias("pickup_datetime"),
         (F.col("l_shipdate") + F.expr(TAXI_SHIFT)).alias("dropoff_datetime"),
-        (F.col("l_quantity") - 1).alias("trip_distance"),
+        F.when(F.col("l_quantity") != 50, F.col("l_quantity") - 1).alias("trip_distance"),
         _money(F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7), -1).otherwise(1) * price)
         .alias("fare_amount"),
         _money(F.round(price * F.col("l_discount"))).alias("tip_amount"),
         _money(F.round(price * F.col("l_tax"))).alias("tolls_amount"),
         _money(F.when(F.col("l_linenumber") % 2 == 0, F.lit(2.50))).alias("congestion_surcharge"),
         _money(F.round(price * (1 + F.col("l_discount") + F.col("l_tax")))).alias("total_amount"),
-        F.col("s_nationkey").cast("bigint").alias("pulocationid"),
+        F.when(F.col("s_nationkey") == 23, 265)
+         .when((F.col("s_nationkey") == 22) & (F.col("l_linenumber") == 3), F.lit(None))
+         .otherwise(F.col("s_nationkey")).cast("bigint").alias("pulocationid"),
         F.when(F.col("c_nationkey") == 24, 264).otherwise(F.col("c_nationkey")).cast("bigint").alias("dolocationid"),
         anio_of(pickup).alias("anio"),
         mes_of(pickup).alias("mes"),
