@@ -393,3 +393,38 @@ FROM trips_fhvhv""", TRIPS_FHVHV),
     "clean_taxi_staging": with_views(TAXI_NORM.strip() + _clean_taxi("yellow") + "\nUNION ALL" + _clean_taxi("green"),
                                      TRIPS_TAXI),
 })
+
+
+# ------------------------------------------------------------------ whole jobs (written, then read back)
+def _staged_taxi(tipo: str) -> str:
+    lo, hi = WINDOW[tipo]
+    rules = [CHRONO, YW(lo, hi), f"COALESCE({NN('fare_amount')}, false)", f"COALESCE({NN('trip_distance')}, false)"]
+    if tipo == "green":
+        rules.append(PLACEHOLDER_OK)
+    return f"""
+SELECT tipo_taxi, anio, mes, vendorid, pickup_datetime, dropoff_datetime, payment_type, fare_amount, trip_distance,
+  pulocationid, dolocationid
+FROM taxi_norm WHERE tipo_taxi = '{tipo}' AND {' AND '.join(rules)}
+QUALIFY row_number() OVER (PARTITION BY {DEDUP_TAXI_KEY[tipo]}, anio, mes ORDER BY trip_key, trip_line) = 1"""
+
+
+ORACLE.update({
+    "drifted_scan": with_views(f"""
+SELECT trip_key, trip_line, anio AS source_anio, mes AS source_mes, {VEND('vendorid')} AS vendorid,
+  pickup_datetime, dropoff_datetime, trip_line AS passenger_count, {PAY('payment_type_raw')} AS payment_type,
+  CAST(fare_amount AS DOUBLE) AS fare_amount, CAST(total_amount AS DOUBLE) AS total_amount,
+  CAST(congestion_surcharge AS DOUBLE) AS congestion_surcharge, pulocationid, dolocationid
+FROM trips_taxi WHERE tipo_taxi = 'yellow'""", TRIPS_TAXI),
+    "csv_zone_lookup": with_views("SELECT locationid, borough, zone, service_zone FROM zones", ZONES),
+    "staging_roundtrip": with_views(TAXI_NORM.strip() + _staged_taxi("yellow") + "\nUNION ALL" + _staged_taxi("green"),
+                                    TRIPS_TAXI),
+    "mart_rebuild": MARKET_SHARE,
+    "mart_incremental": TEMPORAL,
+    "mart_incremental_demand": TERRITORIAL,
+    "stream_arrival": with_views(FHV_NORM.strip() + f"""
+SELECT anio, mes, dispatching_base_num, pickup_datetime, dropoff_datetime, pulocationid, dolocationid,
+  CAST(NULL AS BIGINT) AS sr_flag, CAST(NULL AS VARCHAR) AS affiliated_base_number
+FROM fhv_norm WHERE {CHRONO_NULLABLE} AND {YW(2015, 2026)}
+QUALIFY row_number() OVER (PARTITION BY dispatching_base_num, pickup_datetime, dropoff_datetime, pulocationid,
+  dolocationid, anio, mes ORDER BY event_id) = 1""", TRIPS_FHV),
+})

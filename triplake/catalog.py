@@ -50,7 +50,8 @@ QUERIES: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    from triplake import catalog_rules
+    from triplake import catalog_pipeline, catalog_rules
     out = dict(QUERIES)
     out.update(catalog_rules.QUERIES)
+    out.update(catalog_pipeline.QUERIES)
     return out

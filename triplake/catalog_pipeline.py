@@ -1,0 +1,209 @@
+"""Registered queries that run whole jobs: raw files with drifted schemas are derived from the
+driver tables, written to the session's shared scratch folder, then scanned, cleaned, staged,
+aggregated or streamed.  Each call works in a fresh sub-folder."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from triplake.catalog_rules import TAXI_ID
+from triplake.operators.normalize import normalize
+from triplake.plans import incremental as inc
+from triplake.plans.clean import clean_periods
+from triplake.session import checkpoint_dir
+from triplake.sources import adapter
+from triplake.sources.scan import footers, read_raw, type_drift
+from triplake.sources.sinks import read_staging, read_zone_csv, write_staging, write_zone_csv
+from triplake.streaming.arrivals import stream_arrivals
+
+# Declared raw yellow columns and types (the external table definition).
+YELLOW_DECLARED = {
+    "vendorid": "int", "tpep_pickup_datetime": "timestamp", "tpep_dropoff_datetime": "timestamp",
+    "passenger_count": "bigint", "trip_distance": "double", "ratecodeid": "bigint", "store_and_fwd_flag": "string",
+    "pulocationid": "int", "dolocationid": "int", "payment_type": "bigint", "fare_amount": "double",
+    "extra": "double", "mta_tax": "double", "tip_amount": "double", "tolls_amount": "double",
+    "improvement_surcharge": "double", "total_amount": "double", "congestion_surcharge": "double",
+    "airport_fee": "double",
+}
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/triplake-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _even_month(c: str = "mes") -> F.Column:
+    return F.col(c).cast("int") % 2 == 0
+
+
+def write_raw_taxi(spark: SparkSession, root: str, raw_root: str) -> None:
+    """Yellow and green raw folders; even months use a legacy layout (mixed case, text times, double ids)."""
+    t = adapter.trips_taxi(spark, root)
+    vendor_text = F.when(F.col("vendorid") == 1, "CMT").when(F.col("vendorid") == 2, "VTS") \
+                   .otherwise(F.col("vendorid").cast("string"))
+    pay_code = F.coalesce(*[F.when(F.upper("payment_type_raw").isin(*ks), F.lit(v)) for v, ks in
+                            ((2, ["CAS", "CASH"]), (1, ["CRD", "CREDIT"]), (3, ["NOC", "NO CHARGE"]),
+                             (4, ["DIS", "DISPUTE"]))],
+                          F.col("payment_type_raw").try_cast("double").try_cast("bigint"))
+    for tipo, ts in (("yellow", "tpep"), ("green", "lpep")):
+        rows = t.where(F.col("tipo_taxi") == tipo)
+        current = rows.where(~_even_month()).select(
+            F.col("vendorid").cast("int").alias("VendorID"),
+            F.col("pickup_datetime").alias(f"{ts}_pickup_datetime"),
+            F.col("dropoff_datetime").alias(f"{ts}_dropoff_datetime"),
+            F.col("trip_line").alias("passenger_count"), "trip_distance",
+            F.col("pulocationid").cast("int").alias("PULocationID"),
+            F.col("dolocationid").cast("int").alias("DOLocationID"),
+            pay_code.alias("payment_type"),
+            *[F.col(c).cast("double").alias(c) for c in
+              ("fare_amount", "tip_amount", "tolls_amount", "total_amount", "congestion_surcharge")],
+            *TAXI_ID, "anio", "mes")
+        legacy = rows.where(_even_month()).select(
+            vendor_text.alias("vendor_name"),
+            F.col("pickup_datetime").cast("string").alias("Trip_Pickup_DateTime"),
+            F.col("dropoff_datetime").cast("string").alias("Trip_Dropoff_DateTime"),
+            F.col("trip_line").cast("double").alias("Passenger_Count"),
+            F.col("trip_distance").alias("Trip_Distance"),
+            F.col("pulocationid").cast("double").alias("PULocationID"),
+            F.col("dolocationid").cast("double").alias("DOLocationID"),
+            F.col("payment_type_raw").alias("Payment_Type"),
+            F.col("fare_amount").cast("double").alias("Fare_Amt"),
+            F.col("tip_amount").cast("double").alias("Tip_Amt"),
+            F.col("tolls_amount").cast("double").alias("Tolls_Amt"),
+            F.col("total_amount").cast("double").alias("Total_Amt"),
+            F.col("congestion_surcharge").cast("double").alias("congestion_surcharge"),
+            F.col("trip_key").alias("Trip_Key"), F.col("trip_line").alias("Trip_Line"), "anio", "mes")
+        for part in (current, legacy):
+            part.write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/{tipo}")
+
+
+def write_raw_fhv(spark: SparkSession, root: str, raw_root: str) -> None:
+    """fhv raw folder: two files per period, one with the location ids as double (type drift inside a month)."""
+    f = adapter.trips_fhv(spark, root)
+    base = [F.col("dispatching_base_num"), F.col("pickup_datetime"), F.col("dropoff_datetime"), "event_id",
+            "anio", "mes"]
+    f.where(F.col("event_id") % 2 == 0).select(
+        *base, F.col("pulocationid").alias("PUlocationID"), F.col("dolocationid").alias("DOlocationID")
+    ).write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
+    f.where(F.col("event_id") % 2 == 1).select(
+        *base, F.col("pulocationid").cast("double").alias("PUlocationID"),
+        F.col("dolocationid").cast("double").alias("DOlocationID")
+    ).write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
+
+
+SCAN_COLUMNS = [*TAXI_ID, "source_anio", "source_mes", "vendorid", "pickup_datetime", "dropoff_datetime",
+                "passenger_count", "payment_type", "fare_amount", "total_amount", "congestion_surcharge",
+                "pulocationid", "dolocationid"]
+
+
+def drifted_scan(spark, root) -> DataFrame:
+    """S1/§4.3: files of two schemas in one folder read by fingerprint and canonicalised."""
+    raw = scratch(spark, "raw")
+    write_raw_taxi(spark, root, raw)
+    return read_raw(spark, f"{raw}/yellow", "yellow", keep=TAXI_ID).select(*SCAN_COLUMNS)
+
+
+def type_drift_audit(spark, root) -> DataFrame:
+    """Physical types per column across the raw files, flagged against the declared types."""
+    raw = scratch(spark, "raw")
+    write_raw_taxi(spark, root, raw)
+    d = type_drift(footers(spark, f"{raw}/yellow"), YELLOW_DECLARED)
+    return d.select("column_name", "declared_type",
+                    F.array_join("physical_types", ",").alias("physical_types"), "drift")
+
+
+def csv_zone_lookup(spark, root) -> DataFrame:
+    """The zone lookup written as quoted CSV with a header and read back as all-string columns."""
+    path = scratch(spark, "zones_csv")
+    write_zone_csv(adapter.zones(spark, root), path)
+    return read_zone_csv(spark, path)
+
+
+STAGED_TAXI = ["tipo_taxi", "anio", "mes", "vendorid", "pickup_datetime", "dropoff_datetime", "payment_type",
+               "fare_amount", "trip_distance", "pulocationid", "dolocationid"]
+
+
+def staging_roundtrip(spark, root) -> DataFrame:
+    """S1 -> clean -> S9 -> S3: the cleaning job over drifted raw taxi folders, staging read back."""
+    base = scratch(spark, "lake")
+    write_raw_taxi(spark, root, f"{base}/raw")
+    clean_periods(spark, f"{base}/raw", f"{base}/staging", "taxi", order_by=TAXI_ID, keep=TAXI_ID)
+    return read_staging(spark, f"{base}/staging", "taxi").select(*STAGED_TAXI)
+
+
+def _staging_from_views(spark, root, base) -> dict[str, DataFrame]:
+    """The trip views written as staging tables (they already satisfy the rules the marts rely on)."""
+    t = adapter.trips_taxi(spark, root).withColumnRenamed("payment_type_raw", "payment_type")
+    write_staging(normalize(t, "yellow", keep=["tipo_taxi", "anio", "mes"]), base, "yellow")
+    write_staging(normalize(adapter.trips_fhvhv(spark, root), "fhvhv", keep=["anio", "mes"]), base, "fhvhv")
+    write_staging(normalize(adapter.trips_fhv(spark, root), "fhv", keep=["anio", "mes"]), base, "fhv")
+    return inc.load_staging(spark, base, adapter.zones(spark, root))
+
+
+def mart_rebuild(spark, root) -> DataFrame:
+    """Full rebuild from staging tables; the share mart read back."""
+    base = scratch(spark, "lake")
+    tables = _staging_from_views(spark, root, f"{base}/staging")
+    inc.rebuild_marts(spark, tables, f"{base}/mart")
+    return inc.read_mart(spark, f"{base}/mart", "mart_cuota_mercado_mensual").select(
+        "anio", "mes", "tipo_servicio", "total_viajes", "total_viajes_mes", "cuota_mercado_pct")
+
+
+INCREMENT = [("2017", "07"), ("2017", "08"), ("2024", "01")]
+
+
+def _incremental(spark, root) -> str:
+    """Rebuild without the last periods, then append them one by one (one of them twice)."""
+    base = scratch(spark, "lake")
+    tables = _staging_from_views(spark, root, f"{base}/staging")
+    held = F.lit(False)
+    for a, m in INCREMENT:
+        held = held | ((F.col("anio") == a) & (F.col("mes") == m))
+    early = {k: (v.where(~held) if k != "zones" else v) for k, v in tables.items()}
+    inc.rebuild_marts(spark, early, f"{base}/mart")
+    for a, m in INCREMENT + INCREMENT[-1:]:
+        inc.append_period(spark, tables, f"{base}/mart", a, m)
+    return f"{base}/mart"
+
+
+def mart_incremental(spark, root) -> DataFrame:
+    """Annual time mart finalised from monthly state after increments equals the full computation."""
+    mart = _incremental(spark, root)
+    return inc.read_mart(spark, mart, "mart_patrones_temporales").select(
+        "anio", "tipo_servicio", "dia_semana_num", "dia_semana_nombre", "hora_dia", "total_viajes",
+        "tarifa_promedio", "distancia_promedio_millas")
+
+
+def mart_incremental_demand(spark, root) -> DataFrame:
+    mart = _incremental(spark, root)
+    return inc.read_mart(spark, mart, "mart_demanda_territorial").select(
+        "anio", "tipo_servicio", "pu_borough", "pu_zone", "do_borough", "do_zone", "total_viajes",
+        "distancia_promedio_millas", "monto_total")
+
+
+def stream_arrival(spark, root) -> DataFrame:
+    """Fhv files arrive one per micro-batch; each batch cleans its period; staging read back."""
+    base = scratch(spark, "stream")
+    write_raw_fhv(spark, root, f"{base}/raw")
+    q = stream_arrivals(spark, f"{base}/raw/fhv", "fhv", f"{base}/staging", f"{base}/checkpoint",
+                        max_files_per_trigger=1, order_by=["event_id"])
+    q.awaitTermination()
+    again = stream_arrivals(spark, f"{base}/raw/fhv", "fhv", f"{base}/staging", f"{base}/checkpoint")
+    again.awaitTermination()                     # nothing new: the checkpoint remembers every file
+    return read_staging(spark, f"{base}/staging", "fhv").select(
+        "anio", "mes", "dispatching_base_num", "pickup_datetime", "dropoff_datetime", "pulocationid",
+        "dolocationid", "sr_flag", "affiliated_base_number")
+
+
+QUERIES = {
+    "drifted_scan": drifted_scan,
+    "type_drift_audit": type_drift_audit,
+    "csv_zone_lookup": csv_zone_lookup,
+    "staging_roundtrip": staging_roundtrip,
+    "mart_rebuild": mart_rebuild,
+    "mart_incremental": mart_incremental,
+    "mart_incremental_demand": mart_incremental_demand,
+    "stream_arrival": stream_arrival,
+}

@@ -24,7 +24,7 @@ def key_columns(df: DataFrame, fmt: str) -> list[str] | None:
 
 
 def dedup_on(df: DataFrame, keys: list[str], order_by: list[str] | tuple = ()) -> DataFrame:
-    order = [c for c in order_by if c not in keys]
+    order = [c for c in order_by if c not in keys and c in df.columns]
     rest = order + [c for c in df.columns if c not in keys and c not in order]
     if not rest:
         return df.select(*keys).distinct()

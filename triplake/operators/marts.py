@@ -131,25 +131,31 @@ def financial_kpis(taxi: DataFrame, fhvhv: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- territorial demand
-def demand_trips(taxi: DataFrame, fhvhv: DataFrame, min_taxi_anio: str = DEMAND_TAXI_MIN_ANIO) -> DataFrame:
-    """Row-level union: anio, tipo_servicio, pulocationid, dolocationid, millas, monto."""
+def demand_trips(taxi: DataFrame, fhvhv: DataFrame, min_taxi_anio: str = DEMAND_TAXI_MIN_ANIO,
+                 extra=()) -> DataFrame:
+    """Row-level union: anio, [extra...], tipo_servicio, pulocationid, dolocationid, millas, monto."""
     both_ids = F.col("pulocationid").isNotNull() & F.col("dolocationid").isNotNull()
     t = (taxi.where((F.col("anio") >= F.lit(min_taxi_anio)) & both_ids)
-             .select("anio", F.col("tipo_taxi").alias("tipo_servicio"), "pulocationid", "dolocationid",
+             .select("anio", *extra, F.col("tipo_taxi").alias("tipo_servicio"), "pulocationid", "dolocationid",
                      F.col("trip_distance").cast("double").alias("millas"),
                      F.col("total_amount").alias("monto")))
     h = (fhvhv.where(both_ids)
-              .select("anio", F.lit("fhvhv").alias("tipo_servicio"), "pulocationid", "dolocationid",
+              .select("anio", *extra, F.lit("fhvhv").alias("tipo_servicio"), "pulocationid", "dolocationid",
                       F.col("trip_miles").cast("double").alias("millas"), gross_amount().alias("monto")))
     return t.unionByName(h)
 
 
-def demand_by_ids(trips: DataFrame) -> DataFrame:
-    """Pre-aggregation before the zone join: at most ids^2 rows per (year, service).  Carries sums and counts."""
-    return (trips.groupBy("anio", "tipo_servicio", "pulocationid", "dolocationid")
+def demand_by_ids(trips: DataFrame, extra=(), exact: str | None = None) -> DataFrame:
+    """Pre-aggregation before the zone join: at most ids^2 rows per (year, service).  Carries sums and counts.
+
+    ``exact`` names a decimal type to sum in (used by the monthly state, so merges are exact).
+    """
+    def s(c):
+        return F.sum(F.col(c).cast(exact) if exact else F.col(c))
+    return (trips.groupBy("anio", *extra, "tipo_servicio", "pulocationid", "dolocationid")
                  .agg(F.count(F.lit(1)).alias("n"),
-                      F.sum("millas").alias("s_millas"), F.count("millas").alias("c_millas"),
-                      F.sum("monto").alias("s_monto")))
+                      s("millas").alias("s_millas"), F.count("millas").alias("c_millas"),
+                      s("monto").alias("s_monto")))
 
 
 def zone_labels(zones: DataFrame, prefix: str) -> DataFrame:
@@ -157,7 +163,7 @@ def zone_labels(zones: DataFrame, prefix: str) -> DataFrame:
                         F.col("borough").alias(f"{prefix}_borough_raw"), F.col("zone").alias(f"{prefix}_zone_raw"))
 
 
-def label_demand(by_ids: DataFrame, zones: DataFrame) -> DataFrame:
+def label_demand(by_ids: DataFrame, zones: DataFrame, extra=()) -> DataFrame:
     """Two left joins to the (size-checked, broadcast) lookup, then re-group by label.
 
     Several ids may share a label and unmatched ids collapse to 'Unknown', so the
@@ -169,13 +175,13 @@ def label_demand(by_ids: DataFrame, zones: DataFrame) -> DataFrame:
     j = (by_ids.join(pu, by_ids.pulocationid == pu.pu_id, "left")
                .join(do, by_ids.dolocationid == do.do_id, "left"))
     unknown = F.lit("Unknown")
-    return (j.groupBy("anio", "tipo_servicio",
+    return (j.groupBy("anio", *extra, "tipo_servicio",
                       F.coalesce("pu_borough_raw", unknown).alias("pu_borough"),
                       F.coalesce("pu_zone_raw", unknown).alias("pu_zone"),
                       F.coalesce("do_borough_raw", unknown).alias("do_borough"),
                       F.coalesce("do_zone_raw", unknown).alias("do_zone"))
              .agg(F.sum("n").cast("bigint").alias("total_viajes"),
-                  F.sum("s_millas").alias("s_millas"), F.sum("c_millas").alias("c_millas"),
+                  F.sum("s_millas").alias("s_millas"), F.sum("c_millas").cast("bigint").alias("c_millas"),
                   F.sum("s_monto").alias("s_monto")))
 
 

@@ -54,3 +54,38 @@ def clean(df: DataFrame, fmt: str, scope=SOURCE_PERIOD, order_by=(), period: str
     if flags:
         clean_rows = add_flags(clean_rows, fmt)
     return clean_rows, quarantine
+
+
+def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None = None, anio: str | None = None,
+                  mes: str | None = None, order_by=(), keep=(), resume: bool = True) -> dict[str, list[str]]:
+    """The cleaning job: raw ``<raw_root>/<fmt>/anio=/mes=/`` -> staging, one distributed job per format.
+
+    ``resume`` skips periods that already have staged files (R3); periods are replaced, never
+    appended, so ``resume=False`` reruns safely.  Returns the periods written per format.
+    """
+    from triplake.sources.files import pending_periods, raw_periods, staged_periods
+    from triplake.sources.scan import read_raw
+    from triplake.sources.sinks import staging_path, write_staging
+
+    report = {}
+    for fmt in expand_formats(formato):
+        root = f"{raw_root.rstrip('/')}/{fmt}"
+        periods = raw_periods(spark, root, nonempty_only=True)
+        if anio:
+            periods = periods.where(F.col("anio") == str(anio))
+        if mes:
+            periods = periods.where(F.col("mes") == str(mes).zfill(2))
+        if resume:
+            try:
+                done = staged_periods(spark, staging_path(staging_root, fmt),
+                                      fmt if fmt in TAXI_FORMATS else None)
+                periods = pending_periods(periods, done)
+            except Exception:  # noqa: BLE001 - nothing staged yet
+                pass
+        todo = sorted((r["anio"], r["mes"]) for r in periods.collect())      # period list only
+        if todo:
+            dirs = [f"{root}/anio={a}/mes={m}" for a, m in todo]
+            rows, _ = clean(read_raw(spark, dirs, fmt, keep=keep), fmt, order_by=order_by, keep=keep)
+            write_staging(rows, staging_root, fmt)
+        report[fmt] = [f"{a}-{m}" for a, m in todo]
+    return report
