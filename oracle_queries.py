@@ -21,7 +21,8 @@ trips_taxi AS (
     o.o_orderdate + INTERVAL 16 YEAR AS pickup_datetime,
     l.l_shipdate + INTERVAL 16 YEAR AS dropoff_datetime,
     CASE WHEN l.l_quantity <> 50 THEN l.l_quantity - 1 END AS trip_distance,
-    CAST(CASE WHEN l.l_returnflag = 'R' AND l.l_linenumber = 7 THEN -1 ELSE 1 END * l.l_extendedprice AS DECIMAL(18,2)) AS fare_amount,
+    CAST(CASE WHEN (l.l_returnflag = 'R' AND l.l_linenumber = 7) OR (l.l_returnflag = 'A' AND l.l_linenumber = 6)
+      THEN -1 ELSE 1 END * l.l_extendedprice AS DECIMAL(18,2)) AS fare_amount,
     CAST(ROUND(l.l_extendedprice * l.l_discount) AS DECIMAL(18,2)) AS tip_amount,
     CAST(ROUND(l.l_extendedprice * l.l_tax) AS DECIMAL(18,2)) AS tolls_amount,
     CAST(CASE WHEN l.l_linenumber % 2 = 0 THEN 2.50 ELSE NULL END AS DECIMAL(18,2)) AS congestion_surcharge,
@@ -66,7 +67,8 @@ trips_fhv AS (
 
 ZONES = """
 zones AS (
-  SELECT CAST(n_nationkey AS VARCHAR) AS locationid, r_name AS borough, n_name AS zone, 'Boro Zone' AS service_zone
+  SELECT CAST(n_nationkey AS VARCHAR) AS locationid, r_name AS borough, n_name AS zone,
+    CASE WHEN n_nationkey % 10 = 0 THEN 'Airports' ELSE 'Boro Zone' END AS service_zone
   FROM nation JOIN region ON n_regionkey = r_regionkey
 )"""
 
@@ -234,7 +236,7 @@ taxi_norm AS (
   SELECT trip_key, trip_line, tipo_taxi, anio, mes, {VEND('vendorid')} AS vendorid, pickup_datetime, dropoff_datetime,
     {PAY('payment_type_raw')} AS payment_type, {SD('fare_amount')} AS fare_amount, {SD('trip_distance')} AS trip_distance,
     {SD('tip_amount')} AS tip_amount, {SD('tolls_amount')} AS tolls_amount, {SD('total_amount')} AS total_amount,
-    {SD('congestion_surcharge')} AS congestion_surcharge, pulocationid, dolocationid
+    {SD('congestion_surcharge')} AS congestion_surcharge, pulocationid, dolocationid, CAST(NULL AS BIGINT) AS ratecodeid
   FROM trips_taxi
 )"""
 FHV_NORM = """
@@ -428,3 +430,232 @@ FROM fhv_norm WHERE {CHRONO_NULLABLE} AND {YW(2015, 2026)}
 QUALIFY row_number() OVER (PARTITION BY dispatching_base_num, pickup_datetime, dropoff_datetime, pulocationid,
   dolocationid, anio, mes ORDER BY event_id) = 1""", TRIPS_FHV),
 })
+
+
+# ------------------------------------------------------------------ profiles, measures, views, questions, gaps
+def CI(cond: str) -> str:
+    return f"CAST(count_if({cond}) AS BIGINT)"
+
+
+def RATE(num: str, den: str) -> str:
+    return f"CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0)"
+
+
+def MEAN2(x: str) -> str:
+    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE) / NULLIF(COUNT({x}), 0)"
+
+
+ALL_NORM = """
+all_norm AS (
+  SELECT tipo_taxi AS formato, anio, mes, pickup_datetime, dropoff_datetime, pulocationid, dolocationid FROM taxi_norm
+  UNION ALL SELECT 'fhvhv', anio, mes, pickup_datetime, dropoff_datetime, pulocationid, dolocationid FROM trips_fhvhv
+  UNION ALL SELECT 'fhv', anio, mes, pickup_datetime, dropoff_datetime, pulocationid, dolocationid FROM fhv_norm
+)"""
+
+
+def with_norm(body: str) -> str:
+    return with_views(TAXI_NORM.strip() + ",\n" + FHV_NORM.strip() + ",\n" + ALL_NORM.strip() + ",\n" + body.strip(),
+                      TRIPS_TAXI, TRIPS_FHVHV, TRIPS_FHV)
+
+
+def _dup(fmt: str, src: str, keys: str) -> str:
+    return f"""
+SELECT '{fmt}' AS formato, anio, mes, CAST(SUM(n) AS BIGINT) AS filas, {CI('n > 1')} AS grupos_duplicados,
+  MAX(n) AS max_repeticion, CAST(SUM(n - 1) AS BIGINT) AS filas_sobrantes, {RATE('SUM(n - 1)', 'SUM(n)')} AS tasa_duplicados
+FROM (SELECT anio, mes, COUNT(*) AS n FROM {src} GROUP BY {keys}, anio, mes) k GROUP BY anio, mes"""
+
+
+_GAP_PARTS = ["fare_amount", "NULL", "NULL", "tip_amount", "tolls_amount", "NULL", "congestion_surcharge", "NULL"]
+_GAP = (f"CAST(total_amount AS DECIMAL(18,2)) - ("
+        + " + ".join(f"COALESCE(CAST({p} AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2)))" for p in _GAP_PARTS) + ")")
+
+_LO = "CASE formato WHEN 'yellow' THEN 2009 WHEN 'green' THEN 2014 WHEN 'fhv' THEN 2015 WHEN 'fhvhv' THEN 2019 END"
+_HI = "2026"
+
+ORACLE.update({
+    "profile_volume": with_norm("""
+x AS (SELECT 1)
+SELECT formato, COUNT(DISTINCT anio || '-' || mes) AS periodos, COUNT(*) AS filas,
+  MIN(anio || '-' || mes) AS primer_periodo, MAX(anio || '-' || mes) AS ultimo_periodo
+FROM all_norm GROUP BY formato"""),
+    "profile_inverted_dates": with_norm(f"""
+x AS (SELECT 1)
+SELECT tipo_taxi AS formato, vendorid, anio, mes, COUNT(*) AS filas, {CI('dropoff_datetime < pickup_datetime')} AS invertidos,
+  {RATE(CI('dropoff_datetime < pickup_datetime'), 'COUNT(*)')} AS tasa_invertidos
+FROM taxi_norm GROUP BY 1, 2, 3, 4"""),
+    "profile_sentinel": with_views(f"""
+SELECT CAST(year(pickup_datetime) AS BIGINT) AS anio_pickup, COUNT(*) AS filas,
+  {CI("dropoff_datetime = TIMESTAMP '1989-01-01 00:00:00'")} AS centinelas
+FROM trips_fhv GROUP BY 1""", TRIPS_FHV),
+    "profile_year_overflow": with_norm(f"""
+g AS (SELECT formato, anio, CAST(year(dropoff_datetime) AS BIGINT) AS anio_real, COUNT(*) AS filas FROM all_norm GROUP BY 1, 2, 3)
+SELECT formato, anio, anio_real, filas, anio_real = CAST(anio AS BIGINT) + 1 AS desborde,
+  NOT COALESCE(anio_real BETWEEN {_LO} AND {_HI}, false) AS fuera_de_rango
+FROM g WHERE anio_real IS NULL OR anio_real <> CAST(anio AS BIGINT)"""),
+    "profile_duplicates": with_norm("x AS (SELECT 1)\n" + "\nUNION ALL".join([
+        _dup("yellow", "(SELECT * FROM taxi_norm WHERE tipo_taxi = 'yellow')", DEDUP_TAXI_KEY["yellow"]),
+        _dup("green", "(SELECT * FROM taxi_norm WHERE tipo_taxi = 'green')", DEDUP_TAXI_KEY["green"]),
+        _dup("fhvhv", "trips_fhvhv", "hvfhs_license_num, dispatching_base_num, pickup_datetime, dropoff_datetime, "
+                                     "pulocationid, dolocationid"),
+        _dup("fhv", "fhv_norm", "dispatching_base_num, pickup_datetime, dropoff_datetime, pulocationid, dolocationid")])),
+    "profile_amounts": with_norm(f"""
+x AS (SELECT 1)
+SELECT tipo_taxi AS formato, anio, MIN(fare_amount) AS min_fare_amount, {CI('fare_amount < 0')} AS negativos_fare_amount,
+  {CI('fare_amount = 0')} AS ceros_fare_amount, MIN(total_amount) AS min_total_amount,
+  {CI('total_amount < 0')} AS negativos_total_amount, {CI('total_amount = 0')} AS ceros_total_amount
+FROM taxi_norm GROUP BY 1, 2"""),
+    "profile_negative_cash": with_norm("""
+x AS (SELECT 1)
+SELECT vendorid, anio, COUNT(*) AS reversos_efectivo FROM taxi_norm WHERE payment_type = 2 AND fare_amount < 0 GROUP BY 1, 2"""),
+    "profile_negative_distance": with_norm(f"""
+u AS (SELECT tipo_taxi AS formato, anio, trip_distance AS d FROM taxi_norm
+      UNION ALL SELECT 'fhvhv', anio, trip_miles FROM trips_fhvhv)
+SELECT formato, anio, {CI('d < 0')} AS distancias_negativas, COUNT(*) AS filas FROM u GROUP BY 1, 2"""),
+    "profile_zero_driver_pay": with_views(f"""
+SELECT hvfhs_license_num, COUNT(*) AS filas, {CI('driver_pay = 0')} AS pago_cero,
+  CASE hvfhs_license_num WHEN 'HV0003' THEN 'Uber' WHEN 'HV0004' THEN 'Via' WHEN 'HV0005' THEN 'Lyft' ELSE 'Other' END AS plataforma,
+  {RATE(CI('driver_pay = 0'), 'COUNT(*)')} AS tasa_pago_cero
+FROM trips_fhvhv GROUP BY 1""", TRIPS_FHVHV),
+    "profile_vendor_census": with_norm(f"""
+x AS (SELECT 1)
+SELECT tipo_taxi AS formato, vendorid, COUNT(*) AS filas, MIN(pickup_datetime) AS primer_viaje,
+  MAX(pickup_datetime) AS ultimo_viaje, {CI('ratecodeid IS NULL')} AS nulos_ratecode,
+  {CI('pulocationid IS NULL')} AS nulos_zona_origen, {RATE(CI('ratecodeid IS NULL'), 'COUNT(*)')} AS tasa_nulos_ratecode,
+  {RATE(CI('pulocationid IS NULL'), 'COUNT(*)')} AS tasa_nulos_zona_origen
+FROM taxi_norm GROUP BY 1, 2"""),
+    "profile_flex_contingency": with_norm("""
+x AS (SELECT 1)
+SELECT ratecodeid IS NULL AS ratecode_nulo, COALESCE(payment_type = 0, false) AS pago_flex, COUNT(*) AS filas
+FROM taxi_norm GROUP BY 1, 2"""),
+    "profile_accounting_gap": with_norm(f"""
+r AS (SELECT {_GAP} AS diferencia FROM taxi_norm),
+c AS (SELECT diferencia, COUNT(*) AS viajes FROM r WHERE diferencia IS NOT NULL GROUP BY 1),
+t AS (SELECT COUNT(*) AS total FROM r WHERE diferencia IS NOT NULL)
+SELECT CAST(diferencia AS DOUBLE) AS diferencia, viajes, {RATE('viajes', 'total')} AS proporcion
+FROM c, t ORDER BY viajes DESC, c.diferencia ASC LIMIT 10"""),
+    "profile_unknown_zones": with_norm(f"""
+x AS (SELECT 1)
+SELECT formato, anio, COUNT(*) AS filas, {CI('pulocationid IS NULL OR pulocationid IN (264, 265)')} AS pu_desconocido,
+  {CI('dolocationid IS NULL OR dolocationid IN (264, 265)')} AS do_desconocido,
+  {RATE(CI('pulocationid IS NULL OR pulocationid IN (264, 265)'), 'COUNT(*)')} AS tasa_pu_desconocido,
+  {RATE(CI('dolocationid IS NULL OR dolocationid IN (264, 265)'), 'COUNT(*)')} AS tasa_do_desconocido
+FROM all_norm GROUP BY 1, 2"""),
+})
+
+
+def over(mart_sql: str, body: str, name: str, *extra_views: str) -> str:
+    """Query over a mart computed by its oracle SQL (as CTE ``name``)."""
+    pre = ("WITH " + ",".join(extra_views) + ",\n") if extra_views else "WITH "
+    return f"{pre}{name} AS (\n{mart_sql}\n)\n{body}"
+
+
+def _share_of_latest(service: str) -> str:
+    return over(MARKET_SHARE, f"""
+, l AS (SELECT MAX(anio) AS ultimo_anio FROM s)
+SELECT '{service}' AS tipo_servicio, l.ultimo_anio, {MEAN2('cuota_mercado_pct')} / 100.0 AS cuota
+FROM s, l WHERE s.anio = l.ultimo_anio AND s.tipo_servicio = '{service}' GROUP BY l.ultimo_anio""", "s")
+
+
+ORACLE.update({
+    "measure_total_trips": over(MARKET_SHARE, "SELECT CAST(SUM(total_viajes) AS BIGINT) AS total_viajes FROM s", "s"),
+    "measure_app_share": _share_of_latest("fhvhv"),
+    "measure_yellow_share": _share_of_latest("yellow"),
+    "measure_peak_month": over(MARKET_SHARE, """
+, m AS (SELECT DISTINCT anio, mes, total_viajes_mes FROM s)
+SELECT (SELECT MAX(total_viajes_mes) FROM m) AS viajes_mes_pico,
+  (SELECT anio || '-' || mes FROM m ORDER BY total_viajes_mes DESC, anio DESC, mes DESC LIMIT 1) AS periodo_pico""", "s"),
+    "measure_financial": over(FINANCIAL_KPIS, f"""
+SELECT CAST(SUM(CAST(ingreso_bruto_total AS DECIMAL(18,2))) AS DOUBLE) AS facturacion_bruta,
+  {MEAN2('tarifa_base_promedio')} AS tarifa_base_media, {MEAN2('porcentaje_propina')} / 100.0 AS propina_promedio,
+  {MEAN2("CASE WHEN tipo_servicio = 'fhvhv' THEN pago_conductor_promedio_viaje END")} AS pago_conductor_promedio
+FROM k""", "k"),
+    "measure_top_pickup_borough": over(TERRITORIAL, f"""
+, b AS (SELECT pu_borough, CAST(SUM(total_viajes) AS BIGINT) AS viajes FROM d GROUP BY 1),
+t AS (SELECT SUM(total_viajes) AS total FROM d)
+SELECT pu_borough, viajes, {RATE('viajes', 'total')} AS cuota FROM b, t ORDER BY viajes DESC, pu_borough LIMIT 1""", "d"),
+    "measure_top_airport_corridor": over(TERRITORIAL, """
+, a AS (SELECT DISTINCT zone AS do_zone FROM zones WHERE service_zone IN ('Airports', 'EWR'))
+SELECT pu_borough, do_zone, CAST(SUM(total_viajes) AS BIGINT) AS viajes FROM d
+WHERE do_zone IN (SELECT do_zone FROM a) GROUP BY 1, 2 ORDER BY viajes DESC, pu_borough, do_zone LIMIT 1""", "d",
+                                         ZONES),
+    "measure_peak_hour": over(TEMPORAL, """
+, h AS (SELECT hora_dia, CAST(SUM(total_viajes) AS BIGINT) AS viajes FROM t GROUP BY 1)
+SELECT hora_dia, viajes, printf('%02d:00 - %02d:00 hrs', hora_dia, (hora_dia + 1) % 24) AS franja
+FROM h ORDER BY viajes DESC, hora_dia LIMIT 1""", "t"),
+    "measure_peak_days": over(TEMPORAL, """
+SELECT dia_semana_num, dia_semana_nombre, CAST(SUM(total_viajes) AS BIGINT) AS viajes FROM t GROUP BY 1, 2
+ORDER BY viajes DESC, dia_semana_num LIMIT 2""", "t"),
+    "view_share_over_time": over(MARKET_SHARE, """
+SELECT anio, mes, MAX(CASE WHEN tipo_servicio = 'yellow' THEN cuota_mercado_pct END) AS yellow,
+  MAX(CASE WHEN tipo_servicio = 'green' THEN cuota_mercado_pct END) AS green,
+  MAX(CASE WHEN tipo_servicio = 'fhv' THEN cuota_mercado_pct END) AS fhv,
+  MAX(CASE WHEN tipo_servicio = 'fhvhv' THEN cuota_mercado_pct END) AS fhvhv
+FROM s GROUP BY 1, 2""", "s"),
+    "view_fare_by_service_year": over(FINANCIAL_KPIS, f"""
+SELECT anio, tipo_servicio, {MEAN2('tarifa_base_promedio')} AS tarifa_por_viaje,
+  {MEAN2('tarifa_promedio_por_milla')} AS tarifa_por_milla FROM k GROUP BY 1, 2""", "k"),
+    "view_borough_matrix": over(TERRITORIAL, """
+SELECT pu_borough, do_borough, CAST(SUM(total_viajes) AS BIGINT) AS viajes FROM d GROUP BY 1, 2""", "d"),
+    "view_hourly_curve": over(TEMPORAL, """
+SELECT tipo_servicio, hora_dia, CAST(SUM(total_viajes) AS BIGINT) AS viajes FROM t
+WHERE dia_semana_num IN (1, 2, 3, 4, 5) GROUP BY 1, 2""", "t"),
+    "question_apps_overtake_yellow": over(MARKET_SHARE, """
+, p AS (SELECT anio, mes, SUM(CASE WHEN tipo_servicio = 'yellow' THEN total_viajes END) AS yellow,
+          SUM(CASE WHEN tipo_servicio = 'fhvhv' THEN total_viajes END) AS fhvhv FROM s GROUP BY 1, 2)
+SELECT MIN(anio || '-' || mes) AS primer_mes_apps_superan_yellow FROM p WHERE COALESCE(fhvhv, 0) > COALESCE(yellow, 0)""",
+                                          "s"),
+    "question_year_on_year": over(MARKET_SHARE, f"""
+, dd AS (SELECT tipo_servicio, make_date(CAST(anio AS INT), CAST(mes AS INT), 1) AS d, total_viajes FROM s),
+b AS (SELECT tipo_servicio, MIN(d) AS d0, MAX(d) AS d1 FROM dd GROUP BY 1),
+cal AS (SELECT tipo_servicio, CAST(unnest(generate_series(d0, d1, INTERVAL 1 MONTH)) AS DATE) AS d FROM b),
+dense AS (SELECT c.tipo_servicio, c.d, COALESCE(dd.total_viajes, 0) AS total_viajes
+          FROM cal c LEFT JOIN dd ON c.tipo_servicio = dd.tipo_servicio AND c.d = dd.d),
+w AS (SELECT *, lag(total_viajes, 12) OVER (PARTITION BY tipo_servicio ORDER BY d) AS prev FROM dense)
+SELECT tipo_servicio, strftime(d, '%Y') AS anio, strftime(d, '%m') AS mes, CAST(total_viajes AS BIGINT) AS total_viajes,
+  CAST(prev AS BIGINT) AS viajes_anio_anterior, 100.0::DOUBLE * ({RATE('total_viajes - prev', 'prev')}) AS variacion_pct
+FROM w""", "s"),
+    "question_weekday_weekend_night": over(TEMPORAL, """
+SELECT anio, tipo_servicio, CASE WHEN dia_semana_num IN (6, 7) THEN 'fin_de_semana' ELSE 'laborable' END AS tipo_dia,
+  CASE WHEN hora_dia IN (22, 23, 0, 1, 2, 3, 4, 5) THEN 'noche' ELSE 'dia' END AS franja,
+  CAST(SUM(total_viajes) AS BIGINT) AS viajes FROM t GROUP BY 1, 2, 3, 4""", "t"),
+    "question_revenue_per_mile_minute": with_views(f"""
+u AS (
+  SELECT anio, tipo_taxi AS tipo_servicio, total_amount AS ingreso, trip_distance AS millas,
+    date_diff('second', pickup_datetime, dropoff_datetime) AS segundos
+  FROM trips_taxi WHERE trip_distance > 0 AND fare_amount > 0 AND total_amount > 0 AND dropoff_datetime >= pickup_datetime
+  UNION ALL
+  SELECT anio, 'fhvhv', {GROSS}, trip_miles, trip_time FROM trips_fhvhv
+  WHERE trip_miles > 0 AND base_passenger_fare > 0 AND trip_time > 0
+)
+SELECT anio, tipo_servicio, {RATE('SUM(ingreso)', 'SUM(millas)')} AS ingreso_por_milla,
+  CAST(SUM(ingreso) AS DOUBLE) * 60.0::DOUBLE / NULLIF(CAST(SUM(segundos) AS DOUBLE), 0) AS ingreso_por_minuto
+FROM u GROUP BY 1, 2""", TRIPS_TAXI, TRIPS_FHVHV),
+})
+
+
+def _calendar(fmt: str, start: str) -> str:
+    return (f"SELECT '{fmt}' AS formato, strftime(d, '%Y') AS anio, strftime(d, '%m') AS mes FROM "
+            f"(SELECT unnest(generate_series(DATE '{start}-01', DATE '2026-11-01', INTERVAL 1 MONTH)) AS d)")
+
+
+def _passing(tipo: str) -> str:
+    lo, hi = WINDOW[tipo]
+    rules = [CHRONO, YW(lo, hi), f"COALESCE({NN('fare_amount')}, false)", f"COALESCE({NN('trip_distance')}, false)"]
+    if tipo == "green":
+        rules.append(PLACEHOLDER_OK)
+    return f"SELECT DISTINCT tipo_taxi AS formato, anio, mes FROM taxi_norm WHERE tipo_taxi = '{tipo}' AND {' AND '.join(rules)}"
+
+
+ORACLE.update({
+    "missing_periods": with_norm(f"""
+e AS ({_calendar('yellow', '2009-01')} UNION ALL {_calendar('green', '2013-08')}
+      UNION ALL {_calendar('fhvhv', '2019-02')} UNION ALL {_calendar('fhv', '2015-01')}),
+p AS (SELECT DISTINCT formato, anio, mes FROM all_norm)
+SELECT e.formato, e.anio, e.mes FROM e LEFT JOIN p ON e.formato = p.formato AND e.anio = p.anio AND e.mes = p.mes
+WHERE p.formato IS NULL"""),
+    "pending_periods": with_norm(f"""
+r AS (SELECT DISTINCT tipo_taxi AS formato, anio, mes FROM taxi_norm),
+s AS ({_passing('yellow')} UNION ALL {_passing('green')})
+SELECT r.formato, r.anio, r.mes FROM r LEFT JOIN s ON r.formato = s.formato AND r.anio = s.anio AND r.mes = s.mes
+WHERE s.formato IS NULL"""),
+})

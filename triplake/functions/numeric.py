@@ -39,3 +39,12 @@ def mean(c) -> Column:
 def nz_sum(c) -> Column:
     """SUM as double (NULL when every input is NULL)."""
     return F.sum(_col(c)).cast("double")
+
+
+def mean_exact(c, dtype: str = "decimal(18,2)") -> Column:
+    """Mean of values that already have a fixed number of decimals (e.g. rounded mart values).
+
+    Sums in ``dtype`` so the result does not depend on summation order.
+    """
+    col = _col(c)
+    return F.sum(col.cast(dtype)).cast("double") / F.nullif(F.count(col), F.lit(0))

@@ -60,7 +60,8 @@ def trips_taxi(spark: SparkSession, root: str) -> DataFrame:
         pickup.alias("pickup_datetime"),
         (F.col("l_shipdate") + F.expr(TAXI_SHIFT)).alias("dropoff_datetime"),
         F.when(F.col("l_quantity") != 50, F.col("l_quantity") - 1).alias("trip_distance"),
-        _money(F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7), -1).otherwise(1) * price)
+        _money(F.when(((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7))
+                      | ((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 6)), -1).otherwise(1) * price)
         .alias("fare_amount"),
         _money(F.round(price * F.col("l_discount"))).alias("tip_amount"),
         _money(F.round(price * F.col("l_tax"))).alias("tolls_amount"),
@@ -126,14 +127,15 @@ def trips_fhv(spark: SparkSession, root: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, root: str) -> DataFrame:
-    """Zone lookup (all string columns, like the CSV dimension): nation = zone, region = borough."""
+    """Zone lookup (all string columns, like the CSV dimension): nation = zone, region = borough;
+    every tenth zone is an airport (service_zone 'Airports')."""
     n = table(spark, root, "nation")
     r = table(spark, root, "region")
     return n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey").cast("string").alias("locationid"),
         F.col("r_name").alias("borough"),
         F.col("n_name").alias("zone"),
-        F.lit("Boro Zone").alias("service_zone"),
+        F.when(F.col("n_nationkey") % 10 == 0, "Airports").otherwise("Boro Zone").alias("service_zone"),
     )
 
 
