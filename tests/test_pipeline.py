@@ -1,0 +1,137 @@
+"""Drifted scan (§4.3, E2), period discovery (S6-S8, R1, J3, J4), staging writes, rebuild vs increments,
+streaming arrival (R2, R3)."""
+
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from triplake.catalog_pipeline import write_raw_fhv, write_raw_taxi, _staging_from_views
+from triplake.operators import marts
+from triplake.plans import incremental as inc
+from triplake.plans.clean import clean_periods, expand_formats
+from triplake.sources import adapter
+from triplake.sources.files import expected_periods, list_files, missing_periods, raw_periods
+from triplake.sources.scan import footers, read_raw, type_drift
+from triplake.sources.sinks import read_staging
+from triplake.streaming.arrivals import stream_arrivals
+
+
+def _write_drifted(spark, root):
+    """passenger_count as bigint, double and text in three months; mixed-case names in one."""
+    t = dt.datetime(2020, 5, 3, 10)
+    spark.createDataFrame([(1, t, t + dt.timedelta(minutes=9), 2, 1.5)],
+                          "VendorID int, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+                          "passenger_count bigint, trip_distance double").write.parquet(f"{root}/anio=2020/mes=04")
+    spark.createDataFrame([(2, t, t + dt.timedelta(minutes=9), 3.0, 2.5)],
+                          "vendorid bigint, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+                          "passenger_count double, trip_distance double").write.parquet(f"{root}/anio=2020/mes=05")
+    spark.createDataFrame([("CMT", "2009-01-04 02:52:00", "2009-01-04 03:02:00", "1", "1.0")],
+                          "vendor_name string, Trip_Pickup_DateTime string, Trip_Dropoff_DateTime string, "
+                          "Passenger_Count string, Trip_Distance string").write.parquet(f"{root}/anio=2009/mes=01")
+
+
+def test_drifted_scan_reads_every_variant(spark, tmp_path):
+    root = str(tmp_path / "yellow")
+    _write_drifted(spark, root)
+    # a single read of all files fails on the type conflict; the fingerprint scan does not
+    out = read_raw(spark, root, "yellow").orderBy("source_anio", "source_mes").collect()
+    assert [(r.source_anio, r.source_mes, r.vendorid, r.passenger_count) for r in out] == \
+        [("2009", "01", 1, 1), ("2020", "04", 1, 2), ("2020", "05", 2, 3)]
+
+
+def test_type_drift_audit_flags_disagreement(spark, tmp_path):
+    root = str(tmp_path / "yellow")
+    _write_drifted(spark, root)
+    d = {r.column_name: r for r in type_drift(footers(spark, root), {"passenger_count": "bigint",
+                                                                     "trip_distance": "double"}).collect()}
+    assert d["passenger_count"].drift and set(d["passenger_count"].physical_types) == {"double", "int64", "string"}
+    assert d["trip_distance"].drift            # text in the 2009 file
+
+
+def test_zero_byte_files_count_as_missing(spark, tmp_path):
+    root = tmp_path / "fhv"
+    (root / "anio=2019" / "mes=03").mkdir(parents=True)
+    (root / "anio=2019" / "mes=03" / "empty.parquet").write_bytes(b"")
+    spark.range(1).write.parquet(str(root / "anio=2019" / "mes=04"))
+    (root / "bad_key").mkdir()
+    spark.range(1).write.parquet(str(root / "bad_key" / "x"))
+    assert sorted(map(tuple, raw_periods(spark, str(root), nonempty_only=True).collect())) == [("2019", "04")]
+    assert list_files(spark, str(root)).count() >= 3
+
+
+def test_missing_periods_calendar(spark):
+    present = spark.createDataFrame([("fhvhv", "2019", "03")], "formato string, anio string, mes string")
+    exp = expected_periods(spark, ["fhvhv"], "2019-06")
+    got = sorted(map(tuple, missing_periods(exp, present).collect()))
+    assert got == [("fhvhv", "2019", "02"), ("fhvhv", "2019", "04"), ("fhvhv", "2019", "05")]
+
+
+def test_expand_formats():
+    assert expand_formats("taxi") == ["yellow", "green"] and expand_formats(None) == ["yellow", "green", "fhv", "fhvhv"]
+
+
+def test_clean_job_is_idempotent_and_resumes(spark, tmp_path):
+    raw, staging = str(tmp_path / "raw"), str(tmp_path / "staging")
+    write_raw_taxi(spark, SF_SMALL, raw)
+    r1 = clean_periods(spark, raw, staging, "taxi", order_by=["trip_key", "trip_line"], keep=["trip_key", "trip_line"])
+    first = sorted(map(tuple, read_staging(spark, staging, "taxi").collect()))
+    r2 = clean_periods(spark, raw, staging, "taxi")                        # resume: nothing pending
+    assert r2 == {"yellow": [], "green": []} and r1["yellow"]
+    clean_periods(spark, raw, staging, "taxi", order_by=["trip_key", "trip_line"], keep=["trip_key", "trip_line"],
+                  resume=False)                                            # forced rerun replaces, never duplicates
+    assert sorted(map(tuple, read_staging(spark, staging, "taxi").collect())) == first
+
+
+def _rows(df):
+    return sorted((tuple((v is not None, v) for v in r) for r in df.collect()), key=repr)
+
+
+def test_incremental_equals_rebuild_for_all_marts(spark, tmp_path):
+    tables = _staging_from_views(spark, SF_SMALL, str(tmp_path / "staging"))
+    full, part = str(tmp_path / "full"), str(tmp_path / "part")
+    inc.rebuild_marts(spark, tables, full)
+    periods = sorted(map(tuple, tables["taxi"].select("anio", "mes").distinct().collect()))[-2:] + [("2024", "01")]
+    held = F.lit(False)
+    for a, m in periods:
+        held = held | ((F.col("anio") == a) & (F.col("mes") == m))
+    inc.rebuild_marts(spark, {k: (v.where(~held) if k != "zones" else v) for k, v in tables.items()}, part)
+    for a, m in periods:
+        rep = inc.append_period(spark, tables, part, a, m)
+        assert rep["staging_rows"] > 0
+    inc.append_period(spark, tables, part, *periods[0])                   # rerun of a period changes nothing
+    for mart in inc.MONTHLY + inc.ANNUAL:
+        a, b = inc.read_mart(spark, full, mart), inc.read_mart(spark, part, mart)
+        assert _rows(a) == _rows(b.select(*a.columns)), mart
+
+
+def test_period_guards(spark, tmp_path):
+    tables = _staging_from_views(spark, SF_SMALL, str(tmp_path / "staging"))
+    mart = str(tmp_path / "mart")
+    inc.rebuild_marts(spark, tables, mart)
+    try:
+        inc.append_period(spark, tables, mart, 1990, 1)
+        raise AssertionError("expected PeriodMissing")
+    except inc.PeriodMissing:
+        pass
+    rep = inc.append_period(spark, tables, mart, "2024", "1", skip_if_present=True)
+    assert rep["skipped"] and rep["periodo"] == "2024-01"
+
+
+def test_stream_twice_processes_each_file_once(spark, tmp_path):
+    base = str(tmp_path)
+    write_raw_fhv(spark, SF_SMALL, f"{base}/raw")
+    q = stream_arrivals(spark, f"{base}/raw/fhv", "fhv", f"{base}/staging", f"{base}/ckpt", max_files_per_trigger=1,
+                        order_by=["event_id"])
+    q.awaitTermination()
+    batches = q.lastProgress is not None
+    first = _rows(read_staging(spark, f"{base}/staging", "fhv"))
+    q2 = stream_arrivals(spark, f"{base}/raw/fhv", "fhv", f"{base}/staging", f"{base}/ckpt")
+    q2.awaitTermination()
+    assert batches and (q2.lastProgress is None or q2.lastProgress["numInputRows"] == 0)
+    assert _rows(read_staging(spark, f"{base}/staging", "fhv")) == first
+    # equals the batch job over the same folder
+    rows, _ = __import__("triplake.plans.clean", fromlist=["clean"]).clean(
+        read_raw(spark, f"{base}/raw/fhv", "fhv", keep=["event_id"]), "fhv", order_by=["event_id"], keep=["event_id"])
+    assert len(first) == rows.count()

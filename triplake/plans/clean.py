@@ -56,12 +56,19 @@ def clean(df: DataFrame, fmt: str, scope=SOURCE_PERIOD, order_by=(), period: str
     return clean_rows, quarantine
 
 
+def processed_log(staging_root: str, fmt: str) -> str:
+    """Folder of the processed-periods log (leading underscore: Parquet readers of the table skip it)."""
+    return f"{staging_root.rstrip('/')}/_periodos/{fmt}"
+
+
 def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None = None, anio: str | None = None,
                   mes: str | None = None, order_by=(), keep=(), resume: bool = True) -> dict[str, list[str]]:
     """The cleaning job: raw ``<raw_root>/<fmt>/anio=/mes=/`` -> staging, one distributed job per format.
 
-    ``resume`` skips periods that already have staged files (R3); periods are replaced, never
-    appended, so ``resume=False`` reruns safely.  Returns the periods written per format.
+    ``resume`` skips periods already processed (R3): those with staged files, and those in the
+    processed-periods log (a period whose rows were all rejected leaves no staged files).
+    Periods are replaced, never appended, so ``resume=False`` reruns safely.  Returns the
+    periods written per format.
     """
     from triplake.sources.files import pending_periods, raw_periods, staged_periods
     from triplake.sources.scan import read_raw
@@ -76,16 +83,27 @@ def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None =
         if mes:
             periods = periods.where(F.col("mes") == str(mes).zfill(2))
         if resume:
-            try:
-                done = staged_periods(spark, staging_path(staging_root, fmt),
-                                      fmt if fmt in TAXI_FORMATS else None)
+            for done in _done_periods(spark, staging_root, fmt, staging_path, staged_periods):
                 periods = pending_periods(periods, done)
-            except Exception:  # noqa: BLE001 - nothing staged yet
-                pass
         todo = sorted((r["anio"], r["mes"]) for r in periods.collect())      # period list only
         if todo:
             dirs = [f"{root}/anio={a}/mes={m}" for a, m in todo]
             rows, _ = clean(read_raw(spark, dirs, fmt, keep=keep), fmt, order_by=order_by, keep=keep)
             write_staging(rows, staging_root, fmt)
+            spark.createDataFrame(todo, "anio string, mes string").coalesce(1).write.mode("append") \
+                 .parquet(processed_log(staging_root, fmt))
         report[fmt] = [f"{a}-{m}" for a, m in todo]
     return report
+
+
+def _done_periods(spark, staging_root, fmt, staging_path, staged_periods):
+    out = []
+    try:
+        out.append(staged_periods(spark, staging_path(staging_root, fmt), fmt if fmt in TAXI_FORMATS else None))
+    except Exception:  # noqa: BLE001 - nothing staged yet
+        pass
+    try:
+        out.append(spark.read.parquet(processed_log(staging_root, fmt)).select("anio", "mes"))
+    except Exception:  # noqa: BLE001 - no log yet
+        pass
+    return out
