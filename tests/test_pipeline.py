@@ -135,3 +135,28 @@ def test_stream_twice_processes_each_file_once(spark, tmp_path):
     rows, _ = __import__("triplake.plans.clean", fromlist=["clean"]).clean(
         read_raw(spark, f"{base}/raw/fhv", "fhv", keep=["event_id"]), "fhv", order_by=["event_id"], keep=["event_id"])
     assert len(first) == rows.count()
+
+
+def test_views_prune_partitions(spark, tmp_path):
+    from conftest import plan_text
+    from triplake.sources.views import register_views
+    tables = _staging_from_views(spark, SF_SMALL, str(tmp_path / "staging"))
+    inc.rebuild_marts(spark, tables, str(tmp_path / "mart"))
+    names = register_views(spark, str(tmp_path / "staging"), str(tmp_path / "mart"))
+    assert {"taxi", "fhv", "fhvhv", "mart_cuota_mercado_mensual", "mart_patrones_temporales"} <= set(names)
+    q = spark.sql("SELECT COUNT(*) FROM fhvhv WHERE anio = '2024' AND mes = '01'")
+    plan = plan_text(q)
+    assert "PartitionFilters: [isnotnull(anio" in plan and q.first()[0] > 0
+    # the share count needs no data column at all: Parquet answers from row-group metadata
+    share_plan = plan_text(marts.monthly_counts(tables["taxi"], tables["fhvhv"], tables["fhv"]))
+    assert "ReadSchema: struct<>" in share_plan
+
+
+def test_declared_read_of_agreeing_files(spark, tmp_path):
+    from triplake.sources.views import read_declared
+    t = dt.datetime(2024, 1, 1, 9)
+    spark.createDataFrame([("HV0003", t, t)], "hvfhs_license_num string, pickup_datetime timestamp_ntz, "
+                                              "dropoff_datetime timestamp_ntz") \
+         .write.parquet(str(tmp_path / "fhvhv" / "anio=2024" / "mes=01"))
+    r = read_declared(spark, str(tmp_path), "fhvhv").first()
+    assert r.hvfhs_license_num == "HV0003" and r.mes == "01" and r.trip_miles is None

@@ -13,21 +13,14 @@ from triplake.catalog_rules import TAXI_ID
 from triplake.operators.normalize import normalize
 from triplake.plans import incremental as inc
 from triplake.plans.clean import clean_periods
+from triplake.schema import RAW_DECLARED
 from triplake.session import checkpoint_dir
 from triplake.sources import adapter
 from triplake.sources.scan import footers, read_raw, type_drift
 from triplake.sources.sinks import read_staging, read_zone_csv, write_staging, write_zone_csv
 from triplake.streaming.arrivals import stream_arrivals
 
-# Declared raw yellow columns and types (the external table definition).
-YELLOW_DECLARED = {
-    "vendorid": "int", "tpep_pickup_datetime": "timestamp", "tpep_dropoff_datetime": "timestamp",
-    "passenger_count": "bigint", "trip_distance": "double", "ratecodeid": "bigint", "store_and_fwd_flag": "string",
-    "pulocationid": "int", "dolocationid": "int", "payment_type": "bigint", "fare_amount": "double",
-    "extra": "double", "mta_tax": "double", "tip_amount": "double", "tolls_amount": "double",
-    "improvement_surcharge": "double", "total_amount": "double", "congestion_surcharge": "double",
-    "airport_fee": "double",
-}
+YELLOW_DECLARED = dict(RAW_DECLARED["yellow"])
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -116,3 +116,31 @@ FHVHV_AMOUNT_PARTS = ["base_passenger_fare", "tolls", "bcf", "sales_tax", "conge
                       "airport_fee", "tips"]
 # Minimum year for the zone-based demand mart on taxi data (string compare on the partition value).
 DEMAND_TAXI_MIN_ANIO = "2016"
+
+# Declared raw table columns and types (the external table definitions; files drift from these).
+RAW_DECLARED = {
+    "yellow": [("vendorid", "int"), ("tpep_pickup_datetime", "timestamp"), ("tpep_dropoff_datetime", "timestamp"),
+               ("passenger_count", "bigint"), ("trip_distance", "double"), ("ratecodeid", "bigint"),
+               ("store_and_fwd_flag", "string"), ("pulocationid", "int"), ("dolocationid", "int"),
+               ("payment_type", "bigint"), ("fare_amount", "double"), ("extra", "double"), ("mta_tax", "double"),
+               ("tip_amount", "double"), ("tolls_amount", "double"), ("improvement_surcharge", "double"),
+               ("total_amount", "double"), ("congestion_surcharge", "double"), ("airport_fee", "double")],
+    "green": [("vendorid", "int"), ("lpep_pickup_datetime", "timestamp"), ("lpep_dropoff_datetime", "timestamp"),
+              ("store_and_fwd_flag", "string"), ("ratecodeid", "bigint"), ("pulocationid", "int"),
+              ("dolocationid", "int"), ("passenger_count", "bigint"), ("trip_distance", "double"),
+              ("fare_amount", "double"), ("extra", "double"), ("mta_tax", "double"), ("tip_amount", "double"),
+              ("tolls_amount", "double"), ("ehail_fee", "double"), ("improvement_surcharge", "double"),
+              ("total_amount", "double"), ("payment_type", "bigint"), ("trip_type", "bigint"),
+              ("congestion_surcharge", "double")],
+    "fhv": [("dispatching_base_num", "string"), ("pickup_datetime", "timestamp"), ("dropoff_datetime", "timestamp"),
+            ("pulocationid", "bigint"), ("dolocationid", "bigint"), ("sr_flag", "bigint"),
+            ("affiliated_base_number", "string")],
+    "fhvhv": [("hvfhs_license_num", "string"), ("dispatching_base_num", "string"), ("originating_base_num", "string"),
+              ("request_datetime", "timestamp"), ("on_scene_datetime", "timestamp"), ("pickup_datetime", "timestamp"),
+              ("dropoff_datetime", "timestamp"), ("pulocationid", "int"), ("dolocationid", "int"),
+              ("trip_miles", "double"), ("trip_time", "bigint"), ("base_passenger_fare", "double"),
+              ("tolls", "double"), ("bcf", "double"), ("sales_tax", "double"), ("congestion_surcharge", "double"),
+              ("airport_fee", "double"), ("tips", "double"), ("driver_pay", "double"),
+              ("shared_request_flag", "string"), ("shared_match_flag", "string"), ("access_a_ride_flag", "string"),
+              ("wav_request_flag", "string"), ("wav_match_flag", "string")],
+}
