@@ -170,8 +170,10 @@ def label_demand(by_ids: DataFrame, zones: DataFrame, extra=()) -> DataFrame:
     re-aggregation adds the carried sums and counts; averages are finalised last.
     Duplicated lookup ids multiply rows exactly as the row-level join would.
     """
-    pu = bounded_broadcast(zone_labels(zones, "pu"))
-    do = bounded_broadcast(zone_labels(zones, "do"))
+    small = bounded_broadcast(zones) is not zones          # one size check for both aliases
+    pu, do = zone_labels(zones, "pu"), zone_labels(zones, "do")
+    if small:
+        pu, do = F.broadcast(pu), F.broadcast(do)
     j = (by_ids.join(pu, by_ids.pulocationid == pu.pu_id, "left")
                .join(do, by_ids.dolocationid == do.do_id, "left"))
     unknown = F.lit("Unknown")

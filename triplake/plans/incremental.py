@@ -134,9 +134,8 @@ def append_period(spark: SparkSession, tables: dict[str, DataFrame], mart_root:
     if n == 0:
         raise PeriodMissing(f"no staging rows for {anio}-{mes}")
     cond = (F.col("anio") == anio) & (F.col("mes") == mes)
-    present = count_rows(spark, _path(mart_root, "mart_cuota_mercado_mensual"), cond) or 0
-    if present and skip_if_present:                                        # C2, opt-in only
-        return {"periodo": f"{anio}-{mes}", "skipped": True, "staging_rows": n}
+    if skip_if_present and (count_rows(spark, _path(mart_root, "mart_cuota_mercado_mensual"), cond) or 0):
+        return {"periodo": f"{anio}-{mes}", "skipped": True, "staging_rows": n}    # C2, opt-in only
     period = {k: (v.where(cond) if k != "zones" else v) for k, v in tables.items()}
     for name, df in _monthly_and_state(period).items():
         write_table(df, _path(mart_root, name), ["anio", "mes"])
