@@ -651,7 +651,8 @@ ORACLE.update({
 e AS ({_calendar('yellow', '2009-01')} UNION ALL {_calendar('green', '2013-08')}
       UNION ALL {_calendar('fhvhv', '2019-02')} UNION ALL {_calendar('fhv', '2015-01')}),
 p AS (SELECT DISTINCT formato, anio, mes FROM all_norm)
-SELECT e.formato, e.anio, e.mes FROM e LEFT JOIN p ON e.formato = p.formato AND e.anio = p.anio AND e.mes = p.mes
+SELECT e.formato, e.anio, e.mes, printf('%04d-%02d', CAST(e.anio AS INT), CAST(e.mes AS INT)) AS periodo
+FROM e LEFT JOIN p ON e.formato = p.formato AND e.anio = p.anio AND e.mes = p.mes
 WHERE p.formato IS NULL"""),
     "pending_periods": with_norm(f"""
 r AS (SELECT DISTINCT tipo_taxi AS formato, anio, mes FROM taxi_norm),

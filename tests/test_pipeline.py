@@ -64,7 +64,7 @@ def test_zero_byte_files_count_as_missing(spark, tmp_path):
 def test_missing_periods_calendar(spark):
     present = spark.createDataFrame([("fhvhv", "2019", "03")], "formato string, anio string, mes string")
     exp = expected_periods(spark, ["fhvhv"], "2019-06")
-    got = sorted(map(tuple, missing_periods(exp, present).collect()))
+    got = sorted(map(tuple, missing_periods(exp, present).select("formato", "anio", "mes").collect()))
     assert got == [("fhvhv", "2019", "02"), ("fhvhv", "2019", "04"), ("fhvhv", "2019", "05")]
 
 
@@ -160,3 +160,20 @@ def test_declared_read_of_agreeing_files(spark, tmp_path):
          .write.parquet(str(tmp_path / "fhvhv" / "anio=2024" / "mes=01"))
     r = read_declared(spark, str(tmp_path), "fhvhv").first()
     assert r.hvfhs_license_num == "HV0003" and r.mes == "01" and r.trip_miles is None
+
+
+def test_cli_clean_rebuild_increment_gaps(spark, tmp_path, capsys):
+    from triplake import cli
+    from triplake.sources.sinks import write_zone_csv
+    raw, staging, mart, zones = (str(tmp_path / x) for x in ("raw", "staging", "mart", "zones"))
+    write_raw_taxi(spark, SF_SMALL, raw)
+    write_zone_csv(adapter.zones(spark, SF_SMALL), zones)
+    cli.main(["clean", "--raw", raw, "--staging", staging, "--formato", "taxi"])
+    cli.main(["rebuild", "--staging", staging, "--zones", zones, "--marts", mart])
+    cli.main(["increment", "--staging", staging, "--zones", zones, "--marts", mart, "--anio", "2016", "--mes", "3"])
+    cli.main(["gaps", "--raw", raw, "--as-of", "2012-01", "--formato", "yellow"])
+    import json
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert lines[0]["yellow"] and lines[1]["mart_cuota_mercado_mensual"] > 0
+    assert lines[2]["periodo"] == "2016-03" and lines[2]["staging_rows"] > 0
+    assert "2009-01" in lines[3]["yellow"]

@@ -40,6 +40,14 @@ def load_staging(spark: SparkSession, staging_root: str, zones: DataFrame) -> di
             "fhv": read_staging(spark, staging_root, "fhv"), "zones": zones}
 
 
+def period_tables(spark: SparkSession, staging_root: str, zones: DataFrame, anio, mes) -> dict[str, DataFrame]:
+    """The three staging tables restricted to one period by folder (S5: no listing of other periods)."""
+    from triplake.sources.sinks import read_staging_period
+    anio, mes = normalise_period(anio, mes)
+    return {t: read_staging_period(spark, staging_root, t, anio, mes) for t in ("taxi", "fhvhv", "fhv")} | \
+        {"zones": zones}
+
+
 def _exact_sum(c) -> F.Column:
     return F.sum(F.col(c).cast(STATE_SUM))
 

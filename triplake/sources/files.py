@@ -33,7 +33,8 @@ def raw_periods(spark: SparkSession, root: str, nonempty_only: bool = False) ->
     f = with_period_of_path(list_files(spark, root))
     if nonempty_only:
         f = f.where(F.col("length") > 0)
-    return f.where(F.col("anio").isNotNull() & F.col("mes").isNotNull()).select("anio", "mes").distinct()
+    return (f.where(F.col("anio").isNotNull() & F.col("mes").isNotNull()).select("anio", "mes").distinct()
+             .orderBy("anio", "mes"))
 
 
 def staged_periods(spark: SparkSession, staging_table_root: str, tipo_taxi: str | None = None) -> DataFrame:
@@ -68,7 +69,8 @@ def expected_periods(spark: SparkSession, formats, as_of: str, starts: dict | No
 def missing_periods(expected: DataFrame, present: DataFrame) -> DataFrame:
     """Expected minus present on (formato, anio, mes); both sides are small period lists."""
     keys = [c for c in ("formato", "anio", "mes") if c in present.columns]
-    return expected.join(present.select(*keys).distinct(), keys, "left_anti")
+    return (expected.join(present.select(*keys).distinct(), keys, "left_anti")
+                    .withColumn("periodo", period_label()).orderBy(*keys))
 
 
 def pending_periods(raw: DataFrame, staged: DataFrame) -> DataFrame:

@@ -39,7 +39,30 @@ def read_staging(spark: SparkSession, root: str, table: str) -> DataFrame:
     fmt = {"taxi": "yellow"}.get(table, table)
     parts = PARTITION_COLS[table]
     schema = T.StructType(CANONICAL[fmt].fields + [T.StructField(p, T.StringType(), True) for p in parts])
-    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}")
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}")
+    except AnalysisException:                      # a table nothing was written to yet is empty
+        return spark.createDataFrame([], schema)
+
+
+def period_path(root: str, table: str, anio: str, mes: str) -> str:
+    """The folder pattern of one period, resolved from the layout (only the tipo_taxi level is globbed)."""
+    base = f"{root.rstrip('/')}/{table}"
+    return f"{base}/tipo_taxi=*/anio={anio}/mes={mes}" if table == "taxi" else f"{base}/anio={anio}/mes={mes}"
+
+
+def read_staging_period(spark: SparkSession, root: str, table: str, anio: str, mes: str) -> DataFrame:
+    """One period of a staging table without listing the rest of the table; empty if the period is absent."""
+    from pyspark.errors import AnalysisException
+    fmt = {"taxi": "yellow"}.get(table, table)
+    parts = PARTITION_COLS[table]
+    schema = T.StructType(CANONICAL[fmt].fields + [T.StructField(p, T.StringType(), True) for p in parts])
+    try:
+        return (spark.read.schema(schema).option("basePath", f"{root.rstrip('/')}/{table}")
+                .parquet(period_path(root, table, anio, mes)))
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
 
 
 def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> str:
