@@ -56,19 +56,30 @@ def clean(df: DataFrame, fmt: str, scope=SOURCE_PERIOD, order_by=(), period: str
     return clean_rows, quarantine
 
 
+def write_quarantine(rejected: DataFrame, root: str, fmt: str) -> str:
+    """E15 sink: rejected rows with ``reject_reason``, replaced per source period like staging."""
+    from triplake.sources.sinks import write_table
+    path = f"{root.rstrip('/')}/{fmt}"
+    out = rejected.withColumnsRenamed({SOURCE_PERIOD[0]: "anio", SOURCE_PERIOD[1]: "mes"})
+    write_table(out, path, ["anio", "mes"])
+    return path
+
+
 def processed_log(staging_root: str, fmt: str) -> str:
     """Folder of the processed-periods log (leading underscore: Parquet readers of the table skip it)."""
     return f"{staging_root.rstrip('/')}/_periodos/{fmt}"
 
 
 def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None = None, anio: str | None = None,
-                  mes: str | None = None, order_by=(), keep=(), resume: bool = True) -> dict[str, list[str]]:
+                  mes: str | None = None, order_by=(), keep=(), resume: bool = True,
+                  quarantine_root: str | None = None) -> dict[str, list[str]]:
     """The cleaning job: raw ``<raw_root>/<fmt>/anio=/mes=/`` -> staging, one distributed job per format.
 
     ``resume`` skips periods already processed (R3): those with staged files, and those in the
     processed-periods log (a period whose rows were all rejected leaves no staged files).
-    Periods are replaced, never appended, so ``resume=False`` reruns safely.  Returns the
-    periods written per format.
+    Periods are replaced, never appended, so ``resume=False`` reruns safely.  With
+    ``quarantine_root`` the rejected rows and their reason go to ``<quarantine_root>/<fmt>``,
+    partitioned by source period (E15).  Returns the periods written per format.
     """
     from triplake.sources.files import pending_periods, raw_periods, staged_periods
     from triplake.sources.scan import read_raw
@@ -88,8 +99,10 @@ def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None =
         todo = sorted((r["anio"], r["mes"]) for r in periods.collect())      # period list only
         if todo:
             dirs = [f"{root}/anio={a}/mes={m}" for a, m in todo]
-            rows, _ = clean(read_raw(spark, dirs, fmt, keep=keep), fmt, order_by=order_by, keep=keep)
+            rows, rejected = clean(read_raw(spark, dirs, fmt, keep=keep), fmt, order_by=order_by, keep=keep)
             write_staging(rows, staging_root, fmt)
+            if quarantine_root:
+                write_quarantine(rejected, quarantine_root, fmt)
             spark.createDataFrame(todo, "anio string, mes string").coalesce(1).write.mode("append") \
                  .parquet(processed_log(staging_root, fmt))
         report[fmt] = [f"{a}-{m}" for a, m in todo]
