@@ -40,8 +40,16 @@ def main() -> None:
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
+    # trip rows behind the queries (Parquet footer counts): taxi trips = lineitem rows, app/for-hire = events
+    trips = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("lineitem", "events")}
+    rate = {}
+    if "clean_taxi_staging" in times:
+        rate["clean_taxi_rows_per_sec"] = round(trips["lineitem"] / times["clean_taxi_staging"])
+    if "market_share_monthly" in times:
+        rate["market_share_rows_per_sec"] = round((trips["lineitem"] + 2 * trips["events"])
+                                                  / times["market_share_monthly"])
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else sf_dir}))
+                      "queries": times, "sf": float(m.group(1)) if m else sf_dir, "trip_rows": trips, **rate}))
 
 
 if __name__ == "__main__":

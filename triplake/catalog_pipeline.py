@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ def _even_month(c: str = "mes") -> F.Column:
 
 def write_raw_taxi(spark: SparkSession, root: str, raw_root: str) -> None:
     """Yellow and green raw folders; even months use a legacy layout (mixed case, text times, double ids)."""
-    t = adapter.trips_taxi(spark, root)
+    t = adapter.trips_taxi(spark, root).persist(StorageLevel.MEMORY_AND_DISK)   # four writes read it
     vendor_text = F.when(F.col("vendorid") == 1, "CMT").when(F.col("vendorid") == 2, "VTS") \
                    .otherwise(F.col("vendorid").cast("string"))
     pay_code = F.coalesce(*[F.when(F.upper("payment_type_raw").isin(*ks), F.lit(v)) for v, ks in
@@ -68,8 +69,10 @@ def write_raw_taxi(spark: SparkSession, root: str, raw_root: str) -> None:
             F.col("total_amount").cast("double").alias("Total_Amt"),
             F.col("congestion_surcharge").cast("double").alias("congestion_surcharge"),
             F.col("trip_key").alias("Trip_Key"), F.col("trip_line").alias("Trip_Line"), "anio", "mes")
-        for part in (current, legacy):
-            part.write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/{tipo}")
+        for part in (current, legacy):                       # one file per month, like the published files
+            part.repartition("anio", "mes").write.mode("append").partitionBy("anio", "mes") \
+                .parquet(f"{raw_root}/{tipo}")
+    t.unpersist()
 
 
 def write_raw_fhv(spark: SparkSession, root: str, raw_root: str) -> None:
@@ -79,11 +82,11 @@ def write_raw_fhv(spark: SparkSession, root: str, raw_root: str) -> None:
             "anio", "mes"]
     f.where(F.col("event_id") % 2 == 0).select(
         *base, F.col("pulocationid").alias("PUlocationID"), F.col("dolocationid").alias("DOlocationID")
-    ).write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
+    ).repartition("anio", "mes").write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
     f.where(F.col("event_id") % 2 == 1).select(
         *base, F.col("pulocationid").cast("double").alias("PUlocationID"),
         F.col("dolocationid").cast("double").alias("DOlocationID")
-    ).write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
+    ).repartition("anio", "mes").write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
 
 
 SCAN_COLUMNS = [*TAXI_ID, "source_anio", "source_mes", "vendorid", "pickup_datetime", "dropoff_datetime",
