@@ -599,6 +599,19 @@ SELECT pu_borough, do_borough, CAST(SUM(total_viajes) AS BIGINT) AS viajes FROM
     "view_hourly_curve": over(TEMPORAL, """
 SELECT tipo_servicio, hora_dia, CAST(SUM(total_viajes) AS BIGINT) AS viajes FROM t
 WHERE dia_semana_num IN (1, 2, 3, 4, 5) GROUP BY 1, 2""", "t"),
+    "view_hourly_curve_borough": with_views("""
+u AS (
+  SELECT tipo_taxi AS tipo_servicio, pulocationid, pickup_datetime FROM trips_taxi
+  WHERE pickup_datetime IS NOT NULL AND trip_distance > 0 AND fare_amount > 0
+  UNION ALL
+  SELECT 'fhvhv', pulocationid, pickup_datetime FROM trips_fhvhv
+  WHERE pickup_datetime IS NOT NULL AND trip_miles > 0 AND base_passenger_fare > 0
+)
+SELECT COALESCE(z.borough, 'Unknown') AS pu_borough, u.tipo_servicio, CAST(hour(u.pickup_datetime) AS BIGINT) AS hora_dia,
+  COUNT(*) AS viajes
+FROM u LEFT JOIN zones z ON u.pulocationid = TRY_CAST(z.locationid AS BIGINT)
+WHERE isodow(u.pickup_datetime) IN (1, 2, 3, 4, 5)
+GROUP BY 1, 2, 3""", TRIPS_TAXI, TRIPS_FHVHV, ZONES),
     "question_apps_overtake_yellow": over(MARKET_SHARE, """
 , p AS (SELECT anio, mes, SUM(CASE WHEN tipo_servicio = 'yellow' THEN total_viajes END) AS yellow,
           SUM(CASE WHEN tipo_servicio = 'fhvhv' THEN total_viajes END) AS fhvhv FROM s GROUP BY 1, 2)

@@ -70,3 +70,19 @@ def test_temporal_rows_are_years_services_days_hours(spark):
     out = marts.temporal_patterns(df, app)
     assert out.count() == 7 * 24
     assert out.where((F.col("dia_semana_num") == 7) & (F.col("dia_semana_nombre") == "Sunday")).count() == 24
+
+
+def test_period_file_vs_pickup(spark):
+    from triplake.plans.clean import with_period
+    df = spark.createDataFrame([(dt.datetime(2020, 1, 1, 0, 5), "2019", "12")],
+                               "pickup_datetime timestamp_ntz, source_anio string, source_mes string")
+    f = with_period(df, "yellow").first()
+    p = with_period(df, "yellow", period="pickup").first()
+    assert (f.anio, f.mes, f.tipo_taxi) == ("2019", "12", "yellow") and (p.anio, p.mes) == ("2020", "01")
+
+
+def test_share_is_double_with_two_decimals(spark):
+    counts = spark.createDataFrame([("2019", "06", "fhvhv", 2), ("2019", "06", "yellow", 1)],
+                                   "anio string, mes string, tipo_servicio string, total_viajes bigint")
+    out = {r.tipo_servicio: r.cuota_mercado_pct for r in marts.share_of_month(counts).collect()}
+    assert out == {"fhvhv": 66.67, "yellow": 33.33}

@@ -163,6 +163,8 @@ QUERIES = {
     "view_fare_by_service_year": lambda s, r: M.fare_by_service_year(_kpis(s, r)),
     "view_borough_matrix": lambda s, r: M.borough_matrix(_demand(s, r)),
     "view_hourly_curve": lambda s, r: M.hourly_curve(_temporal(s, r), days=[1, 2, 3, 4, 5]),
+    "view_hourly_curve_borough": lambda s, r: M.hourly_curve_by_borough(
+        adapter.trips_taxi(s, r), adapter.trips_fhvhv(s, r), adapter.zones(s, r), days=[1, 2, 3, 4, 5]),
     "question_apps_overtake_yellow": lambda s, r: M.apps_overtake_yellow(_share(s, r)),
     "question_year_on_year": lambda s, r: M.year_on_year(_share(s, r)),
     "question_weekday_weekend_night": lambda s, r: M.weekday_weekend_night(_temporal(s, r)),

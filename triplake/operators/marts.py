@@ -203,7 +203,7 @@ def territorial_demand(taxi: DataFrame, fhvhv: DataFrame, zones: DataFrame,
 def temporal_trips(taxi: DataFrame, fhvhv: DataFrame) -> DataFrame:
     def shape(df, service, fare, dist):
         return (df.where(F.col("pickup_datetime").isNotNull() & (F.col(dist) > 0) & (F.col(fare) > 0))
-                  .select("anio", "mes", service.alias("tipo_servicio"),
+                  .select("anio", "mes", *[c for c in ("_pu",) if c in df.columns], service.alias("tipo_servicio"),
                           iso_weekday("pickup_datetime").alias("dia_semana_num"),
                           weekday_name("pickup_datetime").alias("dia_semana_nombre"),
                           F.hour("pickup_datetime").cast("bigint").alias("hora_dia"),

@@ -171,3 +171,24 @@ def revenue_per_mile_minute(taxi: DataFrame, fhvhv: DataFrame) -> DataFrame:
                                                F.sum("segundos").alias("s_segundos"))
     return g.select("anio", "tipo_servicio", ratio("s_ingreso", "s_millas").alias("ingreso_por_milla"),
                     ratio(F.col("s_ingreso").cast("double") * F.lit(60.0), "s_segundos").alias("ingreso_por_minuto"))
+
+
+def hourly_curve_by_borough(taxi: DataFrame, fhvhv: DataFrame, zones: DataFrame, borough: str | None = None,
+                            days=None, service: str | None = None) -> DataFrame:
+    """V4 with the borough filter: trip-level hours, pickup borough from the (size-checked) lookup.
+
+    The temporal mart has no borough, so this reads the trips of the F11 scope.
+    """
+    from triplake.operators.joins import bounded_broadcast
+    from triplake.operators.marts import temporal_trips
+    trips = temporal_trips(taxi.withColumn("_pu", F.col("pulocationid")), fhvhv.withColumn("_pu", F.col("pulocationid")))
+    z = bounded_broadcast(zones.select(F.col("locationid").try_cast("bigint").alias("_pu"),
+                                       F.col("borough").alias("pu_borough")))
+    t = trips.join(z, "_pu", "left").withColumn("pu_borough", F.coalesce("pu_borough", F.lit("Unknown")))
+    if borough is not None:
+        t = t.where(F.col("pu_borough") == borough)
+    if days is not None:
+        t = t.where(F.col("dia_semana_num").isin(*days))
+    if service is not None:
+        t = t.where(F.col("tipo_servicio") == service)
+    return t.groupBy("pu_borough", "tipo_servicio", "hora_dia").agg(F.count(F.lit(1)).alias("viajes"))
