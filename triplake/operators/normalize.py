@@ -27,18 +27,19 @@ def resolve_aliases(columns: list[str]) -> dict[str, str]:
     return present
 
 
-def _typed(src: Column, name: str, dtype: T.DataType) -> Column:
+def _typed(src: Column, name: str, dtype: T.DataType, source: T.DataType | None) -> Column:
+    """Cast to the canonical type; the source type (known per schema fingerprint) picks the cheapest exact route."""
     if name == "payment_type":
-        return payment_code(src)
+        return payment_code(src, source)
     if name == "vendorid":
-        return vendor_code(src)
+        return vendor_code(src, source)
     if isinstance(dtype, T.LongType):
-        return safe_long(src)
+        return safe_long(src, source)
     if isinstance(dtype, T.DoubleType):
-        return safe_double(src)
+        return safe_double(src, source)
     if isinstance(dtype, T.TimestampNTZType):
-        return parse_timestamp(src)
-    return src.cast(dtype)
+        return parse_timestamp(src, source)
+    return src if source == dtype else src.cast(dtype)
 
 
 def canonical_columns(df: DataFrame, fmt: str) -> list[Column]:
@@ -49,10 +50,11 @@ def canonical_columns(df: DataFrame, fmt: str) -> list[Column]:
             if legacy in src:
                 src["vendorid"] = src[legacy]
                 break
+    types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for f in schema.fields:
         if f.name in src:
-            c = _typed(F.col(src[f.name]), f.name, f.dataType)
+            c = _typed(F.col(src[f.name]), f.name, f.dataType, types.get(src[f.name]))
         else:
             c = F.lit(None).cast(f.dataType)               # P6/P7/P16/Q12: create when absent
         if fmt == "fhv" and f.name == "dropoff_datetime":  # P12: sentinel means "not reported"
