@@ -30,7 +30,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", app="triplake-bench", shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                                 # partitions sized for tens of MB per stage (a cluster at 100 TB uses 128-256 MB)
+                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes":
+                                     os.environ.get("BENCH_ADVISORY_PARTITION", "16m")})
     spark.sparkContext.setLogLevel("ERROR")
     qs = catalog.queries()
     qs["market_share_monthly"](spark, sf_dir).write.format("noop").mode("overwrite").save()   # JVM / codegen warm-up

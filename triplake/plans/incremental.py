@@ -98,26 +98,25 @@ def _monthly_and_state(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
             "state_patrones_temporales": temporal_state(t["taxi"], t["fhvhv"])}
 
 
-def _finalize(spark: SparkSession, mart_root: str, years: list[str] | None) -> None:
+def _finalize(spark: SparkSession, mart_root: str, years: list[str] | None) -> dict[str, int]:
+    """Annual marts from the monthly state: the given years, or every year (a full rebuild)."""
+    out = {}
     for mart, fin in (("mart_demanda_territorial", finalize_demand),
                       ("mart_patrones_temporales", finalize_temporal)):
         st = spark.read.parquet(_path(mart_root, STATE[mart]))
         if years is not None:
             st = st.where(F.col("anio").isin(years))
-        write_table(fin(st), _path(mart_root, mart), ["anio"])
+        out[mart] = write_table(fin(st), _path(mart_root, mart), ["anio"], static=years is None)
+    return out
 
 
-def rebuild_marts(spark: SparkSession, tables: dict[str, DataFrame], mart_root: str) -> dict[str, int | None]:
-    """Every mart and state from the whole staging; tables are replaced, then counted."""
+def rebuild_marts(spark: SparkSession, tables: dict[str, DataFrame], mart_root: str) -> dict[str, int]:
+    """Every mart and state from the whole staging; tables are replaced; rows written per table."""
+    report = {}
     for name, df in _monthly_and_state(tables).items():
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("anio", "mes") \
-          .option("compression", "snappy").parquet(_path(mart_root, name))
-    for mart, fin in (("mart_demanda_territorial", finalize_demand),
-                      ("mart_patrones_temporales", finalize_temporal)):
-        st = spark.read.parquet(_path(mart_root, STATE[mart]))
-        fin(st).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("anio") \
-               .option("compression", "snappy").parquet(_path(mart_root, mart))
-    return {m: count_rows(spark, _path(mart_root, m)) for m in MONTHLY + ANNUAL}
+        report[name] = write_table(df, _path(mart_root, name), ["anio", "mes"], static=True)
+    report.update(_finalize(spark, mart_root, None))
+    return {m: report[m] for m in MONTHLY + ANNUAL}
 
 
 def staging_rows_for_period(tables: dict[str, DataFrame], anio: str, mes: str) -> int:
@@ -145,12 +144,12 @@ def append_period(spark: SparkSession, tables: dict[str, DataFrame], mart_root:
     if skip_if_present and (count_rows(spark, _path(mart_root, "mart_cuota_mercado_mensual"), cond) or 0):
         return {"periodo": f"{anio}-{mes}", "skipped": True, "staging_rows": n}    # C2, opt-in only
     period = {k: (v.where(cond) if k != "zones" else v) for k, v in tables.items()}
-    for name, df in _monthly_and_state(period).items():
-        write_table(df, _path(mart_root, name), ["anio", "mes"])
-    _finalize(spark, mart_root, [anio])
     report = {"periodo": f"{anio}-{mes}", "skipped": False, "staging_rows": n}
-    for m in MONTHLY:
-        report[m] = count_rows(spark, _path(mart_root, m), cond)
+    for name, df in _monthly_and_state(period).items():
+        rows = write_table(df, _path(mart_root, name), ["anio", "mes"])
+        if name in MONTHLY:
+            report[name] = rows
+    report.update(_finalize(spark, mart_root, [anio]))
     return report
 
 

@@ -8,7 +8,7 @@ merge small ones, instead of one file per task per period.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,13 +65,27 @@ def read_staging_period(spark: SparkSession, root: str, table: str, anio: str, m
         return spark.createDataFrame([], schema)
 
 
-def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> str:
-    """Parquet table; with partition columns only the carried partitions are replaced."""
+def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = None, static: bool = False) -> int:
+    """Parquet table; returns the rows written (C3), observed during the write itself.
+
+    With partition columns only the carried partitions are replaced, unless ``static`` (a full
+    rebuild), which replaces the whole table.
+    """
+    obs = Observation()
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_cols:
-        _writer(df, partition_cols).parquet(path)
+        w = _writer(df, partition_cols)
+        if static:
+            w = w.option("partitionOverwriteMode", "static")
+        w.parquet(path)
     else:
         df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return path
+    try:
+        return int(obs.get["rows"])
+    except Exception:  # noqa: BLE001 - no task ran (empty input), so nothing was observed
+        if df.limit(1).count() == 0:
+            return 0
+        raise
 
 
 def count_rows(spark: SparkSession, path: str, where: F.Column | None = None) -> int | None:
