@@ -673,3 +673,14 @@ s AS ({_passing('yellow')} UNION ALL {_passing('green')})
 SELECT r.formato, r.anio, r.mes FROM r LEFT JOIN s ON r.formato = s.formato AND r.anio = s.anio AND r.mes = s.mes
 WHERE s.formato IS NULL"""),
 })
+
+
+# raw folders written by the pipeline queries: one file per month for taxi, two per month for fhv (two layouts)
+ORACLE["profile_volume_files"] = with_views("""
+v AS (
+  SELECT tipo_taxi AS formato, anio, mes, 1 AS files_per_month FROM trips_taxi
+  UNION ALL SELECT 'fhv', anio, mes, 2 FROM trips_fhv
+)
+SELECT formato, CAST(COUNT(DISTINCT anio || '-' || mes) * MAX(files_per_month) AS BIGINT) AS archivos,
+  COUNT(*) AS filas, MIN(anio || '-' || mes) AS primer_periodo, MAX(anio || '-' || mes) AS ultimo_periodo
+FROM v GROUP BY formato""", TRIPS_TAXI, TRIPS_FHV)

@@ -110,6 +110,16 @@ def type_drift_audit(spark, root) -> DataFrame:
                     F.array_join("physical_types", ",").alias("physical_types"), "drift")
 
 
+def profile_volume_files(spark, root) -> DataFrame:
+    """E1 on raw folders: files, rows and period coverage per format from the Parquet footers alone."""
+    from triplake.operators.profile import volume_from_footers
+    raw = scratch(spark, "raw")
+    write_raw_taxi(spark, root, raw)
+    write_raw_fhv(spark, root, raw)
+    parts = [volume_from_footers(footers(spark, f"{raw}/{f}"), f) for f in ("yellow", "green", "fhv")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def csv_zone_lookup(spark, root) -> DataFrame:
     """The zone lookup written as quoted CSV with a header and read back as all-string columns."""
     path = scratch(spark, "zones_csv")
@@ -197,6 +207,7 @@ QUERIES = {
     "drifted_scan": drifted_scan,
     "type_drift_audit": type_drift_audit,
     "csv_zone_lookup": csv_zone_lookup,
+    "profile_volume_files": profile_volume_files,
     "staging_roundtrip": staging_roundtrip,
     "mart_rebuild": mart_rebuild,
     "mart_incremental": mart_incremental,

@@ -154,3 +154,13 @@ def unknown_zone_share(df: DataFrame) -> DataFrame:
                    F.count_if(unknown("dolocationid")).alias("do_desconocido"))
               .withColumn("tasa_pu_desconocido", _rate("pu_desconocido", "filas"))
               .withColumn("tasa_do_desconocido", _rate("do_desconocido", "filas")))
+
+
+def volume_from_footers(footer_df: DataFrame, formato: str) -> DataFrame:
+    """E1 from metadata only: files, rows (footer row counts) and first/last period of one raw folder."""
+    from triplake.sources.files import with_period_of_path
+    files = with_period_of_path(footer_df.select("path", "num_rows").distinct())
+    p = period_text()
+    return files.agg(F.count(F.lit(1)).alias("archivos"), F.sum("num_rows").cast("bigint").alias("filas"),
+                     F.min(p).alias("primer_periodo"), F.max(p).alias("ultimo_periodo")) \
+                .select(F.lit(formato).alias("formato"), "*")
