@@ -20,15 +20,22 @@ def test_oracle_keys_are_queries():
     assert len(entry.queries()) - len(entry.oracle_sql()) <= 1
 
 
-@pytest.mark.parametrize("name", ["market_share_monthly", "financial_kpis_monthly", "territorial_demand",
-                                  "temporal_patterns", "clean_taxi_staging", "quarantine_reasons",
-                                  "profile_accounting_gap", "question_year_on_year", "missing_periods"])
-def test_matches_duckdb(spark, name):
+WRITERS = {"drifted_scan", "type_drift_audit", "csv_zone_lookup", "staging_roundtrip", "mart_rebuild",
+           "mart_incremental", "mart_incremental_demand", "stream_arrival", "profile_volume_files"}
+
+
+@pytest.fixture(scope="module")
+def duck():
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - WRITERS))
+def test_matches_duckdb(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
-    res = con.execute(entry.oracle_sql()[name])
+    res = duck.execute(entry.oracle_sql()[name])
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
     a = sorted(tuple(key(r[c]) for c in sorted(cols)) for r in df.collect())
