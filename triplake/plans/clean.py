@@ -89,10 +89,10 @@ def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None =
     for fmt in expand_formats(formato):
         root = f"{raw_root.rstrip('/')}/{fmt}"
         periods = raw_periods(spark, root, nonempty_only=True)
-        if anio:
+        if anio:                                   # a month alone selects nothing narrower (S14)
             periods = periods.where(F.col("anio") == str(anio))
-        if mes:
-            periods = periods.where(F.col("mes") == str(mes).zfill(2))
+            if mes:
+                periods = periods.where(F.col("mes") == str(mes).zfill(2))
         if resume:
             for done in _done_periods(spark, staging_root, fmt, staging_path, staged_periods):
                 periods = pending_periods(periods, done)
