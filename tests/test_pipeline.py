@@ -172,8 +172,11 @@ def test_cli_clean_rebuild_increment_gaps(spark, tmp_path, capsys):
     cli.main(["rebuild", "--staging", staging, "--zones", zones, "--marts", mart])
     cli.main(["increment", "--staging", staging, "--zones", zones, "--marts", mart, "--anio", "2016", "--mes", "3"])
     cli.main(["gaps", "--raw", raw, "--as-of", "2012-01", "--formato", "yellow"])
+    cli.main(["audit", "--raw", raw, "--formato", "yellow"])
     import json
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    audit = {r["column_name"]: r for r in lines[4]}
+    assert audit["passenger_count"]["drift"] and audit["fare_amount"]["drift"] is False
     assert lines[0]["yellow"] and lines[1]["mart_cuota_mercado_mensual"] > 0
     assert lines[2]["periodo"] == "2016-03" and lines[2]["staging_rows"] > 0
     assert "2009-01" in lines[3]["yellow"]

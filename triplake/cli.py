@@ -4,6 +4,7 @@
   rebuild    every mart from the whole staging
   increment  one period of the monthly marts and the annual marts' state
   gaps       expected months per format minus the months present in the raw folders
+  audit      physical Parquet types per column across a format's raw files vs its declared types (E2)
   stream     keep cleaning files as they land (or once, with --available-now)
 
 Each prints a JSON report.  The session comes from spark-submit; result-relevant settings are applied.
@@ -47,6 +48,9 @@ def main(argv=None) -> None:
     g.add_argument("--raw", required=True)
     g.add_argument("--as-of", required=True, help="report month YYYY-MM (months before it are expected)")
     g.add_argument("--formato")
+    au = sub.add_parser("audit")
+    au.add_argument("--raw", required=True)
+    au.add_argument("--formato", required=True)
     s = sub.add_parser("stream")
     s.add_argument("--raw", required=True, help="landing folder of one format")
     s.add_argument("--staging", required=True)
@@ -73,6 +77,11 @@ def main(argv=None) -> None:
         out = {f: [] for f in fmts}
         for row in gaps.collect():                                   # a month list per format
             out[row["formato"]].append(row["periodo"])
+    elif a.cmd == "audit":
+        from triplake.schema import RAW_DECLARED
+        from triplake.sources.scan import footers, type_drift
+        d = type_drift(footers(spark, f"{a.raw.rstrip('/')}/{a.formato}"), dict(RAW_DECLARED[a.formato]))
+        out = [r.asDict() for r in d.orderBy("column_name").collect()]     # one row per column
     else:
         q = stream_arrivals(spark, a.raw, a.formato, a.staging, a.checkpoint, available_now=a.available_now)
         q.awaitTermination()
