@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from conftest import plan_text
 
 from triplake.functions import (iso_weekday, payment_code, round2, safe_double, safe_long, vendor_code,

@@ -1,6 +1,5 @@
 """Report measures, views and questions on hand-made marts."""
 
-from pyspark.sql import functions as F
 
 from triplake.operators import measures as M
 

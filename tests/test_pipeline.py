@@ -2,7 +2,6 @@
 streaming arrival (R2, R3)."""
 
 import datetime as dt
-import os
 
 from pyspark.sql import functions as F
 

@@ -28,6 +28,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/triplake-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _cores(spark: SparkSession) -> int:
+    """Hash partitions for the raw writes: each month lands in one task (one file), months spread over the cores."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _even_month(c: str = "mes") -> F.Column:
     return F.col(c).cast("int") % 2 == 0
 
@@ -70,7 +75,7 @@ def write_raw_taxi(spark: SparkSession, root: str, raw_root: str) -> None:
             F.col("congestion_surcharge").cast("double").alias("congestion_surcharge"),
             F.col("trip_key").alias("Trip_Key"), F.col("trip_line").alias("Trip_Line"), "anio", "mes")
         for part in (current, legacy):                       # one file per month, like the published files
-            part.repartition("anio", "mes").write.mode("append").partitionBy("anio", "mes") \
+            part.repartition(_cores(spark), "anio", "mes").write.mode("append").partitionBy("anio", "mes") \
                 .parquet(f"{raw_root}/{tipo}")
     t.unpersist()
 
@@ -82,11 +87,11 @@ def write_raw_fhv(spark: SparkSession, root: str, raw_root: str) -> None:
             "anio", "mes"]
     f.where(F.col("event_id") % 2 == 0).select(
         *base, F.col("pulocationid").alias("PUlocationID"), F.col("dolocationid").alias("DOlocationID")
-    ).repartition("anio", "mes").write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
+    ).repartition(_cores(spark), "anio", "mes").write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
     f.where(F.col("event_id") % 2 == 1).select(
         *base, F.col("pulocationid").cast("double").alias("PUlocationID"),
         F.col("dolocationid").cast("double").alias("DOlocationID")
-    ).repartition("anio", "mes").write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
+    ).repartition(_cores(spark), "anio", "mes").write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
 
 
 SCAN_COLUMNS = [*TAXI_ID, "source_anio", "source_mes", "vendorid", "pickup_datetime", "dropoff_datetime",

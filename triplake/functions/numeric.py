@@ -33,7 +33,7 @@ def mean(c) -> Column:
     and merged later (monthly state of the annual marts).
     """
     col = _col(c)
-    return F.sum(col).cast("double") / F.count(col)
+    return F.sum(col).cast("double") / F.nullif(F.count(col), F.lit(0))
 
 
 def nz_sum(c) -> Column:

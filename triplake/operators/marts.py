@@ -29,10 +29,10 @@ ORDER = {
 }
 
 
-def gross_amount(df_cols=FHVHV_AMOUNT_PARTS) -> Column:
+def gross_amount(parts=FHVHV_AMOUNT_PARTS) -> Column:
     """App gross amount per trip; NULL if any component is NULL (plain addition)."""
     total = None
-    for c in df_cols:
+    for c in parts:
         total = F.col(c) if total is None else total + F.col(c)
     return total
 
