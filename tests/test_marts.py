@@ -86,3 +86,23 @@ def test_share_is_double_with_two_decimals(spark):
                                    "anio string, mes string, tipo_servicio string, total_viajes bigint")
     out = {r.tipo_servicio: r.cuota_mercado_pct for r in marts.share_of_month(counts).collect()}
     assert out == {"fhvhv": 66.67, "yellow": 33.33}
+
+
+def test_broadcast_only_within_bound(spark):
+    from triplake.operators.joins import bounded_broadcast
+    z = adapter.zones(spark, SF_SMALL)
+    assert bounded_broadcast(z, max_rows=100) is not z          # 25 rows: hinted
+    assert bounded_broadcast(z, max_rows=10) is z               # over the bound: left to Catalyst/AQE
+    big = spark.range(0, 5000).withColumn("id2", F.col("id"))
+    hinted = plan_text(spark.range(0, 100).join(bounded_broadcast(big, max_rows=10000), "id"), "extended")
+    unhinted = plan_text(spark.range(0, 100).join(bounded_broadcast(big, max_rows=1000), "id"), "extended")
+    assert "strategy=broadcast" in hinted and "strategy=broadcast" not in unhinted
+
+
+def test_staging_write_rebalances_on_partition_columns(spark, tmp_path):
+    """A hot period is split by AQE: the write is preceded by a rebalance on the partition columns."""
+    from triplake.sources.sinks import _writer
+    df = spark.createDataFrame([("2024", "01", 1)], "anio string, mes string, x bigint")
+    w = _writer(df, ["anio", "mes"])
+    plan = plan_text(w._df, "extended")
+    assert "RebalancePartitions" in plan and "anio" in plan

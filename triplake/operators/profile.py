@@ -140,7 +140,8 @@ def accounting_gap(df: DataFrame, parts=TAXI_AMOUNT_PARTS, top: int = 10) -> Dat
     rows = df.select(gap).where(F.col("diferencia").isNotNull())
     counts = rows.groupBy("diferencia").agg(F.count(F.lit(1)).alias("viajes"))
     topk = counts.orderBy(F.col("viajes").desc(), F.col("diferencia").asc()).limit(top).withColumn("_k", F.lit(0))
-    total = rows.agg(F.count(F.lit(1)).alias("total")).withColumn("_k", F.lit(0))   # exactly one row
+    # exactly one row, from the aggregated counts (the trips are not scanned a second time)
+    total = counts.agg(F.sum("viajes").alias("total")).withColumn("_k", F.lit(0))
     return topk.join(F.broadcast(total), "_k").select(
         F.col("diferencia").cast("double").alias("diferencia"), "viajes", _rate("viajes", "total").alias("proporcion"))
 
