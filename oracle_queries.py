@@ -81,8 +81,10 @@ def with_views(body: str, *views: str) -> str:
 
 
 def r2(expr: str) -> str:
-    """Half-up rounding to 2 decimals on the double value (same arithmetic as the library)."""
-    return f"floor(CAST({expr} AS DOUBLE) * 100 + 0.5) / 100"
+    """Round to 2 decimals, halves away from zero, on the double value (same arithmetic as the library)."""
+    x = f"CAST({expr} AS DOUBLE)"
+    return (f"(CASE WHEN {x} < 0 THEN -CAST(floor(-{x} * 100 + 0.5) AS BIGINT) "
+            f"ELSE CAST(floor({x} * 100 + 0.5) AS BIGINT) END) / 100.0::DOUBLE")
 
 
 def avg_(expr: str) -> str:

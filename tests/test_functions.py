@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from conftest import plan_text
 
 from triplake.functions import (iso_weekday, payment_code, round2, safe_double, safe_long, vendor_code,
@@ -51,10 +53,12 @@ def test_trip_minutes_whole_seconds(spark):
 
 
 def test_round2_half_up_and_stable(spark):
-    df = spark.createDataFrame([(2.675,), (54.895,), (1.005,), (-1.234,), (None,)], "x double")
+    df = spark.createDataFrame([(2.5,), (-2.5,), (0.125,), (-0.125,), (-1.234,), (-0.001,), (None,)], "x double")
+    got = [r[0] for r in df.select(round2(F.col("x") / 100)).collect()]
+    assert got[:2] == [0.03, -0.03]                       # halves away from zero
     got = [r[0] for r in df.select(round2("x")).collect()]
-    assert got[3] == -1.23 and got[4] is None
-    assert all(isinstance(v, float) for v in got[:4])
+    assert got[2:6] == [0.13, -0.13, -1.23, 0.0] and got[6] is None
+    assert repr(got[5]) == "0.0"                          # no negative zero
 
 
 def test_year_range_predicate_bounds(spark):

@@ -11,12 +11,15 @@ def _col(c) -> Column:
 
 
 def round2(c) -> Column:
-    """Half-up rounding to 2 decimals on the double value: floor(x*100 + 0.5) / 100.
+    """Round to 2 decimals, halves away from zero (as SQL ROUND does), on the double value.
 
-    Written out instead of ``F.round`` so the result is the same IEEE double in every engine
-    (``round`` on doubles breaks ties differently across engines).
+    Written as integer arithmetic on |x|*100 instead of ``F.round`` so every engine returns
+    the same IEEE double (``round`` on doubles breaks ties differently across engines), and
+    no negative zero appears.
     """
-    return (F.floor(_col(c).cast("double") * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)).cast("double")
+    x = _col(c).cast("double")
+    cents = F.when(x < 0, -F.floor(-x * F.lit(100.0) + F.lit(0.5))).otherwise(F.floor(x * F.lit(100.0) + F.lit(0.5)))
+    return (cents / F.lit(100.0)).cast("double")
 
 
 def ratio(num, den, scale: float = 1.0) -> Column:
