@@ -179,3 +179,15 @@ def test_cli_clean_rebuild_increment_gaps(spark, tmp_path, capsys):
     assert lines[0]["yellow"] and lines[1]["mart_cuota_mercado_mensual"] > 0
     assert lines[2]["periodo"] == "2016-03" and lines[2]["staging_rows"] > 0
     assert "2009-01" in lines[3]["yellow"]
+
+
+def test_source_period_is_a_partition_constant(spark, tmp_path):
+    from conftest import plan_text
+    root = str(tmp_path / "yellow")
+    _write_drifted(spark, root)
+    df = read_raw(spark, root, "yellow")
+    assert "regexp_extract" not in plan_text(df, "formatted")       # no per-row path parsing
+    flat = str(tmp_path / "flat")
+    spark.createDataFrame([(1, 2.0)], "vendorid bigint, trip_distance double").write.parquet(flat)
+    r = read_raw(spark, flat, "yellow").first()
+    assert r.source_anio is None and r.vendorid == 1                 # flat layout: no period, rows kept

@@ -17,6 +17,7 @@ The file's own period comes from its ``anio=/mes=`` directories (``source_anio``
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -72,16 +73,29 @@ def fingerprint_groups(footer_df: DataFrame) -> dict[str, list[str]]:
     return {r["fingerprint"]: list(r["paths"]) for r in g.collect()}
 
 
+def _base_path(root: str | list[str]) -> str:
+    """The format folder above the ``anio=/mes=`` directories."""
+    first = root if isinstance(root, str) else root[0]
+    return re.split(r"/anio=", first.rstrip("/"), maxsplit=1)[0]
+
+
 def read_raw(spark: SparkSession, root: str | list[str], fmt: str, keep=()) -> DataFrame:
-    """Canonical rows of every raw file of one format under ``root`` plus ``source_anio/source_mes``."""
+    """Canonical rows of every raw file of one format under ``root`` plus ``source_anio/source_mes``.
+
+    The period comes from partition discovery (``basePath`` = the format folder), so it is a
+    per-file constant attached by the reader, not parsed per row; flat layouts fall back to
+    the file path.
+    """
     groups = fingerprint_groups(footers(spark, root))
+    base = _base_path(root)
     parts = []
     for _, paths in sorted(groups.items()):
-        raw = spark.read.parquet(*paths)
-        raw = raw.drop(*[c for c in raw.columns if c.lower() in ("anio", "mes")])   # discovered partitions
-        raw = raw.withColumn("_src_path", F.col("_metadata.file_path"))
-        per = with_period_of_path(raw.withColumnRenamed("_src_path", "path"))
-        per = per.withColumnsRenamed({"anio": "source_anio", "mes": "source_mes"}).drop("path")
+        raw = spark.read.option("basePath", base).parquet(*paths)
+        if {"anio", "mes"} <= set(raw.columns):
+            per = raw.withColumnsRenamed({"anio": "source_anio", "mes": "source_mes"})
+        else:
+            per = with_period_of_path(raw.withColumn("path", F.col("_metadata.file_path")))
+            per = per.withColumnsRenamed({"anio": "source_anio", "mes": "source_mes"}).drop("path")
         parts.append(normalize(per, fmt, keep=("source_anio", "source_mes") + tuple(keep)))
     if not parts:
         raise FileNotFoundError(f"no parquet files under {root}")
