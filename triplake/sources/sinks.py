@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 from triplake.schema import CANONICAL, PARTITION_COLS, STAGING_TABLE, ZONE_SCHEMA
 
 
-def _writer(df: DataFrame, partition_cols: list[str]):
-    return (df.hint("rebalance", *partition_cols).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+def _writer(df: DataFrame, partition_cols: list[str], obs: Observation | None = None):
+    out = df.hint("rebalance", *partition_cols)
+    if obs is not None:      # above the exchange: counted in the write stage, not in a recomputable map stage
+        out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    return (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
             .partitionBy(*partition_cols))
 
 
@@ -72,14 +74,14 @@ def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = Non
     rebuild), which replaces the whole table.
     """
     obs = Observation()
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_cols:
-        w = _writer(df, partition_cols)
+        w = _writer(df, partition_cols, obs)
         if static:
             w = w.option("partitionOverwriteMode", "static")
         w.parquet(path)
     else:
-        df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+          .option("compression", "snappy").parquet(path)
     try:
         return int(obs.get["rows"])
     except Exception:  # noqa: BLE001 - no task ran (empty input), so nothing was observed
