@@ -68,3 +68,12 @@ def test_top_airport_corridor(spark):
                               "locationid string, borough string, zone string, service_zone string")
     r = M.top_airport_corridor(d, z).first()
     assert (r.pu_borough, r.do_zone, r.viajes) == ("Queens", "JFK Airport", 7)
+
+
+def test_fare_view_wide_matches_long(spark):
+    k = spark.createDataFrame([("2020", "01", "yellow", 10.0, 2.5), ("2020", "02", "yellow", 12.0, 3.5),
+                               ("2020", "01", "fhvhv", 20.0, 4.0)],
+                              "anio string, mes string, tipo_servicio string, tarifa_base_promedio double, "
+                              "tarifa_promedio_por_milla double")
+    w = M.fare_by_service_year(k, wide=True).first()
+    assert w.yellow_tarifa_por_viaje == 11.0 and w.fhvhv_tarifa_por_milla == 4.0 and w.green_tarifa_por_viaje is None

@@ -100,8 +100,13 @@ def share_over_time(share: DataFrame) -> DataFrame:
     return share.groupBy("anio", "mes").pivot("tipo_servicio", SERVICES).agg(F.first("cuota_mercado_pct"))
 
 
-def fare_by_service_year(kpis: DataFrame) -> DataFrame:
-    """V2: mean monthly fare per trip and per mile by service and year."""
+def fare_by_service_year(kpis: DataFrame, wide: bool = False) -> DataFrame:
+    """V2: mean monthly fare per trip and per mile by service and year; ``wide`` pivots the services
+    into columns (``<service>_tarifa_por_viaje``, ``<service>_tarifa_por_milla``) with the fixed list."""
+    if wide:
+        return kpis.groupBy("anio").pivot("tipo_servicio", SERVICES).agg(
+            mean_exact("tarifa_base_promedio").alias("tarifa_por_viaje"),
+            mean_exact("tarifa_promedio_por_milla").alias("tarifa_por_milla"))
     return kpis.groupBy("anio", "tipo_servicio").agg(mean_exact("tarifa_base_promedio").alias("tarifa_por_viaje"),
                                                     mean_exact("tarifa_promedio_por_milla").alias("tarifa_por_milla"))
 
