@@ -45,3 +45,11 @@ def test_matches_duckdb(spark, duck, name):
 
 def key(v):
     return (v is not None, repr(v) if isinstance(v, float) else str(v))
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITERS))
+def test_plan_has_no_nested_loop_or_row_udf(spark, name):
+    from conftest import plan_text
+    plan = plan_text(entry.queries()[name](spark, SF_SMALL), "simple")
+    for bad in ("NestedLoop", "Cartesian", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, bad

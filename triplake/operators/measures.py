@@ -1,9 +1,9 @@
 """Report measures, views and business questions over the (small) marts.
 
 Measures follow the report definitions: shares and tip percentages are *unweighted* means of
-monthly values, divided by 100.  Top-k results are the measures themselves.  Single-row
-values needed by another frame (the latest year, a grand total) are joined on a constant
-key against a one-row, broadcast frame.
+monthly values, divided by 100.  Top-k results are the measures themselves.  Single values
+needed by another frame (the latest year, a grand total) are scalar subqueries
+(``DataFrame.scalar()``): no join, no window over everything, no driver round trip.
 """
 
 from __future__ import annotations
@@ -21,14 +21,6 @@ NIGHT_HOURS = (22, 23, 0, 1, 2, 3, 4, 5)
 WEEKEND_DAYS = (6, 7)
 
 
-def _one_row(df: DataFrame) -> DataFrame:
-    return F.broadcast(df.withColumn("_k", F.lit(0)))
-
-
-def _with_scalar(df: DataFrame, scalar_row: DataFrame) -> DataFrame:
-    return df.withColumn("_k", F.lit(0)).join(_one_row(scalar_row), "_k").drop("_k")
-
-
 def periodo(anio: str = "anio", mes: str = "mes") -> Column:
     return F.concat_ws("-", F.col(anio), F.col(mes))
 
@@ -41,9 +33,9 @@ def total_trips(share: DataFrame) -> DataFrame:
 
 def latest_year_share(share: DataFrame, service: str) -> DataFrame:
     """M2 (fhvhv) / M3 (yellow): mean monthly share of the service in the latest year present, / 100."""
-    latest = share.agg(F.max("anio").alias("ultimo_anio"))
-    s = _with_scalar(share, latest).where((F.col("anio") == F.col("ultimo_anio")) & (F.col("tipo_servicio") == service))
-    return s.groupBy("ultimo_anio").agg((mean_exact("cuota_mercado_pct") / F.lit(100.0)).alias("cuota"))\
+    latest = share.select(F.max("anio")).scalar()
+    s = share.where((F.col("anio") == latest) & (F.col("tipo_servicio") == service))
+    return s.groupBy(F.col("anio").alias("ultimo_anio")).agg((mean_exact("cuota_mercado_pct") / F.lit(100.0)).alias("cuota"))\
             .select(F.lit(service).alias("tipo_servicio"), "ultimo_anio", "cuota")
 
 
@@ -67,9 +59,9 @@ def financial_summary(kpis: DataFrame) -> DataFrame:
 def top_pickup_borough(demand: DataFrame) -> DataFrame:
     """M9: pickup borough with most trips and its share of all trips."""
     b = demand.groupBy("pu_borough").agg(F.sum("total_viajes").alias("viajes"))
-    total = demand.agg(F.sum("total_viajes").alias("total"))
+    total = b.select(F.sum("viajes")).scalar()
     top = b.orderBy(F.col("viajes").desc(), F.col("pu_borough")).limit(1)
-    return _with_scalar(top, total).select("pu_borough", "viajes", ratio("viajes", "total").alias("cuota"))
+    return top.select("pu_borough", "viajes", ratio(F.col("viajes"), total).alias("cuota"))
 
 
 def top_airport_corridor(demand: DataFrame, zones: DataFrame, airport_service_zones=AIRPORT_SERVICE_ZONES) -> DataFrame:

@@ -128,8 +128,8 @@ def ratecode_flex_contingency(df: DataFrame) -> DataFrame:
 def accounting_gap(df: DataFrame, parts=TAXI_AMOUNT_PARTS, top: int = 10) -> DataFrame:
     """Total minus the sum of its components (exact, in cents), most frequent values and their share.
 
-    The top-k is the report itself.  The share's denominator is one global count (a
-    one-row frame, broadcast), not a window over every value.
+    The top-k is the report itself.  The share's denominator is one global count taken as a
+    scalar subquery, not a window over every value and not a join.
     """
     cents = "decimal(18,2)"
     comp = None
@@ -139,11 +139,10 @@ def accounting_gap(df: DataFrame, parts=TAXI_AMOUNT_PARTS, top: int = 10) -> Dat
     gap = (F.col("total_amount").cast(cents) - comp).alias("diferencia")
     rows = df.select(gap).where(F.col("diferencia").isNotNull())
     counts = rows.groupBy("diferencia").agg(F.count(F.lit(1)).alias("viajes"))
-    topk = counts.orderBy(F.col("viajes").desc(), F.col("diferencia").asc()).limit(top).withColumn("_k", F.lit(0))
-    # exactly one row, from the aggregated counts (the trips are not scanned a second time)
-    total = counts.agg(F.sum("viajes").alias("total")).withColumn("_k", F.lit(0))
-    return topk.join(F.broadcast(total), "_k").select(
-        F.col("diferencia").cast("double").alias("diferencia"), "viajes", _rate("viajes", "total").alias("proporcion"))
+    total = counts.select(F.sum("viajes")).scalar()          # scalar subquery: one value, no join
+    topk = counts.orderBy(F.col("viajes").desc(), F.col("diferencia").asc()).limit(top)
+    return topk.select(F.col("diferencia").cast("double").alias("diferencia"), "viajes",
+                       _rate(F.col("viajes"), total).alias("proporcion"))
 
 
 def unknown_zone_share(df: DataFrame) -> DataFrame:
