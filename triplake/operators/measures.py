@@ -138,7 +138,9 @@ def year_on_year(share: DataFrame) -> DataFrame:
     d = share.select("tipo_servicio", F.to_date(F.concat_ws("-", "anio", "mes", F.lit("01"))).alias("d"), "total_viajes")
     bounds = d.groupBy("tipo_servicio").agg(F.min("d").alias("d0"), F.max("d").alias("d1"))
     cal = bounds.select("tipo_servicio", F.explode(F.sequence("d0", "d1", F.expr("INTERVAL 1 MONTH"))).alias("d"))
-    dense = cal.join(d, ["tipo_servicio", "d"], "left").withColumn("total_viajes", F.coalesce("total_viajes", F.lit(0)))
+    from triplake.operators.joins import bounded_broadcast
+    dense = (cal.join(bounded_broadcast(d), ["tipo_servicio", "d"], "left")   # months x services: size-checked
+                .withColumn("total_viajes", F.coalesce("total_viajes", F.lit(0))))
     w = Window.partitionBy("tipo_servicio").orderBy("d")
     prev = F.lag("total_viajes", 12).over(w)
     return dense.select("tipo_servicio", F.date_format("d", "yyyy").alias("anio"), F.date_format("d", "MM").alias("mes"),
