@@ -27,6 +27,7 @@ from triplake.streaming.arrivals import stream_arrivals
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="triplake")
+    ap.add_argument("--cluster", action="store_true", help="apply the large-cluster sizing settings")
     sub = ap.add_subparsers(dest="cmd", required=True)
     c = sub.add_parser("clean")
     c.add_argument("--raw", required=True)
@@ -59,7 +60,7 @@ def main(argv=None) -> None:
     s.add_argument("--available-now", action="store_true")
     a = ap.parse_args(argv)
 
-    spark = build_session(app=f"triplake-{a.cmd}")
+    spark = build_session(app=f"triplake-{a.cmd}", cluster=a.cluster)
     if a.cmd == "clean":
         out = clean_periods(spark, a.raw, a.staging, a.formato, a.anio, a.mes, resume=not a.force)
     elif a.cmd == "rebuild":

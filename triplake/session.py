@@ -25,12 +25,28 @@ TUNING_CONF = {
 }
 
 
+# Sizing for a large cluster reading the full history (opt-in: ``build_session(cluster=True)``).
+# Splits of 256 MB keep a task's input and its shuffle output well inside executor memory; the
+# shuffle starts wide and AQE coalesces it to ~256 MB partitions and splits skewed ones.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.parquet.enableVectorizedReader": "true",
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
+}
+
+
 def build_session(master: str | None = None, app: str = "triplake",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  cluster: bool = False) -> SparkSession:
     b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         b = b.master(master)
-    for k, v in {**TUNING_CONF, **REQUIRED_CONF}.items():
+    for k, v in {**TUNING_CONF, **(CLUSTER_CONF if cluster else {}), **REQUIRED_CONF}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
