@@ -85,7 +85,7 @@ PAYMENT_TEXT_CODES = {"CAS": 2, "CASH": 2, "CRD": 1, "CREDIT": 1,
 YEAR_WINDOW = {"yellow": (2009, 2026), "green": (2014, 2026), "fhv": (2015, 2026), "fhvhv": (2019, 2026)}
 # fhv dropoff placeholder meaning "not reported".
 FHV_DROPOFF_SENTINEL = "1989-01-01 00:00:00"
-# Zone ids meaning Unknown / Outside NYC.
+# Zone ids meaning Unknown / Outside the city.
 UNKNOWN_ZONES = (264, 265)
 UNKNOWN_ZONE_IMPUTE = 264
 # Natural trip keys for de-duplication, and the minimum number that must be present.
