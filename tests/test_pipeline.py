@@ -191,3 +191,16 @@ def test_source_period_is_a_partition_constant(spark, tmp_path):
     spark.createDataFrame([(1, 2.0)], "vendorid bigint, trip_distance double").write.parquet(flat)
     r = read_raw(spark, flat, "yellow").first()
     assert r.source_anio is None and r.vendorid == 1                 # flat layout: no period, rows kept
+
+
+def test_stream_merge_mode_equals_batch_clean(spark, tmp_path):
+    from triplake.plans.clean import clean
+    base = str(tmp_path)
+    write_raw_fhv(spark, SF_SMALL, f"{base}/raw")          # two files per month
+    q = stream_arrivals(spark, f"{base}/raw/fhv", "fhv", f"{base}/staging", f"{base}/ckpt", max_files_per_trigger=1,
+                        merge_staged=True)
+    q.awaitTermination()
+    streamed = _rows(read_staging(spark, f"{base}/staging", "fhv"))
+    rows, _ = clean(read_raw(spark, f"{base}/raw/fhv", "fhv"), "fhv")
+    batch = _rows(rows.select(*read_staging(spark, f"{base}/staging", "fhv").columns))
+    assert streamed == batch and len(streamed) > 0

@@ -46,12 +46,53 @@ def clean_touched_periods(spark: SparkSession, batch: DataFrame, landing_root: s
     return periods
 
 
+def merge_new_files(spark: SparkSession, batch: DataFrame, fmt: str, staging_root: str) -> list[tuple[str, str]]:
+    """Clean only the batch's new files and merge them with the staged rows of their periods.
+
+    De-duplication keeps the smallest row per key (no ``order_by``), and that minimum is
+    associative, so merging batch by batch gives the same staging as cleaning all files at
+    once.  The merged rows are checkpointed (lineage cut in ``spark.checkpoint.dir``) because
+    the write replaces the very folders they were read from.
+    """
+    from triplake.operators.dedup import dedup
+    from triplake.operators.quality import apply_rules, split
+    from triplake.plans.clean import SOURCE_PERIOD, with_period
+    from triplake.schema import CANONICAL, STAGING_TABLE
+    from triplake.session import checkpoint_dir
+    from triplake.sources.sinks import read_staging_period
+
+    files = [r["path"] for r in batch.where(F.col("length") > 0).select("path").collect()]   # this batch's files
+    if not files:
+        return []
+    new_rows = split(apply_rules(read_raw(spark, files, fmt), fmt))[0]
+    periods = sorted({tuple(r) for r in new_rows.select(*SOURCE_PERIOD).distinct().collect()})
+    cols = CANONICAL[fmt].fieldNames() + list(SOURCE_PERIOD)
+    merged = new_rows.select(*cols)
+    for a, m in periods:
+        staged = read_staging_period(spark, staging_root, STAGING_TABLE[fmt], a, m)
+        if "tipo_taxi" in staged.columns:
+            staged = staged.where(F.col("tipo_taxi") == fmt)
+        merged = merged.unionByName(staged.withColumnsRenamed({"anio": SOURCE_PERIOD[0], "mes": SOURCE_PERIOD[1]})
+                                    .select(*cols))
+    checkpoint_dir(spark)
+    out = with_period(dedup(merged, fmt), fmt).checkpoint(eager=True)
+    write_staging(out, staging_root, fmt)
+    return periods
+
+
 def stream_arrivals(spark: SparkSession, landing_root: str, fmt: str, staging_root: str, checkpoint: str,
                     available_now: bool = True, max_files_per_trigger: int | None = None,
-                    order_by=()) -> StreamingQuery:
-    """Start the arrival stream; ``available_now`` processes what is there and stops (batch-like runs)."""
+                    order_by=(), merge_staged: bool = False) -> StreamingQuery:
+    """Start the arrival stream; ``available_now`` processes what is there and stops (batch-like runs).
+
+    ``merge_staged`` cleans only each batch's new files and merges them into the staged periods
+    (for periods assembled from many arrivals); the default re-cleans every file of a touched period.
+    """
     def process(batch: DataFrame, epoch_id: int) -> None:
-        clean_touched_periods(batch.sparkSession, batch, landing_root, fmt, staging_root, order_by)
+        if merge_staged:
+            merge_new_files(batch.sparkSession, batch, fmt, staging_root)
+        else:
+            clean_touched_periods(batch.sparkSession, batch, landing_root, fmt, staging_root, order_by)
 
     w = (arrivals(spark, landing_root, max_files_per_trigger).writeStream
          .foreachBatch(process).option("checkpointLocation", checkpoint))
