@@ -67,7 +67,8 @@ def top_pickup_borough(demand: DataFrame) -> DataFrame:
 def top_airport_corridor(demand: DataFrame, zones: DataFrame, airport_service_zones=AIRPORT_SERVICE_ZONES) -> DataFrame:
     """(pickup borough -> airport zone) pair with most trips."""
     airports = zones.where(F.col("service_zone").isin(*airport_service_zones)).select(F.col("zone").alias("do_zone")).distinct()
-    c = (demand.join(F.broadcast(airports), "do_zone", "left_semi")
+    from triplake.operators.joins import bounded_broadcast
+    c = (demand.join(bounded_broadcast(airports), "do_zone", "left_semi")      # lookup subset: size-checked
                .groupBy("pu_borough", "do_zone").agg(F.sum("total_viajes").alias("viajes")))
     return c.orderBy(F.col("viajes").desc(), "pu_borough", "do_zone").limit(1)
 

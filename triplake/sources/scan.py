@@ -118,7 +118,7 @@ def type_drift(footer_df: DataFrame, declared: dict[str, str]) -> DataFrame:
            .otherwise(F.col("physical_type"))
     per = (footer_df.withColumn("family", fam).groupBy("column_name", "family")
            .agg(F.countDistinct("path").alias("files")))
-    j = per.join(F.broadcast(decl), "column_name", "left")
+    j = per.join(F.broadcast(decl), "column_name", "left")     # built from the declared list: at most ~25 rows
     return (j.groupBy("column_name", "declared_type")
              .agg(F.sort_array(F.collect_set("family")).alias("physical_types"),
                   F.sum("files").alias("files"),
