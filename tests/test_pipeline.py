@@ -204,3 +204,23 @@ def test_stream_merge_mode_equals_batch_clean(spark, tmp_path):
     rows, _ = clean(read_raw(spark, f"{base}/raw/fhv", "fhv"), "fhv")
     batch = _rows(rows.select(*read_staging(spark, f"{base}/staging", "fhv").columns))
     assert streamed == batch and len(streamed) > 0
+
+
+def test_hot_period_write_is_split(spark, tmp_path):
+    """One period holding nearly all rows is written by several tasks (AQE splits the rebalance)."""
+    from triplake.schema import CANONICAL
+    from triplake.sources.sinks import write_staging
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in CANONICAL["fhv"].fields if f.name != "dispatching_base_num"]
+    df = (spark.range(0, 200_000).select(F.concat(F.lit("B"), F.col("id").cast("string")).alias("dispatching_base_num"),
+                                         *cols)
+          .withColumn("anio", F.when(F.col("dispatching_base_num") == "B0", "2019").otherwise("2020"))
+          .withColumn("mes", F.lit("01")))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_staging(df, str(tmp_path), "fhv")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = [f for f in (tmp_path / "fhv" / "anio=2020" / "mes=01").iterdir() if f.name.endswith(".parquet")]
+    assert len(hot) > 1
+    assert read_staging(spark, str(tmp_path), "fhv").count() == 200_000
