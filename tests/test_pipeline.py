@@ -224,3 +224,18 @@ def test_hot_period_write_is_split(spark, tmp_path):
     hot = [f for f in (tmp_path / "fhv" / "anio=2020" / "mes=01").iterdir() if f.name.endswith(".parquet")]
     assert len(hot) > 1
     assert read_staging(spark, str(tmp_path), "fhv").count() == 200_000
+
+
+def test_corrupt_file_is_named_not_crashed(spark, tmp_path):
+    from triplake.sources.scan import UnreadableFiles
+    root = tmp_path / "yellow"
+    _write_drifted(spark, str(root))
+    bad = root / "anio=2020" / "mes=06"
+    bad.mkdir(parents=True)
+    (bad / "broken.parquet").write_bytes(b"PAR1 not really parquet")
+    try:
+        read_raw(spark, str(root), "yellow")
+        raise AssertionError("expected UnreadableFiles")
+    except UnreadableFiles as e:
+        assert "broken.parquet" in str(e)
+    assert read_raw(spark, str(root), "yellow", skip_unreadable=True).count() == 3

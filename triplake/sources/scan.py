@@ -45,15 +45,22 @@ def _local_path(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+UNREADABLE = "unreadable"
+
+
 def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import pyarrow.parquet as pq
     for b in batches:
         rows = []
         for path in b["path"]:
-            filesystem, p = _local_path(path)
-            with filesystem.open_input_file(p) as fh:
-                meta = pq.ParquetFile(fh)
-                schema, n = meta.schema_arrow, meta.metadata.num_rows
+            try:
+                filesystem, p = _local_path(path)
+                with filesystem.open_input_file(p) as fh:
+                    meta = pq.ParquetFile(fh)
+                    schema, n = meta.schema_arrow, meta.metadata.num_rows
+            except Exception:  # noqa: BLE001 - a corrupt footer is reported, not a task crash
+                rows.append((path, None, None, None, UNREADABLE))
+                continue
             pairs = sorted((f.name.lower(), str(f.type)) for f in schema)
             fp = hashlib.sha1(repr(pairs).encode()).hexdigest()[:16]
             rows += [(path, name, typ, n, fp) for name, typ in pairs]
@@ -66,11 +73,23 @@ def footers(spark: SparkSession, root: str | list[str]) -> DataFrame:
     return files.mapInPandas(_read_footers, FOOTER_SCHEMA)
 
 
-def fingerprint_groups(footer_df: DataFrame) -> dict[str, list[str]]:
-    """fingerprint -> file paths.  Collects a file list only (one row per schema variant)."""
+class UnreadableFiles(RuntimeError):
+    """Some raw files have no readable Parquet footer."""
+
+
+def fingerprint_groups(footer_df: DataFrame, skip_unreadable: bool = False) -> dict[str, list[str]]:
+    """fingerprint -> file paths.  Collects a file list only (one row per schema variant).
+
+    Files without a readable footer stop the job with their names, unless ``skip_unreadable``
+    (then they are left out and can be listed with ``footer_df.where(fingerprint == 'unreadable')``).
+    """
     g = (footer_df.select("fingerprint", "path").distinct()
          .groupBy("fingerprint").agg(F.sort_array(F.collect_list("path")).alias("paths")))
-    return {r["fingerprint"]: list(r["paths"]) for r in g.collect()}
+    groups = {r["fingerprint"]: list(r["paths"]) for r in g.collect()}
+    bad = groups.pop(UNREADABLE, [])
+    if bad and not skip_unreadable:
+        raise UnreadableFiles(f"{len(bad)} file(s) without a readable Parquet footer: {bad[:20]}")
+    return groups
 
 
 def _base_path(root: str | list[str]) -> str:
@@ -79,14 +98,14 @@ def _base_path(root: str | list[str]) -> str:
     return re.split(r"/anio=", first.rstrip("/"), maxsplit=1)[0]
 
 
-def read_raw(spark: SparkSession, root: str | list[str], fmt: str, keep=()) -> DataFrame:
+def read_raw(spark: SparkSession, root: str | list[str], fmt: str, keep=(), skip_unreadable: bool = False) -> DataFrame:
     """Canonical rows of every raw file of one format under ``root`` plus ``source_anio/source_mes``.
 
     The period comes from partition discovery (``basePath`` = the format folder), so it is a
     per-file constant attached by the reader, not parsed per row; flat layouts fall back to
     the file path.
     """
-    groups = fingerprint_groups(footers(spark, root))
+    groups = fingerprint_groups(footers(spark, root), skip_unreadable)
     base = _base_path(root)
     parts = []
     for _, paths in sorted(groups.items()):
@@ -116,7 +135,8 @@ def type_drift(footer_df: DataFrame, declared: dict[str, str]) -> DataFrame:
     fam = F.when(F.col("physical_type").startswith("timestamp"), F.lit("timestamp")) \
            .when(F.col("physical_type").isin("large_string", "string"), F.lit("string")) \
            .otherwise(F.col("physical_type"))
-    per = (footer_df.withColumn("family", fam).groupBy("column_name", "family")
+    per = (footer_df.where(F.col("fingerprint") != UNREADABLE).withColumn("family", fam)
+           .groupBy("column_name", "family")
            .agg(F.countDistinct("path").alias("files")))
     j = per.join(F.broadcast(decl), "column_name", "left")     # built from the declared list: at most ~25 rows
     return (j.groupBy("column_name", "declared_type")
