@@ -167,7 +167,7 @@ def test_cli_clean_rebuild_increment_gaps(spark, tmp_path, capsys):
     raw, staging, mart, zones = (str(tmp_path / x) for x in ("raw", "staging", "mart", "zones"))
     write_raw_taxi(spark, SF_SMALL, raw)
     write_zone_csv(adapter.zones(spark, SF_SMALL), zones)
-    cli.main(["clean", "--raw", raw, "--staging", staging, "--formato", "taxi"])
+    cli.main(["clean", "--raw", raw, "--staging", staging, "--formato", "taxi", "--quarantine", str(tmp_path / "q")])
     cli.main(["rebuild", "--staging", staging, "--zones", zones, "--marts", mart])
     cli.main(["increment", "--staging", staging, "--zones", zones, "--marts", mart, "--anio", "2016", "--mes", "3"])
     cli.main(["gaps", "--raw", raw, "--as-of", "2012-01", "--formato", "yellow"])
@@ -179,6 +179,7 @@ def test_cli_clean_rebuild_increment_gaps(spark, tmp_path, capsys):
     assert lines[0]["yellow"] and lines[1]["mart_cuota_mercado_mensual"] > 0
     assert lines[2]["periodo"] == "2016-03" and lines[2]["staging_rows"] > 0
     assert "2009-01" in lines[3]["yellow"]
+    assert spark.read.parquet(str(tmp_path / "q" / "green")).count() > 0
 
 
 def test_source_period_is_a_partition_constant(spark, tmp_path):

@@ -36,6 +36,8 @@ def main(argv=None) -> None:
     c.add_argument("--anio")
     c.add_argument("--mes")
     c.add_argument("--force", action="store_true", help="reprocess periods already staged")
+    c.add_argument("--quarantine", help="folder for rejected rows with their reason")
+    c.add_argument("--skip-unreadable", action="store_true", help="leave out files without a readable footer")
     r = sub.add_parser("rebuild")
     i = sub.add_parser("increment")
     for p in (r, i):
@@ -62,7 +64,8 @@ def main(argv=None) -> None:
 
     spark = build_session(app=f"triplake-{a.cmd}", cluster=a.cluster)
     if a.cmd == "clean":
-        out = clean_periods(spark, a.raw, a.staging, a.formato, a.anio, a.mes, resume=not a.force)
+        out = clean_periods(spark, a.raw, a.staging, a.formato, a.anio, a.mes, resume=not a.force,
+                            quarantine_root=a.quarantine, skip_unreadable=a.skip_unreadable)
     elif a.cmd == "rebuild":
         out = inc.rebuild_marts(spark, inc.load_staging(spark, a.staging, read_zone_csv(spark, a.zones)), a.marts)
     elif a.cmd == "increment":

@@ -72,7 +72,7 @@ def processed_log(staging_root: str, fmt: str) -> str:
 
 def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None = None, anio: str | None = None,
                   mes: str | None = None, order_by=(), keep=(), resume: bool = True,
-                  quarantine_root: str | None = None) -> dict[str, list[str]]:
+                  quarantine_root: str | None = None, skip_unreadable: bool = False) -> dict[str, list[str]]:
     """The cleaning job: raw ``<raw_root>/<fmt>/anio=/mes=/`` -> staging, one distributed job per format.
 
     ``resume`` skips periods already processed (R3): those with staged files, and those in the
@@ -99,7 +99,8 @@ def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None =
         todo = sorted((r["anio"], r["mes"]) for r in periods.collect())      # period list only
         if todo:
             dirs = [f"{root}/anio={a}/mes={m}" for a, m in todo]
-            rows, rejected = clean(read_raw(spark, dirs, fmt, keep=keep), fmt, order_by=order_by, keep=keep)
+            raw = read_raw(spark, dirs, fmt, keep=keep, skip_unreadable=skip_unreadable)
+            rows, rejected = clean(raw, fmt, order_by=order_by, keep=keep)
             write_staging(rows, staging_root, fmt)
             if quarantine_root:
                 write_quarantine(rejected, quarantine_root, fmt)
