@@ -30,7 +30,10 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def _cores(spark: SparkSession) -> int:
     """Hash partitions for the raw writes: each month lands in one task (one file), months spread over the cores."""
-    return spark.sparkContext.defaultParallelism
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
 def _even_month(c: str = "mes") -> F.Column:

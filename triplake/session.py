@@ -70,7 +70,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses ``spark.checkpoint.dir`` from the session (the cluster names a shared folder there).
     Only a local-mode session without the setting gets a private folder, as in tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): the server names the folder
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return d
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         if not sc.master.startswith("local"):
