@@ -686,3 +686,8 @@ v AS (
 SELECT formato, CAST(COUNT(DISTINCT anio || '-' || mes) * MAX(files_per_month) AS BIGINT) AS archivos,
   COUNT(*) AS filas, MIN(anio || '-' || mes) AS primer_periodo, MAX(anio || '-' || mes) AS ultimo_periodo
 FROM v GROUP BY formato""", TRIPS_TAXI, TRIPS_FHV)
+
+ORACLE["staging_period_rows"] = with_views("""
+SELECT anio, mes, COUNT(*) AS total_filas FROM (
+  SELECT anio, mes FROM trips_taxi UNION ALL SELECT anio, mes FROM trips_fhvhv UNION ALL SELECT anio, mes FROM trips_fhv
+) u GROUP BY anio, mes""", TRIPS_TAXI, TRIPS_FHVHV, TRIPS_FHV)

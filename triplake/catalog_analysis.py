@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from triplake.operators import marts, measures as M, profile as P
 from triplake.operators import quality as Q
 from triplake.operators.normalize import normalize
+from triplake.plans.incremental import rows_per_period
 from triplake.sources import adapter
 from triplake.sources.files import expected_periods, missing_periods, pending_periods
 
@@ -170,6 +171,7 @@ QUERIES = {
     "question_weekday_weekend_night": lambda s, r: M.weekday_weekend_night(_temporal(s, r)),
     "question_revenue_per_mile_minute": lambda s, r: M.revenue_per_mile_minute(adapter.trips_taxi(s, r),
                                                                                 adapter.trips_fhvhv(s, r)),
+    "staging_period_rows": lambda s, r: rows_per_period(adapter.trip_tables(s, r)),
     "missing_periods": missing_periods_q,
     "pending_periods": pending_periods_q,
 }

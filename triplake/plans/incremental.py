@@ -129,6 +129,15 @@ def staging_rows_for_period(tables: dict[str, DataFrame], anio: str, mes: str) -
     return u.count()
 
 
+def rows_per_period(tables: dict[str, DataFrame]) -> DataFrame:
+    """J5 for every period at once: rows of the three staging tables per (anio, mes), summed."""
+    u = None
+    for k in ("taxi", "fhvhv", "fhv"):
+        part = tables[k].select("anio", "mes")
+        u = part if u is None else u.unionByName(part)
+    return u.groupBy("anio", "mes").agg(F.count(F.lit(1)).alias("total_filas"))
+
+
 def normalise_period(anio, mes) -> tuple[str, str]:
     return str(anio).strip(), str(mes).strip().zfill(2)
 
