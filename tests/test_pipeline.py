@@ -240,3 +240,13 @@ def test_corrupt_file_is_named_not_crashed(spark, tmp_path):
     except UnreadableFiles as e:
         assert "broken.parquet" in str(e)
     assert read_raw(spark, str(root), "yellow", skip_unreadable=True).count() == 3
+
+
+def test_cli_stream_available_now(spark, tmp_path, capsys):
+    from triplake import cli
+    raw, staging, ckpt = (str(tmp_path / x) for x in ("raw", "staging", "ckpt"))
+    write_raw_fhv(spark, SF_SMALL, raw)
+    cli.main(["stream", "--raw", f"{raw}/fhv", "--staging", staging, "--formato", "fhv", "--checkpoint", ckpt,
+              "--available-now"])
+    assert '"stopped"' in capsys.readouterr().out
+    assert read_staging(spark, staging, "fhv").count() > 0
