@@ -677,7 +677,7 @@ WHERE s.formato IS NULL"""),
 })
 
 
-# raw folders written by the pipeline queries: one file per month for taxi, two per month for fhv (two layouts)
+# raw folders written by the job queries: one file per month for taxi, two per month for fhv (two layouts)
 ORACLE["profile_volume_files"] = with_views("""
 v AS (
   SELECT tipo_taxi AS formato, anio, mes, 1 AS files_per_month FROM trips_taxi

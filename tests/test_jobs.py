@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from triplake.catalog_pipeline import write_raw_fhv, write_raw_taxi, _staging_from_views
+from triplake.catalog_jobs import write_raw_fhv, write_raw_taxi, _staging_from_views
 from triplake.operators import marts
 from triplake.plans import incremental as inc
 from triplake.plans.clean import clean_periods, expand_formats

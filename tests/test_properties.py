@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from triplake.catalog_pipeline import write_raw_taxi
+from triplake.catalog_jobs import write_raw_taxi
 from triplake.functions.casts import safe_long
 from triplake.operators import quality as Q
 from triplake.operators.dedup import dedup

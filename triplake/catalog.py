@@ -50,9 +50,9 @@ QUERIES: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    from triplake import catalog_analysis, catalog_pipeline, catalog_rules
+    from triplake import catalog_analysis, catalog_jobs, catalog_rules
     out = dict(QUERIES)
     out.update(catalog_rules.QUERIES)
     out.update(catalog_analysis.QUERIES)
-    out.update(catalog_pipeline.QUERIES)
+    out.update(catalog_jobs.QUERIES)
     return out
