@@ -35,10 +35,13 @@ C_STEPS = 4
 SKETCH = 2000            # accuracy of the per-group distance quantiles
 TAIL_Z = 5.0             # normal quantile of the rejection cutoff (about 3e-7 of a normal group lies beyond)
 REWEIGHT_Z = 1.959964    # normal quantile 0.975
-# Smallest standard deviation assumed along each statistic: keeps the estimate regular where more than
-# SUPPORT of a group have the same value (no symbols, no repeated lines).
-FLOOR = {"x_len": 0.06, "x_sym": 0.05, "x_upper": 0.05, "x_dup": 0.08, "x_rep": 0.07, "x_uniq": 0.08}
+# Smallest standard deviation assumed along each statistic: keeps the estimate regular where more than SUPPORT of a
+# group have the same value (no symbols, no repeated lines), and says which difference is worth noting at all.
+FLOOR = {"x_len": 0.06, "x_sym": 0.04, "x_upper": 0.04, "x_dup": 0.2, "x_rep": 0.15, "x_uniq": 0.05}
 STATS = list(FLOOR)
+# Words of typical text (letters, capitals, different words a word) that are added to every document before its
+# statistics are taken, so that a few words of a short text do not make an outlier.
+PRIOR_WORDS, PRIOR_CHARS, PRIOR_UPPER = 30, 5.0, 0.08
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -80,15 +83,16 @@ def document_statistics(docs: DataFrame, *keep: str) -> DataFrame:
         return F.asin(F.sqrt(F.least(F.lit(1.0), F.coalesce(F.try_divide(a, b), F.lit(0.0)))))
 
     nw = F.greatest(F.col("n_words"), F.lit(1))
+    more, chars = F.col("n_words") + PRIOR_WORDS, F.col("word_chars") + PRIOR_WORDS * PRIOR_CHARS
     return d.select(
         *keep, *BASE,
-        F.log(F.greatest(F.col("word_chars"), F.lit(1)) / nw).alias("x_len"),
-        share(F.col("n_symbols"), F.col("word_chars")).alias("x_sym"),
-        share(F.col("__upper"), F.col("word_chars")).alias("x_upper"),
+        F.log(chars / more).alias("x_len"),
+        share(F.col("n_symbols"), chars).alias("x_sym"),
+        share(F.col("__upper") + PRIOR_WORDS * PRIOR_UPPER, chars).alias("x_upper"),
         share(F.col("n_dup_lines"), F.col("__nl")).alias("x_dup"),
         share(F.col("n_repeat_words"), nw).alias("x_rep"),
-        # number of different words against the length of the text (a constant slope of Heaps' law)
-        (F.log(F.greatest(F.col("__uniq"), F.lit(1))) - 0.9 * F.log(nw)).alias("x_uniq"),
+        # different words against the length of the text (a constant slope of Heaps' law)
+        (F.log(F.col("__uniq") + F.lit(0.9 * PRIOR_WORDS)) - 0.9 * F.log(more)).alias("x_uniq"),
     )
 
 
@@ -168,9 +172,10 @@ def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
 
 
 def _rescaled(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """``params`` with a scale that puts the group's median distance at the chi-square median."""
+    """``params`` with a scale that puts the group's median distance at the chi-square median (never enlarging it:
+    floored statistics make the median small)."""
     med = _distance(rows, params).groupBy("g").agg(F.percentile_approx("d2", 0.5, SKETCH).alias("__med"))
-    return params.join(med, "g").withColumn("scale", F.greatest(F.lit(0.05), F.coalesce(
+    return params.join(med, "g").withColumn("scale", F.greatest(F.lit(1.0), F.coalesce(
         F.col("__med"), F.lit(1.0)) / chi2_quantile(len(STATS), 0.0))).drop("__med")
 
 
