@@ -38,7 +38,8 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_files.crc32_ids(token_files.encode_and_read(docs, public_tokenizers.path(BYTE_BPE)))
+    return token_files.encode_and_read(docs, public_tokenizers.path(BYTE_BPE), "ids_crc32 bigint",
+                                       token_files.crc32_ids)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,14 +22,15 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import arrow_batches, scratch
@@ -38,12 +39,18 @@ from .files import write_whole
 MAGIC = b"SVBRANK1"
 END_ID = 2
 FILE_TOKENS = 4 << 20
-CACHE_CHUNKS = 800_000
-_UNSAFE = re.compile(r"\s ")             # a space after white space: cutting there could change the pre-tokens
+CACHE_CHUNKS = 700_000
+CACHE_PIECES = 600_000
+# A space after white space: cutting there could change the pre-tokens.
+_UNSAFE_ASCII = [c + " " for c in " \n\t\r\x0b\x0c\x1c\x1d\x1e\x1f"]
+_UNSAFE = re.compile(r"\s ")
+# Pieces that the byte-level split never joins: letters with their leading space, then what is neither letter,
+# digit nor white space. Chunks of another form are encoded as they are.
+_PIECES = regex.compile(r"( ?\p{L}+)([^\s\p{L}\p{N}']*)")
 
 
 class ChunkEncoder:
-    """A tokenizers file with a bounded cache from chunk to its ids (uint32 bytes)."""
+    """A tokenizers file with bounded caches from text chunk to its ids (uint32 bytes)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -51,24 +58,71 @@ class ChunkEncoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
-
-    def chunks(self, text: str) -> list[str]:
-        if any(s in text for s in self.specials) or _UNSAFE.search(text) or text.startswith(" "):
+        self.later: dict[str, bytes] = {}                # chunks behind a space, without it
+        self.pieces: dict[str, bytes] = {}
+        stop = self.ids(["\n"])[0]
+        # a line feed is one token of its own between words, so many pieces can be encoded as lines of one text
+        self.stop = int(np.frombuffer(stop, np.uint32)[0]) if len(stop) == 4 else None
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes()
+                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def words(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces without white space but for a leading space."""
+        if self.stop is None or not pieces:
+            return self.ids(pieces)
+        all_ids = np.array(self.tok.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)[0].ids, np.uint32)
+        cuts = np.flatnonzero(all_ids == self.stop)
+        if len(cuts) != len(pieces) - 1:
+            return self.ids(pieces)
+        data, cuts = all_ids.tobytes(), (cuts * 4).tolist()
+        return [data[i:j] for i, j in zip([0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True)]
+
+    def cut(self, text: str | None) -> list[str]:
+        """The text's chunks between spaces; one chunk where cutting is not safe."""
+        if not text:
+            return []
+        unsafe = any(c in text for c in _UNSAFE_ASCII) if text.isascii() else _UNSAFE.search(text)
+        if unsafe or text[0] == " " or any(s in text for s in self.specials):
             return [text]
-        return text.replace(" ", "\x00 ").split("\x00") if "\x00" not in text else [text]
-
-    def learn(self, chunks) -> None:
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        new = [c for c in set(chunks) if c not in self.cache]
-        for e, c in zip(self.tok.encode_batch_fast(new, add_special_tokens=False), new, strict=True):
-            self.cache[c] = np.array(e.ids, np.uint32).tobytes()
+        return text.split(" ")
+
+    def learn(self, chunks: set[str]) -> None:
+        """Fill ``later`` for chunks behind a space."""
+        if len(self.later) + len(chunks) > CACHE_CHUNKS:
+            self.later.clear()
+        if len(self.pieces) > CACHE_PIECES:
+            self.pieces.clear()
+        parted = {c: m.groups() for c in chunks if (m := _PIECES.fullmatch(" " + c))}
+        new = list({p for g in parted.values() for p in g if p}.difference(self.pieces))
+        self.pieces.update(zip(new, self.words(new), strict=True))
+        got = self.pieces
+        self.later.update((c, got[a] + got[b] if b else got[a]) for c, (a, b) in parted.items())
+        rest = [c for c in chunks if c not in parted]
+        self.later.update(zip(rest, self.ids([" " + c for c in rest]), strict=True))
+
+    def learn_missing(self, chunks: set[str]) -> None:
+        missing = chunks.difference(self.later)
+        before = len(self.later)
+        self.learn(missing)
+        if len(self.later) < before + len(missing):      # the cache was emptied
+            self.learn(chunks.difference(self.later))
+
+    def known(self, chunks) -> list[bytes]:
+        """Ids of chunks behind a space, in their order; all of them are in the cache afterwards."""
+        self.learn_missing(set(chunks))
+        return list(map(self.later.__getitem__, chunks))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [self.chunks(t) if t else [] for t in texts]
-        self.learn(c for cs in cut for c in cs)
-        return [np.frombuffer(b"".join(map(self.cache.__getitem__, cs)), np.uint32) for cs in cut]
+        parts = [self.cut(t) for t in texts]
+        later = [p[1:] for p in parts]
+        self.learn_missing(set().union(*later))
+        starts = self.ids([p[0] for p in parts if p])
+        heads = iter(starts)
+        get = self.later.__getitem__
+        return [np.frombuffer(b"".join([next(heads), *map(get, rest)]) if p else b"", np.uint32)
+                for p, rest in zip(parts, later, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -103,26 +157,35 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return v & MASKS[lengths]
 
 
+def _added(total: np.ndarray, enc: ChunkEncoder, starts: Counter, later: Counter) -> np.ndarray:
+    """``total`` plus the id counts of counted chunks (exact: whole numbers below 2^53); empties the counters."""
+    for counter, ids in ((starts, enc.ids(list(starts))), (later, enc.known(later.keys()))):
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        weights = np.repeat(np.fromiter(counter.values(), np.float64), [len(x) // 4 for x in ids])
+        n = np.bincount(flat, weights, max(len(total), int(flat.max(initial=0)) + 1))
+        n[:len(total)] += total
+        total = n
+        counter.clear()
+    return total
+
+
 def count_ids(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(id, n): how often each id occurs over all texts, end ids included."""
     arrow_batches(docs.sparkSession)
 
     def run(batches):
-        enc, total, ends = encoder(tokenizer), np.zeros(0, np.int64), 0
+        enc, seen, total = encoder(tokenizer), (Counter(), Counter()), np.zeros(END_ID + 1)
         for b in batches:
-            texts = b.column(0).to_pylist()
-            ids = enc.encode(texts)
-            n = np.bincount(np.concatenate([np.zeros(0, np.uint32), *ids]))
-            if len(n) > len(total):
-                n[:len(total)] += total
-                total = n
-            else:
-                total[:len(n)] += n
-            ends += len(texts)
-        total = np.pad(total, (0, max(0, END_ID + 1 - len(total))))
-        total[END_ID] += ends
+            parts = [enc.cut(t) for t in b.column(0).to_pylist()]
+            seen[0].update(p[0] for p in parts if p)
+            for p in parts:
+                seen[1].update(p[1:])
+            total[END_ID] += len(parts)
+            if len(seen[0]) + len(seen[1]) > CACHE_CHUNKS:
+                total = _added(total, enc, *seen)
+        total = _added(total, enc, *seen)
         k = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(total[k], pa.int64())], ["id", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(total[k].astype(np.int64))], ["id", "n"])
 
     return docs.select("text").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
@@ -189,8 +252,11 @@ def read_file(content: bytes) -> tuple[int, int, np.ndarray, np.ndarray, np.ndar
     return part, first, ids, nulls, counts, unpack(content[at:at + quads], content[at + quads:at + quads + size], n)
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """Per document of the files: doc_id, start, n_tokens, ids (array of int)."""
+def read(spark: SparkSession, folder: str, column: str = "ids array<int>", of=None) -> DataFrame:
+    """Per document of the files: doc_id, part, first (of its file), at (ids of the file before it), n_tokens, ids.
+
+    ``of`` maps the ids of one document (uint32) to the value of ``column`` instead, in the task that decodes them.
+    """
     arrow_batches(spark, 1)
     table = spark.read.format("binaryFile").option("pathGlobFilter", "ranks.u32").load(folder).select("content").first()
     by_rank = np.frombuffer(table["content"], "<u4") if table else np.zeros(0, np.uint32)
@@ -200,23 +266,22 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
             for content in b.column(0):
                 part, first, ids, nulls, counts, ranks = read_file(content.as_py())
                 ends = np.cumsum(counts)
-                n = len(ids)
-                # a few MB of ids a batch, whatever the file holds
+                # half a million ids a batch, whatever the file holds
                 cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1], 1 << 19), side="right"))
-                for a, z in zip(cuts, [*cuts[1:], n], strict=True):
+                for a, z in zip(cuts, [*cuts[1:], len(ids)], strict=True):
                     lo = ends[a] - counts[a]
-                    flat = by_rank[ranks[lo:ends[z - 1]]].astype(np.int32)
-                    offsets = np.concatenate([[0], ends[a:z] - lo]).astype(np.int32)
+                    flat = by_rank[ranks[lo:ends[z - 1]]]
+                    off = np.concatenate([[0], ends[a:z] - lo]).astype(np.int32)
+                    last = (pa.ListArray.from_arrays(off, flat.astype(np.int32)) if of is None else
+                            pa.array([of(flat[i:j]) for i, j in zip(off[:-1], off[1:], strict=True)]))
                     yield pa.RecordBatch.from_arrays([
                         pa.array(ids[a:z], mask=nulls[a:z].astype(bool)), pa.array(np.full(z - a, part), pa.int64()),
                         pa.array(np.full(z - a, first), pa.int64()), pa.array(ends[a:z] - counts[a:z], pa.int64()),
-                        pa.array(counts[a:z], pa.int64()), pa.array(np.full(z - a, ends[-1]), pa.int64()),
-                        pa.ListArray.from_arrays(offsets, flat)],
-                        ["doc_id", "part", "first", "at", "n_tokens", "file_tokens", "ids"])
+                        pa.array(counts[a:z], pa.int64()), last],
+                        ["doc_id", "part", "first", "at", "n_tokens", column.split()[0]])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.svb").load(folder).select("content")
-    return files.mapInArrow(run, "doc_id bigint, part bigint, first bigint, at bigint, n_tokens bigint, "
-                                 "file_tokens bigint, ids array<int>")
+    return files.mapInArrow(run, f"doc_id bigint, part bigint, first bigint, at bigint, n_tokens bigint, {column}")
 
 
 def file_starts(spark: SparkSession, folder: str) -> DataFrame:
@@ -239,29 +304,17 @@ def file_starts(spark: SparkSession, folder: str) -> DataFrame:
         "part", "first", (F.col("__p") + F.col("__f")).alias("base"))
 
 
-def crc32_ids(df: DataFrame) -> DataFrame:
-    """Adds ids_crc32 (crc32 of the ids as little-endian uint32) and drops the ids."""
-    kept = [f for f in df.schema.fields if f.name != "ids"]
-
-    def run(batches):
-        for b in batches:
-            col = b.column(b.schema.get_field_index("ids"))
-            flat, off = col.flatten().to_numpy(zero_copy_only=False).astype("<u4"), col.offsets.to_numpy()
-            off = off - off[0]
-            crc = [zlib.crc32(flat[s:e].tobytes()) for s, e in zip(off[:-1], off[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in kept), pa.array(crc, pa.int64())],
-                                             [*(f.name for f in kept), "ids_crc32"])
-
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField("ids_crc32", T.LongType())]))
+def crc32_ids(ids: np.ndarray) -> int:
+    """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
+    return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def encode_and_read(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Write the token files of ``docs`` to the shared folder, read them back: doc_id, start, n_tokens, ids."""
+def encode_and_read(docs: DataFrame, tokenizer: str, column: str = "ids array<int>", of=None) -> DataFrame:
+    """Write the token files of ``docs`` to the shared folder, read them back: doc_id, start, n_tokens, column."""
     spark = docs.sparkSession
     folder = scratch(spark, "tokens")
     if not write(docs, folder, tokenizer):
-        return spark.createDataFrame([], "doc_id bigint, start bigint, n_tokens bigint, ids array<int>")
-    rows = read(spark, folder)
+        return spark.createDataFrame([], f"doc_id bigint, start bigint, n_tokens bigint, {column}")
     starts = file_starts(spark, folder)
-    return rows.join(starts, ["part", "first"]).select(
-        "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids")
+    return read(spark, folder, column, of).join(starts, ["part", "first"]).select(
+        "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", column.split()[0])
