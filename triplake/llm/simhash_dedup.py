@@ -10,8 +10,10 @@ is not probed). Every fingerprint gets its own thresholds from a dynamic program
 minimises probes plus estimated candidates; the estimate is the number of fingerprints with the same value in the
 partition (threshold 0) and, for each further value probed, the partition's mean. So crowded values are
 left out and the threshold goes to other partitions. Probes are joined with the (partition, value) index
-and candidates are verified by the bit distance inside the join. Components come from min-label propagation with
-pointer jumping, on nodes named by the smallest document id of their fingerprint.
+and candidates are verified by the bit distance inside the join; a pair is taken from its larger fingerprint and in
+the first partition that finds it, so it appears once. Components contract the links: every fingerprint goes to its
+smallest neighbour, then to the root of that chain, and the links between different roots are the next, smaller
+graph, so a group of near copies is one node after the first round.
 
 Defined results: null text or a text without words has fingerprint zero and links like any other; rows with a
 null id are fingerprinted, link their component, and take its id (null if no member has one); equal rows
@@ -176,6 +178,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, m: int = PARTITIONS) -> Data
                     seen = n + (tried - 1) * (total / 2.0 ** widths[i]) * mean.get(i, 1.0)
                     cost[:, i, t + 1] = PROBE_COST * tried + seen
             chosen = allocate(cost, distance - m + 1)
+            packed = ((chosen + 1) << 4 * np.arange(m)).sum(axis=1)
             for i, g in enumerate(groups):
                 value = gather(fp.view(np.uint64), g)
                 for t in range(distance + 1):
@@ -185,31 +188,49 @@ def links(fps: DataFrame, distance: int = DISTANCE, m: int = PARTITIONS) -> Data
                         w = who[k:k + step]
                         v = (value[w][:, None] ^ flips[i][t][None, :]).ravel()
                         yield pa.RecordBatch.from_arrays([
-                            pa.array(np.full(len(v), i, np.int32)), pa.array(v),
-                            pa.array(np.repeat(fp[w], len(flips[i][t])))], ["part", "value", "a"])
-
-    asked = own.mapInArrow(probes, "part int, value bigint, a bigint")
-    found = asked.join(index.withColumnRenamed("fp", "b"), ["part", "value"]).where(
-        (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance))
-    return found.select("a", "b").distinct()
+                            pa.array(np.full(len(v), i, np.int32)), pa.array(v), pa.array(np.repeat(
+                                fp[w], len(flips[i][t]))), pa.array(np.repeat(packed[w], len(flips[i][t])))],
+                            ["part", "value", "a", "t"])
+
+    asked = own.mapInArrow(probes, "part int, value bigint, a bigint, t bigint")
+    differ = F.col("a").bitwiseXOR(F.col("b"))
+    first = F.lit(True)
+    for i, g in enumerate(groups[:-1]):                   # no earlier partition has found the pair
+        mask = int(np.uint64(sum(1 << b for b in g)).astype(np.int64))
+        apart = F.bit_count(differ.bitwiseAND(F.lit(mask))) >= F.shiftright("t", 4 * i).bitwiseAND(F.lit(15))
+        first = first & ((F.col("part") <= i) | apart)
+    return asked.join(index.withColumnRenamed("fp", "b"), ["part", "value"]).where(
+        (F.col("a") > F.col("b")) & (F.bit_count(differ) <= distance) & first).select("a", "b")
+
+
+def _chased(step: DataFrame) -> DataFrame:
+    """(node, root) with every root followed to the end of its chain (chains halve each time)."""
+    while True:
+        over = step.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        step = written(step.join(over, "root").select("node", F.col("next").alias("root"),
+                                                      (F.col("next") != F.col("root")).alias("moved")), "roots")
+        if not step.where("moved").limit(1).count():
+            return step.select("node", "root")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): connected components of ``edges`` (a, b), root is the smallest node; nodes with edges only."""
-    both = written(edges.select("a", "b").union(edges.select("b", "a")), "edges")
-    label = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("root"))
-    label = written(label, "labels")
+    edges, label = written(edges, "edges"), None
     while True:
-        # smallest label among the neighbours, then the label of the label (halves the distance to the root)
-        near = both.join(label.select(F.col("node").alias("b"), "root"), "b").groupBy(
-            F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        step = label.join(near, "node").select("node", "root", F.least("root", "near").alias("low"))
-        jump = label.select(F.col("node").alias("low"), F.col("root").alias("over"))
-        step = step.join(jump, "low").select("node", F.col("root").alias("was"), F.least("low", "over").alias("root"))
-        step = written(step, "labels")
-        moved = step.where("was <> root").limit(1).count()
-        label = step.select("node", "root")
-        if not moved:
+        both = edges.select(F.col("a").alias("node"), F.col("b").alias("near")).union(edges.select("b", "a"))
+        low = both.groupBy("node").agg(F.min("near").alias("near"))
+        step = _chased(written(low.select("node", F.least("node", "near").alias("root")), "roots"))
+        if label is None:
+            label = step
+        else:
+            over = step.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            label = written(label.join(over, "root", "left").select("node", F.coalesce("next", "root").alias("root")),
+                            "labels")
+        left = edges.join(step.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(
+            step.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b").where("ra <> rb")
+        edges = written(left.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(),
+                        "edges")
+        if not edges.limit(1).count():
             return label
 
 
