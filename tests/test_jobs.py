@@ -5,7 +5,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+import pytest
+from conftest import SF_SMALL, plan_text
 from triplake.catalog_jobs import write_raw_fhv, write_raw_taxi, _staging_from_views
 from triplake.operators import marts
 from triplake.plans import incremental as inc
@@ -250,3 +251,62 @@ def test_cli_stream_available_now(spark, tmp_path, capsys):
               "--available-now"])
     assert '"stopped"' in capsys.readouterr().out
     assert read_staging(spark, staging, "fhv").count() > 0
+
+
+def _raw_month(spark, root, fare: float, n: int = 5):
+    rows = [(i, f"2020-01-0{i + 1} 10:00:00", f"2020-01-0{i + 1} 10:30:00", 1.0, fare, 1, 2) for i in range(n)]
+    df = spark.createDataFrame(rows, "VendorID int, a string, b string, trip_distance double, fare_amount double, "
+                                     "PULocationID int, DOLocationID int")
+    df.select("VendorID", F.col("a").cast("timestamp_ntz").alias("tpep_pickup_datetime"),
+              F.col("b").cast("timestamp_ntz").alias("tpep_dropoff_datetime"), "trip_distance", "fare_amount",
+              "PULocationID", "DOLocationID").coalesce(1).write.mode("overwrite").parquet(
+        f"{root}/yellow/anio=2020/mes=01")
+
+
+def test_forced_rerun_empties_a_period_whose_rows_are_all_rejected(spark, tmp_path):
+    from triplake.sources.sinks import read_staging
+    raw, staging = str(tmp_path / "raw"), str(tmp_path / "staging")
+    _raw_month(spark, raw, 10.0)
+    clean_periods(spark, raw, staging, "yellow")
+    assert read_staging(spark, staging, "taxi").count() == 5
+    _raw_month(spark, raw, -1.0)                           # every fare negative
+    assert clean_periods(spark, raw, staging, "yellow", resume=False, quarantine_root=str(tmp_path / "q")) == {
+        "yellow": ["2020-01"]}
+    assert read_staging(spark, staging, "taxi").count() == 0
+    assert spark.read.parquet(str(tmp_path / "q" / "yellow")).count() == 5
+
+
+def test_skipped_unreadable_month_stays_pending(spark, tmp_path):
+    raw, staging = tmp_path / "raw", str(tmp_path / "staging")
+    _raw_month(spark, str(raw), 10.0)
+    bad = raw / "yellow" / "anio=2020" / "mes=02"
+    bad.mkdir(parents=True)
+    (bad / "x.parquet").write_bytes(b"not parquet at all")
+    first = clean_periods(spark, str(raw), staging, "yellow", skip_unreadable=True)
+    assert len(first["yellow_unreadable"]) == 1 and "mes=02" in first["yellow_unreadable"][0]
+    (bad / "x.parquet").unlink()
+    spark.read.parquet(str(raw / "yellow" / "anio=2020" / "mes=01")).write.mode("overwrite").parquet(str(bad))
+    assert clean_periods(spark, str(raw), staging, "yellow")["yellow"] == ["2020-02"]   # processed on the next run
+
+
+def test_rebuild_from_a_wrong_staging_path_keeps_the_marts(spark, tmp_path):
+    from triplake.plans import incremental as inc
+    from triplake.sources import adapter
+    with pytest.raises(FileNotFoundError):
+        inc.load_staging(spark, str(tmp_path / "nothing"), adapter.zones(spark, SF_SMALL))
+
+
+def test_cleaning_pushes_the_year_window_to_the_scan(spark, tmp_path):
+    from triplake.plans.clean import clean
+    from triplake.sources.scan import read_raw
+    raw = str(tmp_path / "raw")
+    _raw_month(spark, raw, 10.0)
+    plan = plan_text(clean(read_raw(spark, f"{raw}/yellow", "yellow"), "yellow")[0])
+    assert "GreaterThanOrEqual(tpep_pickup_datetime" in plan and "LessThan" in plan
+
+
+def test_state_skips_nan_and_values_beyond_the_decimal(spark):
+    from triplake.plans import incremental as inc
+    df = spark.createDataFrame([("2020", 1.0), ("2020", float("nan")), ("2020", 1e17)], "anio string, tarifa double")
+    r = df.groupBy("anio").agg(inc._exact_sum("tarifa").alias("s"), inc._exact_count("tarifa").alias("c")).first()
+    assert float(r.s) == 1.0 and r.c == 1

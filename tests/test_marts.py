@@ -88,15 +88,19 @@ def test_share_is_double_with_two_decimals(spark):
     assert out == {"fhvhv": 66.67, "yellow": 33.33}
 
 
-def test_broadcast_only_within_bound(spark):
-    from triplake.operators.joins import bounded_broadcast
-    z = adapter.zones(spark, SF_SMALL)
-    assert bounded_broadcast(z, max_rows=100) is not z          # 25 rows: hinted
-    assert bounded_broadcast(z, max_rows=10) is z               # over the bound: left to Catalyst/AQE
-    big = spark.range(0, 5000).withColumn("id2", F.col("id"))
-    hinted = plan_text(spark.range(0, 100).join(bounded_broadcast(big, max_rows=10000), "id"), "extended")
-    unhinted = plan_text(spark.range(0, 100).join(bounded_broadcast(big, max_rows=1000), "id"), "extended")
-    assert "strategy=broadcast" in hinted and "strategy=broadcast" not in unhinted
+def test_building_a_query_starts_no_aggregation_job(spark):
+    """The plan is static: no row counts while a mart or a question is being built."""
+    from triplake import catalog
+    sc = spark.sparkContext
+    before = {n: len(sc.statusTracker().getJobIdsForGroup(n)) for n in ("build",)}
+    sc.setJobGroup("build", "build")
+    warm = catalog.q_market_share(spark, SF_SMALL)
+    read = len(sc.statusTracker().getJobIdsForGroup("build"))
+    assert warm.columns and before["build"] == 0
+    catalog.queries()["question_year_on_year"](spark, SF_SMALL)
+    again = len(sc.statusTracker().getJobIdsForGroup("build")) - read
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert again <= read            # schema reads only, as many as the mart below it needs
 
 
 def test_staging_write_rebalances_on_partition_columns(spark, tmp_path):

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from triplake.functions.dates import iso_weekday, weekday_name
 from triplake.functions.numeric import mean, nz_sum, ratio, round2
-from triplake.operators.joins import bounded_broadcast
 from triplake.schema import DEMAND_TAXI_MIN_ANIO, FHVHV_AMOUNT_PARTS
 
 MARTS = ("mart_cuota_mercado_mensual", "mart_kpis_financieros",
@@ -151,10 +150,11 @@ def demand_by_ids(trips: DataFrame, extra=(), exact: str | None = None) -> DataF
     ``exact`` names a decimal type to sum in (used by the monthly state, so merges are exact).
     """
     def s(c):
-        return F.sum(F.col(c).cast(exact) if exact else F.col(c))
+        return F.sum(F.col(c).try_cast(exact) if exact else F.col(c))
     return (trips.groupBy("anio", *extra, "tipo_servicio", "pulocationid", "dolocationid")
                  .agg(F.count(F.lit(1)).alias("n"),
-                      s("millas").alias("s_millas"), F.count("millas").alias("c_millas"),
+                      s("millas").alias("s_millas"),
+                      F.count(F.col("millas").try_cast(exact) if exact else F.col("millas")).alias("c_millas"),
                       s("monto").alias("s_monto")))
 
 
@@ -164,16 +164,13 @@ def zone_labels(zones: DataFrame, prefix: str) -> DataFrame:
 
 
 def label_demand(by_ids: DataFrame, zones: DataFrame, extra=()) -> DataFrame:
-    """Two left joins to the (size-checked, broadcast) lookup, then re-group by label.
+    """Two left joins to the lookup (broadcast while it is below Spark's threshold), then re-group by label.
 
     Several ids may share a label and unmatched ids collapse to 'Unknown', so the
     re-aggregation adds the carried sums and counts; averages are finalised last.
     Duplicated lookup ids multiply rows exactly as the row-level join would.
     """
-    small = bounded_broadcast(zones) is not zones          # one size check for both aliases
     pu, do = zone_labels(zones, "pu"), zone_labels(zones, "do")
-    if small:
-        pu, do = F.broadcast(pu), F.broadcast(do)
     j = (by_ids.join(pu, by_ids.pulocationid == pu.pu_id, "left")
                .join(do, by_ids.dolocationid == do.do_id, "left"))
     unknown = F.lit("Unknown")

@@ -67,8 +67,7 @@ def top_pickup_borough(demand: DataFrame) -> DataFrame:
 def top_airport_corridor(demand: DataFrame, zones: DataFrame, airport_service_zones=AIRPORT_SERVICE_ZONES) -> DataFrame:
     """(pickup borough -> airport zone) pair with most trips."""
     airports = zones.where(F.col("service_zone").isin(*airport_service_zones)).select(F.col("zone").alias("do_zone")).distinct()
-    from triplake.operators.joins import bounded_broadcast
-    c = (demand.join(bounded_broadcast(airports), "do_zone", "left_semi")      # lookup subset: size-checked
+    c = (demand.join(airports, "do_zone", "left_semi")
                .groupBy("pu_borough", "do_zone").agg(F.sum("total_viajes").alias("viajes")))
     return c.orderBy(F.col("viajes").desc(), "pu_borough", "do_zone").limit(1)
 
@@ -139,8 +138,7 @@ def year_on_year(share: DataFrame) -> DataFrame:
     d = share.select("tipo_servicio", F.to_date(F.concat_ws("-", "anio", "mes", F.lit("01"))).alias("d"), "total_viajes")
     bounds = d.groupBy("tipo_servicio").agg(F.min("d").alias("d0"), F.max("d").alias("d1"))
     cal = bounds.select("tipo_servicio", F.explode(F.sequence("d0", "d1", F.expr("INTERVAL 1 MONTH"))).alias("d"))
-    from triplake.operators.joins import bounded_broadcast
-    dense = (cal.join(bounded_broadcast(d), ["tipo_servicio", "d"], "left")   # months x services: size-checked
+    dense = (cal.join(d, ["tipo_servicio", "d"], "left")
                 .withColumn("total_viajes", F.coalesce("total_viajes", F.lit(0))))
     w = Window.partitionBy("tipo_servicio").orderBy("d")
     prev = F.lag("total_viajes", 12).over(w)
@@ -175,20 +173,19 @@ def revenue_per_mile_minute(taxi: DataFrame, fhvhv: DataFrame) -> DataFrame:
 
 def hourly_curve_by_borough(taxi: DataFrame, fhvhv: DataFrame, zones: DataFrame, borough: str | None = None,
                             days=None, service: str | None = None) -> DataFrame:
-    """V4 with the borough filter: trip-level hours, pickup borough from the (size-checked) lookup.
+    """V4 with the borough filter: trips of the F11 scope counted by zone id and hour, then labelled.
 
-    The temporal mart has no borough, so this reads the trips of the F11 scope.
+    The temporal mart has no borough; the lookup joins the counts, not the trips.
     """
-    from triplake.operators.joins import bounded_broadcast
     from triplake.operators.marts import temporal_trips
     trips = temporal_trips(taxi.withColumn("_pu", F.col("pulocationid")), fhvhv.withColumn("_pu", F.col("pulocationid")))
-    z = bounded_broadcast(zones.select(F.col("locationid").try_cast("bigint").alias("_pu"),
-                                       F.col("borough").alias("pu_borough")))
-    t = trips.join(z, "_pu", "left").withColumn("pu_borough", F.coalesce("pu_borough", F.lit("Unknown")))
-    if borough is not None:
-        t = t.where(F.col("pu_borough") == borough)
     if days is not None:
-        t = t.where(F.col("dia_semana_num").isin(*days))
+        trips = trips.where(F.col("dia_semana_num").isin(*days))
     if service is not None:
-        t = t.where(F.col("tipo_servicio") == service)
-    return t.groupBy("pu_borough", "tipo_servicio", "hora_dia").agg(F.count(F.lit(1)).alias("viajes"))
+        trips = trips.where(F.col("tipo_servicio") == service)
+    by_id = trips.groupBy("_pu", "tipo_servicio", "hora_dia").agg(F.count(F.lit(1)).alias("n"))
+    z = zones.select(F.col("locationid").try_cast("bigint").alias("_pu"), F.col("borough").alias("pu_borough"))
+    t = by_id.join(z, "_pu", "left").withColumn("pu_borough", F.coalesce("pu_borough", F.lit("Unknown")))
+    if borough is not None:
+        t = t.where(F.col("pu_borough") == borough)
+    return t.groupBy("pu_borough", "tipo_servicio", "hora_dia").agg(F.sum("n").cast("bigint").alias("viajes"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from triplake.functions.dates import anio_of, mes_of
 from triplake.operators.dedup import dedup
 from triplake.operators.normalize import normalize
-from triplake.operators.quality import add_flags, apply_rules, split
+from triplake.operators.quality import add_flags, apply_rules, passes, split
 from triplake.schema import FORMATS, TAXI_FORMATS
 
 SOURCE_PERIOD = ("source_anio", "source_mes")
@@ -48,7 +48,10 @@ def clean(df: DataFrame, fmt: str, scope=SOURCE_PERIOD, order_by=(), period: str
           keep=(), flags: bool = False) -> tuple[DataFrame, DataFrame]:
     """(staging rows, quarantined rows with ``reject_reason``) for raw rows of one format."""
     n = normalize(df, fmt, keep=tuple(scope) + tuple(keep))
-    clean_rows, quarantine = split(apply_rules(n, fmt))
+    # the plain conjunction reaches the Parquet scan; the reason is computed for the rejected rows only
+    ok = passes(fmt)
+    clean_rows = n.where(ok)
+    quarantine = split(apply_rules(n.where(~F.coalesce(ok, F.lit(False))), fmt))[1]
     clean_rows = dedup(clean_rows, fmt, scope=scope, order_by=order_by)
     clean_rows = with_period(clean_rows, fmt, period, scope)
     if flags:
@@ -56,12 +59,12 @@ def clean(df: DataFrame, fmt: str, scope=SOURCE_PERIOD, order_by=(), period: str
     return clean_rows, quarantine
 
 
-def write_quarantine(rejected: DataFrame, root: str, fmt: str) -> str:
+def write_quarantine(rejected: DataFrame, root: str, fmt: str, periods=()) -> str:
     """E15 sink: rejected rows with ``reject_reason``, replaced per source period like staging."""
     from triplake.sources.sinks import write_table
     path = f"{root.rstrip('/')}/{fmt}"
     out = rejected.withColumnsRenamed({SOURCE_PERIOD[0]: "anio", SOURCE_PERIOD[1]: "mes"})
-    write_table(out, path, ["anio", "mes"])
+    write_table(out, path, ["anio", "mes"], folders=[f"anio={a}/mes={m}" for a, m in periods])
     return path
 
 
@@ -75,15 +78,17 @@ def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None =
                   quarantine_root: str | None = None, skip_unreadable: bool = False) -> dict[str, list[str]]:
     """The cleaning job: raw ``<raw_root>/<fmt>/anio=/mes=/`` -> staging, one distributed job per format.
 
-    ``resume`` skips periods already processed (R3): those with staged files, and those in the
-    processed-periods log (a period whose rows were all rejected leaves no staged files).
-    Periods are replaced, never appended, so ``resume=False`` reruns safely.  With
-    ``quarantine_root`` the rejected rows and their reason go to ``<quarantine_root>/<fmt>``,
-    partitioned by source period (E15).  Returns the periods written per format.
+    ``resume`` skips the periods of the processed-periods log (R3). The log is written last, and only
+    for periods whose files were all read: a period that failed half-way, lacks its quarantine or
+    has an unreadable file (``skip_unreadable``) stays pending and is replaced by the next run.
+    Periods are replaced, never appended, also by an empty result, so ``resume=False`` reruns
+    safely.  With ``quarantine_root`` the rejected rows and their reason go to
+    ``<quarantine_root>/<fmt>``, partitioned by source period (E15).  Returns the periods written
+    per format, and under ``<fmt>_unreadable`` the files that were left out, if any.
     """
-    from triplake.sources.files import pending_periods, raw_periods, staged_periods
-    from triplake.sources.scan import read_raw
-    from triplake.sources.sinks import staging_path, write_staging
+    from triplake.sources.files import pending_periods, raw_periods
+    from triplake.sources.scan import read_raw, unreadable_files
+    from triplake.sources.sinks import write_staging
 
     report = {}
     for fmt in expand_formats(formato):
@@ -93,31 +98,34 @@ def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None =
             periods = periods.where(F.col("anio") == str(anio))
             if mes:
                 periods = periods.where(F.col("mes") == str(mes).zfill(2))
-        if resume:
-            for done in _done_periods(spark, staging_root, fmt, staging_path, staged_periods):
-                periods = pending_periods(periods, done)
+        done = _done_periods(spark, staging_root, fmt) if resume else None
+        if done is not None:
+            periods = pending_periods(periods, done)
         todo = sorted((r["anio"], r["mes"]) for r in periods.collect())      # period list only
         if todo:
             dirs = [f"{root}/anio={a}/mes={m}" for a, m in todo]
             raw = read_raw(spark, dirs, fmt, keep=keep, skip_unreadable=skip_unreadable)
             rows, rejected = clean(raw, fmt, order_by=order_by, keep=keep)
-            write_staging(rows, staging_root, fmt)
+            write_staging(rows, staging_root, fmt, todo)
             if quarantine_root:
-                write_quarantine(rejected, quarantine_root, fmt)
-            spark.createDataFrame(todo, "anio string, mes string").coalesce(1).write.mode("append") \
-                 .parquet(processed_log(staging_root, fmt))
+                write_quarantine(rejected, quarantine_root, fmt, todo)
+            bad = unreadable_files(spark, dirs) if skip_unreadable else []
+            whole = [(a, m) for a, m in todo if not any(f"/anio={a}/mes={m}/" in f for f in bad)]
+            if bad:
+                report[f"{fmt}_unreadable"] = bad
+            if whole:
+                spark.createDataFrame(whole, "anio string, mes string").coalesce(1).write.mode("append") \
+                     .parquet(processed_log(staging_root, fmt))
         report[fmt] = [f"{a}-{m}" for a, m in todo]
     return report
 
 
-def _done_periods(spark, staging_root, fmt, staging_path, staged_periods):
-    out = []
+def _done_periods(spark, staging_root, fmt) -> DataFrame | None:
+    """The processed-periods log, or None before the first run."""
+    from pyspark.errors import AnalysisException
     try:
-        out.append(staged_periods(spark, staging_path(staging_root, fmt), fmt if fmt in TAXI_FORMATS else None))
-    except Exception:  # noqa: BLE001 - nothing staged yet
-        pass
-    try:
-        out.append(spark.read.parquet(processed_log(staging_root, fmt)).select("anio", "mes"))
-    except Exception:  # noqa: BLE001 - no log yet
-        pass
-    return out
+        return spark.read.parquet(processed_log(staging_root, fmt)).select("anio", "mes")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

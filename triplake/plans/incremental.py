@@ -16,12 +16,15 @@ that refuses a retry, no duplicate rows on ``force``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.functions.numeric import ratio, round2
 from triplake.operators import marts
-from triplake.sources.sinks import count_rows, read_staging, write_table
+from triplake.schema import STAGING_TABLE
+from triplake.sources.sinks import count_rows, read_staging, staged_tables, swap_in, write_table
 
 STATE_SUM = "decimal(22,6)"   # exact for amounts and distances with up to 6 decimals
 
@@ -31,11 +34,18 @@ STATE = {"mart_demanda_territorial": "state_demanda_territorial",
          "mart_patrones_temporales": "state_patrones_temporales"}
 
 
+class EmptyRebuild(RuntimeError):
+    """Staging holds no rows: the existing marts are kept."""
+
+
 class PeriodMissing(RuntimeError):
     """Staging has no rows for the requested period."""
 
 
 def load_staging(spark: SparkSession, staging_root: str, zones: DataFrame) -> dict[str, DataFrame]:
+    """The staging tables; a table that no format was cleaned into yet is empty, a root without any is an error."""
+    if not staged_tables(spark, staging_root):
+        raise FileNotFoundError(f"no staging table ({', '.join(sorted(set(STAGING_TABLE.values())))}) in {staging_root}")
     return {"taxi": read_staging(spark, staging_root, "taxi"), "fhvhv": read_staging(spark, staging_root, "fhvhv"),
             "fhv": read_staging(spark, staging_root, "fhv"), "zones": zones}
 
@@ -49,7 +59,12 @@ def period_tables(spark: SparkSession, staging_root: str, zones: DataFrame, anio
 
 
 def _exact_sum(c) -> F.Column:
-    return F.sum(F.col(c).cast(STATE_SUM))
+    return F.sum(F.col(c).try_cast(STATE_SUM))
+
+
+def _exact_count(c) -> F.Column:
+    """Values that the exact sum holds: NaN and values beyond the decimal are neither summed nor counted."""
+    return F.count(F.col(c).try_cast(STATE_SUM))
 
 
 # ------------------------------------------------------------------ monthly state of the annual marts
@@ -71,9 +86,9 @@ def temporal_state(taxi: DataFrame, fhvhv: DataFrame) -> DataFrame:
     trips = marts.temporal_trips(taxi, fhvhv)
     keys = ["anio", "mes"] + marts.TEMPORAL_KEYS[1:]
     return trips.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_viajes"),
-                                    _exact_sum("tarifa").alias("s_tarifa"), F.count("tarifa").alias("c_tarifa"),
+                                    _exact_sum("tarifa").alias("s_tarifa"), _exact_count("tarifa").alias("c_tarifa"),
                                     _exact_sum("distancia").alias("s_distancia"),
-                                    F.count("distancia").alias("c_distancia"))
+                                    _exact_count("distancia").alias("c_distancia"))
 
 
 def finalize_temporal(state: DataFrame) -> DataFrame:
@@ -99,6 +114,7 @@ def _monthly_and_state(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _finalize(spark: SparkSession, mart_root: str, years: list[str] | None) -> dict[str, int]:
+    # a year whose state became empty is emptied too
     """Annual marts from the monthly state: the given years, or every year (a full rebuild)."""
     out = {}
     for mart, fin in (("mart_demanda_territorial", finalize_demand),
@@ -106,16 +122,24 @@ def _finalize(spark: SparkSession, mart_root: str, years: list[str] | None) -> d
         st = spark.read.parquet(_path(mart_root, STATE[mart]))
         if years is not None:
             st = st.where(F.col("anio").isin(years))
-        out[mart] = write_table(fin(st), _path(mart_root, mart), ["anio"], static=years is None)
+        out[mart] = write_table(fin(st), _path(mart_root, mart), ["anio"], static=years is None,
+                                folders=[f"anio={y}" for y in years or ()])
     return out
 
 
 def rebuild_marts(spark: SparkSession, tables: dict[str, DataFrame], mart_root: str) -> dict[str, int]:
-    """Every mart and state from the whole staging; tables are replaced; rows written per table."""
-    report = {}
+    """Every mart and state from the whole staging; tables are replaced; rows written per table.
+
+    Everything is built in a folder of its own and put in place only when it is complete and not empty.
+    """
+    report, new = {}, f"{mart_root.rstrip('/')}/_rebuild-{uuid.uuid4().hex}"
     for name, df in _monthly_and_state(tables).items():
-        report[name] = write_table(df, _path(mart_root, name), ["anio", "mes"], static=True)
-    report.update(_finalize(spark, mart_root, None))
+        report[name] = write_table(df, _path(new, name), ["anio", "mes"], static=True)
+        if name == MONTHLY[0] and not report[name]:
+            raise EmptyRebuild("no staging rows: the marts are left as they are")
+    report.update(_finalize(spark, new, None))
+    for name in (*MONTHLY, *STATE.values(), *ANNUAL):
+        swap_in(spark, _path(new, name), _path(mart_root, name))
     return {m: report[m] for m in MONTHLY + ANNUAL}
 
 
@@ -155,7 +179,7 @@ def append_period(spark: SparkSession, tables: dict[str, DataFrame], mart_root:
     period = {k: (v.where(cond) if k != "zones" else v) for k, v in tables.items()}
     report = {"periodo": f"{anio}-{mes}", "skipped": False, "staging_rows": n}
     for name, df in _monthly_and_state(period).items():
-        rows = write_table(df, _path(mart_root, name), ["anio", "mes"])
+        rows = write_table(df, _path(mart_root, name), ["anio", "mes"], folders=[f"anio={anio}/mes={mes}"])
         if name in MONTHLY:
             report[name] = rows
     report.update(_finalize(spark, mart_root, [anio]))

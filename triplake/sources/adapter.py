@@ -26,23 +26,9 @@ TAXI_SHIFT = "INTERVAL 16 YEARS"
 FHV_SENTINEL_TS = "1989-01-01 00:00:00"
 
 
-FACT_TABLES = ("lineitem", "events")   # probe sides; orders is broadcast or hash-shuffled anyway
-
-
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One driver table.  A fact table stored as a single Parquet row group scans as one task
-    whatever the cluster size; it is spread round-robin over the default parallelism so the
-    joins and rules after it use every core.  With many splits (real data) nothing changes."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-    if name in FACT_TABLES:
-        try:
-            want = spark.sparkContext.defaultParallelism
-            have = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave the scan as is
-            return df
-        if have < want:
-            df = df.repartition(want)
-    return df
+    """One driver table, read as it lies."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
 def _money(c) -> F.Column:

@@ -49,6 +49,7 @@ UNREADABLE = "unreadable"
 
 
 def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pyarrow as pa
     import pyarrow.parquet as pq
     for b in batches:
         rows = []
@@ -58,7 +59,7 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 with filesystem.open_input_file(p) as fh:
                     meta = pq.ParquetFile(fh)
                     schema, n = meta.schema_arrow, meta.metadata.num_rows
-            except Exception:  # noqa: BLE001 - a corrupt footer is reported, not a task crash
+            except pa.ArrowInvalid:          # a broken footer is reported; an I/O error still fails the task
                 rows.append((path, None, None, None, UNREADABLE))
                 continue
             pairs = sorted((f.name.lower(), str(f.type)) for f in schema)
@@ -88,10 +89,16 @@ def fingerprint_groups(footer_df: DataFrame, skip_unreadable: bool = False) -> d
     groups = {r["fingerprint"]: list(r["paths"]) for r in g.collect()}
     bad = groups.pop(UNREADABLE, [])
     if bad and not skip_unreadable:
-        raise UnreadableFiles(f"{len(bad)} file(s) without a readable Parquet footer: {bad[:20]}")
+        raise UnreadableFiles(f"{len(bad)} file(s) without a readable Parquet footer: {bad}")
     return groups
 
 
+def unreadable_files(spark: SparkSession, root: str | list[str]) -> list[str]:
+    """The files without a readable footer (a job on the footers only)."""
+    bad = footers(spark, root).where(F.col("fingerprint") == UNREADABLE).select("path").distinct()
+    return sorted(r["path"] for r in bad.collect())
+
+
 def _base_path(root: str | list[str]) -> str:
     """The format folder above the ``anio=/mes=`` directories."""
     first = root if isinstance(root, str) else root[0]

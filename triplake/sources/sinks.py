@@ -23,16 +23,66 @@ def _writer(df: DataFrame, partition_cols: list[str], obs: Observation | None =
             .partitionBy(*partition_cols))
 
 
+def _files_below(spark: SparkSession, folder: str) -> tuple[object, object, set[str]]:
+    """(file system, path, file names) of one partition folder; no names when it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
+    return fs, path, names
+
+
+class Replacing:
+    """Replace whole partitions, also those the new rows leave empty.
+
+    Dynamic overwrite never touches a partition without output rows.  The folders' files are
+    noted before the write; a folder that still holds them afterwards got no rows and is deleted.
+    """
+
+    def __init__(self, spark: SparkSession, folders: list[str]):
+        self.spark, self.folders = spark, folders
+
+    def __enter__(self):
+        self.before = {f: _files_below(self.spark, f)[2] for f in self.folders}
+        return self
+
+    def __exit__(self, kind, *_):
+        if kind is None:
+            for folder, names in self.before.items():
+                fs, path, now = _files_below(self.spark, folder)
+                if names & now:
+                    fs.delete(path, True)
+        return False
+
+
+def swap_in(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of a table."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    fs.delete(target, True)
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(new), target):
+        raise OSError(f"{new} could not be moved to {path}")
+
+
 def staging_path(root: str, fmt: str) -> str:
     return f"{root.rstrip('/')}/{STAGING_TABLE[fmt]}"
 
 
-def write_staging(df: DataFrame, root: str, fmt: str) -> str:
-    """Canonical payload + partition columns -> <root>/<table>/[tipo_taxi=]/anio=/mes=/ (period replace)."""
+def staging_folder(root: str, fmt: str, anio: str, mes: str) -> str:
+    taxi = f"/tipo_taxi={fmt}" if STAGING_TABLE[fmt] == "taxi" else ""
+    return f"{staging_path(root, fmt)}{taxi}/anio={anio}/mes={mes}"
+
+
+def write_staging(df: DataFrame, root: str, fmt: str, periods=()) -> str:
+    """Canonical payload + partition columns -> <root>/<table>/[tipo_taxi=]/anio=/mes=/ (period replace).
+
+    ``periods`` are the (anio, mes) processed: those without rows are emptied, not left as they were.
+    """
     parts = PARTITION_COLS[STAGING_TABLE[fmt]]
     payload = CANONICAL[fmt].fieldNames()
     path = staging_path(root, fmt)
-    _writer(df.select(*payload, *parts), parts).parquet(path)
+    with Replacing(df.sparkSession, [staging_folder(root, fmt, a, m) for a, m in periods]):
+        _writer(df.select(*payload, *parts), parts).parquet(path)
     return path
 
 
@@ -48,6 +98,14 @@ def read_staging(spark: SparkSession, root: str, table: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def staged_tables(spark: SparkSession, root: str) -> list[str]:
+    """The staging tables that exist below a root."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [t for t in sorted(set(STAGING_TABLE.values()))
+            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{t}"))]
+
+
 def period_path(root: str, table: str, anio: str, mes: str) -> str:
     """The folder pattern of one period, resolved from the layout (only the tipo_taxi level is globbed)."""
     base = f"{root.rstrip('/')}/{table}"
@@ -67,18 +125,21 @@ def read_staging_period(spark: SparkSession, root: str, table: str, anio: str, m
         return spark.createDataFrame([], schema)
 
 
-def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = None, static: bool = False) -> int:
+def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = None, static: bool = False,
+                folders=()) -> int:
     """Parquet table; returns the rows written (C3), observed during the write itself.
 
     With partition columns only the carried partitions are replaced, unless ``static`` (a full
-    rebuild), which replaces the whole table.
+    rebuild), which replaces the whole table.  ``folders`` (below ``path``) are replaced even when no
+    row falls into them.
     """
     obs = Observation()
     if partition_cols:
         w = _writer(df, partition_cols, obs)
         if static:
             w = w.option("partitionOverwriteMode", "static")
-        w.parquet(path)
+        with Replacing(df.sparkSession, [f"{path.rstrip('/')}/{f}" for f in folders]):
+            w.parquet(path)
     else:
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
           .option("compression", "snappy").parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from triplake.plans.clean import clean
+from triplake.plans.clean import clean, write_quarantine
 from triplake.sources.files import with_period_of_path
 from triplake.sources.scan import read_raw
 from triplake.sources.sinks import write_staging
@@ -32,17 +32,23 @@ def arrivals(spark: SparkSession, landing_root: str, max_files_per_trigger: int
 
 
 def clean_touched_periods(spark: SparkSession, batch: DataFrame, landing_root: str, fmt: str,
-                          staging_root: str, order_by=()) -> list[tuple[str, str]]:
-    touched = (with_period_of_path(batch).where((F.col("length") > 0) & F.col("anio").isNotNull())
+                          staging_root: str, order_by=(), quarantine_root: str | None = None) -> list[tuple[str, str]]:
+    """Re-clean every period the batch touches. A file outside ``anio=/mes=`` fails the batch, so the
+    checkpoint does not mark it as seen."""
+    touched = (with_period_of_path(batch).where(F.col("length") > 0)
                .select("anio", "mes").distinct().collect())          # a period list, bounded by the batch
+    if any(r["anio"] is None or r["mes"] is None for r in touched):
+        raise ValueError(f"a new file in {landing_root} lies outside anio=/mes=")
     periods = sorted((r["anio"], r["mes"]) for r in touched)
     if not periods:
         return []
     root = landing_root.rstrip("/")
     dirs = [f"{root}/anio={a}/mes={m}" for a, m in periods]
     keep = tuple(order_by)
-    rows, _ = clean(read_raw(spark, dirs, fmt, keep=keep), fmt, order_by=order_by, keep=keep)
-    write_staging(rows, staging_root, fmt)
+    rows, rejected = clean(read_raw(spark, dirs, fmt, keep=keep), fmt, order_by=order_by, keep=keep)
+    write_staging(rows, staging_root, fmt, periods)
+    if quarantine_root:
+        write_quarantine(rejected, quarantine_root, fmt, periods)
     return periods
 
 
@@ -82,17 +88,22 @@ def merge_new_files(spark: SparkSession, batch: DataFrame, fmt: str, staging_roo
 
 def stream_arrivals(spark: SparkSession, landing_root: str, fmt: str, staging_root: str, checkpoint: str,
                     available_now: bool = True, max_files_per_trigger: int | None = None,
-                    order_by=(), merge_staged: bool = False) -> StreamingQuery:
+                    order_by=(), merge_staged: bool = False, quarantine_root: str | None = None) -> StreamingQuery:
     """Start the arrival stream; ``available_now`` processes what is there and stops (batch-like runs).
 
     ``merge_staged`` cleans only each batch's new files and merges them into the staged periods
     (for periods assembled from many arrivals); the default re-cleans every file of a touched period.
+    With ``quarantine_root`` the rejected rows of re-cleaned periods are kept with their reason (E15).
     """
+    if merge_staged and quarantine_root:
+        raise ValueError("the merge mode sees new files only; a quarantine needs whole periods")
+
     def process(batch: DataFrame, epoch_id: int) -> None:
         if merge_staged:
             merge_new_files(batch.sparkSession, batch, fmt, staging_root)
         else:
-            clean_touched_periods(batch.sparkSession, batch, landing_root, fmt, staging_root, order_by)
+            clean_touched_periods(batch.sparkSession, batch, landing_root, fmt, staging_root, order_by,
+                                  quarantine_root)
 
     w = (arrivals(spark, landing_root, max_files_per_trigger).writeStream
          .foreachBatch(process).option("checkpointLocation", checkpoint))
