@@ -33,8 +33,9 @@ from tokenizers import Tokenizer
 
 from .common import arrow_batches
 
-CACHE_CHUNKS = 800_000
-CACHE_WORDS = 500_000
+CACHE_CHUNKS = 200_000           # entries of one generation; there are two
+CACHE_WORDS = 100_000
+CACHE_PAIRS = 300_000
 LATIN = "\u024f"            # up to here Unicode has long been settled
 WORD_END = "</w>"
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"     # Unicode White_Space
@@ -54,6 +55,25 @@ def lower(text: str) -> str:
     return text.replace("Σ", "σ").lower() if "Σ" in text else text.lower()
 
 
+class Remembered:
+    """A bounded table in two generations: a full one becomes the old one, what is asked for again moves up."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def get(self, key):
+        got = self.new.get(key)
+        if got is None and (got := self.old.get(key)) is not None:
+            self.put(key, got)
+        return got
+
+    def put(self, key, value) -> None:
+        if len(key) < 64:
+            if len(self.new) >= self.size:
+                self.old, self.new = self.new, {}
+            self.new[key] = value
+
+
 class Vocabulary:
     """Tokens as strings of symbols: character b is byte b inside a word, 256 + b is byte b at its end."""
 
@@ -101,8 +121,7 @@ class Vocabulary:
         for s, t in usable.items():
             self.automaton.add_word(s, t)
         self.automaton.make_automaton()
-        self.cache: dict[str, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
+        self.chunks, self.words = Remembered(CACHE_CHUNKS), Remembered(CACHE_WORDS)
         self.letters = letters
         self.tok = Tokenizer.from_file(path)
         content = dict(model["vocab"].items()) | self.special
@@ -134,7 +153,7 @@ class Vocabulary:
     def pair_fits(self, a: int, b: int) -> bool:
         fits = self.known.get((a, b))
         if fits is None:
-            if len(self.known) > 2_000_000:
+            if len(self.known) > CACHE_PAIRS:
                 self.known.clear()
             fits = self.known[a, b] = self.compatible(a, b)
         return fits
@@ -170,15 +189,12 @@ class Vocabulary:
         if got is None:
             ids = self.ids[self.word(data)]
             got = ids[ids >= 0].astype(np.int32).tobytes()
-            if len(data) < 64:
-                if len(self.words) > CACHE_WORDS:
-                    self.words.clear()
-                self.words[data] = got
+            self.words.put(data, got)
         return got
 
     def chunk(self, chunk: str) -> bytes:
         """Ids (int32 bytes) of a text without special tokens."""
-        got = self.cache.get(chunk)
+        got = self.chunks.get(chunk)
         if got is None:
             if chunk.isascii() or max(chunk, default="") <= LATIN:
                 words = [w.encode() for w in _SPLIT.findall(lower(unicodedata.normalize("NFC", chunk)))]
@@ -187,10 +203,7 @@ class Vocabulary:
                 pieces = self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(chunk))
                 words = [bytes(map(self.letters.__getitem__, w)) for w, _ in pieces]
             got = b"".join(map(self.word_ids, words))
-            if len(chunk) < 64:
-                if len(self.cache) > CACHE_CHUNKS:
-                    self.cache.clear()
-                self.cache[chunk] = got
+            self.chunks.put(chunk, got)
         return got
 
     def encode(self, text: str | None) -> np.ndarray:
@@ -210,6 +223,7 @@ class Vocabulary:
         """The token strings joined with one space, in UTF-8."""
         if not len(ids):
             return b""
+        ids = ids.astype(np.int64)
         start = self.offsets[ids]
         size = self.offsets[ids + 1] - start
         shift = np.repeat(start - (np.cumsum(size) - size), size)
@@ -221,8 +235,8 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode(docs: DataFrame, path: str, *keep: str, text: str = "text") -> DataFrame:
-    """``keep`` columns and ``ids`` (array of int)."""
+def encode(docs: DataFrame, path: str, *keep: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """``keep`` columns and ``ids`` (array of int); with ``decoded`` also what these ids decode to, in the same task."""
     arrow_batches(docs.sparkSession)
     source = docs.select(*keep, docs[text].alias("__text"))
 
@@ -232,10 +246,13 @@ def encode(docs: DataFrame, path: str, *keep: str, text: str = "text") -> DataFr
             ids = [v.encode(t) for t in b.column("__text").to_pylist()]
             offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *ids]))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], flat], [*b.schema.names[:-1], "ids"])
+            more = [pa.array(map(v.decode, ids), pa.binary()).cast(pa.string())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], flat, *more],
+                                             [*b.schema.names[:-1], "ids", *["decoded"][:decoded]])
 
     kept = source.drop("__text").schema.fields
-    return source.mapInArrow(run, T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    more = [T.StructField("decoded", T.StringType())] if decoded else []
+    return source.mapInArrow(run, T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType())), *more]))
 
 
 def decode(df: DataFrame, path: str) -> DataFrame:
@@ -249,7 +266,7 @@ def decode(df: DataFrame, path: str) -> DataFrame:
             col = b.column(at)
             flat, off = col.flatten().to_numpy(zero_copy_only=False), col.offsets.to_numpy()
             off = off - off[0]
-            texts = [v.decode(flat[s:e].astype(np.int64)) for s, e in zip(off[:-1], off[1:], strict=True)]
+            texts = [v.decode(flat[s:e]) for s, e in zip(off[:-1], off[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.binary()).cast(pa.string())],
                                              [*b.schema.names, "decoded"])
 

@@ -53,7 +53,7 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
-    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, "doc_id"), path)
+    out = bpe.encode(table(spark, sf_dir, "documents"), path, "doc_id", decoded=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
