@@ -26,7 +26,7 @@ def _documents(df: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labelled ones among ``docs``."""
     model = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
-    rated = quality_classifier.score(docs, model, *docs.columns, "text")
+    rated = quality_classifier.score(docs.select(*COLUMNS), model, *COLUMNS)
     return _documents(rated.where(F.col("__score") >= quality_classifier.THRESHOLD))
 
 
@@ -36,10 +36,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
+    """One document of each group of near-duplicates: the one with the smallest id (any one if no member has an id)."""
     found = simhash_dedup.near_duplicates(docs, *COLUMNS)
     first = (F.col("doc_id") == F.col("component_id")) | F.col("component_id").isNull()
-    return _documents(found.where(first).dropDuplicates(["doc_id"]))
+    return _documents(found.where(first).dropDuplicates(["root"]))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encoded documents: doc_id, n_tokens, ids, decoded."""
     path = public_tokenizers.path(WORD_BPE)
-    out = bpe.decode(bpe.encode(docs, path, "doc_id"), path)
+    out = bpe.encode(docs, path, "doc_id", decoded=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 

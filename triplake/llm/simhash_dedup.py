@@ -235,7 +235,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *keep: str, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """``keep`` columns, fp and component_id (smallest doc_id reachable) of every row."""
+    """``keep`` columns, fp, root (fingerprint that names the component) and component_id (smallest doc_id reachable)."""
     rows = written(fingerprints(docs, *dict.fromkeys((*keep, "doc_id")), shingle=shingle), "fingerprints")
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
     near = written(links(nodes, distance), "links")
@@ -244,5 +244,5 @@ def near_duplicates(docs: DataFrame, *keep: str, shingle: int = SHINGLE, distanc
     of = nodes.join(label.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
         "fp", "node", F.coalesce("root", "fp").alias("root"))
     smallest = of.groupBy("root").agg(F.min("node").alias("component_id"))
-    by_fp = of.join(smallest, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select(*keep, "fp", "component_id")
+    by_fp = of.join(smallest, "root").select("fp", "root", "component_id")
+    return rows.join(by_fp, "fp").select(*keep, "fp", "root", "component_id")
