@@ -1,0 +1,337 @@
+"""The corpus operators against brute force on small tables with nulls, empty and long texts, ties and repeated rows."""
+
+import collections
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+from conftest import SF_CHECK
+from triplake.llm import (bpe, decontamination, kneser_ney, line_dedup, pii, quality_classifier, quality_rules,
+                          simhash_dedup, token_files, url_filter)
+
+WORD = re.compile("[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, __t string, fp string"
+PROSE = "The quick brown fox jumps over the lazy dog while seven wizards quietly vex the jumping frog near a river bank"
+
+
+def sample_texts():
+    rnd = random.Random(7)
+    vocabulary = ["alpha", "beta", "of", "the", "Été", "naïve", "x1", "don't", "42", "#tag", "ß", "σΣ"]
+    texts = [None, "", "   ", "\n\n", "one", PROSE, PROSE, PROSE.replace("lazy", "sleepy"), "a  b\u00a0c \u2003d\x1ce",
+             "mail a@b.c@d.ef, 192.168.0.1 1.2.3.4.5 999.1.1.1 4111 1111 1111 1111 +1 (555) 010-9999 x@y",
+             "IBAN DE89 3704 0044 0532 0130 00 and 4111111111111112", "<|endoftext|> a <|startoftext|>", "z" * 5000,
+             " ".join(["spam eggs"] * 400), "\n".join(["same line of words"] * 9)]
+    texts += [" ".join(rnd.choice(vocabulary) for _ in range(rnd.choice([2, 9, 60, 300]))) for _ in range(40)]
+    return texts
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, ["en", "de", None][i % 3], ["s1", None][i % 2], 0, "clash", "clash")
+            for i, t in enumerate(sample_texts())]
+    rows += [rows[5], (None, PROSE, "en", "s1", 0, "clash", "clash"), (None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(t):
+    return WORD.findall(t or "")
+
+
+def lowered(t):
+    return (t or "").translate({c: c + 32 for c in range(65, 91)})
+
+
+def test_quality_rules_base_counts(docs, empty):
+    got = quality_rules.rate(docs, "doc_id", "text").collect()
+    assert len(got) == docs.count() and quality_rules.rate(empty, "doc_id").count() == 0
+    for r in got:
+        w = words(r.text)
+        seen = collections.Counter(tuple(w[k:k + 5]) for k in range(len(w) - 4))
+        covered = {p for k in range(len(w) - 4) if seen[tuple(w[k:k + 5])] > 1 for p in range(k, k + 5)}
+        lines = [x for x in (r.text or "").split("\n") if WORD.search(x)]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
+            len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", r.text or "")), len(lines) - len(set(lines)),
+            len(covered))
+        assert r.base_failed == (len(w) < 10 or 100 * len(covered) > 20 * len(w))
+        assert r.kept == (not r.base_failed)             # groups this small get no verdict of their own
+
+
+def test_quality_rules_reject_outliers(spark):
+    rnd = random.Random(3)
+    vocabulary = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(26) for j in range(20)]
+    rows = [(i, " ".join(rnd.choice(vocabulary) for _ in range(80)), "en", "s") for i in range(400)]
+    rows += [(1000 + i, " ".join(rnd.choice(vocabulary) + "$$$" for _ in range(80)), "en", "s") for i in range(20)]
+    got = quality_rules.rate(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string"),
+                             "doc_id").collect()
+    assert all(r.kept == (r.doc_id < 1000) for r in got)
+
+
+def test_personal_data(docs, empty):
+    assert pii.detect(empty, "doc_id").count() == 0
+    for r in pii.detect(docs, "doc_id", "text").collect():
+        t = r.text or ""
+        want = [("email", *m.span()) for m in re.finditer(
+            r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+        want += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t)
+                 if all(int(x) <= 255 for x in m.group().split("."))]
+        for kind, pattern, low, high in (("card", r"[0-9]([\x20-]?[0-9])+", 13, 19),
+                                         ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 9, 15)):
+            for m in re.finditer(pattern, t):
+                d = re.sub("[^0-9]", "", m.group())
+                if low <= len(d) <= high and (kind == "phone" or pii.luhn(d)):
+                    want.append((kind, *m.span()))
+        assert [(s.kind, s.start, s.end) for s in r.spans if s.kind in pii.KINDS[:4]] == want
+    assert [s[0] for s in pii.find_spans("IBAN DE89 3704 0044 0532 0130 00 now")] == ["iban"]
+    assert pii.find_spans("IBAN DE88 3704 0044 0532 0130 00 now") == []          # mod-97 fails
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+
+
+def test_personal_data_long_runs_are_linear():
+    assert pii.find_spans("9." * 50_000) is not None and pii.find_spans("a" * 200_000 + "@") == []
+
+
+def test_token_files_round_trip(docs, empty):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    got = token_files.encode_and_read(docs, path).collect()
+    rows = sorted(((r.doc_id is not None, r.doc_id or 0, r.text or "") for r in docs.collect()))
+    start, want = 0, []
+    for _, i, t in rows:
+        ids = tok.encode(t, add_special_tokens=False).ids + [2]
+        want.append((i, start, ids))
+        start += len(ids)
+    assert sorted((r.doc_id or 0, r.start, r.ids) for r in got) == sorted(want)
+    assert token_files.encode_and_read(empty, path).count() == 0
+
+
+def test_variable_length_code():
+    v = np.array([0, 1, 255, 256, 65535, 65536, 2 ** 24 - 1, 2 ** 24, 2 ** 32 - 1, 7], np.uint32)
+    for n in range(len(v) + 1):
+        assert (token_files.unpack(*token_files.pack(v[:n]), n) == v[:n]).all()
+    assert zlib.crc32(v.tobytes()) == token_files.crc32_ids(v)
+
+
+def test_bpe_equals_the_library(docs, empty):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    tok.no_truncation()
+    tok.no_padding()
+    for r in bpe.encode(docs, path, "text", decoded=True).collect():
+        ids = tok.encode(r.text or "", add_special_tokens=False).ids
+        assert r.ids == ids and r.decoded == tok.decode(ids, skip_special_tokens=False)
+    again = bpe.decode(bpe.encode(docs, path, "doc_id"), path)
+    assert again.columns == ["doc_id", "ids", "decoded"] and bpe.encode(empty, path, "doc_id").count() == 0
+    rnd, v = random.Random(5), bpe.vocabulary(path)
+    for _ in range(3000):
+        s = "".join(rnd.choice("aeinorstthing'!?é7 ") for _ in range(rnd.choice([3, 12, 40])))
+        assert v.encode(s).tolist() == tok.encode(s, add_special_tokens=False).ids
+
+
+def brute_fingerprint(t):
+    w = WORD.findall(lowered(t))
+    grams = [" ".join(w[k:k + 3]) for k in range(len(w) - 2)] if len(w) >= 3 else [" ".join(w)][:len(w)]
+    h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash_components(docs, empty):
+    rows = simhash_dedup.near_duplicates(docs, "doc_id", "text").collect()
+    fps = [brute_fingerprint(r.text) for r in rows]
+    assert [r.fp % 2 ** 64 for r in rows] == fps and len(rows) == docs.count()
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for i in range(len(rows)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 3:
+                parent[find(i)] = find(j)
+    for k, r in enumerate(rows):
+        ids = [rows[j].doc_id for j in range(len(rows)) if find(j) == find(k) and rows[j].doc_id is not None]
+        assert r.component_id == min(ids, default=None)
+    assert simhash_dedup.near_duplicates(empty, "doc_id").count() == 0
+
+
+def test_simhash_links_equal_brute_force(spark):
+    rnd = random.Random(1)
+    base = [rnd.getrandbits(64) for _ in range(60)]
+    fps = {b ^ sum(1 << k for k in rnd.sample(range(64), rnd.randrange(5))) for b in base for _ in range(12)}
+    fps = sorted(f - 2 ** 64 if f >= 2 ** 63 else f for f in fps)
+    got = {(r.a, r.b) for r in simhash_dedup.links(spark.createDataFrame([(f,) for f in fps], "fp bigint")).collect()}
+    want = {(a, b) for a in fps for b in fps if a > b and ((a ^ b) % 2 ** 64).bit_count() <= 3}
+    assert got == want and len(want) > 100
+
+
+def test_allocation_is_optimal():
+    rnd = np.random.default_rng(0)
+    cost = rnd.random((50, 3, 5)) * 100
+    got = simhash_dedup.allocate(cost, 1)
+    assert (got.sum(1) == 1).all() and (got >= -1).all()
+    for k in range(50):
+        best = min(sum(cost[k, i, t + 1] for i, t in enumerate((a, b, 1 - a - b)))
+                   for a in range(-1, 4) for b in range(-1, 4) if -1 <= 1 - a - b <= 3)
+        assert math.isclose(sum(cost[k, i, t + 1] for i, t in enumerate(got[k])), best)
+
+
+def test_line_dedup_deletes_later_runs(spark, empty):
+    rnd = random.Random(2)
+
+    def line(n):
+        return " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    long, block, short = line(60), [line(9) for _ in range(8)], line(20)
+    own = [line(30) for _ in range(6)]
+    rows = [(1, "\n".join([own[0], long, own[1]])), (2, "\n".join([own[2], *block, own[3]])),
+            (3, "\n".join([long, own[4]])), (4, "\n".join(["head", *block, "", "tail"])),
+            (5, "\n".join([own[5], short])), (6, "\n".join([line(30), short])), (7, None), (8, ""), (8, ""),
+            (9, long), (None, long)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.text) for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {(1, "\n".join([own[0], own[1]])), rows[1], (3, own[4]), (4, "\n".join(["head", "", "tail"])),
+                   rows[4], rows[5], (7, None), (8, ""), (9, ""), (None, long)}
+    assert line_dedup.dedup_lines(empty).count() == 0
+
+
+def test_line_dedup_catches_every_repeated_run(spark):
+    """Brute force: every later place of 50 words in whole lines is gone, all other lines stay."""
+    rnd = random.Random(4)
+    pool = [" ".join(f"w{rnd.randrange(10 ** 9)}" for _ in range(rnd.choice([3, 8, 15, 55]))) for _ in range(40)]
+    rows = []
+    for i in range(30):
+        k = rnd.randrange(len(pool) - 12)
+        mine = [" ".join(f"u{rnd.randrange(10 ** 9)}" for _ in range(7)) for _ in range(4)]
+        rows.append((i, "\n".join([*mine[:2], *pool[k:k + 10], *mine[2:]])))
+    got = {r.doc_id: r.text.split("\n") for r in line_dedup.dedup_lines(spark.createDataFrame(
+        rows, "doc_id bigint, text string")).collect()}
+    before = set()
+    for i, text in rows:
+        lines = text.split("\n")
+        gone = set()
+        for a in range(len(lines)):
+            for b in range(a, len(lines)):
+                if sum(len(x.split()) for x in lines[a:b + 1]) >= 50:
+                    if tuple(lines[a:b + 1]) in before:
+                        gone.update(range(a, b + 1))
+        assert all(lines[p] not in got[i] for p in gone)
+        assert [x for x in lines if x.startswith("u")] == [x for x in got[i] if x.startswith("u")]
+        before |= {tuple(lines[a:b + 1]) for a in range(len(lines)) for b in range(a, len(lines))}
+
+
+def test_decontamination(spark, docs, empty):
+    item = "Anna has 12 apples and gives 5 apples to Peter so how many apples of the 12 remain with her today"
+    changed = item.replace("12", "30").replace("Anna", "Maria").replace(" 5 ", " 7 ").replace("Peter", "John")
+    broken = item.replace("12", "30", 1).replace("Peter", "John")      # the two equal slots differ
+    other = " ".join(f"q{chr(97 + i)}" for i in range(20))
+    bench = spark.createDataFrame([(1, item), (2, other), (3, other), (4, None), (5, "")], "item_id bigint, text string")
+    rows = [(1, "before it " + changed.lower().replace("maria", "Maria").replace("john", "John") + " after"),
+            (2, "x " + other.upper() + " y"), (3, broken), (4, PROSE), (5, None), (6, ""), (7, "some " + item), (7, item)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r["items"]) for r in decontamination.report(df, bench).collect()}
+    assert got == {(1, "1"), (2, "2,3"), (3, ""), (4, ""), (5, ""), (6, ""), (7, "1")}
+    left = decontamination.decontaminated(df, bench)
+    assert {r.doc_id for r in left.collect()} == {3, 4, 5, 6} and left.columns == df.columns
+    assert decontamination.report(empty, bench).count() == 0
+    assert not any(r.contaminated for r in decontamination.report(docs, bench.limit(0)).collect())
+
+
+def test_quality_classifier_held_out(spark, docs, empty):
+    from triplake.llm.common import table
+    d, labels = table(spark, SF_CHECK, "documents"), table(spark, SF_CHECK, "labels")
+    model = quality_classifier.train(d, labels)
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    held = [(known[r.doc_id], r["__score"]) for r in quality_classifier.score(d, model, "doc_id").collect()
+            if r.doc_id in known and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert sum((s >= 0.3) == q for q, s in held) >= 0.95 * len(held) and len(held) > 40
+    assert all(0 <= r["__score"] <= 1 for r in quality_classifier.score(docs, model, "doc_id").collect())
+    none = quality_classifier.train(docs, labels.limit(0))
+    assert {r["__score"] for r in quality_classifier.score(docs, none, "doc_id").collect()} == {0.5}
+    assert quality_classifier.score(empty, none, "doc_id").count() == 0
+
+
+@pytest.mark.parametrize("shard_tokens,range_words", [(10 ** 6, 10 ** 6), (300, 40)])
+def test_kneser_ney_equals_brute_force(docs, empty, shard_tokens, range_words):
+    texts = [r.text for r in docs.collect()]
+    model = kneser_ney.train(docs.select("text"), shard_tokens, range_words)
+
+    def toks(t):
+        return WORD.findall(lowered(t)) + [""]
+    c, pairs = collections.Counter(), collections.Counter()
+    for t in texts:
+        c.update(toks(t))
+        pairs.update(zip(["", *toks(t)[:-1]], toks(t), strict=True))
+    n, v = sum(c.values()), len(c)
+    by_n = collections.Counter(pairs.values())
+    d = [0, *kneser_ney.discounts([by_n[k] for k in (1, 2, 3, 4)])]
+    cont = collections.Counter(w for _, w in pairs)
+    by_c = collections.Counter(cont.values())
+    e = [0, *kneser_ney.discounts([by_c[k] for k in (1, 2, 3, 4)])]
+    total, seen = collections.Counter(), collections.defaultdict(collections.Counter)
+    for (a, _), k in pairs.items():
+        total[a] += k
+        seen[a][min(k, 3)] += 1
+    spread = sum(e[min(k, 3)] for k in cont.values()) / len(pairs)
+
+    def p(w, a):
+        low = max(cont[w] - e[min(cont[w], 3)], 0) / len(pairs) + spread / (v + 1)
+        if not total[a]:
+            return low
+        k = pairs[a, w]
+        return max(k - d[min(k, 3)], 0) / total[a] + sum(d[j] * seen[a][j] for j in (1, 2, 3)) / total[a] * low
+    assert (model.total, model.size) == (n, v)
+    assert math.isclose(sum(p(w, "the") for w in c) + p("unseen-word", "the"), 1)
+    more = docs.select("text").union(docs.sparkSession.createDataFrame([("the unknownword of Nowhere",)], "text string"))
+    for r in kneser_ney.score(more, model, "text").collect():
+        t = toks(r.text)
+        assert r.n_tokens == len(t) and r.n_known == sum(w in c for w in t)
+        assert math.isclose(r.base_score, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), abs_tol=1e-9)
+        assert math.isclose(r.score, sum(math.log10(p(w, a)) for a, w in zip(["", *t[:-1]], t, strict=True)),
+                            rel_tol=1e-9, abs_tol=1e-9)
+    none = kneser_ney.train(empty.select("text"))
+    assert all(r.score == 0 for r in kneser_ney.score(docs.limit(2), none).collect() if r.n_tokens == 1)
+
+
+def test_url_rules_and_verdicts(spark):
+    urls = [("http://A.Example.NET/en/1?x#y", "a.example.net", "/en/1", "example.net/en/", "allow"),
+            ("https://example.com/de/x", "example.com", "/de/x", "example.com/de/", "block"),
+            ("http://b.org/fr/", "b.org", "/fr/", "org/fr/", "allow"), ("x://q.net/", "q.net", "/", "net/", "block"),
+            ("http://q.net", "q.net", "", None, "allow"), ("http://notexample.com/de/", "notexample.com", "/de/", None, "allow"),
+            ("no scheme", "", "", None, "allow"), (None, "", "", None, "allow"), ("http://", "", "", None, "allow"),
+            ("http://cheappills.example.org/en/7", "cheappills.example.org", "/en/7", None, "block")]
+    df = spark.createDataFrame([(i, u[0], "<p>the plain words of a page</p>", "x") for i, u in enumerate(urls)]
+                               + [(100 + i, f"http://plain{i % 9}.example.org/en/{i}", None, "x") for i in range(60)],
+                               "page_id bigint, url string, html string, host string")
+    got = {r.page_id: r for r in url_filter.judge(df, "page_id").collect()}
+    for i, (_, host, path, rule, verdict) in enumerate(urls):
+        assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, rule, verdict)
+    assert all(got[100 + i].verdict == "allow" for i in range(60))
+    assert url_filter.judge(df.limit(0), "page_id").count() == 0
+
+
+def test_segmentation():
+    s = url_filter.Segmenter({"cheap": 50, "pills": 50, "the": 1000, "rapist": 2, "therapist": 5})
+    assert s.words("cheappills") == ["cheap", "pills"] and s.words("therapist") == ["therapist"]
+    assert len("".join(s.words("q" * 5000))) == 5000
+
+
+def test_pipeline(spark, docs):
+    import corpus_pipeline
+    out = corpus_pipeline.run(spark, SF_CHECK)
+    assert out.columns == ["doc_id", "n_tokens", "ids", "decoded"]
+    n = out.count()
+    assert 600 < n < 1000 and out.select("doc_id").distinct().count() == n
+    plain = docs.select(*corpus_pipeline.COLUMNS)
+    kept = corpus_pipeline.near_duplicates(spark, corpus_pipeline.lines(spark, plain, SF_CHECK), SF_CHECK)
+    assert kept.columns == list(corpus_pipeline.COLUMNS) and 1 <= kept.count() <= docs.count()

@@ -162,7 +162,7 @@ def _added(total: np.ndarray, enc: ChunkEncoder, starts: Counter, later: Counter
     for counter, ids in ((starts, enc.ids(list(starts))), (later, enc.known(later.keys()))):
         flat = np.frombuffer(b"".join(ids), np.uint32)
         weights = np.repeat(np.fromiter(counter.values(), np.float64), [len(x) // 4 for x in ids])
-        n = np.bincount(flat, weights, max(len(total), int(flat.max(initial=0)) + 1))
+        n = np.bincount(flat, weights, max(len(total), int(flat.max(initial=0)) + 1)).astype(np.float64)
         n[:len(total)] += total
         total = n
         counter.clear()

@@ -35,6 +35,7 @@ SEED_COUNT = 200                 # count a seed word has in the unigram model at
 UNIGRAMS = 30_000
 TOKENS = 50_000
 LONGEST = 400
+SMOOTH = 20
 _PIECE = re.compile(r"[a-z]+|[0-9]+")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -109,10 +110,15 @@ class Bayes:
     """Multinomial naive Bayes over tokens; class 1 is the one to block."""
 
     def __init__(self, counts: dict[str, tuple[int, int]], pages: tuple[int, int]):
-        totals = [sum(c[k] for c in counts.values()) + len(counts) + 1 for k in (0, 1)]
+        totals = [sum(c[k] for c in counts.values()) for k in (0, 1)]
         self.prior = math.log((pages[1] + 1) / (pages[0] + 1))
-        self.weight = {t: math.log((c[1] + 1) / totals[1]) - math.log((c[0] + 1) / totals[0])
-                       for t, c in counts.items()}
+        # each class is smoothed with SMOOTH tokens of the mixture of both, so that a token of one rare class is
+        # not taken for the other class because that one is smaller
+        self.weight = {}
+        for t, c in counts.items():
+            mix = SMOOTH * sum(c) / sum(totals)
+            self.weight[t] = (math.log((c[1] + mix) / (totals[1] + SMOOTH))
+                              - math.log((c[0] + mix) / (totals[0] + SMOOTH)))
 
     def log_odds(self, tokens: list[str]) -> float:
         return self.prior + sum(self.weight.get(t, 0.0) for t in tokens)
