@@ -120,7 +120,8 @@ def _groups(s: DataFrame) -> DataFrame:
     last = sizes.groupBy("__g3").agg(F.sum("count").alias("__n3"))
     sizes = sizes.join(last, "__g3").select(
         F.col("__g1"), F.when(F.col("__n3") >= MIN_ROWS, F.col("__g3")).alias("g"))
-    return s.join(sizes, "__g1", "left").drop("__g1")
+    # written first: its size is known when the join is planned, so a small table is broadcast and a hot group stays spread
+    return s.join(written(sizes, "groups"), "__g1", "left").drop("__g1")
 
 
 def _moments(rows: DataFrame) -> DataFrame:
@@ -185,7 +186,7 @@ def fit(rows: DataFrame) -> DataFrame:
     params = written(_start(rows), "mcd")
     for _ in range(C_STEPS):
         far = _distance(rows, params)
-        near = far.groupBy("g").agg(F.percentile_approx("d2", SUPPORT, SKETCH).alias("__h"))
+        near = written(far.groupBy("g").agg(F.percentile_approx("d2", SUPPORT, SKETCH).alias("__h")), "mcd")
         params = written(_moments(far.join(near, "g").where(F.col("d2") <= F.col("__h"))), "mcd")
     params = written(_rescaled(rows, params), "mcd")
     inner = _distance(rows, params).where(F.col("d2") <= chi2_quantile(len(STATS), REWEIGHT_Z))
