@@ -6,6 +6,8 @@ Mahalanobis distance, keep the closest share ``SUPPORT``, re-estimate centre and
 A reweighting step follows, and a document is rejected when its squared distance exceeds the chi-square
 quantile at ``TAIL``. All work is DataFrame aggregation over one small statistics table: moments and quantile
 sketches are pre-aggregated on the map side, so a source with a third of all rows ships one partial row per task.
+Estimates are joined on (group, salt), each repeated for every salt: where Spark shuffles that join instead of
+broadcasting the estimates, a hot group is spread over ``SALTS`` keys and its aggregates still combine map-side.
 
 Defined results
 * null text: no words, base_failed. Documents that fail a base rule take no part in the fit.
@@ -32,6 +34,7 @@ SPAN = 5                 # words of a repetition window
 MIN_ROWS = 200           # documents a group needs for an estimate of its own
 SUPPORT = 0.75           # share of a group that the C-steps keep
 C_STEPS = 4
+SALTS = 64               # keys that the rows of one group are spread over when they meet its estimate
 SKETCH = 2000            # accuracy of the per-group distance quantiles
 TAIL_Z = 5.0             # normal quantile of the rejection cutoff (about 3e-7 of a normal group lies beyond)
 REWEIGHT_Z = 1.959964    # normal quantile 0.975
@@ -120,8 +123,12 @@ def _groups(s: DataFrame) -> DataFrame:
     last = sizes.groupBy("__g3").agg(F.sum("count").alias("__n3"))
     sizes = sizes.join(last, "__g3").select(
         F.col("__g1"), F.when(F.col("__n3") >= MIN_ROWS, F.col("__g3")).alias("g"))
-    # written first: its size is known when the join is planned, so a small table is broadcast and a hot group stays spread
-    return s.join(written(sizes, "groups"), "__g1", "left").drop("__g1")
+    return s.join(_for_salts(sizes, "groups"), ["__g1", "__salt"], "left").drop("__g1")
+
+
+def _for_salts(small: DataFrame, name: str) -> DataFrame:
+    """A table of one row a group, written with that row for every salt (its written size decides on broadcasting)."""
+    return written(small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), name)
 
 
 def _moments(rows: DataFrame) -> DataFrame:
@@ -164,41 +171,42 @@ def _start(rows: DataFrame) -> DataFrame:
 
 
 def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """Adds ``d2``, the squared Mahalanobis distance under the group's estimate (null without one)."""
+    """Adds ``d2``, the squared Mahalanobis distance under the group's estimate (null without one); joins on (g, salt)."""
     d = len(STATS)
     z = [reduce(add, [F.col(f"w{i}_{j}") * (F.col(STATS[j]) - F.col(f"m{j}")) for j in range(i + 1)])
          for i in range(d)]
     keep = rows.columns
-    return rows.join(params, "g", "left").select(*keep, (reduce(add, [x * x for x in z]) / F.col("scale")).alias("d2"))
+    return rows.join(params, ["g", "__salt"], "left").select(*keep, (reduce(add, [x * x for x in z]) / F.col("scale")).alias("d2"))
 
 
 def _rescaled(rows: DataFrame, params: DataFrame) -> DataFrame:
     """``params`` with a scale that puts the group's median distance at the chi-square median (never enlarging it:
     floored statistics make the median small)."""
     med = _distance(rows, params).groupBy("g").agg(F.percentile_approx("d2", 0.5, SKETCH).alias("__med"))
-    return params.join(med, "g").withColumn("scale", F.greatest(F.lit(1.0), F.coalesce(
+    return params.where(F.col("__salt") == 0).drop("__salt").join(med, "g").withColumn("scale", F.greatest(F.lit(1.0), F.coalesce(
         F.col("__med"), F.lit(1.0)) / chi2_quantile(len(STATS), 0.0))).drop("__med")
 
 
 def fit(rows: DataFrame) -> DataFrame:
-    """The estimate of every group of ``rows`` (columns g and the statistics); one small row per group."""
-    rows = rows.where(F.col("g").isNotNull()).select("g", *STATS)
-    params = written(_start(rows), "mcd")
+    """The estimate of every group of ``rows`` (columns g, salt and the statistics): a small row per group and salt."""
+    rows = rows.where(F.col("g").isNotNull()).select("g", "__salt", *STATS)
+    params = _for_salts(_start(rows), "mcd")
     for _ in range(C_STEPS):
         far = _distance(rows, params)
-        near = written(far.groupBy("g").agg(F.percentile_approx("d2", SUPPORT, SKETCH).alias("__h")), "mcd")
-        params = written(_moments(far.join(near, "g").where(F.col("d2") <= F.col("__h"))), "mcd")
-    params = written(_rescaled(rows, params), "mcd")
+        near = _for_salts(far.groupBy("g").agg(F.percentile_approx("d2", SUPPORT, SKETCH).alias("__h")), "mcd")
+        params = _for_salts(_moments(far.join(near, ["g", "__salt"]).where(F.col("d2") <= F.col("__h"))), "mcd")
+    params = _for_salts(_rescaled(rows, params), "mcd")
     inner = _distance(rows, params).where(F.col("d2") <= chi2_quantile(len(STATS), REWEIGHT_Z))
-    params = written(_moments(inner), "mcd")
-    return written(_rescaled(rows, params), "mcd")
+    params = _for_salts(_moments(inner), "mcd")
+    return _for_salts(_rescaled(rows, params), "mcd")
 
 
 def rate(docs: DataFrame, *keep: str) -> DataFrame:
     """``keep`` columns, base counts, base_failed, distance2 and kept for every row of ``docs``."""
     s = document_statistics(docs.select(*dict.fromkeys((*keep, "lang", "source")), "text"),
                             *dict.fromkeys((*keep, "lang", "source")))
-    s = s.withColumn("base_failed", base_failed())
+    # the salt is the row's place in its task's output, written with the row: equal rows are spread too
+    s = s.withColumns({"base_failed": base_failed(), "__salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")})
     s = written(s, "stats")
     s = written(_groups(s), "grouped")
     params = fit(s.where(~F.col("base_failed")))
