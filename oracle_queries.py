@@ -423,8 +423,24 @@ FROM trips_taxi WHERE tipo_taxi = 'yellow'""", TRIPS_TAXI),
     "staging_roundtrip": with_views(TAXI_NORM.strip() + _staged_taxi("yellow") + "\nUNION ALL" + _staged_taxi("green"),
                                     TRIPS_TAXI),
     "mart_rebuild": MARKET_SHARE,
+    "mart_rebuild_kpis": FINANCIAL_KPIS,
     "mart_incremental": TEMPORAL,
+    "mart_incremental_share": MARKET_SHARE,
+    "mart_incremental_kpis": FINANCIAL_KPIS,
     "mart_incremental_demand": TERRITORIAL,
+    "stream_quarantine": with_views(FHV_NORM.strip() + f""", r AS (
+  SELECT anio, mes, {_reason('fhv')} AS reject_reason FROM fhv_norm
+)
+SELECT anio, mes, reject_reason, COUNT(*) AS filas FROM r WHERE reject_reason IS NOT NULL GROUP BY 1, 2, 3""", TRIPS_FHV),
+    "rerun_empty_period": with_views(TAXI_NORM.strip() + f""", staged AS ({_staged_taxi("yellow")}
+)
+SELECT * FROM staged
+WHERE anio || mes <> (SELECT MAX(anio || mes) FROM trips_taxi WHERE tipo_taxi = 'yellow')""", TRIPS_TAXI),
+    "period_listings": with_views(TAXI_NORM.strip() + f""", staged AS ({_staged_taxi("yellow")}
+)
+SELECT DISTINCT 'raw ' || tipo_taxi AS listado, anio, mes FROM trips_taxi
+UNION ALL SELECT DISTINCT 'raw fhv', anio, mes FROM trips_fhv
+UNION ALL SELECT DISTINCT 'staged yellow', anio, mes FROM staged""", TRIPS_TAXI, TRIPS_FHV),
     "stream_arrival": with_views(FHV_NORM.strip() + f"""
 SELECT anio, mes, dispatching_base_num, pickup_datetime, dropoff_datetime, pulocationid, dolocationid,
   CAST(NULL AS BIGINT) AS sr_flag, CAST(NULL AS VARCHAR) AS affiliated_base_number
@@ -439,6 +455,12 @@ def CI(cond: str) -> str:
     return f"CAST(count_if({cond}) AS BIGINT)"
 
 
+def _ranges(*cols: str) -> str:
+    """Minimum, negative and zero counts of money columns."""
+    return ", ".join(f"CAST(MIN({c}) AS DOUBLE) AS min_{c}, {CI(c + ' < 0')} AS negativos_{c}, {CI(c + ' = 0')} AS ceros_{c}"
+                     for c in cols)
+
+
 def RATE(num: str, den: str) -> str:
     return f"CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0)"
 
@@ -506,6 +528,10 @@ SELECT tipo_taxi AS formato, anio, MIN(fare_amount) AS min_fare_amount, {CI('far
   {CI('fare_amount = 0')} AS ceros_fare_amount, MIN(total_amount) AS min_total_amount,
   {CI('total_amount < 0')} AS negativos_total_amount, {CI('total_amount = 0')} AS ceros_total_amount
 FROM taxi_norm GROUP BY 1, 2"""),
+    "profile_amount_parts": with_norm("x AS (SELECT 1)\nSELECT tipo_taxi AS formato, anio, " + _ranges(
+        "tip_amount", "tolls_amount", "congestion_surcharge") + " FROM taxi_norm GROUP BY 1, 2"),
+    "profile_app_amounts": with_views("SELECT 'fhvhv' AS formato, anio, " + _ranges(
+        "base_passenger_fare", "tips", "airport_fee", "driver_pay") + " FROM trips_fhvhv GROUP BY 1, 2", TRIPS_FHVHV),
     "profile_negative_cash": with_norm("""
 x AS (SELECT 1)
 SELECT vendorid, anio, COUNT(*) AS reversos_efectivo FROM taxi_norm WHERE payment_type = 2 AND fare_amount < 0 GROUP BY 1, 2"""),
@@ -551,9 +577,9 @@ def over(mart_sql: str, body: str, name: str, *extra_views: str) -> str:
     return f"{pre}{name} AS (\n{mart_sql}\n)\n{body}"
 
 
-def _share_of_latest(service: str) -> str:
+def _share_of_latest(service: str, years: str = "") -> str:
     return over(MARKET_SHARE, f"""
-, l AS (SELECT MAX(anio) AS ultimo_anio FROM s)
+, l AS (SELECT MAX(anio) AS ultimo_anio FROM s {years})
 SELECT '{service}' AS tipo_servicio, l.ultimo_anio, {MEAN2('cuota_mercado_pct')} / 100.0 AS cuota
 FROM s, l WHERE s.anio = l.ultimo_anio AND s.tipo_servicio = '{service}' GROUP BY l.ultimo_anio""", "s")
 
@@ -562,6 +588,7 @@ ORACLE.update({
     "measure_total_trips": over(MARKET_SHARE, "SELECT CAST(SUM(total_viajes) AS BIGINT) AS total_viajes FROM s", "s"),
     "measure_app_share": _share_of_latest("fhvhv"),
     "measure_yellow_share": _share_of_latest("yellow"),
+    "measure_yellow_share_last_present": _share_of_latest("yellow", "WHERE tipo_servicio = 'yellow'"),
     "measure_peak_month": over(MARKET_SHARE, """
 , m AS (SELECT DISTINCT anio, mes, total_viajes_mes FROM s)
 SELECT (SELECT MAX(total_viajes_mes) FROM m) AS viajes_mes_pico,
@@ -598,6 +625,9 @@ SELECT anio, tipo_servicio, {MEAN2('tarifa_base_promedio')} AS tarifa_por_viaje,
   {MEAN2('tarifa_promedio_por_milla')} AS tarifa_por_milla FROM k GROUP BY 1, 2""", "k"),
     "view_borough_matrix": over(TERRITORIAL, """
 SELECT pu_borough, do_borough, CAST(SUM(total_viajes) AS BIGINT) AS viajes FROM d GROUP BY 1, 2""", "d"),
+    "view_borough_matrix_wide": over(TERRITORIAL, "SELECT pu_borough, " + ", ".join(
+        f"CAST(SUM(total_viajes) FILTER (do_borough = '{b}') AS BIGINT) AS \"{b}\"" for b in
+        ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", "Unknown")) + " FROM d GROUP BY pu_borough", "d"),
     "view_hourly_curve": over(TEMPORAL, """
 SELECT tipo_servicio, hora_dia, CAST(SUM(total_viajes) AS BIGINT) AS viajes FROM t
 WHERE dia_semana_num IN (1, 2, 3, 4, 5) GROUP BY 1, 2""", "t"),

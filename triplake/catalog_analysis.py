@@ -12,6 +12,8 @@ from triplake.plans.incremental import rows_per_period
 from triplake.sources import adapter
 from triplake.sources.files import expected_periods, missing_periods, pending_periods
 
+# Boroughs of the derived zone lookup (the pivot's columns), with the label of unknown zones.
+BOROUGHS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", "Unknown"]
 AS_OF = "2026-12"   # report date of the gap report (a parameter, never the clock)
 
 
@@ -68,6 +70,16 @@ def profile_amounts(spark, root):
     return P.amount_ranges(_taxi_norm(spark, root))
 
 
+def profile_amount_parts(spark, root):
+    """E7 for the components of the taxi total."""
+    return P.amount_ranges(_taxi_norm(spark, root), ("tip_amount", "tolls_amount", "congestion_surcharge"))
+
+
+def profile_app_amounts(spark, root):
+    """E7 for the app columns."""
+    return P.amount_ranges(normalized(spark, root)["fhvhv"], ("base_passenger_fare", "tips", "airport_fee", "driver_pay"))
+
+
 def profile_negative_cash(spark, root):
     return P.negative_cash_fares(_taxi_norm(spark, root))
 
@@ -144,6 +156,8 @@ QUERIES = {
     "profile_year_overflow": profile_year_overflow,
     "profile_duplicates": profile_duplicates,
     "profile_amounts": profile_amounts,
+    "profile_amount_parts": profile_amount_parts,
+    "profile_app_amounts": profile_app_amounts,
     "profile_negative_cash": profile_negative_cash,
     "profile_negative_distance": profile_negative_distance,
     "profile_zero_driver_pay": profile_zero_driver_pay,
@@ -154,6 +168,7 @@ QUERIES = {
     "measure_total_trips": lambda s, r: M.total_trips(_share(s, r)),
     "measure_app_share": lambda s, r: M.latest_year_share(_share(s, r), "fhvhv"),
     "measure_yellow_share": lambda s, r: M.latest_year_share(_share(s, r), "yellow"),
+    "measure_yellow_share_last_present": lambda s, r: M.latest_year_share(_share(s, r), "yellow", present=True),
     "measure_peak_month": lambda s, r: M.peak_month(_share(s, r)),
     "measure_financial": lambda s, r: M.financial_summary(_kpis(s, r)),
     "measure_top_pickup_borough": lambda s, r: M.top_pickup_borough(_demand(s, r)),
@@ -163,6 +178,7 @@ QUERIES = {
     "view_share_over_time": lambda s, r: M.share_over_time(_share(s, r)),
     "view_fare_by_service_year": lambda s, r: M.fare_by_service_year(_kpis(s, r)),
     "view_borough_matrix": lambda s, r: M.borough_matrix(_demand(s, r)),
+    "view_borough_matrix_wide": lambda s, r: M.borough_matrix(_demand(s, r), wide=True, boroughs=BOROUGHS),
     "view_hourly_curve": lambda s, r: M.hourly_curve(_temporal(s, r), days=[1, 2, 3, 4, 5]),
     "view_hourly_curve_borough": lambda s, r: M.hourly_curve_by_borough(
         adapter.trips_taxi(s, r), adapter.trips_fhvhv(s, r), adapter.zones(s, r), days=[1, 2, 3, 4, 5]),

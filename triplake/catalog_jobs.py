@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from triplake.catalog_rules import TAXI_ID
 from triplake.operators.normalize import normalize
+from triplake.operators import marts
 from triplake.plans import incremental as inc
-from triplake.plans.clean import clean_periods
-from triplake.schema import RAW_DECLARED
+from triplake.plans.clean import clean_periods, read_quarantine
+from triplake.schema import RAW_DECLARED, STAGING_TABLE
 from triplake.session import checkpoint_dir
 from triplake.sources import adapter
+from triplake.sources.files import raw_periods, staged_periods
 from triplake.sources.scan import footers, read_raw, type_drift
 from triplake.sources.sinks import read_staging, read_zone_csv, write_staging, write_zone_csv
 from triplake.streaming.arrivals import stream_arrivals
@@ -156,28 +158,41 @@ def _staging_from_views(spark, root, base) -> dict[str, DataFrame]:
     return inc.load_staging(spark, base, adapter.zones(spark, root))
 
 
-def mart_rebuild(spark, root) -> DataFrame:
-    """Full rebuild from staging tables; the share mart read back."""
+SHARE_COLUMNS = ["anio", "mes", "tipo_servicio", "total_viajes", "total_viajes_mes", "cuota_mercado_pct"]
+
+
+def _rebuilt(spark, root) -> str:
     base = scratch(spark, "lake")
     tables = _staging_from_views(spark, root, f"{base}/staging")
     inc.rebuild_marts(spark, tables, f"{base}/mart")
-    return inc.read_mart(spark, f"{base}/mart", "mart_cuota_mercado_mensual").select(
-        "anio", "mes", "tipo_servicio", "total_viajes", "total_viajes_mes", "cuota_mercado_pct")
+    return f"{base}/mart"
+
 
+def mart_rebuild(spark, root) -> DataFrame:
+    """Full rebuild from staging tables; the share mart read back."""
+    return inc.read_mart(spark, _rebuilt(spark, root), "mart_cuota_mercado_mensual").select(*SHARE_COLUMNS)
 
-INCREMENT = [("2017", "07"), ("2017", "08"), ("2024", "01")]
+
+def mart_rebuild_kpis(spark, root) -> DataFrame:
+    """The KPI mart after a full rebuild from staging, whose money columns are double."""
+    return inc.read_mart(spark, _rebuilt(spark, root), "mart_kpis_financieros").select(*marts.KPI_COLUMNS)
+
+
+LAST_PERIODS = 3                 # periods that the increments of the registered queries append
 
 
 def _incremental(spark, root) -> str:
     """Rebuild without the last periods, then append them one by one (one of them twice)."""
     base = scratch(spark, "lake")
     tables = _staging_from_views(spark, root, f"{base}/staging")
+    last = inc.rows_per_period(tables).orderBy(F.desc("anio"), F.desc("mes")).limit(LAST_PERIODS)
+    periods = sorted((r["anio"], r["mes"]) for r in last.collect())
     held = F.lit(False)
-    for a, m in INCREMENT:
+    for a, m in periods:
         held = held | ((F.col("anio") == a) & (F.col("mes") == m))
     early = {k: (v.where(~held) if k != "zones" else v) for k, v in tables.items()}
     inc.rebuild_marts(spark, early, f"{base}/mart")
-    for a, m in INCREMENT + INCREMENT[-1:]:
+    for a, m in periods + periods[-1:]:
         inc.append_period(spark, tables, f"{base}/mart", a, m)
     return f"{base}/mart"
 
@@ -190,6 +205,16 @@ def mart_incremental(spark, root) -> DataFrame:
         "tarifa_promedio", "distancia_promedio_millas")
 
 
+def mart_incremental_share(spark, root) -> DataFrame:
+    """The monthly share mart after increments."""
+    return inc.read_mart(spark, _incremental(spark, root), "mart_cuota_mercado_mensual").select(*SHARE_COLUMNS)
+
+
+def mart_incremental_kpis(spark, root) -> DataFrame:
+    """The monthly KPI mart after increments."""
+    return inc.read_mart(spark, _incremental(spark, root), "mart_kpis_financieros").select(*marts.KPI_COLUMNS)
+
+
 def mart_incremental_demand(spark, root) -> DataFrame:
     mart = _incremental(spark, root)
     return inc.read_mart(spark, mart, "mart_demanda_territorial").select(
@@ -211,6 +236,49 @@ def stream_arrival(spark, root) -> DataFrame:
         "dolocationid", "sr_flag", "affiliated_base_number")
 
 
+def stream_quarantine(spark, root) -> DataFrame:
+    """Rows that the arrival stream rejects, counted by period and reason."""
+    base = scratch(spark, "stream")
+    write_raw_fhv(spark, root, f"{base}/raw")
+    stream_arrivals(spark, f"{base}/raw/fhv", "fhv", f"{base}/staging", f"{base}/checkpoint",
+                    max_files_per_trigger=1, order_by=["event_id"],
+                    quarantine_root=f"{base}/quarantine").awaitTermination()
+    return read_quarantine(spark, f"{base}/quarantine", "fhv").groupBy("anio", "mes", "reject_reason").agg(
+        F.count(F.lit(1)).alias("filas"))
+
+
+def rerun_empty_period(spark, root) -> DataFrame:
+    """The last yellow period is published again with nothing but rejected rows; its staged rows go."""
+    base = scratch(spark, "lake")
+    write_raw_taxi(spark, root, f"{base}/raw")
+    clean_periods(spark, f"{base}/raw", f"{base}/staging", "yellow", order_by=TAXI_ID, keep=TAXI_ID)
+    last = raw_periods(spark, f"{base}/raw/yellow").orderBy(F.desc("anio"), F.desc("mes")).first()
+    if last:
+        folder = f"yellow/anio={last['anio']}/mes={last['mes']}"
+        rows = spark.read.parquet(f"{base}/raw/{folder}")
+        fare = next(c for c in rows.columns if c.lower() in ("fare_amount", "fare_amt"))
+        rows.withColumn(fare, F.lit(-1.0)).write.parquet(f"{base}/again/{folder}")
+        clean_periods(spark, f"{base}/again", f"{base}/staging", "yellow", order_by=TAXI_ID, keep=TAXI_ID,
+                      resume=False)
+    return read_staging(spark, f"{base}/staging", "taxi").select(*STAGED_TAXI)
+
+
+def period_listings(spark, root) -> DataFrame:
+    """Periods of the raw folders and of the staged table, from file listings alone."""
+    base = scratch(spark, "lake")
+    write_raw_taxi(spark, root, f"{base}/raw")
+    write_raw_fhv(spark, root, f"{base}/raw")
+    clean_periods(spark, f"{base}/raw", f"{base}/staging", "yellow", order_by=TAXI_ID, keep=TAXI_ID)
+    parts = [raw_periods(spark, f"{base}/raw/{f}", nonempty_only=True).select(F.lit(f"raw {f}").alias("listado"), "*")
+             for f in ("yellow", "green", "fhv")]
+    parts.append(staged_periods(spark, f"{base}/staging/{STAGING_TABLE['yellow']}", "yellow").select(
+        F.lit("staged yellow").alias("listado"), "*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 QUERIES = {
     "drifted_scan": drifted_scan,
     "type_drift_audit": type_drift_audit,
@@ -218,7 +286,13 @@ QUERIES = {
     "profile_volume_files": profile_volume_files,
     "staging_roundtrip": staging_roundtrip,
     "mart_rebuild": mart_rebuild,
+    "mart_rebuild_kpis": mart_rebuild_kpis,
     "mart_incremental": mart_incremental,
+    "mart_incremental_share": mart_incremental_share,
+    "mart_incremental_kpis": mart_incremental_kpis,
     "mart_incremental_demand": mart_incremental_demand,
     "stream_arrival": stream_arrival,
+    "stream_quarantine": stream_quarantine,
+    "rerun_empty_period": rerun_empty_period,
+    "period_listings": period_listings,
 }

@@ -29,19 +29,27 @@ def ratio(num, den, scale: float = 1.0) -> Column:
     return (F.lit(float(scale)) * n / d) if scale != 1.0 else n / d
 
 
+EXACT = "decimal(22,6)"   # exact for amounts and distances with up to 6 decimals
+
+
+def exact(c) -> Column:
+    """The value as a decimal: sums do not depend on their order; NaN and values beyond it become NULL."""
+    return _col(c).try_cast(EXACT)
+
+
 def mean(c) -> Column:
-    """AVG as SUM/COUNT of the non-NULL values, as a double.
+    """AVG as SUM/COUNT of the values that are summed, as a double.
 
-    Summing first keeps decimal input exact and lets the same (sum, count) pair be stored
-    and merged later (monthly state of the annual marts).
+    Summing decimals first keeps the result independent of order and lets the same (sum, count)
+    pair be stored and merged later (monthly state of the annual marts).
     """
-    col = _col(c)
+    col = exact(c)
     return F.sum(col).cast("double") / F.nullif(F.count(col), F.lit(0))
 
 
 def nz_sum(c) -> Column:
     """SUM as double (NULL when every input is NULL)."""
-    return F.sum(_col(c)).cast("double")
+    return F.sum(exact(c)).cast("double")
 
 
 def mean_exact(c, dtype: str = "decimal(18,2)") -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triplake.functions.dates import iso_weekday, weekday_name
-from triplake.functions.numeric import mean, nz_sum, ratio, round2
+from triplake.functions.numeric import exact, mean, nz_sum, ratio, round2
 from triplake.schema import DEMAND_TAXI_MIN_ANIO, FHVHV_AMOUNT_PARTS
 
 MARTS = ("mart_cuota_mercado_mensual", "mart_kpis_financieros",
@@ -94,12 +94,12 @@ def taxi_kpis(taxi: DataFrame) -> DataFrame:
                  round2(mean("fare_amount")).alias("tarifa_base_promedio"),
                  round2(nz_sum("tip_amount")).alias("propina_total"),
                  round2(mean("tip_amount")).alias("propina_promedio"),
-                 round2(ratio(F.sum("tip_amount"), F.sum("fare_amount"), 100.0)).alias("porcentaje_propina"),
+                 round2(ratio(F.sum(exact("tip_amount")), F.sum(exact("fare_amount")), 100.0)).alias("porcentaje_propina"),
                  round2(nz_sum("tolls_amount")).alias("peajes_total"),
                  round2(nz_sum("congestion_surcharge")).alias("recargo_congestion_total"),
                  round2(mean("trip_distance")).alias("distancia_promedio_millas"),
                  round2(_minutes_mean(trip_seconds())).alias("duracion_promedio_min"),
-                 round2(ratio(F.sum("fare_amount"), F.sum("trip_distance"))).alias("tarifa_promedio_por_milla"),
+                 round2(ratio(F.sum(exact("fare_amount")), F.sum(exact("trip_distance")))).alias("tarifa_promedio_por_milla"),
                  null_d.alias("pago_conductor_total"),
                  null_d.alias("pago_conductor_promedio_viaje"))
             .select(*KPI_COLUMNS))
@@ -113,12 +113,12 @@ def app_kpis(fhvhv: DataFrame) -> DataFrame:
                  round2(mean("base_passenger_fare")).alias("tarifa_base_promedio"),
                  round2(nz_sum("tips")).alias("propina_total"),
                  round2(mean("tips")).alias("propina_promedio"),
-                 round2(ratio(F.sum("tips"), F.sum("base_passenger_fare"), 100.0)).alias("porcentaje_propina"),
+                 round2(ratio(F.sum(exact("tips")), F.sum(exact("base_passenger_fare")), 100.0)).alias("porcentaje_propina"),
                  round2(nz_sum("tolls")).alias("peajes_total"),
                  round2(nz_sum("congestion_surcharge")).alias("recargo_congestion_total"),
                  round2(mean("trip_miles")).alias("distancia_promedio_millas"),
                  round2(_minutes_mean(F.col("trip_time"))).alias("duracion_promedio_min"),
-                 round2(ratio(F.sum("base_passenger_fare"), F.sum("trip_miles"))).alias("tarifa_promedio_por_milla"),
+                 round2(ratio(F.sum(exact("base_passenger_fare")), F.sum(exact("trip_miles")))).alias("tarifa_promedio_por_milla"),
                  round2(nz_sum("driver_pay")).alias("pago_conductor_total"),
                  round2(mean("driver_pay")).alias("pago_conductor_promedio_viaje"))
             .withColumn("tipo_servicio", F.lit("fhvhv"))

@@ -31,10 +31,14 @@ def total_trips(share: DataFrame) -> DataFrame:
     return share.agg(F.sum("total_viajes").cast("bigint").alias("total_viajes"))
 
 
-def latest_year_share(share: DataFrame, service: str) -> DataFrame:
-    """M2 (fhvhv) / M3 (yellow): mean monthly share of the service in the latest year present, / 100."""
-    latest = share.select(F.max("anio")).scalar()
-    s = share.where((F.col("anio") == latest) & (F.col("tipo_servicio") == service))
+def latest_year_share(share: DataFrame, service: str, present: bool = False) -> DataFrame:
+    """M2 (fhvhv) / M3 (yellow): mean monthly share of the service in the latest year present, / 100.
+
+    ``present`` takes the latest year in which the service itself has trips.
+    """
+    own = F.col("tipo_servicio") == service
+    latest = (share.where(own) if present else share).select(F.max("anio")).scalar()
+    s = share.where((F.col("anio") == latest) & own)
     return s.groupBy(F.col("anio").alias("ultimo_anio")).agg((mean_exact("cuota_mercado_pct") / F.lit(100.0)).alias("cuota"))\
             .select(F.lit(service).alias("tipo_servicio"), "ultimo_anio", "cuota")
 

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from triplake.functions.dates import anio_of, mes_of
 from triplake.operators.dedup import dedup
 from triplake.operators.normalize import normalize
-from triplake.operators.quality import add_flags, apply_rules, passes, split
-from triplake.schema import FORMATS, TAXI_FORMATS
+from triplake.operators.quality import REASON, add_flags, apply_rules, passes, split
+from triplake.schema import CANONICAL, FORMATS, TAXI_FORMATS
 
 SOURCE_PERIOD = ("source_anio", "source_mes")
 
@@ -68,6 +69,12 @@ def write_quarantine(rejected: DataFrame, root: str, fmt: str, periods=()) -> st
     return path
 
 
+def read_quarantine(spark, root: str, fmt: str) -> DataFrame:
+    """The rejected rows of a format with their reason; without any, an empty table."""
+    fields = [*CANONICAL[fmt].fields, *[T.StructField(c, T.StringType()) for c in (REASON, "anio", "mes")]]
+    return spark.read.schema(T.StructType(fields)).parquet(f"{root.rstrip('/')}/{fmt}")
+
+
 def processed_log(staging_root: str, fmt: str) -> str:
     """Folder of the processed-periods log (leading underscore: Parquet readers of the table skip it)."""
     return f"{staging_root.rstrip('/')}/_periodos/{fmt}"

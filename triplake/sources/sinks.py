@@ -94,7 +94,9 @@ def read_staging(spark: SparkSession, root: str, table: str) -> DataFrame:
     from pyspark.errors import AnalysisException
     try:
         return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}")
-    except AnalysisException:                      # a table nothing was written to yet is empty
+    except AnalysisException as e:                 # a table nothing was written to yet is empty
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
