@@ -326,6 +326,24 @@ def test_segmentation():
     assert len("".join(s.words("q" * 5000))) == 5000
 
 
+def test_url_model_keeps_every_count(spark):
+    def name(i):
+        return "".join(chr(97 + i // 26 ** k % 26) for k in range(5))
+    long = "".join(chr(97 + i * 7 % 26) for i in range(40))
+    many = " ".join(f"{name(i)} {name(i)}" for i in range(30_500))         # words twice, more than 30,000 of them
+    df = spark.createDataFrame([(1, "http://quokkazebu.test/x", f"<p>{many}</p> quokka zebu {long}"),
+                                (2, f"http://a.test/{long}quokka", None)], "page_id bigint, url string, html string")
+    got = {r.page_id: r.words for r in url_filter.judge(df, "page_id").collect()}
+    assert got[1] == "quokka zebu /x" and got[2].endswith(f"/{long} /quokka")
+    # 51,000 different tokens: the rarest one still has its weight
+    urls = spark.range(51_000).selectExpr("'plain.test' AS host", "concat('/', translate(lpad(id, 5, '0'), "
+                                          "'0123456789', 'abcdefghij')) AS path")
+    urls = urls.union(urls).union(spark.createDataFrame([("zzz.test", "/cheap/")], "host string, path string"))
+    model = url_filter.token_counts(urls, url_filter.Segmenter({"cheap": 9}))
+    weight = model.table.found(["zzz", "plain", "/aaaaa", "/fajjj", "never"])
+    assert set(weight) == {"zzz", "plain", "/aaaaa", "/fajjj"}
+
+
 def test_pipeline(spark, docs):
     import corpus_pipeline
     out = corpus_pipeline.run(spark, SF_CHECK)

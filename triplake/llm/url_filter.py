@@ -2,10 +2,11 @@
 
 Rules decide where one fits (the longest wins). Every other url is judged by the method: host labels and path
 parts are split at non-letters, each piece is cut into words by a unigram Viterbi search, and a multinomial
-naive Bayes model scores the words. The unigram model is counted in Spark over the words of the pages' html (the
-``UNIGRAMS`` most frequent ones) plus the seed words. The naive Bayes model learns from the pages themselves:
+naive Bayes model scores the words. The unigram model is counted in Spark over all words of the pages' html plus the
+seed words. The naive Bayes model learns from the pages themselves:
 a url with a seed word among its segmented words is an example of the class to block, any other is an example of
-the class to allow; token counts per class are summed in Spark, and the ``TOKENS`` most frequent tokens are kept.
+the class to allow; token counts per class are summed in Spark. Word counts and
+token weights, all of them, lie in the shared folder as sorted hash arrays that workers memory-map.
 
 Defined results: null url or one without ``://`` has empty host and path, no rule, verdict allow; urls of any
 length are judged (pieces longer than ``LONGEST`` are cut into blocks for the search); equal urls get
@@ -17,14 +18,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_batches
+from .common import arrow_batches, scratch, written
+from .files import HashTable, write_hash_table
 
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
          ("allow", "org", "/fr/"))
@@ -32,9 +33,8 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 SEEDS = ("spam", "farm", "cheap", "pills", "casino", "bets", "bet", "win", "adult", "xxx", "porn", "sex", "viagra",
          "loan", "loans", "free", "ads", "track", "tracker", "poker", "lottery", "replica", "escort", "clickbait")
 SEED_COUNT = 200                 # count a seed word has in the unigram model at least
-UNIGRAMS = 30_000
-TOKENS = 50_000
 LONGEST = 400
+ASKED = 500_000                  # parts of pieces looked up at a time
 SMOOTH = 20
 _PIECE = re.compile(r"[a-z]+|[0-9]+")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -58,24 +58,54 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 class Segmenter:
-    """Unigram Viterbi word segmentation."""
-
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) + 1
-        self.cost = {w: -math.log10(c / total) for w, c in counts.items()}
-        self.widest = max(map(len, counts), default=1)
+    """Unigram Viterbi word segmentation; counts in memory go before those of a mapped table."""
+
+    def __init__(self, counts: dict[str, int], table: HashTable | None = None, total: int = 0,
+                 lengths: tuple[int, ...] = ()):
+        total = (total or sum(counts.values())) + 1
+        self.total = total
+        self.held = {w: -math.log10(c / total) for w, c in counts.items()}
+        self.cost = self.held
+        self.table, self.lengths = table, lengths
+        self.widest = max([*map(len, counts), *lengths], default=1)
         self.unknown = math.log10(total)
         self.seen: dict[str, list[str]] = {}
 
     def words(self, piece: str) -> list[str]:
         got = self.seen.get(piece)
         if got is None:
-            got = [w for k in range(0, len(piece), LONGEST) for w in self._cut(piece[k:k + LONGEST])]
-            if len(self.seen) > 200_000:
-                self.seen.clear()
-            self.seen[piece] = got
+            self.learn([piece])
+            got = self.seen[piece]
         return got
 
+    def learn(self, pieces: list[str]) -> None:
+        """Cut the pieces not cut yet; the table is asked for many of their parts at a time."""
+        if len(self.seen) > 200_000:
+            self.seen.clear()
+        blocks: dict[str, list[str]] = {}
+        asked: set[str] = set()
+        for p in set(pieces).difference(self.seen):
+            blocks[p] = [p[k:k + LONGEST] for k in range(0, len(p), LONGEST)]
+            if self.table:
+                asked.update(s[b:b + n] for s in blocks[p] for n in self.lengths for b in range(len(s) - n + 1))
+            if len(asked) > ASKED:
+                self._learn(blocks, asked)
+                blocks, asked = {}, set()
+        self._learn(blocks, asked)
+
+    def _learn(self, blocks: dict[str, list[str]], asked: set[str]) -> None:
+        if self.table:
+            got = self.table.found(list(asked))
+            self.cost = {w: -math.log10(c / self.total) for w, c in got.items()} | self.held
+        for p, cut in blocks.items():
+            self.seen[p] = [w for s in cut for w in self._cut(s)]
+
+    def all_tokens(self, hosts: list[str], paths: list[str]) -> list[list[str]]:
+        """The tokens of many urls."""
+        texts = [x for h in hosts for x in h.split(".")[:-1]] + [p.lower() for p in paths]
+        self.learn([p for t in texts for p in _PIECE.findall(t) if p[0] > "9"])
+        return [self.tokens(h, p) for h, p in zip(hosts, paths, strict=True)]
+
     def _cut(self, s: str) -> list[str]:
         best, back = [0.0], [0]
         for e in range(1, len(s) + 1):
@@ -109,28 +139,29 @@ class Segmenter:
 class Bayes:
     """Multinomial naive Bayes over tokens; class 1 is the one to block."""
 
-    def __init__(self, counts: dict[str, tuple[int, int]], pages: tuple[int, int]):
-        totals = [sum(c[k] for c in counts.values()) for k in (0, 1)]
+    def __init__(self, table: HashTable, pages: tuple[int, int]):
         self.prior = math.log((pages[1] + 1) / (pages[0] + 1))
-        # each class is smoothed with SMOOTH tokens of the mixture of both, so that a token of one rare class is
-        # not taken for the other class because that one is smaller
-        self.weight = {}
-        for t, c in counts.items():
-            mix = SMOOTH * sum(c) / sum(totals)
-            self.weight[t] = (math.log((c[1] + mix) / (totals[1] + SMOOTH))
-                              - math.log((c[0] + mix) / (totals[0] + SMOOTH)))
+        self.table = table
 
-    def log_odds(self, tokens: list[str]) -> float:
-        return self.prior + sum(self.weight.get(t, 0.0) for t in tokens)
+    def log_odds(self, urls: list[list[str]]) -> list[float]:
+        weight = self.table.found(list({t for tokens in urls for t in tokens}))
+        return [self.prior + sum(weight.get(t, 0.0) for t in tokens) for tokens in urls]
 
 
-def unigrams(html: DataFrame) -> dict[str, int]:
-    """Counts of the most frequent words of a table with one column of html, seed words included."""
+def unigrams(html: DataFrame) -> Segmenter:
+    """The segmenter of all words of a table with one column of html, seed words included."""
     text = F.lower(F.regexp_replace(F.coalesce(html[0], F.lit("")), "<[^>]*>", " "))
-    w = html.select(F.explode(F.split(text, "[^a-z]+", -1)).alias("w")).where(F.length("w").between(1, 24))
-    top = w.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "w").limit(UNIGRAMS)
-    counts = {r["w"]: r["n"] for r in top.collect()}
-    return counts | {s: max(SEED_COUNT, counts.get(s, 0)) for s in SEEDS}
+    w = html.select(F.explode(F.split(text, "[^a-z]+", -1)).alias("w")).where("w != ''")
+    counts = written(w.groupBy("w").agg(F.count("*").alias("n")), "url-words")
+    seeds = {r["w"]: r["n"] for r in counts.where(F.col("w").isin(*SEEDS)).collect()}
+    raised = {s: max(SEED_COUNT, seeds.get(s, 0)) for s in SEEDS}
+    # one row a length; no piece has a word longer than LONGEST
+    sizes = counts.groupBy(F.least(F.length("w"), F.lit(LONGEST + 1)).alias("len")).agg(
+        F.count("*").alias("words"), F.sum("n").alias("n")).collect()
+    total = sum(r["n"] for r in sizes) + sum(raised.values()) - sum(seeds.values())
+    rows = counts.where(F.length("w") <= LONGEST).select(F.col("w").alias("key"), F.col("n").alias("value"))
+    table = write_hash_table(rows, sum(r["words"] for r in sizes), scratch(html.sparkSession, "url-unigrams"))
+    return Segmenter(raised, table, total, tuple(sorted(r["len"] for r in sizes if r["len"] <= LONGEST)))
 
 
 def token_counts(urls: DataFrame, segmenter: Segmenter) -> Bayes:
@@ -141,10 +172,8 @@ def token_counts(urls: DataFrame, segmenter: Segmenter) -> Bayes:
     def run(batches):
         seen: Counter = Counter()
         for b in batches:
-            for host, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if not host:
-                    continue
-                tokens = segmenter.tokens(host, path)
+            urls = [(h, p) for h, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if h]
+            for tokens in segmenter.all_tokens([h for h, _ in urls], [p for _, p in urls]):
                 k = int(any(t in seeds for t in tokens))
                 seen["", k] += 1
                 for t in tokens:
@@ -157,9 +186,17 @@ def token_counts(urls: DataFrame, segmenter: Segmenter) -> Bayes:
     sums = urls.mapInArrow(run, "token string, block int, n bigint").groupBy("token").agg(
         F.sum(F.when(F.col("block") == 0, F.col("n")).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("block") == 1, F.col("n")).otherwise(0)).alias("b"))
-    top = sums.orderBy(F.col("token") != "", F.desc(F.col("a") + F.col("b")), "token").limit(TOKENS + 1).collect()
-    counts = {r["token"]: (r["a"], r["b"]) for r in top}
-    return Bayes(counts, counts.pop("", (0, 0)))
+    sums = written(sums, "url-tokens")
+    pages = sums.where("token = ''").select("a", "b").first() or (0, 0)
+    words = sums.where("token != ''")
+    n, *totals = words.agg(F.count("*"), F.coalesce(F.sum("a"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    # each class is smoothed with SMOOTH tokens of the mixture of both, so that a token of one rare class is
+    # not taken for the other class because that one is smaller
+    mix = SMOOTH * (F.col("a") + F.col("b")) / F.lit(max(sum(totals), 1))
+    weight = (F.log((F.col("b") + mix) / F.lit(totals[1] + SMOOTH))
+              - F.log((F.col("a") + mix) / F.lit(totals[0] + SMOOTH)))
+    rows = words.select(F.col("token").alias("key"), weight.alias("value"))
+    return Bayes(write_hash_table(rows, n, scratch(urls.sparkSession, "url-weights")), tuple(pages))
 
 
 def _counted(seen: Counter) -> pa.RecordBatch:
@@ -173,15 +210,15 @@ def judge(pages: DataFrame, *keep: str) -> DataFrame:
     """``keep`` columns, host, path, rule, verdict, words (segmented) and log_odds (of block) of every page."""
     host, path = parts(F.col("url"))
     urls = pages.select(*keep, host.alias("__host"), path.alias("__path"))
-    segmenter = Segmenter(unigrams(pages.select("html")))
+    segmenter = unigrams(pages.select("html"))
     model = token_counts(urls.select("__host", "__path"), segmenter)
     arrow_batches(pages.sparkSession, 10_000)
 
     def run(batches):
         for b in batches:
             hosts, paths = b.column("__host").to_pylist(), b.column("__path").to_pylist()
-            words = [segmenter.tokens(h, p) for h, p in zip(hosts, paths, strict=True)]
-            odds = [model.log_odds(w) if h else model.prior for h, w in zip(hosts, words, strict=True)]
+            words = segmenter.all_tokens(hosts, paths)
+            odds = model.log_odds([w if h else [] for h, w in zip(hosts, words, strict=True)])
             yield pa.RecordBatch.from_arrays([
                 *b.columns, pa.array([" ".join(w) for w in words], pa.string()), pa.array(odds, pa.float64())],
                 [*b.schema.names, "__words", "__odds"])
