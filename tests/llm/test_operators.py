@@ -247,6 +247,22 @@ def test_decontamination(spark, docs, empty):
     assert not any(r.contaminated for r in decontamination.report(docs, bench.limit(0)).collect())
 
 
+def found_items(spark, bench, texts):
+    b = spark.createDataFrame(list(enumerate(bench)), "item_id bigint, text string")
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return [r["items"] for r in decontamination.report(d, b).orderBy("doc_id").collect()]
+
+
+def test_decontamination_runs_and_slots(spark):
+    item = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    slots = [*item[:3], "12", *item[3:30], "12", *item[30:34]]         # two equal numbers, 31 words between them
+    changed = [*slots[:3], "40", *slots[4:]]
+    got = found_items(spark, [" ".join(item[:60]), "k " + " ".join(slots).replace("w", "v")], [
+        "before " + " ".join(item[10:40]) + " after", "x " + " ".join(item[20:34]) + " y",
+        "x " + " ".join(item[20:33]) + " y", " ".join(changed).replace("w", "v")])
+    assert got == ["0", "0", "", "1"]
+
+
 def test_quality_classifier_held_out(spark, docs, empty):
     from triplake.llm.common import table
     d, labels = table(spark, SF_CHECK, "documents"), table(spark, SF_CHECK, "labels")

@@ -5,8 +5,9 @@ keep their value beside the type; other words are lower-cased and lose punctuati
 placeholder-typed words are hashed and hash-joined with the windows of the benchmark. Benchmark items with the same
 template and the same pattern of equal slots form one class, so re-parameterised copies of a question are one join
 partner. For each document, class and alignment, slot consistency is checked: slots that are equal in the item
-must have one value in the document. A document is contaminated by a class if consistent alignments cover ``COVER``
-of its windows.
+must have one value in the document, and windows that hold a slot with several values do not count. A document is
+contaminated by a class if the windows left cover ``COVER`` of the item's, or if one alignment has ``RUN``
+consecutive tokens of it.
 
 The benchmark side is written first, so that its size is known: while it is below Spark's broadcast threshold
 the windows of the documents are probed where they are read, without a shuffle; above it Spark joins by a
@@ -27,6 +28,7 @@ from .line_dedup import document_key
 
 WINDOW = 8
 COVER = 0.5
+RUN = 14                         # 13 tokens may lie between two slots that differ (tests)
 # placeholder types, put before the value of a slot
 NUMBER, UNIT, NAME = "\x01", "\x02", "\x03"
 UNITS = ("km|kg|cm|mm|mg|ml|kb|mb|gb|tb|kwh|mph|kmh|m|g|l|s|h|ft|lb|lbs|oz|hz|khz|mhz|ghz|usd|eur|gbp|dollars?|euros?|"
@@ -95,11 +97,19 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                          pairs.alias("pairs"))
     # bounded by the windows of one item
     by_shift = aligned.groupBy("__id", "__key", "class", "total", "shift").agg(
-        F.collect_set("bpos").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")
-    cover = by_shift.where(F.coalesce(consistent, F.lit(True))).groupBy("__id", "__key", "class", "total").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n"))
-    found = cover.where(F.col("n") >= COVER * F.col("total")).join(classes, "class")
+        F.collect_set(F.struct("bpos", "pairs")).alias("at"))
+    seen = F.array_distinct(F.flatten(F.filter(F.col("at")["pairs"], lambda p: p.isNotNull())))
+    by_shift = by_shift.withColumn("bad", F.filter(seen, lambda p: F.exists(
+        seen, lambda q: (q["i"] == p["i"]) & (q["v"] != p["v"])))["i"])
+    by_shift = by_shift.withColumn("at", F.array_sort(F.array_distinct(F.filter("at", lambda w: ~F.coalesce(
+        F.arrays_overlap(w["pairs"]["i"], F.col("bad")), F.lit(False)))["bpos"])))
+    more = RUN - WINDOW                                  # windows after the first one of a run
+    run = (F.size("at") > more) & F.exists(F.sequence(F.lit(0), F.greatest(F.size("at") - 1, F.lit(0))),
+                                           lambda i: F.get("at", i + more) - F.get("at", i) == more)
+    cover = by_shift.groupBy("__id", "__key", "class", "total").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n"),
+        F.max(F.coalesce(run, F.lit(False))).alias("run"))
+    found = cover.where((F.col("n") >= COVER * F.col("total")) | F.col("run")).join(classes, "class")
     return found.groupBy("__id", F.col("__key").alias("__th")).agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("__items"))
 
