@@ -263,6 +263,14 @@ def test_decontamination_runs_and_slots(spark):
     assert got == ["0", "0", "", "1"]
 
 
+def test_decontamination_short_items(spark):
+    fifteen = "aa bb cc dd ee ff gg hh ii jj kk ll mm nn oo"
+    got = found_items(spark, ["what is the capital of ghana?", fifteen, "42", "17"], [
+        "They asked us: what is the capital of ghana? It is a long text about quizzes.", "what is the capital",
+        "so " + fifteen.replace("hh", "changed") + " end", "the sum of 6 and 36 is 42 in all of these"])
+    assert got == ["0", "", "1", "2"]
+
+
 def test_quality_classifier_held_out(spark, docs, empty):
     from triplake.llm.common import table
     d, labels = table(spark, SF_CHECK, "documents"), table(spark, SF_CHECK, "labels")

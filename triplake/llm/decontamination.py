@@ -13,8 +13,11 @@ The benchmark side is written first, so that its size is known: while it is belo
 the windows of the documents are probed where they are read, without a shuffle; above it Spark joins by a
 shuffle of both sides. Only matching windows are aggregated.
 
-Defined results: null or empty texts match nothing; a text or item shorter than a window is one window of its own
-length; items without words match nothing; null item ids are reported as 'null'; rows with equal id and text get the
+Items shorter than a window are one window of their own length, and items shorter than two also have windows of half
+their length (``LEAST`` tokens or more), which count by the share of tokens they cover; documents have windows of
+each length that occurs. Windows of placeholders alone match by their values.
+
+Defined results: null or empty texts match nothing; items without words match nothing; null item ids are reported as 'null'; rows with equal id and text get the
 same result; extra columns are ignored; an empty documents or benchmark table gives no contamination.
 """
 
@@ -28,6 +31,7 @@ from .line_dedup import document_key
 
 WINDOW = 8
 COVER = 0.5
+LEAST = 6                        # tokens of the shortest window of an item of eight tokens or more
 RUN = 14                         # 13 tokens may lie between two slots that differ (tests)
 # placeholder types, put before the value of a slot
 NUMBER, UNIT, NAME = "\x01", "\x02", "\x03"
@@ -51,35 +55,46 @@ def _is_slot(token: Column) -> Column:
     return token < F.lit("\x04")
 
 
-def _windows(df: DataFrame, *keep: str) -> DataFrame:
-    """``keep`` columns and the windows (position, hash, slots) of column __tok, one row each."""
+def _windows(df: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
+    """``keep`` columns and the windows (position, length, hash, slots) of column __tok, one row each; slots are taken
+    from column __ids. A window of slots alone is hashed by its values."""
     df = df.withColumn("__th", F.transform("__tok", lambda t: F.xxhash64(
         F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t))))
-    df = df.withColumn("__slots", F.exists("__tok", _is_slot))
     n = F.size("__th")
-    short = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(F.lit(-1), n, F.col("__th")).alias("wh"),
-                             F.when(F.col("__slots"), F.filter("__tok", _is_slot)).alias("slots")))
-    full = F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.struct(
-        i.alias("pos"), F.xxhash64(*[F.get("__th", i + k) for k in range(WINDOW)]).alias("wh"),
-        F.when(F.col("__slots"), F.filter(F.slice("__tok", i + 1, WINDOW), _is_slot)).alias("slots")))
-    return df.select(*keep, F.explode(F.when(n >= WINDOW, full).when(n > 0, short)).alias("__w")).select(
-        *keep, "__w.pos", "__w.wh", "__w.slots")
+
+    def full(k: int) -> Column:
+        return F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct(
+            i.alias("pos"), F.lit(k).alias("len"),
+            F.xxhash64(*[F.get("__th", i + j) for j in range(k)]).alias("wh"),
+            F.filter(F.slice("__tok", i + 1, k), _is_slot).alias("values"),
+            F.filter(F.slice("__ids", i + 1, k), _is_slot).alias("slots"))))
+    w = df.select(*keep, F.explode(F.flatten(F.array_compact(F.array(*[full(k) for k in lengths])))).alias("__w"))
+    alone = F.size("__w.values") == F.col("__w.len")
+    return w.select(*keep, "__w.pos", "__w.len", F.when(alone, F.xxhash64(F.lit(-1), "__w.values")).otherwise(
+        F.col("__w.wh")).alias("wh"), "__w.slots")
+
+
+def _lengths(n: Column) -> Column:
+    """Lengths of the windows of an item of n tokens."""
+    return F.when(n < WINDOW, F.array(n)).when(n < 2 * WINDOW, F.array(
+        F.lit(WINDOW), F.greatest(F.lit(LEAST), F.floor(n / 2).cast("int")))).otherwise(F.array(F.lit(WINDOW)))
 
 
 def benchmark_classes(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(class, items) and (wh, class, bpos, ids, total): classes of items and the windows of one item of each."""
+    """(class, items) and (wh, class, bpos, len, ids, n, total): classes of items and the windows of their items."""
     b = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                          template_tokens(F.col("text")).alias("__tok")).where(F.size("__tok") > 0)
     # a slot's identity inside its item: its type and the place of its first occurrence
-    b = b.withColumn("__tok", F.transform("__tok", lambda t: F.when(_is_slot(t), F.concat(
+    b = b.withColumn("__ids", F.transform("__tok", lambda t: F.when(_is_slot(t), F.concat(
         F.substring(t, 1, 1), F.array_position("__tok", t).cast("string"))).otherwise(t)))
-    b = b.withColumn("class", F.xxhash64(F.array_join("__tok", " ")))
-    classes = b.groupBy("class").agg(F.array_sort(F.collect_set("item")).alias("items"),
-                                     F.min("__tok").alias("__tok"))
-    windows = _windows(classes, "class")
-    total = windows.groupBy("class").agg(F.countDistinct("pos").alias("total"))
-    windows = windows.select("wh", "class", F.col("pos").alias("bpos"), F.col("slots").alias("ids"))
-    return classes.select("class", "items"), windows.join(total, "class")
+    template = F.when(F.forall("__tok", _is_slot), F.col("__tok")).otherwise(F.col("__ids"))
+    b = b.withColumn("class", F.xxhash64(F.array_join(template, " ")))
+    classes = b.groupBy("class").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    b = b.withColumn("n", F.size("__tok")).withColumn("own", _lengths(F.col("n")))
+    windows = _windows(b, list(range(1, WINDOW + 1)), "class", "n", "own").where(F.array_contains("own", F.col("len")))
+    windows = windows.select("wh", "class", F.col("pos").alias("bpos"), "len", F.col("slots").alias("ids"), "n",
+                             (F.col("n") - WINDOW + 1).alias("total"))
+    return classes, windows.distinct()
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -87,29 +102,30 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     classes, windows = benchmark_classes(benchmark)
     classes, windows = written(classes, "classes"), written(windows, "windows")
     keys = written(windows.select("wh").distinct(), "hashes")
+    lengths = sorted({r["len"] for r in windows.select("len").distinct().collect()} | {WINDOW})   # at most eight
     d = document_key(docs.select("doc_id", "text")).select(
         "__id", F.col("__th").alias("__key"), template_tokens(F.col("text")).alias("__tok"))
-    hit = _windows(d, "__id", "__key").join(keys, "wh", "left_semi")
-    hit = written(hit, "hits").join(windows, "wh")
-    pairs = F.when(F.col("slots").isNotNull() & F.col("ids").isNotNull(), F.arrays_zip(
-        F.col("ids").alias("i"), F.col("slots").alias("v")))
-    aligned = hit.select("__id", "__key", "class", "total", "bpos", (F.col("pos") - F.col("bpos")).alias("shift"),
-                         pairs.alias("pairs"))
+    hit = _windows(d.withColumn("__ids", F.col("__tok")), lengths, "__id", "__key").join(keys, "wh", "left_semi")
+    hit = written(hit, "hits").join(windows, ["wh", "len"])
+    pairs = F.arrays_zip(F.col("ids").alias("i"), F.col("slots").alias("v"))
+    key = ["__id", "__key", "class", "len", "n", "total"]
+    aligned = hit.select(*key, "bpos", (F.col("pos") - F.col("bpos")).alias("shift"), pairs.alias("pairs"))
     # bounded by the windows of one item
-    by_shift = aligned.groupBy("__id", "__key", "class", "total", "shift").agg(
-        F.collect_set(F.struct("bpos", "pairs")).alias("at"))
-    seen = F.array_distinct(F.flatten(F.filter(F.col("at")["pairs"], lambda p: p.isNotNull())))
+    by_shift = aligned.groupBy(*key, "shift").agg(F.collect_set(F.struct("bpos", "pairs")).alias("at"))
+    seen = F.array_distinct(F.flatten(F.col("at")["pairs"]))
     by_shift = by_shift.withColumn("bad", F.filter(seen, lambda p: F.exists(
         seen, lambda q: (q["i"] == p["i"]) & (q["v"] != p["v"])))["i"])
-    by_shift = by_shift.withColumn("at", F.array_sort(F.array_distinct(F.filter("at", lambda w: ~F.coalesce(
-        F.arrays_overlap(w["pairs"]["i"], F.col("bad")), F.lit(False)))["bpos"])))
+    by_shift = by_shift.withColumn("at", F.array_sort(F.array_distinct(F.filter("at", lambda w: ~F.arrays_overlap(
+        w["pairs"]["i"], F.col("bad")))["bpos"])))
     more = RUN - WINDOW                                  # windows after the first one of a run
     run = (F.size("at") > more) & F.exists(F.sequence(F.lit(0), F.greatest(F.size("at") - 1, F.lit(0))),
                                            lambda i: F.get("at", i + more) - F.get("at", i) == more)
-    cover = by_shift.groupBy("__id", "__key", "class", "total").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n"),
-        F.max(F.coalesce(run, F.lit(False))).alias("run"))
-    found = cover.where((F.col("n") >= COVER * F.col("total")) | F.col("run")).join(classes, "class")
+    cover = by_shift.groupBy(*key).agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("all"),
+                                       F.max(F.coalesce(run, F.lit(False))).alias("run"))
+    tokens = F.size(F.array_distinct(F.flatten(F.transform("all", lambda p: F.sequence(p, p + F.col("len") - 1)))))
+    whole = F.when(F.col("len") == WINDOW, (F.size("all") >= COVER * F.col("total")) | F.col("run")).otherwise(
+        tokens >= COVER * F.col("n"))
+    found = cover.where(whole).select("__id", "__key", "class").distinct().join(classes, "class")
     return found.groupBy("__id", F.col("__key").alias("__th")).agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("__items"))
 
