@@ -271,6 +271,16 @@ def test_decontamination_short_items(spark):
     assert got == ["0", "", "1", "2"]
 
 
+def test_decontamination_names_anywhere(spark):
+    item = ("Anna buys 12 red apples at the shop. Anna gives 5 of them to her brother. "
+            "How many apples does she have?")
+    renamed = item.replace("Anna", "Maria").replace("12", "30")
+    got = found_items(spark, [item, "What is the capital city of Ghana again?"], [
+        renamed, item.lower(), "(\"" + renamed, "the quiz asked: What is the capital city of Ghana again? and more",
+        "the quiz asked what is the capital city of Peru again", "Nothing of it. Anna buys a car."])
+    assert got == ["0", "0", "0", "1", "1", ""]
+
+
 def test_quality_classifier_held_out(spark, docs, empty):
     from triplake.llm.common import table
     d, labels = table(spark, SF_CHECK, "documents"), table(spark, SF_CHECK, "labels")

@@ -1,7 +1,9 @@
 """Operator 4, benchmark decontamination by templates.
 
-Canonicalisation turns numbers, units behind numbers and names inside sentences into typed placeholders that
-keep their value beside the type; other words are lower-cased and lose punctuation. Windows of ``WINDOW``
+Canonicalisation turns numbers, units behind numbers and names into typed placeholders that keep their value beside
+the type; other words are lower-cased and lose punctuation. A name is any capitalised word, whatever stands before it;
+windows with names are also probed with the names as ordinary words, and items also with names only inside sentences,
+so that a first word in lower case and a copy all in lower case are found. Windows of ``WINDOW``
 placeholder-typed words are hashed and hash-joined with the windows of the benchmark. Benchmark items with the same
 template and the same pattern of equal slots form one class, so re-parameterised copies of a question are one join
 partner. For each document, class and alignment, slot consistency is checked: slots that are equal in the item
@@ -40,13 +42,15 @@ UNITS = ("km|kg|cm|mm|mg|ml|kb|mb|gb|tb|kwh|mph|kmh|m|g|l|s|h|ft|lb|lbs|oz|hz|kh
          "hours?|days?|weeks?|months?|years?|degrees?")
 
 
-def template_tokens(text: Column) -> Column:
-    """Tokens of a text: words, or a type character followed by the value of the slot."""
+def template_tokens(text: Column, inside: bool = False) -> Column:
+    """Tokens of a text: words, or a type character followed by the value of the slot. Any capitalised word is a name,
+    or with ``inside`` only one behind a lower-case letter or , ; : and a space."""
     t = F.translate(F.coalesce(text, F.lit("")), WHITE + NUMBER + UNIT + NAME, " " * (len(WHITE) + 3))
     numbers = F.regexp_replace(t, r"(?<![\p{L}\p{N}.,])[0-9][0-9.,:/]*", NUMBER + "$0")
     units = F.regexp_replace(numbers, rf"(?i)({NUMBER}[0-9.,:/]+ ?)({UNITS})(?![\p{{L}}\p{{N}}])", rf"$1 {UNIT}$2 ")
     t = F.when(t.rlike("[0-9]"), units).otherwise(t)
-    t = F.regexp_replace(t, r"(\p{Lu})(?<=[\p{Ll},;:] \p{Lu})(?=\p{Ll})", NAME + "$1")
+    before = r"(?<=[\p{Ll},;:] \p{Lu})" if inside else r"(?<![\p{L}\p{N}]\p{Lu})(?<![\p{L}\p{N}]['’-]\p{Lu})"
+    t = F.regexp_replace(t, rf"(\p{{Lu}}){before}(?=['’]?\p{{L}}?\p{{Ll}})", NAME + "$1")
     t = F.regexp_replace(F.lower(t), rf"[^\p{{L}}\p{{N}}{NUMBER}-{NAME} ]+", "")
     return F.array_remove(F.array_remove(F.split(t, " ", -1), ""), NUMBER)
 
@@ -57,21 +61,30 @@ def _is_slot(token: Column) -> Column:
 
 def _windows(df: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
     """``keep`` columns and the windows (position, length, hash, slots) of column __tok, one row each; slots are taken
-    from column __ids. A window of slots alone is hashed by its values."""
-    df = df.withColumn("__th", F.transform("__tok", lambda t: F.xxhash64(
-        F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t))))
+    from column __ids. A window of slots alone is hashed by its values. A window with names has a second row, in which
+    they are ordinary words."""
+    df = df.withColumns({
+        "__th": F.transform("__tok", lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t))),
+        "__lh": F.transform("__tok", lambda t: F.xxhash64(F.when(
+            t < F.lit(NAME), F.substring(t, 1, 1)).otherwise(F.translate(t, NAME, ""))))})
     n = F.size("__th")
 
     def full(k: int) -> Column:
         return F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct(
             i.alias("pos"), F.lit(k).alias("len"),
             F.xxhash64(*[F.get("__th", i + j) for j in range(k)]).alias("wh"),
+            F.xxhash64(*[F.get("__lh", i + j) for j in range(k)]).alias("lh"),
             F.filter(F.slice("__tok", i + 1, k), _is_slot).alias("values"),
             F.filter(F.slice("__ids", i + 1, k), _is_slot).alias("slots"))))
     w = df.select(*keep, F.explode(F.flatten(F.array_compact(F.array(*[full(k) for k in lengths])))).alias("__w"))
     alone = F.size("__w.values") == F.col("__w.len")
-    return w.select(*keep, "__w.pos", "__w.len", F.when(alone, F.xxhash64(F.lit(-1), "__w.values")).otherwise(
-        F.col("__w.wh")).alias("wh"), "__w.slots")
+    typed = F.struct(F.when(alone, F.xxhash64(F.lit(-1), "__w.values")).otherwise(F.col("__w.wh")).alias("wh"),
+                     F.col("__w.slots").alias("slots"))
+    # equal hashes: no name in the window
+    plain = F.when(F.col("__w.lh") != F.col("__w.wh"), F.struct(
+        F.col("__w.lh").alias("wh"), F.filter("__w.slots", lambda t: t < F.lit(NAME)).alias("slots")))
+    w = w.select(*keep, "__w.pos", "__w.len", F.explode(F.array_compact(F.array(typed, plain))).alias("__f"))
+    return w.select(*keep, "pos", "len", "__f.wh", "__f.slots")
 
 
 def _lengths(n: Column) -> Column:
@@ -83,7 +96,8 @@ def _lengths(n: Column) -> Column:
 def benchmark_classes(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(class, items) and (wh, class, bpos, len, ids, n, total): classes of items and the windows of their items."""
     b = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
-                         template_tokens(F.col("text")).alias("__tok")).where(F.size("__tok") > 0)
+                         template_tokens(F.col("text")).alias("__tok"),
+                         template_tokens(F.col("text"), True).alias("__in")).where(F.size("__tok") > 0)
     # a slot's identity inside its item: its type and the place of its first occurrence
     b = b.withColumn("__ids", F.transform("__tok", lambda t: F.when(_is_slot(t), F.concat(
         F.substring(t, 1, 1), F.array_position("__tok", t).cast("string"))).otherwise(t)))
@@ -91,7 +105,11 @@ def benchmark_classes(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     b = b.withColumn("class", F.xxhash64(F.array_join(template, " ")))
     classes = b.groupBy("class").agg(F.array_sort(F.collect_set("item")).alias("items"))
     b = b.withColumn("n", F.size("__tok")).withColumn("own", _lengths(F.col("n")))
-    windows = _windows(b, list(range(1, WINDOW + 1)), "class", "n", "own").where(F.array_contains("own", F.col("len")))
+    # a second form of each item: names inside sentences only, as in a copy whose first word is not capitalised
+    inside = b.withColumns({"__tok": F.col("__in"), "__ids": F.zip_with("__in", "__ids", lambda t, i: F.when(
+        _is_slot(t), i).otherwise(t))})
+    both = b.unionByName(inside)
+    windows = _windows(both, list(range(1, WINDOW + 1)), "class", "n", "own").where(F.array_contains("own", F.col("len")))
     windows = windows.select("wh", "class", F.col("pos").alias("bpos"), "len", F.col("slots").alias("ids"), "n",
                              (F.col("n") - WINDOW + 1).alias("total"))
     return classes, windows.distinct()
