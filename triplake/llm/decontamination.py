@@ -60,31 +60,31 @@ def _is_slot(token: Column) -> Column:
 
 
 def _windows(df: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
-    """``keep`` columns and the windows (position, length, hash, slots) of column __tok, one row each; slots are taken
-    from column __ids. A window of slots alone is hashed by its values. A window with names has a second row, in which
-    they are ordinary words."""
-    df = df.withColumns({
-        "__th": F.transform("__tok", lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t))),
-        "__lh": F.transform("__tok", lambda t: F.xxhash64(F.when(
-            t < F.lit(NAME), F.substring(t, 1, 1)).otherwise(F.translate(t, NAME, ""))))})
+    """``keep`` columns and the windows (pos, len, hash wh, plain) of column __tok, one row each. A window with names
+    has a second row, plain, in which they are ordinary words."""
+    df = df.withColumn("__th", F.transform("__tok", lambda t: F.xxhash64(
+        F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t))))
+    df = df.withColumn("__lh", F.transform("__tok", lambda t, i: F.when(t.contains(NAME), F.xxhash64(
+        F.translate(t, NAME, ""))).otherwise(F.get("__th", i))))
     n = F.size("__th")
 
     def full(k: int) -> Column:
         return F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct(
             i.alias("pos"), F.lit(k).alias("len"),
             F.xxhash64(*[F.get("__th", i + j) for j in range(k)]).alias("wh"),
-            F.xxhash64(*[F.get("__lh", i + j) for j in range(k)]).alias("lh"),
-            F.filter(F.slice("__tok", i + 1, k), _is_slot).alias("values"),
-            F.filter(F.slice("__ids", i + 1, k), _is_slot).alias("slots"))))
+            F.xxhash64(*[F.get("__lh", i + j) for j in range(k)]).alias("lh"))))
     w = df.select(*keep, F.explode(F.flatten(F.array_compact(F.array(*[full(k) for k in lengths])))).alias("__w"))
-    alone = F.size("__w.values") == F.col("__w.len")
-    typed = F.struct(F.when(alone, F.xxhash64(F.lit(-1), "__w.values")).otherwise(F.col("__w.wh")).alias("wh"),
-                     F.col("__w.slots").alias("slots"))
     # equal hashes: no name in the window
-    plain = F.when(F.col("__w.lh") != F.col("__w.wh"), F.struct(
-        F.col("__w.lh").alias("wh"), F.filter("__w.slots", lambda t: t < F.lit(NAME)).alias("slots")))
-    w = w.select(*keep, "__w.pos", "__w.len", F.explode(F.array_compact(F.array(typed, plain))).alias("__f"))
-    return w.select(*keep, "pos", "len", "__f.wh", "__f.slots")
+    forms = F.array_compact(F.array(
+        F.struct(F.col("__w.wh").alias("wh"), F.lit(False).alias("plain")),
+        F.when(F.col("__w.lh") != F.col("__w.wh"), F.struct(F.col("__w.lh").alias("wh"), F.lit(True).alias("plain")))))
+    return w.select(*keep, "__w.pos", "__w.len", F.explode(forms).alias("__f")).select(
+        *keep, "pos", "len", "__f.wh", "__f.plain")
+
+
+def _slots(tok: Column, pos: Column, size: Column, plain: Column) -> Column:
+    """The slots of a window of ``tok``; a plain one has no names."""
+    return F.filter(F.slice(tok, pos + 1, size), lambda t: _is_slot(t) & (~plain | (t < F.lit(NAME))))
 
 
 def _lengths(n: Column) -> Column:
@@ -109,9 +109,13 @@ def benchmark_classes(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     inside = b.withColumns({"__tok": F.col("__in"), "__ids": F.zip_with("__in", "__ids", lambda t, i: F.when(
         _is_slot(t), i).otherwise(t))})
     both = b.unionByName(inside)
-    windows = _windows(both, list(range(1, WINDOW + 1)), "class", "n", "own").where(F.array_contains("own", F.col("len")))
-    windows = windows.select("wh", "class", F.col("pos").alias("bpos"), "len", F.col("slots").alias("ids"), "n",
-                             (F.col("n") - WINDOW + 1).alias("total"))
+    windows = _windows(both, list(range(1, WINDOW + 1)), "class", "n", "own", "__tok", "__ids").where(
+        F.array_contains("own", F.col("len")))
+    place = (F.col("pos"), F.col("len"), F.col("plain"))
+    values = _slots(F.col("__tok"), *place)
+    windows = windows.select("wh", "class", F.col("pos").alias("bpos"), "len", _slots(
+        F.col("__ids"), *place).alias("ids"), F.when(F.size(values) == F.col("len"), values).alias("values"), "n",
+        (F.col("n") - WINDOW + 1).alias("total"))
     return classes, windows.distinct()
 
 
@@ -123,8 +127,18 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = sorted({r["len"] for r in windows.select("len").distinct().collect()} | {WINDOW})   # at most eight
     d = document_key(docs.select("doc_id", "text")).select(
         "__id", F.col("__th").alias("__key"), template_tokens(F.col("text")).alias("__tok"))
-    hit = _windows(d.withColumn("__ids", F.col("__tok")), lengths, "__id", "__key").join(keys, "wh", "left_semi")
-    hit = written(hit, "hits").join(windows, ["wh", "len"])
+    hit = _windows(d, lengths, "__id", "__key").join(keys, "wh", "left_semi")
+    hit = written(hit, "hits").groupBy("__id", "__key").agg(
+        F.collect_set(F.struct("pos", "len", "wh", "plain")).alias("__hits"))
+    # slots are taken from the documents with hits only
+    texts = document_key(docs.select("doc_id", "text")).withColumnRenamed("__th", "__key").join(hit, ["__id", "__key"])
+    texts = texts.withColumn("__tok", template_tokens(F.col("text")))
+    hit = texts.select("__id", "__key", F.explode(F.transform("__hits", lambda h: F.struct(
+        h["pos"].alias("pos"), h["len"].alias("len"), h["wh"].alias("wh"),
+        _slots(F.col("__tok"), h["pos"], h["len"], h["plain"]).alias("slots")))).alias("__h"))
+    hit = hit.select("__id", "__key", "__h.*").join(windows, ["wh", "len"])
+    # a window of slots alone matches by their values
+    hit = hit.where(F.col("values").isNull() | (F.col("values") == F.col("slots")))
     pairs = F.arrays_zip(F.col("ids").alias("i"), F.col("slots").alias("v"))
     key = ["__id", "__key", "class", "len", "n", "total"]
     aligned = hit.select(*key, "bpos", (F.col("pos") - F.col("bpos")).alias("shift"), pairs.alias("pairs"))
