@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontamination, kneser_ney, line_dedup, pii, quality_classifier, quality_rules, simhash_dedup,
-               token_files, url_filter)
-from .common import remainder, table
+from . import (alignment, bpe, decontamination, kneser_ney, line_dedup, pii, quality_classifier, quality_rules,
+               simhash_dedup, spelling, stream_dedup, token_files, url_filter)
+from .common import remainder, scratch, table
 
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,8 +87,24 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), "page_id")
 
 
+def op11_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "stream-dedup")
+    stream_dedup.advance(stream_dedup.stream(spark, f"{sf_dir}/documents.parquet"), folder)
+    return stream_dedup.result(table(spark, sf_dir, "documents"), folder).withColumnRenamed("digest", "text_sha256")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
+                               public_tokenizers.path(PIECE_BPE))
+
+
 _QUERIES = [op1_quality_rules, op2_personal_data, op3_token_files, op4_decontamination, op5_simhash_dedup, op6_bpe,
-            op7_line_dedup, op8_quality_classifier, op9_language_model, op10_url_filter]
+            op7_line_dedup, op8_quality_classifier, op9_language_model, op10_url_filter,
+            op11_stream_dedup, op12_spelling_variants, op13_token_alignment]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
