@@ -43,7 +43,11 @@ STATE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    "spark.sql.streaming.stateStore.rocksdb.maxWriteBufferNumber": "2",
+    # many stores on one disk: no space is set aside for logs
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 THIN = "digest string, id bigint, n bigint, file string, start bigint, size bigint"
 BUCKET = 3                       # leading characters of a digest: the grouping key, digests are keys of its map
