@@ -25,6 +25,9 @@ same result; extra columns are ignored; an empty documents or benchmark table gi
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,27 +62,46 @@ def _is_slot(token: Column) -> Column:
     return token < F.lit("\x04")
 
 
-def _windows(df: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
-    """``keep`` columns and the windows (pos, len, hash wh, plain) of column __tok, one row each. A window with names
-    has a second row, plain, in which they are ordinary words."""
-    df = df.withColumn("__th", F.transform("__tok", lambda t: F.xxhash64(
+def _steps(lengths: list[int]) -> dict[int, tuple[int, int]]:
+    """How the hashes of windows of each length come from shorter ones: length to (half, shift of the second half)."""
+    steps = {}
+    for k in sorted(lengths, reverse=True):
+        while k > 1 and k not in steps:
+            half = 1 << (k - 1).bit_length() - 1
+            steps[k] = half, k - half
+            k = half
+    return dict(sorted(steps.items()))
+
+
+def _probes(df: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
+    """``keep`` columns, n (tokens) and the window hashes (at, wh) of column __tok, one row each: first all windows with
+    typed names, then all with names as ordinary words, for each length in order. Windows of k tokens are hashed from
+    two overlapping windows of a power of two."""
+    df = df.withColumn("__h1", F.transform("__tok", lambda t: F.xxhash64(
         F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t))))
-    df = df.withColumn("__lh", F.transform("__tok", lambda t, i: F.when(t.contains(NAME), F.xxhash64(
-        F.translate(t, NAME, ""))).otherwise(F.get("__th", i))))
-    n = F.size("__th")
-
-    def full(k: int) -> Column:
-        return F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct(
-            i.alias("pos"), F.lit(k).alias("len"),
-            F.xxhash64(*[F.get("__th", i + j) for j in range(k)]).alias("wh"),
-            F.xxhash64(*[F.get("__lh", i + j) for j in range(k)]).alias("lh"))))
-    w = df.select(*keep, F.explode(F.flatten(F.array_compact(F.array(*[full(k) for k in lengths])))).alias("__w"))
-    # equal hashes: no name in the window
-    forms = F.array_compact(F.array(
-        F.struct(F.col("__w.wh").alias("wh"), F.lit(False).alias("plain")),
-        F.when(F.col("__w.lh") != F.col("__w.wh"), F.struct(F.col("__w.lh").alias("wh"), F.lit(True).alias("plain")))))
-    return w.select(*keep, "__w.pos", "__w.len", F.explode(forms).alias("__f")).select(
-        *keep, "pos", "len", "__f.wh", "__f.plain")
+    df = df.withColumn("__p1", F.transform("__tok", lambda t, i: F.when(t.contains(NAME), F.xxhash64(
+        F.translate(t, NAME, ""))).otherwise(F.get("__h1", i))))
+    df = df.withColumn("n", F.size("__h1"))
+    for k, (half, shift) in _steps(lengths).items():
+        size = F.greatest(F.col("n") - k + 1, F.lit(0))
+        df = df.withColumns({f"__{f}{k}": F.zip_with(
+            F.slice(f"__{f}{half}", F.lit(1), size), F.slice(f"__{f}{half}", F.lit(shift + 1), size),
+            lambda x, y: F.xxhash64(x, y)) for f in "hp"})
+    return df.select(*keep, "n", F.posexplode(F.concat(*[f"__{f}{k}" for f in "hp" for k in lengths])).alias("at", "wh"))
+
+
+def _placed(probes: DataFrame, lengths: list[int]) -> DataFrame:
+    """``probes`` with pos, len and plain (names are ordinary words) instead of n and at."""
+    sizes = {k: F.greatest(F.col("n") - k + 1, F.lit(0)) for k in lengths}
+    typed = reduce(add, sizes.values())
+    left = F.when(F.col("at") >= typed, F.col("at") - typed).otherwise(F.col("at"))
+    place, before = F.lit(None), F.lit(0)
+    for k, size in reversed(sizes.items()):              # the first length whose windows reach beyond ``left``
+        before = reduce(add, [sizes[j] for j in lengths[:lengths.index(k)]], F.lit(0))
+        here = F.struct((F.col("__left") - before).alias("pos"), F.lit(k).alias("len"))
+        place = F.when(F.col("__left") < before + size, here).otherwise(place)
+    df = probes.withColumns({"__left": left, "plain": F.col("at") >= typed}).withColumn("__place", place)
+    return df.select(*[c for c in probes.columns if c not in ("n", "at")], "plain", "__place.pos", "__place.len")
 
 
 def _slots(tok: Column, pos: Column, size: Column, plain: Column) -> Column:
@@ -109,8 +131,9 @@ def benchmark_classes(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     inside = b.withColumns({"__tok": F.col("__in"), "__ids": F.zip_with("__in", "__ids", lambda t, i: F.when(
         _is_slot(t), i).otherwise(t))})
     both = b.unionByName(inside)
-    windows = _windows(both, list(range(1, WINDOW + 1)), "class", "n", "own", "__tok", "__ids").where(
-        F.array_contains("own", F.col("len")))
+    every = list(range(1, WINDOW + 1))
+    windows = _placed(_probes(both.drop("n"), every, "class", "own", "__tok", "__ids"), every).where(
+        F.array_contains("own", F.col("len"))).withColumn("n", F.size("__tok"))
     place = (F.col("pos"), F.col("len"), F.col("plain"))
     values = _slots(F.col("__tok"), *place)
     windows = windows.select("wh", "class", F.col("pos").alias("bpos"), "len", _slots(
@@ -127,7 +150,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = sorted({r["len"] for r in windows.select("len").distinct().collect()} | {WINDOW})   # at most eight
     d = document_key(docs.select("doc_id", "text")).select(
         "__id", F.col("__th").alias("__key"), template_tokens(F.col("text")).alias("__tok"))
-    hit = _windows(d, lengths, "__id", "__key").join(keys, "wh", "left_semi")
+    hit = _placed(_probes(d, lengths, "__id", "__key").join(keys, "wh", "left_semi"), lengths)
     hit = written(hit, "hits").groupBy("__id", "__key").agg(
         F.collect_set(F.struct("pos", "len", "wh", "plain")).alias("__hits"))
     # slots are taken from the documents with hits only
