@@ -3,14 +3,20 @@
 Lines with words are the units; positions count words. A gram is the shortest run of lines from a line on with at
 least ``GRAM`` words, hashed from the line hashes. In every window (the shortest run of lines with at least ``RUN``
 words) the gram with the smallest hash that starts in the first RUN - GRAM + 1 words is selected, so any two equal
-runs of RUN words select an equal gram: the guarantee of winnowing. Selected grams are joined with the first place
-(by document id, text hash, line) where the same gram is found, never all pairs of a group. A later gram is
-extended both ways over neighbouring lines as long as the pair of lines across each step was also found earlier.
-A joined run that contains a selected gram and has RUN words or more is deleted; the first place stays.
+windows select an equal gram: the guarantee of winnowing. Selected grams are joined with their positions: only windows
+whose gram stands at two places or more go on.
+
+A match of a gram is extended both ways to windows: the one from each line on, and the one back from each line, that
+hold it. An extended match is known by the hash of its lines, so both places agree line by line, in one alignment, and
+the first place (by document id, text hash, line) of each is found by one aggregation, never by pairs of a group. Any
+repeated run of RUN words or more is the union of such windows; those at later places are joined to runs and deleted,
+the first place stays. Nothing else is deleted: each deleted line lies in RUN words that stand elsewhere as they are.
 
 All steps are DataFrame expressions, aggregations, joins and windows within one document. Hot grams are summed on the
 map side, and the join back to the first place is one that Spark splits when it is skewed.
 
+Lines are deleted whole: a passage that shares its first or last line with other words is deleted without that line.
+
 Defined results: a null text stays null and an empty one empty; a document that loses all its lines keeps its row
 with an empty text; lines without words are dropped only inside a deleted run; repeats within one document
 count as later places; rows with equal id and equal text are one document and get the same result (an equal text
@@ -50,45 +56,45 @@ def line_table(docs: DataFrame) -> DataFrame:
 
 
 def marks(lines: DataFrame, run: int, gram: int) -> DataFrame:
-    """Selected grams (kind 0) and pairs of neighbouring lines (kind 1) as hashed line ranges."""
-    part = Window.partitionBy(*_KEY).orderBy("ps")
-    near = part.rangeBetween(0, gram - 1)
+    """Windows of ``run`` words from each line on and back from each line: selected gram (gh, gpos), hash, lines [a, b]."""
+    ahead, back = Window.partitionBy(*_KEY).orderBy("ps"), Window.partitionBy(*_KEY).orderBy("pe")
+    near, whole, behind = ahead.rangeBetween(0, gram - 1), ahead.rangeBetween(0, run - 1), back.rangeBetween(1 - run, 0)
     t = lines.withColumns({
         "gh": F.when(F.sum("w").over(near) >= gram, F.xxhash64(F.collect_list("h").over(near))),
-        "gstop": F.max("pos").over(near), "gpe": F.max("pe").over(near),
-        "full": F.sum("w").over(part.rangeBetween(0, run - 1)) >= run,
-        "nh": F.lead("h").over(part), "npos": F.lead("pos").over(part), "npe": F.lead("pe").over(part)})
-    best = F.min(F.struct("gh", F.col("pos").alias("start"), F.col("gstop").alias("stop"), "ps",
-                          F.col("gpe").alias("pe"))).over(part.rangeBetween(0, run - gram))
-    t = t.withColumn("sel", F.when(F.col("full"), best))
-    t = t.withColumn("new", F.col("sel").isNotNull() & ~F.col("sel")["start"].eqNullSafe(
-        F.lag("sel").over(part)["start"]))
-
-    def mark(kind: int, h: Column, *cols: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), h.alias("hash"), *[
-            c.alias(n) for c, n in zip(cols, ("start", "stop", "ps", "pe"), strict=True)])
-    s = F.col("sel")
-    t = t.select(*_KEY, F.explode(F.array_compact(F.array(
-        F.when(F.col("new"), mark(0, s["gh"], s["start"], s["stop"], s["ps"], s["pe"])),
-        F.when(F.col("nh").isNotNull(), mark(1, F.xxhash64("h", "nh"), F.col("pos"), F.col("npos"), F.col("ps"),
-                                             F.col("npe")))))).alias("m"))
-    return t.select(*_KEY, "m.*")
+        "fh": F.when(F.sum("w").over(whole) >= run, F.xxhash64(F.collect_list("h").over(whole))),
+        "fb": F.max("pos").over(whole)})
+    best = F.min(F.struct("gh", F.col("pos").alias("gpos"))).over(ahead.rangeBetween(0, run - gram))
+    t = t.withColumn("sel", F.when(F.col("fh").isNotNull(), best))
+    # a window back from a line holds the one from its first line on, and is marked by that one's gram
+    t = t.withColumns({
+        "bh": F.when(F.sum("w").over(behind) >= run, F.xxhash64(F.collect_list("h").over(behind))),
+        "ba": F.min("pos").over(behind), "bsel": F.first("sel").over(behind)})
+
+    def mark(sel: str, h: str, a: str, b: str) -> Column:
+        return F.when(F.col(h).isNotNull(), F.struct(
+            F.col(sel)["gh"].alias("gh"), F.col(sel)["gpos"].alias("gpos"), F.col(h).alias("hash"),
+            F.col(a).alias("a"), F.col(b).alias("b")))
+    ahead_mark, back_mark = mark("sel", "fh", "pos", "fb"), mark("bsel", "bh", "ba", "pos")
+    return t.select(*_KEY, F.explode(F.array_compact(F.array(ahead_mark, back_mark))).alias("m")).select(*_KEY, "m.*")
 
 
 def repeated_runs(docs: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFrame:
     """(__id, __th, runs): the line ranges [a, b] to delete from each document that has any."""
     m = written(marks(line_table(docs), run, gram), "marks")
-    place = F.struct("__id", "__th", "start")
-    first = m.groupBy("kind", "hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    seen = m.join(first.drop("n"), ["kind", "hash"]).where(place > F.col("first"))
-    order = Window.partitionBy(*_KEY).orderBy("start", "stop")
-    reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    seen = seen.withColumn("fresh", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int"))
+
+    def places(rows: DataFrame, key: str, at: str) -> DataFrame:
+        """The first place of each key that has several."""
+        place = F.struct("__id", "__th", at)
+        return rows.groupBy(key).agg(F.min(place).alias("first"), F.max(place).alias("last")).where(
+            F.col("first") < F.col("last")).drop("last")
+    found = m.join(places(m, "gh", "gpos").select("gh"), "gh", "left_semi")
+    seen = found.join(places(found, "hash", "a"), "hash").where(F.struct("__id", "__th", "a") > F.col("first"))
+    order = Window.partitionBy(*_KEY).orderBy("a", "b")
+    reach = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    seen = seen.withColumn("fresh", F.coalesce(F.col("a") > reach, F.lit(True)).cast("int"))
     seen = seen.withColumn("island", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    found = seen.groupBy(*_KEY, "island").agg(
-        F.min("start").alias("a"), F.max("stop").alias("b"), F.min("kind").alias("kind"),
-        (F.max("pe") - F.min("ps")).alias("words")).where((F.col("kind") == 0) & (F.col("words") >= run))
-    return found.groupBy(*_KEY).agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("__runs"))
+    runs = seen.groupBy(*_KEY, "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return runs.groupBy(*_KEY).agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("__runs"))
 
 
 def dedup_lines(docs: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFrame:
