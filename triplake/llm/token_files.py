@@ -1,133 +1,59 @@
 """Operator 3, token files: frequency-ranked ids in byte-aligned variable-length code with separate control bytes.
 
-1. Every text is encoded to count how often each id occurs; ids are ranked by count (ties: smaller id first), so
-   that the most frequent 256 ids take one byte.
-2. Documents are range-partitioned and sorted by id; each task encodes its documents and writes files of up to
-   ``FILE_TOKENS`` ids (a longer document has a file of its own). A file is written under a passing name and then
-   moved, so lost or repeated tasks leave whole files only.
+1. Every text is encoded once; its ids are kept in the shared folder as packed 16- or 32-bit integers, beside one row
+   for each task that tells how often each id occurred in it. Ids are ranked by their summed count (ties: smaller id
+   first), so that the most frequent 256 ids take one byte.
+2. The packed documents are range-partitioned and sorted by id; each task writes files of up to ``FILE_TOKENS`` ids (a
+   longer document has a file of its own) and tells what each file holds, so the ids before a file are known without
+   reading it. A file is written under a passing name and then moved, so lost or repeated tasks leave whole files only.
 3. The files are read back and decoded by numpy through a table of code lengths indexed by control byte.
 
 File: 8 bytes magic, then int64 little-endian: part, first row of the file in the part, documents, ids, data
 bytes; then int64 document ids, uint8 null-id flags, int64 id counts, control bytes (2 bits an id: code length
 less one, first id in the low bits), data bytes. ``ranks.u32`` beside the files lists the id of each rank.
 
-Texts repeat the same words, so encodings of space-separated chunks are remembered (a bounded cache) where
-cutting there cannot change the result: before a single space that follows a non-space.
-
 Defined results: null text encodes as empty (only the end id); null ids come first; equal ids are ordered by
-text, so equal rows have the same length and order among them does not matter; empty table: no rows.
+their packed tokens, so order among rows that are still equal does not matter; empty table: no rows.
 """
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
-from collections import Counter
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import arrow_batches, scratch
+from .common import arrow_batches, scratch, written
 from .files import write_whole
 
 MAGIC = b"SVBRANK1"
 END_ID = 2
 FILE_TOKENS = 4 << 20
-CACHE_CHUNKS = 700_000
-CACHE_PIECES = 600_000
-# A space after white space: cutting there could change the pre-tokens.
-_UNSAFE_ASCII = [c + " " for c in " \n\t\r\x0b\x0c\x1c\x1d\x1e\x1f"]
-_UNSAFE = re.compile(r"\s ")
-# Pieces that the byte-level split never joins: letters with their leading space, then what is neither letter,
-# digit nor white space. Chunks of another form are encoded as they are.
-_PIECES = regex.compile(r"( ?\p{L}+)([^\s\p{L}\p{N}']*)")
-
+class Encoder:
+    """A tokenizers file. With ``plain`` the strings of special tokens are ordinary text."""
 
-class ChunkEncoder:
-    """A tokenizers file with bounded caches from text chunk to its ids (uint32 bytes)."""
-
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.later: dict[str, bytes] = {}                # chunks behind a space, without it
-        self.pieces: dict[str, bytes] = {}
-        stop = self.ids(["\n"])[0]
-        # a line feed is one token of its own between words, so many pieces can be encoded as lines of one text
-        self.stop = int(np.frombuffer(stop, np.uint32)[0]) if len(stop) == 4 else None
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def words(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces without white space but for a leading space."""
-        if self.stop is None or not pieces:
-            return self.ids(pieces)
-        all_ids = np.array(self.tok.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)[0].ids, np.uint32)
-        cuts = np.flatnonzero(all_ids == self.stop)
-        if len(cuts) != len(pieces) - 1:
-            return self.ids(pieces)
-        data, cuts = all_ids.tobytes(), (cuts * 4).tolist()
-        return [data[i:j] for i, j in zip([0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True)]
-
-    def cut(self, text: str | None) -> list[str]:
-        """The text's chunks between spaces; one chunk where cutting is not safe."""
-        if not text:
-            return []
-        unsafe = any(c in text for c in _UNSAFE_ASCII) if text.isascii() else _UNSAFE.search(text)
-        if unsafe or text[0] == " " or any(s in text for s in self.specials):
-            return [text]
-        return text.split(" ")
-
-    def learn(self, chunks: set[str]) -> None:
-        """Fill ``later`` for chunks behind a space."""
-        if len(self.later) + len(chunks) > CACHE_CHUNKS:
-            self.later.clear()
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
-        parted = {c: m.groups() for c in chunks if (m := _PIECES.fullmatch(" " + c))}
-        new = list({p for g in parted.values() for p in g if p}.difference(self.pieces))
-        self.pieces.update(zip(new, self.words(new), strict=True))
-        got = self.pieces
-        self.later.update((c, got[a] + got[b] if b else got[a]) for c, (a, b) in parted.items())
-        rest = [c for c in chunks if c not in parted]
-        self.later.update(zip(rest, self.ids([" " + c for c in rest]), strict=True))
-
-    def learn_missing(self, chunks: set[str]) -> None:
-        missing = chunks.difference(self.later)
-        before = len(self.later)
-        self.learn(missing)
-        if len(self.later) < before + len(missing):      # the cache was emptied
-            self.learn(chunks.difference(self.later))
-
-    def known(self, chunks) -> list[bytes]:
-        """Ids of chunks behind a space, in their order; all of them are in the cache afterwards."""
-        self.learn_missing(set(chunks))
-        return list(map(self.later.__getitem__, chunks))
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        parts = [self.cut(t) for t in texts]
-        later = [p[1:] for p in parts]
-        self.learn_missing(set().union(*later))
-        starts = self.ids([p[0] for p in parts if p])
-        heads = iter(starts)
-        get = self.later.__getitem__
-        return [np.frombuffer(b"".join([next(heads), *map(get, rest)]) if p else b"", np.uint32)
-                for p, rest in zip(parts, later, strict=True)]
+        self.tok.encode_special_tokens = plain
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -157,37 +83,44 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return v & MASKS[lengths]
 
 
-def _added(total: np.ndarray, enc: ChunkEncoder, starts: Counter, later: Counter) -> np.ndarray:
-    """``total`` plus the id counts of counted chunks (exact: whole numbers below 2^53); empties the counters."""
-    for counter, ids in ((starts, enc.ids(list(starts))), (later, enc.known(later.keys()))):
-        flat = np.frombuffer(b"".join(ids), np.uint32)
-        weights = np.repeat(np.fromiter(counter.values(), np.float64), [len(x) // 4 for x in ids])
-        n = np.bincount(flat, weights, max(len(total), int(flat.max(initial=0)) + 1)).astype(np.float64)
-        n[:len(total)] += total
-        total = n
-        counter.clear()
-    return total
+PACKED = "doc_id bigint, ids binary, counts array<bigint>"
 
 
-def count_ids(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(id, n): how often each id occurs over all texts, end ids included."""
+def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """One row for each document with its packed ids, and one for each task with the count of every id (``counts``)."""
     arrow_batches(docs.sparkSession)
 
     def run(batches):
-        enc, seen, total = encoder(tokenizer), (Counter(), Counter()), np.zeros(END_ID + 1)
+        enc = encoder(tokenizer)
+        kind, total = width(enc.tok.get_vocab_size()), np.zeros(max(END_ID + 1, enc.tok.get_vocab_size()), np.int64)
         for b in batches:
-            parts = [enc.cut(t) for t in b.column(0).to_pylist()]
-            seen[0].update(p[0] for p in parts if p)
-            for p in parts:
-                seen[1].update(p[1:])
-            total[END_ID] += len(parts)
-            if len(seen[0]) + len(seen[1]) > CACHE_CHUNKS:
-                total = _added(total, enc, *seen)
-        total = _added(total, enc, *seen)
-        k = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(total[k].astype(np.int64))], ["id", "n"])
-
-    return docs.select("text").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+            ids = enc.encode(b.column(1).to_pylist())
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32)
+            n = np.bincount(flat, minlength=len(total))
+            total = n + np.pad(total, (0, len(n) - len(total)))
+            total[END_ID] += len(ids)
+            packed = flat.astype(kind).tobytes()
+            offsets = np.cumsum([0, *map(len, ids)]) * kind.itemsize
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([packed[i:j] for i, j in zip(offsets[:-1], offsets[1:], strict=True)],
+                                       pa.binary()), pa.nulls(len(ids), pa.list_(pa.int64()))],
+                ["doc_id", "ids", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                                          pa.array([total.tolist()], pa.list_(pa.int64()))],
+                                         ["doc_id", "ids", "counts"])
+
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, PACKED)
+
+
+def width(vocabulary: int) -> np.dtype:
+    """The integer that holds any id."""
+    return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
+
+
+def count_ids(packed: DataFrame) -> DataFrame:
+    """(id, n): how often each id occurs over all texts, end ids included."""
+    parts = packed.where(F.col("counts").isNotNull()).select(F.posexplode("counts").alias("id", "n"))
+    return parts.where("n > 0").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def _file(part: int, first: int, ids: list, nulls: list, counts: list, ranks: list[np.ndarray]) -> list[bytes]:
@@ -198,45 +131,51 @@ def _file(part: int, first: int, ids: list, nulls: list, counts: list, ranks: li
             np.array(counts, "<i8").tobytes(), control, data]
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str) -> int:
-    """Write the files of ``docs`` (doc_id, text) and ``ranks.u32`` to ``folder``; the number of files."""
+FILES = "part bigint, first bigint, docs bigint, n bigint"
+
+
+def write(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
+    """Write the files of ``docs`` (doc_id, text) and ``ranks.u32`` to ``folder``; (part, first, docs, n) of each file."""
+    packed = written(encoded(docs, tokenizer), "packed", compression="zstd")
     # one row for each id of the vocabulary: bounded by the tokenizer, not by the corpus
-    counted = count_ids(docs, tokenizer).orderBy(F.desc("n"), "id").select("id").collect()
+    counted = count_ids(packed).orderBy(F.desc("n"), "id").select("id").collect()
     by_rank = np.array([r["id"] for r in counted] or [END_ID], "<u4")
     rank_of = np.zeros(int(by_rank.max()) + 1, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     arrow_batches(docs.sparkSession)
 
     def run(batches):
-        enc, part = encoder(tokenizer), TaskContext.get().partitionId()
-        first, row, size, files = 0, 0, 0, 0
+        part, kind = TaskContext.get().partitionId(), width(encoder(tokenizer).tok.get_vocab_size())
+        first, row, size = 0, 0, 0
         held: tuple[list, list, list, list] = ([], [], [], [])
         if part == 0:
             write_whole(f"{folder}/ranks.u32", by_rank.tobytes())
 
         def flush():
             write_whole(f"{folder}/part-{part:06d}-{first:012d}.svb", *_file(part, first, *held))
+            told = pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (part, first, len(held[0]), size)],
+                                              ["part", "first", "docs", "n"])
             for x in held:
                 x.clear()
+            return told
         end = rank_of[END_ID:END_ID + 1]
         for b in batches:
-            for doc, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist()), strict=True):
+            for doc, packed_ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                ids = np.frombuffer(packed_ids, kind)
                 held[0].append(doc or 0)
                 held[1].append(doc is None)
                 held[2].append(len(ids) + 1)
                 held[3].extend((rank_of[ids], end))
                 size, row = size + len(ids) + 1, row + 1
                 if size >= FILE_TOKENS:
-                    flush()
-                    first, size, files = row, 0, files + 1
+                    yield flush()
+                    first, size = row, 0
         if size:
-            flush()
-            files += 1
-        yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], ["files"])
+            yield flush()
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(run, "files bigint").agg(F.sum("files").alias("n")).collect()[0]["n"] or 0
+    rows = packed.where(F.col("counts").isNull()).select("doc_id", "ids")
+    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    return written(ordered.mapInArrow(run, FILES), "files")
 
 
 def read_file(content: bytes) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -284,23 +223,13 @@ def read(spark: SparkSession, folder: str, column: str = "ids array<int>", of=No
     return files.mapInArrow(run, f"doc_id bigint, part bigint, first bigint, at bigint, n_tokens bigint, {column}")
 
 
-def file_starts(spark: SparkSession, folder: str) -> DataFrame:
+def file_starts(files: DataFrame) -> DataFrame:
     """(part, first, base): ids before each file. Files are summed per part, parts in one short window."""
-    def run(batches):
-        for b in batches:
-            heads = [np.frombuffer(c.as_py(), "<i8", 5, 8) for c in b.column(0)]
-            cols = np.array(heads, np.int64).reshape(-1, 5).T
-            yield pa.RecordBatch.from_arrays([pa.array(cols[k]) for k in (0, 1, 3)], ["part", "first", "n"])
-
-    arrow_batches(spark, 1)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.svb").load(folder)
-    heads = files.select(F.substring("content", 1, 48).alias("content")).mapInArrow(
-        run, "part bigint, first bigint, n bigint")
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    parts = heads.groupBy("part").agg(F.sum("n").alias("n")).select(
+    parts = files.groupBy("part").agg(F.sum("n").alias("n")).select(
         "part", F.coalesce(F.sum("n").over(before.orderBy("part")), F.lit(0)).alias("__p"))
     inner = F.coalesce(F.sum("n").over(before.partitionBy("part").orderBy("first")), F.lit(0))
-    return heads.select("part", "first", inner.alias("__f")).join(parts, "part").select(
+    return files.select("part", "first", inner.alias("__f")).join(parts, "part").select(
         "part", "first", (F.col("__p") + F.col("__f")).alias("base"))
 
 
@@ -313,8 +242,8 @@ def encode_and_read(docs: DataFrame, tokenizer: str, column: str = "ids array<in
     """Write the token files of ``docs`` to the shared folder, read them back: doc_id, start, n_tokens, column."""
     spark = docs.sparkSession
     folder = scratch(spark, "tokens")
-    if not write(docs, folder, tokenizer):
+    files = write(docs, folder, tokenizer)
+    if files.isEmpty():
         return spark.createDataFrame([], f"doc_id bigint, start bigint, n_tokens bigint, {column}")
-    starts = file_starts(spark, folder)
-    return read(spark, folder, column, of).join(starts, ["part", "first"]).select(
+    return read(spark, folder, column, of).join(file_starts(files), ["part", "first"]).select(
         "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", column.split()[0])
