@@ -18,6 +18,11 @@ SCHEMA = "doc_id bigint, text string, digest string, pairs string, word string"
 TEXTS = [None, "", " ", "a", "A", "a ", "Straße", "STRASSE", "É", "é", "x" * 70_000, "X" * 70_000, "n\x00ul", "日本語 😀"]
 
 
+@pytest.fixture(autouse=True)
+def few_groups(monkeypatch):
+    monkeypatch.setattr(stream_dedup, "BUCKET", 1)
+
+
 def lowered(t):
     return (t or "").translate({c: c + 32 for c in range(65, 91)})
 

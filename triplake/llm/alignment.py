@@ -4,7 +4,7 @@ Each task encodes its documents with both tokenizers and works on Arrow arrays o
 
 1. the id lists are flattened; parent indices name the document of each token, and cumulative sums of the tokens'
    byte lengths, less the sum before the document, are the tokens' end offsets;
-2. Acero joins the two token tables on (document, end), a full outer join: sorted by these keys, each row is a stretch
+2. Acero joins the two token tables on document and end (one packed key), a full outer join: sorted by it, each row is a stretch
    of bytes between two neighbouring ends. Filling nulls backward gives the token of each side that covers the
    stretch, so each row is one link. Rows that both sides brought are the ends of groups;
 3. ``Table.group_by`` reduces the links to pairs per document (with their number) and to the documents of each pair,
@@ -24,8 +24,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +36,13 @@ from pyspark.sql import functions as F
 from .bpe import byte_letters
 from .common import arrow_batches, scratch, written
 from .files import _located, write_whole
+from .token_files import Encoder
 
 WORK_BYTES = 1 << 20             # text of one round of Arrow tables (a longer document has a round of its own)
 KEPT_PAIRS = 500_000             # partial counts of one task before they are merged, or handed on
 ROW_PAIRS = 100_000              # pairs of one written row of partial counts
-FIRST_BITS, SECOND_BITS = 9, 16  # first ids of one file; bits of the second id in a pair
+FIRST_BITS, SECOND_BITS = 9, 16  # first ids of one file; bits of an id in a pair
+END_BITS = 40                    # bits of an end offset in a key of document and end
 SPACE = "▁"
 PAIRED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
           "pairs array<bigint>, times array<bigint>, partial boolean")
@@ -51,23 +53,24 @@ class Side:
 
     def __init__(self, tokens: list[bytes]):
         self.size = pa.array([len(t) for t in tokens], pa.int64())
-        self.start = np.concatenate([[0], np.cumsum(self.size.to_numpy())])
+        self.sizes = self.size.to_numpy()
+        self.start = np.concatenate([[0], np.cumsum(self.sizes)])
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.names = pa.array([str(i) for i in range(len(tokens))], pa.string())
 
-    def joined(self, ids: np.ndarray) -> bytes:
-        start, size = self.start[ids], self.start[ids + 1] - self.start[ids]
-        return self.bytes[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())].tobytes()
+    def joined(self, lists: pa.LargeListArray) -> list[bytes]:
+        """The bytes of each list's tokens."""
+        ids, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        start, size = self.start[ids], self.sizes[ids]
+        until = np.cumsum(size, dtype=np.int64)
+        data = self.bytes[np.repeat(start - until + size, size) + np.arange(until[-1] if len(until) else 0)].tobytes()
+        cuts = np.concatenate([[0], until])[offsets].tolist()
+        return [data[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 class ByteSide(Side):
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-        self.tok.encode_special_tokens = True
+        self.tok = Encoder(path, plain=True)
         letters = {c: i for i, c in enumerate(byte_letters())}
         with open(path, encoding="utf-8") as f:
             vocabulary = json.load(f)["model"]["vocab"]
@@ -77,7 +80,7 @@ class ByteSide(Side):
         super().__init__(tokens)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return self.tok.encode([" " + t for t in texts])
 
 
 class PieceSide(Side):
@@ -98,20 +101,21 @@ def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
 
 
 def _lists(ids: list[list[int]]) -> pa.LargeListArray:
-    offsets = np.cumsum([0, *map(len, ids)])
-    flat = np.concatenate([np.zeros(0, np.int64), *map(np.asarray, ids)]).astype(np.int64)
-    return pa.LargeListArray.from_arrays(offsets, flat)
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, sizes.sum())
+    return pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]), flat)
 
 
 def _tokens(lists: pa.LargeListArray, side: Side, name: str) -> pa.Table:
-    """(document, end, id) of every token."""
+    """(document and end, id) of every token."""
     doc, ids = pc.list_parent_indices(lists), pc.list_flatten(lists)
     ends = pc.cumulative_sum(side.size.take(ids))
     before = pa.array(np.concatenate([[0], ends.to_numpy()])[lists.offsets.to_numpy()[:-1]])
-    return pa.table({"doc": doc, "end": pc.subtract(ends, before.take(doc)), name: ids})
+    own = pc.subtract(ends, before.take(doc))
+    return pa.table({"at": pc.bit_wise_or(pc.shift_left(doc, END_BITS), own), name: ids})
 
 
-def _groups_text(links: pa.Table, cut: np.ndarray, docs: int, a: Side, b: Side) -> list[bytes]:
+def _groups_text(links: pa.Table, doc: np.ndarray, cut: np.ndarray, docs: int, a: Side, b: Side) -> list[bytes]:
     """Per document the ids of its groups, as a1,a2|b1;a3|b2,b3."""
     halves = []
     for name, side in (("a", a), ("b", b)):
@@ -120,40 +124,41 @@ def _groups_text(links: pa.Table, cut: np.ndarray, docs: int, a: Side, b: Side)
         ids = side.names.take(own.drop_null())
         halves.append(pc.binary_join(pa.ListArray.from_arrays(np.concatenate([[0], until]).astype(np.int32), ids), ","))
     groups = pc.binary_join_element_wise(*halves, "|")
-    ends = np.searchsorted(links["doc"].to_numpy()[cut], np.arange(docs + 1))
+    ends = np.searchsorted(doc[cut], np.arange(docs + 1))
     return [(t.as_py() or "").encode()
             for t in pc.binary_join(pa.ListArray.from_arrays(ends.astype(np.int32), groups), ";")]
 
 
 def align(texts: list[str | None], a: Side, b: Side) -> tuple[dict[str, list], pa.Table]:
     """Columns per text (n_a, n_b, n_groups, n_links, groups_sha256, pairs, times) and the documents of each pair."""
-    whole = [t or "" for t in texts]
-    encoded = [[], []]
-    for t, *ids in zip(whole, a.encode(whole), b.encode(whole), strict=True):
-        source = (" " + t).encode()
-        same = t and all(s.joined(np.asarray(i, np.int64)) == source for s, i in zip((a, b), ids, strict=True))
-        for kept, i in zip(encoded, ids, strict=True):
-            kept.append(i if same else [])
-    n = len(texts)
-    lists = [_lists(x) for x in encoded]
-    links = _tokens(lists[0], a, "a").join(_tokens(lists[1], b, "b"), ["doc", "end"], join_type="full outer",
-                                           use_threads=False).sort_by([("doc", "ascending"), ("end", "ascending")])
+    whole, n = [t or "" for t in texts], len(texts)
+    sources = [(" " + t).encode() if t else b"" for t in whole]
+    ids = [a.encode(whole), b.encode(whole)]
+    lists = [_lists(x) for x in ids]
+    bytes_of = [s.joined(x) for s, x in zip((a, b), lists, strict=True)]
+    same = [t != b"" and t == x == y for t, x, y in zip(sources, *bytes_of, strict=True)]
+    if not all(same):
+        lists = [_lists([i if ok else [] for i, ok in zip(x, same, strict=True)]) for x in ids]
+    links = _tokens(lists[0], a, "a").join(_tokens(lists[1], b, "b"), "at", join_type="full outer",
+                                           use_threads=False).sort_by("at")
     cut = np.flatnonzero(pc.and_(links["a"].is_valid(), links["b"].is_valid()).to_numpy())
-    doc = links["doc"].to_numpy()
-    texts_of = _groups_text(links, cut, n, a, b)
+    doc = links["at"].to_numpy() >> END_BITS
+    texts_of = _groups_text(links, doc, cut, n, a, b)
     pair = pc.bit_wise_or(pc.shift_left(pc.fill_null_backward(links["a"]), SECOND_BITS),
                           pc.fill_null_backward(links["b"]))
-    of_doc = pa.table({"doc": links["doc"], "pair": pair}).group_by(["doc", "pair"], use_threads=False).aggregate(
-        [([], "count_all")]).sort_by("doc")
-    offsets = np.searchsorted(of_doc["doc"].to_numpy(), np.arange(n + 1)).astype(np.int32)
-    counted = of_doc.group_by("pair", use_threads=False).aggregate([([], "count_all")]).rename_columns(["pair", "n"])
+    held = pc.bit_wise_or(pc.shift_left(pa.array(doc), 2 * SECOND_BITS), pair.combine_chunks())
+    of_doc = pa.table({"held": held}).group_by("held", use_threads=False).aggregate([([], "count_all")]).sort_by("held")
+    pairs = pc.bit_wise_and(of_doc["held"], (1 << 2 * SECOND_BITS) - 1).combine_chunks()
+    offsets = np.searchsorted(of_doc["held"].to_numpy() >> 2 * SECOND_BITS, np.arange(n + 1)).astype(np.int32)
+    counted = pa.table({"pair": pairs}).group_by("pair", use_threads=False).aggregate(
+        [([], "count_all")]).rename_columns(["pair", "n"])
 
     def per_doc(rows: np.ndarray) -> np.ndarray:
         return np.bincount(rows, minlength=n).astype(np.int64)
     return {
         "n_a": lists[0].value_lengths(), "n_b": lists[1].value_lengths(), "n_groups": per_doc(doc[cut]),
         "n_links": per_doc(doc), "groups_sha256": [hashlib.sha256(t).hexdigest() if t else "" for t in texts_of],
-        "pairs": pa.ListArray.from_arrays(offsets, of_doc["pair"].combine_chunks()),
+        "pairs": pa.ListArray.from_arrays(offsets, pairs),
         "times": pa.ListArray.from_arrays(offsets, of_doc["count_all"].combine_chunks())}, counted
 
 
