@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -105,6 +106,8 @@ class Vocabulary:
         ids = {symbols(t): i for t, i in model["vocab"].items()}
         self.ids = np.array([ids.get(t, -1) for t in self.text], np.int64)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        # leftmost, then longest
+        self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.length = [len(t) for t in self.text]
         self.known: dict[tuple[int, int], bool] = {}
         # only tokens that their own text encodes to can appear in a result
@@ -209,16 +212,20 @@ class Vocabulary:
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        out = []
-        while "<|" in text and (found := [(p, -len(s), s) for s in self.special if (p := text.find(s)) >= 0]):
-            p, _, s = min(found)
-            out += map(self.chunk, _SPACES.split(text[:p]))
-            out.append(np.int32(self.special[s]).tobytes())
-            text = text[p + len(s):]
-        # str.split() knows four separators more than the pattern
-        out += map(self.chunk, _SPACES.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split())
+        out, parts = [], [text]
+        if "<|" in text:                                 # plain text and special tokens in turn
+            parts = self.specials.split(text)
+        for text, special in zip(parts[::2], [*parts[1::2], None], strict=True):
+            out += self.plain(text)
+            if special is not None:
+                out.append(np.int32(self.special[special]).tobytes())
         return np.frombuffer(b"".join(out), np.int32)
 
+    def plain(self, text: str) -> Iterator[bytes]:
+        """Ids of the chunks of a text without special tokens."""
+        # str.split() knows four separators more than the pattern
+        return map(self.chunk, _SPACES.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split())
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The token strings joined with one space, in UTF-8."""
         if not len(ids):
