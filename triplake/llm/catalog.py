@@ -34,7 +34,8 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = pii.KINDS[:4]
     return found.select(
         "doc_id", *[F.size(only(k)).cast("long").alias(f"n_{k}") for k in base],
-        F.sha2(joined(only(*base)), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+        F.sha2(joined(only(*base)), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"))
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

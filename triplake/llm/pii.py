@@ -2,9 +2,11 @@
 
 ``find_spans(text)`` returns (kind, start, end, score) with code-point offsets, end exclusive. The four base
 kinds are proposed leftmost and non-overlapping per kind; a span that fails its check is dropped and the
-search goes on behind it. The added kinds are scored: pattern weight, plus checksum weight, plus the weight
-of context words within ``CONTEXT`` characters before the span; they are kept from ``KEEP`` on. Base spans
-stay whatever their score.
+search goes on behind it. Every span is scored: pattern weight, plus the weight of what its check or shape confirms,
+plus ``RAISE`` for a context word of its kind and minus ``LOWER`` for a word that marks placeholders, looked for within
+``CONTEXT`` characters before the span and ``AFTER`` behind it. Added kinds are kept from ``KEEP`` on; base spans stay
+whatever their score. A secret is a token of a known form, the header of a private key, or the value assigned to a
+name such as ``api_key`` (with = or :, blanks and quotes as they come); the span is the value, of any length.
 
 Defined results: null or empty text has no spans; texts of any length are scanned in linear time (no
 backtracking over long runs); rows are rated one by one, so ties, repeated rows, null ids, extra columns and
@@ -23,14 +25,21 @@ from pyspark.sql import types as T
 from .common import arrow_batches
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "secret")
-CONTEXT = 40
+CONTEXT, AFTER = 40, 20
 KEEP = 0.6
-# Context words that raise the score of an added kind (lower case).
+RAISE, LOWER = 0.3, 0.4
+# Context words that raise the score of a kind (lower case).
 WORDS = {
+    "email": ("mail", "contact", "reach", "correo", "courriel"),
+    "ip": ("ip", "host", "server", "address", "login"),
+    "card": ("card", "visa", "mastercard", "amex", "credit", "karte", "tarjeta", "carte"),
+    "phone": ("phone", "call", "tel", "mobile", "fax", "whatsapp"),
     "iban": ("iban", "account", "bank", "konto", "compte", "cuenta", "bic", "swift"),
     "ssn": ("ssn", "social security", "security number", "tax id", "taxpayer"),
-    "secret": ("key", "secret", "token", "password", "passwd", "pwd", "aws", "credential"),
+    "secret": ("login", "user", "credential", "auth", "bearer", "header", "env", "config", "aws"),
 }
+# Words that lower the score of any kind: what follows is no real value.
+PLACEHOLDER = ("example", "placeholder", "dummy", "sample", "your_", "your-", "<your", "changeme", "xxxx", "redacted")
 # Length of an IBAN by country (fixed values of the registry's most used countries).
 IBAN_LENGTH = {
     "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18,
@@ -46,8 +55,15 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
-_SECRET = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?:password|passwd|pwd|secret|token)"
-                     r"[=:][^\s\"']{6,64})")
+_NAMED = re.compile(
+    r"(?i)(?<![a-z0-9])(?:[a-z0-9]{1,20}[_-]){0,3}(?:password|passwd|passphrase|pwd|secret|token|api[ _-]?key|apikey|"
+    r"access[ _-]?key|secret[ _-]?key|private[ _-]?key|credentials?)[\"'`]?[ \t]{0,4}(?::=|=>|[=:])[ \t]{0,4}"
+    r"(?:\"([^\"\r\n]++)\"|'([^'\r\n]++)'|([^\s\"'`,;<>()]++))")
+_FORM = re.compile(
+    r"(?<![A-Za-z0-9_-])(?:(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36,}+|"
+    r"(?:sk|pk|rk)[-_](?:live[-_]|test[-_])?[A-Za-z0-9]{20,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|AIza[A-Za-z0-9_-]{35}|"
+    r"eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{4,}+)|-----BEGIN (?:[A-Z]{2,10} ){0,2}PRIVATE KEY-----")
+_LEAST = 6                       # characters of an assigned value
 _DIGITS = re.compile(r"[^0-9]+")
 
 
@@ -79,9 +95,35 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, last))
 
 
-def _context(text: str, start: int, kind: str) -> float:
+def _score(text: str, start: int, end: int, kind: str, weight: float) -> float:
+    """``weight`` moved by the words around a span, between 0 and 1."""
     near = text[max(0, start - CONTEXT):start].lower()
-    return 0.3 if any(w in near for w in WORDS[kind]) else 0.0
+    behind = text[end:end + AFTER].lower()
+    up = any(w in near for w in WORDS[kind])
+    down = any(w in near or w in behind for w in PLACEHOLDER)
+    return round(min(1.0, max(0.0, weight + RAISE * up - LOWER * down)), 2)
+
+
+def _looks_random(value: str) -> float:
+    """The weight of an assigned value's shape: mixed kinds of characters, as words and plain numbers are not."""
+    kinds = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
+    if any(w in value.lower() for w in PLACEHOLDER) or len(set(value)) < 4 or kinds < 2 or " " in value:
+        return 0.0
+    return 0.5 if len(value) >= 16 else 0.3
+
+
+def _secrets(text: str) -> Iterator[tuple[int, int, float]]:
+    last = 0
+    found = [(m.start(), m.end(), 0.8) for m in _FORM.finditer(text)]
+    if "=" in text or ":" in text:
+        for m in _NAMED.finditer(text):
+            a, b = m.span(m.lastindex)
+            if b - a >= _LEAST:
+                found.append((a, b, 0.3 + _looks_random(text[a:b])))
+    for a, b, weight in sorted(found, key=lambda f: (f[0], -f[2], -f[1])):
+        if a >= last and (score := _score(text, a, b, "secret", weight)) >= KEEP:
+            yield a, b, score
+            last = b
 
 
 def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
@@ -89,19 +131,25 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
     out: list[tuple[str, int, int, float]] = []
     if not text:
         return out
+
+    def add(kind: str, a: int, b: int, weight: float, fixed: bool = True) -> None:
+        score = _score(text, a, b, kind, weight)
+        if fixed or score >= KEEP:
+            out.append((kind, a, b, score))
     if "@" in text:
-        out += [("email", a, b, 0.9) for a, b in _emails(text)]
+        for a, b in _emails(text):
+            add("email", a, b, 0.7)
     for m in _IP.finditer(text):
         if all(len(p := x.lstrip("0")) <= 3 and int(p or 0) <= 255 for x in m.groups()):
-            out.append(("ip", m.start(), m.end(), 0.8))
+            add("ip", m.start(), m.end(), 0.5)
     for m in _CARD.finditer(text):
         digits = _DIGITS.sub("", m.group())
         if 13 <= len(digits) <= 19 and luhn(digits):
-            out.append(("card", m.start(), m.end(), 0.9))
+            add("card", m.start(), m.end(), 0.7)
     if "+" in text:
         for m in _PHONE.finditer(text):
             if 9 <= len(_DIGITS.sub("", m.group())) <= 15:
-                out.append(("phone", m.start(), m.end(), 0.7))
+                add("phone", m.start(), m.end(), 0.6)
     for m in _IBAN.finditer(text):
         code = m.group().replace(" ", "")
         # spaced text may run on: the registry length of the country says where the number ends
@@ -113,20 +161,13 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
                 if not left:
                     end, code = m.start() + k + 1, code[:n]
                     break
-        score = 0.3 + 0.5 * (len(code) == n and mod97(code)) + _context(text, m.start(), "iban")
-        if score > KEEP and mod97(code):
-            out.append(("iban", m.start(), end, round(score, 2)))
+        if len(code) == n and mod97(code):               # an unknown country needs a context word
+            add("iban", m.start(), end, 0.7 if code[:2] in IBAN_LENGTH else 0.4, False)
     for m in _SSN.finditer(text):
         a, b, c = m.groups()
-        valid = a not in ("000", "666") and a < "900" and b != "00" and c != "0000"
-        score = 0.2 + 0.2 * valid + _context(text, m.start(), "ssn")
-        if valid and score >= KEEP:
-            out.append(("ssn", m.start(), m.end(), round(score, 2)))
-    if "AKIA" in text or "=" in text or ":" in text:
-        for m in _SECRET.finditer(text):
-            score = 0.6 + _context(text, m.start(), "secret")
-            if score >= KEEP:
-                out.append(("secret", m.start(), m.end(), round(score, 2)))
+        if a not in ("000", "666") and a < "900" and b != "00" and c != "0000":
+            add("ssn", m.start(), m.end(), 0.4, False)
+    out += [("secret", *s) for s in _secrets(text)]
     return out
 
 
