@@ -436,6 +436,7 @@ SELECT anio, mes, reject_reason, COUNT(*) AS filas FROM r WHERE reject_reason IS
 )
 SELECT * FROM staged
 WHERE anio || mes <> (SELECT MAX(anio || mes) FROM trips_taxi WHERE tipo_taxi = 'yellow')""", TRIPS_TAXI),
+    "rerun_unreadable_period": with_views(TAXI_NORM.strip() + _staged_taxi("yellow"), TRIPS_TAXI),
     "period_listings": with_views(TAXI_NORM.strip() + f""", staged AS ({_staged_taxi("yellow")}
 )
 SELECT DISTINCT 'raw ' || tipo_taxi AS listado, anio, mes FROM trips_taxi

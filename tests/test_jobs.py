@@ -289,6 +289,97 @@ def test_skipped_unreadable_month_stays_pending(spark, tmp_path):
     assert clean_periods(spark, str(raw), staging, "yellow")["yellow"] == ["2020-02"]   # processed on the next run
 
 
+def _second_month(spark, raw):
+    spark.read.parquet(f"{raw}/yellow/anio=2020/mes=01").withColumns(
+        {c: F.col(c) + F.expr("INTERVAL 1 MONTH") for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}
+    ).coalesce(1).write.mode("overwrite").parquet(f"{raw}/yellow/anio=2020/mes=02")
+
+
+def _staged(spark, staging):
+    return sorted((r.anio, r.mes, r["count"]) for r in read_staging(spark, staging, "taxi").groupBy(
+        "anio", "mes").count().collect())
+
+
+def test_unreadable_month_keeps_its_staged_rows_and_quarantine(spark, tmp_path):
+    raw, staging, q = tmp_path / "raw", str(tmp_path / "staging"), str(tmp_path / "q")
+    _raw_month(spark, str(raw), 10.0)
+    _second_month(spark, str(raw))
+    clean_periods(spark, str(raw), staging, "yellow", quarantine_root=q)
+    for f in (raw / "yellow" / "anio=2020" / "mes=02").glob("*.parquet"):
+        f.write_bytes(b"not parquet")
+    again = clean_periods(spark, str(raw), staging, "yellow", resume=False, skip_unreadable=True, quarantine_root=q)
+    assert again["yellow"] == ["2020-01"] and "mes=02" in again["yellow_unreadable"][0]
+    assert _staged(spark, staging) == [("2020", "01", 5), ("2020", "02", 5)]
+
+
+@pytest.mark.parametrize("moves", range(4))
+def test_a_run_that_ends_inside_its_commit_is_finished_by_the_next(spark, tmp_path, monkeypatch, moves):
+    """Two periods with staging and quarantine to replace: eight moves, ended at one of them."""
+    from triplake.sources import commit
+    raw, staging, q = str(tmp_path / "raw"), str(tmp_path / "staging"), str(tmp_path / "q")
+    _raw_month(spark, raw, 10.0)
+    _second_month(spark, raw)
+    clean_periods(spark, raw, staging, "yellow", quarantine_root=q)
+    _raw_month(spark, raw, -1.0)                           # January is now rejected, all of it
+    left, move = [moves], commit.Folders.move
+
+    def ending(self, source, target):
+        if not left[0]:
+            raise KeyboardInterrupt
+        left[0] -= 1
+        move(self, source, target)
+    monkeypatch.setattr(commit.Folders, "move", ending)
+    with pytest.raises(KeyboardInterrupt):
+        clean_periods(spark, raw, staging, "yellow", resume=False, quarantine_root=q)
+    monkeypatch.setattr(commit.Folders, "move", move)
+    assert commit.recover(spark, staging, q) == 1 and commit.recover(spark, staging, q) == 0
+    assert _staged(spark, staging) == [("2020", "02", 5)]
+    assert spark.read.parquet(f"{q}/yellow").where("mes = '01'").count() == 5
+
+
+def test_a_run_that_ends_before_its_manifest_changes_nothing(spark, tmp_path, monkeypatch):
+    from triplake.plans import clean as plan
+    from triplake.sources import commit
+    raw, staging, q = str(tmp_path / "raw"), str(tmp_path / "staging"), str(tmp_path / "q")
+    _raw_month(spark, raw, 10.0)
+    clean_periods(spark, raw, staging, "yellow", quarantine_root=q)
+    _raw_month(spark, raw, -1.0)
+
+    def failing(*_):
+        raise OSError("no space for the quarantine")
+    with monkeypatch.context() as m:
+        m.setattr(plan, "write_quarantine", failing)       # between staging and quarantine
+        with pytest.raises(OSError):
+            clean_periods(spark, raw, staging, "yellow", resume=False, quarantine_root=q)
+    assert _staged(spark, staging) == [("2020", "01", 5)]
+    assert commit.recover(spark, staging, q) == 0 and _staged(spark, staging) == [("2020", "01", 5)]
+    assert clean_periods(spark, raw, staging, "yellow", resume=False, quarantine_root=q)["yellow"] == ["2020-01"]
+    assert _staged(spark, staging) == []
+
+
+def test_a_lost_staging_table_stops_a_rebuild(spark, tmp_path):
+    import shutil
+    raw, staging = str(tmp_path / "raw"), str(tmp_path / "staging")
+    write_raw_fhv(spark, SF_SMALL, raw)
+    _raw_month(spark, raw, 10.0)
+    for fmt in ("fhv", "yellow"):
+        clean_periods(spark, raw, staging, fmt)
+    zones = adapter.zones(spark, SF_SMALL)
+    assert inc.load_staging(spark, staging, zones)["fhvhv"].count() == 0            # never cleaned: empty
+    shutil.move(f"{staging}/fhv", f"{tmp_path}/elsewhere")
+    with pytest.raises(FileNotFoundError, match="fhv"):
+        inc.load_staging(spark, staging, zones)
+
+
+def test_tables_are_put_back_when_a_swap_fails(spark, tmp_path):
+    from triplake.sources.sinks import swap_in
+    for name in ("a", "b", "new_a"):
+        spark.range(1 if name.startswith("new") else 2).write.parquet(f"{tmp_path}/{name}")
+    with pytest.raises(Exception):                         # new_b does not exist
+        swap_in(spark, [(f"{tmp_path}/new_a", f"{tmp_path}/a"), (f"{tmp_path}/new_b", f"{tmp_path}/b")])
+    assert [spark.read.parquet(f"{tmp_path}/{n}").count() for n in ("a", "b", "new_a")] == [2, 2, 1]
+
+
 def test_rebuild_from_a_wrong_staging_path_keeps_the_marts(spark, tmp_path):
     from triplake.plans import incremental as inc
     from triplake.sources import adapter

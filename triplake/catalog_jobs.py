@@ -18,6 +18,7 @@ from triplake.plans.clean import clean_periods, read_quarantine
 from triplake.schema import RAW_DECLARED, STAGING_TABLE
 from triplake.session import checkpoint_dir
 from triplake.sources import adapter
+from triplake.sources.commit import Folders
 from triplake.sources.files import raw_periods, staged_periods
 from triplake.sources.scan import footers, read_raw, type_drift
 from triplake.sources.sinks import read_staging, read_zone_csv, write_staging, write_zone_csv
@@ -263,6 +264,27 @@ def rerun_empty_period(spark, root) -> DataFrame:
     return read_staging(spark, f"{base}/staging", "taxi").select(*STAGED_TAXI)
 
 
+def rerun_unreadable_period(spark, root) -> DataFrame:
+    """Everything is cleaned again after the last yellow file broke; its month keeps what was staged."""
+    base = scratch(spark, "lake")
+    write_raw_taxi(spark, root, f"{base}/raw")
+    job = dict(order_by=TAXI_ID, keep=TAXI_ID, quarantine_root=f"{base}/quarantine")
+    clean_periods(spark, f"{base}/raw", f"{base}/staging", "yellow", **job)
+    last = raw_periods(spark, f"{base}/raw/yellow").orderBy(F.desc("anio"), F.desc("mes")).first()
+    if last:
+        folder = f"{base}/raw/yellow/anio={last['anio']}/mes={last['mes']}"
+        spark.range(1).select(F.lit("no Parquet file").alias("value")).coalesce(1).write.mode("overwrite").text(folder)
+        Folders(spark).move(*_text_as_parquet(spark, folder))
+        clean_periods(spark, f"{base}/raw", f"{base}/staging", "yellow", resume=False, skip_unreadable=True, **job)
+    return read_staging(spark, f"{base}/staging", "taxi").select(*STAGED_TAXI)
+
+
+def _text_as_parquet(spark, folder: str) -> tuple[str, str]:
+    """(the text file of a folder, the name under which a scan takes it for Parquet)."""
+    name = next(n for n in Folders(spark).names(folder) if n.endswith(".txt"))
+    return f"{folder}/{name}", f"{folder}/broken.parquet"
+
+
 def period_listings(spark, root) -> DataFrame:
     """Periods of the raw folders and of the staged table, from file listings alone."""
     base = scratch(spark, "lake")
@@ -294,5 +316,6 @@ QUERIES = {
     "stream_arrival": stream_arrival,
     "stream_quarantine": stream_quarantine,
     "rerun_empty_period": rerun_empty_period,
+    "rerun_unreadable_period": rerun_unreadable_period,
     "period_listings": period_listings,
 }

@@ -85,19 +85,20 @@ def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None =
                   quarantine_root: str | None = None, skip_unreadable: bool = False) -> dict[str, list[str]]:
     """The cleaning job: raw ``<raw_root>/<fmt>/anio=/mes=/`` -> staging, one distributed job per format.
 
-    ``resume`` skips the periods of the processed-periods log (R3). The log is written last, and only
-    for periods whose files were all read: a period that failed half-way, lacks its quarantine or
-    has an unreadable file (``skip_unreadable``) stays pending and is replaced by the next run.
-    Periods are replaced, never appended, also by an empty result, so ``resume=False`` reruns
-    safely.  With ``quarantine_root`` the rejected rows and their reason go to
+    ``resume`` skips the periods of the processed-periods log (R3). Rows, quarantine and log of a period
+    are committed together (``sources.commit``), and only for periods whose files were all read: one with
+    an unreadable file (``skip_unreadable``) is left out whole, keeps what was staged before and stays
+    pending. A run that ended half-way is finished or forgotten by the next one. Periods are replaced,
+    never appended, also by an empty result, so ``resume=False`` reruns safely.  With ``quarantine_root`` the rejected rows and their reason go to
     ``<quarantine_root>/<fmt>``, partitioned by source period (E15).  Returns the periods written
     per format, and under ``<fmt>_unreadable`` the files that were left out, if any.
     """
+    from triplake.sources.commit import commit_periods, recover
     from triplake.sources.files import pending_periods, raw_periods
     from triplake.sources.scan import read_raw, unreadable_files
-    from triplake.sources.sinks import write_staging
 
     report = {}
+    recover(spark, staging_root, quarantine_root)
     for fmt in expand_formats(formato):
         root = f"{raw_root.rstrip('/')}/{fmt}"
         periods = raw_periods(spark, root, nonempty_only=True)
@@ -109,24 +110,24 @@ def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None =
         if done is not None:
             periods = pending_periods(periods, done)
         todo = sorted((r["anio"], r["mes"]) for r in periods.collect())      # period list only
-        if todo:
-            dirs = [f"{root}/anio={a}/mes={m}" for a, m in todo]
-            raw = read_raw(spark, dirs, fmt, keep=keep, skip_unreadable=skip_unreadable)
-            rows, rejected = clean(raw, fmt, order_by=order_by, keep=keep)
-            write_staging(rows, staging_root, fmt, todo)
-            if quarantine_root:
-                write_quarantine(rejected, quarantine_root, fmt, todo)
-            bad = unreadable_files(spark, dirs) if skip_unreadable else []
-            whole = [(a, m) for a, m in todo if not any(f"/anio={a}/mes={m}/" in f for f in bad)]
+        if todo and skip_unreadable:
+            bad = unreadable_files(spark, _folders(root, todo))
             if bad:
                 report[f"{fmt}_unreadable"] = bad
-            if whole:
-                spark.createDataFrame(whole, "anio string, mes string").coalesce(1).write.mode("append") \
-                     .parquet(processed_log(staging_root, fmt))
+                todo = [(a, m) for a, m in todo if not any(f"/anio={a}/mes={m}/" in f for f in bad)]
+        if todo:
+            raw = read_raw(spark, _folders(root, todo), fmt, keep=keep)
+            rows, rejected = clean(raw, fmt, order_by=order_by, keep=keep)
+            commit_periods(rows, rejected, staging_root, fmt, todo, quarantine_root,
+                           log=processed_log(staging_root, fmt))
         report[fmt] = [f"{a}-{m}" for a, m in todo]
     return report
 
 
+def _folders(root: str, periods) -> list[str]:
+    return [f"{root}/anio={a}/mes={m}" for a, m in periods]
+
+
 def _done_periods(spark, staging_root, fmt) -> DataFrame | None:
     """The processed-periods log, or None before the first run."""
     from pyspark.errors import AnalysisException

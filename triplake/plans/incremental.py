@@ -43,9 +43,17 @@ class PeriodMissing(RuntimeError):
 
 
 def load_staging(spark: SparkSession, staging_root: str, zones: DataFrame) -> dict[str, DataFrame]:
-    """The staging tables; a table that no format was cleaned into yet is empty, a root without any is an error."""
-    if not staged_tables(spark, staging_root):
+    """The staging tables; a table that no format was cleaned into yet is empty. A root without any table, or a missing
+    table of a format that the processed-periods log knows, is an error."""
+    from triplake.plans.clean import processed_log
+    from triplake.sources.commit import Folders
+    present = staged_tables(spark, staging_root)
+    if not present:
         raise FileNotFoundError(f"no staging table ({', '.join(sorted(set(STAGING_TABLE.values())))}) in {staging_root}")
+    lost = sorted({t for f, t in STAGING_TABLE.items() if t not in present
+                   and Folders(spark).exists(processed_log(staging_root, f))})
+    if lost:
+        raise FileNotFoundError(f"cleaned before, but missing in {staging_root}: {', '.join(lost)}")
     return {"taxi": read_staging(spark, staging_root, "taxi"), "fhvhv": read_staging(spark, staging_root, "fhvhv"),
             "fhv": read_staging(spark, staging_root, "fhv"), "zones": zones}
 
@@ -138,8 +146,7 @@ def rebuild_marts(spark: SparkSession, tables: dict[str, DataFrame], mart_root:
         if name == MONTHLY[0] and not report[name]:
             raise EmptyRebuild("no staging rows: the marts are left as they are")
     report.update(_finalize(spark, new, None))
-    for name in (*MONTHLY, *STATE.values(), *ANNUAL):
-        swap_in(spark, _path(new, name), _path(mart_root, name))
+    swap_in(spark, [(_path(new, name), _path(mart_root, name)) for name in (*MONTHLY, *STATE.values(), *ANNUAL)])
     return {m: report[m] for m in MONTHLY + ANNUAL}
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from triplake.schema import CANONICAL, PARTITION_COLS, STAGING_TABLE, ZONE_SCHEMA
+from triplake.sources.commit import Folders
 
 
 def _writer(df: DataFrame, partition_cols: list[str], obs: Observation | None = None):
@@ -54,14 +55,24 @@ class Replacing:
         return False
 
 
-def swap_in(spark: SparkSession, new: str, path: str) -> None:
-    """Put a finished folder in the place of a table."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(target.getParent())
-    fs.delete(target, True)
-    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(new), target):
-        raise OSError(f"{new} could not be moved to {path}")
+def swap_in(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
+    """Put finished folders in the place of tables: (new, table) each. The old tables are moved aside first and
+    deleted when all new ones are in place; a move that fails puts them back."""
+    folders, done = Folders(spark), []
+    try:
+        for new, path in pairs:
+            aside = f"{new}-old"
+            if folders.exists(path):
+                folders.move(path, aside)
+                done.append((aside, path))
+            folders.move(new, path)
+            done.append((path, new))
+    except Exception:
+        for source, target in reversed(done):
+            folders.move(source, target)
+        raise
+    for new, _ in pairs:
+        folders.delete(f"{new}-old")
 
 
 def staging_path(root: str, fmt: str) -> str:
@@ -123,7 +134,9 @@ def read_staging_period(spark: SparkSession, root: str, table: str, anio: str, m
     try:
         return (spark.read.schema(schema).option("basePath", f"{root.rstrip('/')}/{table}")
                 .parquet(period_path(root, table, anio, mes)))
-    except AnalysisException:
+    except AnalysisException as e:                 # a period nothing was written to is empty
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from triplake.plans.clean import clean, write_quarantine
+from triplake.plans.clean import clean
+from triplake.sources.commit import commit_periods, recover
 from triplake.sources.files import with_period_of_path
 from triplake.sources.scan import read_raw
 from triplake.sources.sinks import write_staging
@@ -46,9 +47,8 @@ def clean_touched_periods(spark: SparkSession, batch: DataFrame, landing_root: s
     dirs = [f"{root}/anio={a}/mes={m}" for a, m in periods]
     keep = tuple(order_by)
     rows, rejected = clean(read_raw(spark, dirs, fmt, keep=keep), fmt, order_by=order_by, keep=keep)
-    write_staging(rows, staging_root, fmt, periods)
-    if quarantine_root:
-        write_quarantine(rejected, quarantine_root, fmt, periods)
+    recover(spark, staging_root, quarantine_root)              # a replayed batch finishes what it left
+    commit_periods(rows, rejected, staging_root, fmt, periods, quarantine_root)
     return periods
 
 
@@ -67,7 +67,10 @@ def merge_new_files(spark: SparkSession, batch: DataFrame, fmt: str, staging_roo
     from triplake.session import checkpoint_dir
     from triplake.sources.sinks import read_staging_period
 
-    files = [r["path"] for r in batch.where(F.col("length") > 0).select("path").collect()]   # this batch's files
+    found = with_period_of_path(batch.where(F.col("length") > 0)).collect()                  # this batch's files
+    if any(r["anio"] is None or r["mes"] is None for r in found):
+        raise ValueError(f"a new {fmt} file lies outside anio=/mes=")
+    files = [r["path"] for r in found]
     if not files:
         return []
     new_rows = split(apply_rules(read_raw(spark, files, fmt), fmt))[0]
