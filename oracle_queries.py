@@ -441,7 +441,18 @@ WHERE anio || mes <> (SELECT MAX(anio || mes) FROM trips_taxi WHERE tipo_taxi =
 )
 SELECT DISTINCT 'raw ' || tipo_taxi AS listado, anio, mes FROM trips_taxi
 UNION ALL SELECT DISTINCT 'raw fhv', anio, mes FROM trips_fhv
-UNION ALL SELECT DISTINCT 'staged yellow', anio, mes FROM staged""", TRIPS_TAXI, TRIPS_FHV),
+UNION ALL SELECT DISTINCT 'raw fhvhv', anio, mes FROM trips_fhvhv
+UNION ALL SELECT DISTINCT 'staged yellow', anio, mes FROM staged
+UNION ALL SELECT DISTINCT 'staged fhvhv', anio, mes FROM trips_fhvhv WHERE {_reason('fhvhv')} IS NULL""",
+                                  TRIPS_TAXI, TRIPS_FHV, TRIPS_FHVHV),
+    "drifted_scan_formats": with_views(FHV_NORM.strip() + """
+SELECT tipo_taxi AS formato, anio AS source_anio, mes AS source_mes, pickup_datetime, dropoff_datetime, pulocationid,
+  dolocationid, CAST(NULL AS DOUBLE) AS airport_fee, CAST(NULL AS VARCHAR) AS wav_match_flag FROM trips_taxi
+UNION ALL SELECT 'fhv', anio, mes, pickup_datetime, dropoff_datetime, pulocationid, dolocationid, NULL, NULL FROM fhv_norm
+UNION ALL SELECT 'fhvhv', anio, mes, pickup_datetime, dropoff_datetime, pulocationid, dolocationid,
+  CASE WHEN event_id % 3 = 0 THEN trunc(CAST(airport_fee AS DOUBLE)) ELSE CAST(airport_fee AS DOUBLE) END,
+  CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 2 AS VARCHAR) WHEN event_id % 2 = 0 THEN 'Y' ELSE 'N' END
+FROM trips_fhvhv""", TRIPS_TAXI, TRIPS_FHV, TRIPS_FHVHV),
     "stream_arrival": with_views(FHV_NORM.strip() + f"""
 SELECT anio, mes, dispatching_base_num, pickup_datetime, dropoff_datetime, pulocationid, dolocationid,
   CAST(NULL AS BIGINT) AS sr_flag, CAST(NULL AS VARCHAR) AS affiliated_base_number
@@ -514,6 +525,11 @@ SELECT CAST(year(pickup_datetime) AS BIGINT) AS anio_pickup, COUNT(*) AS filas,
 FROM trips_fhv GROUP BY 1""", TRIPS_FHV),
     "profile_year_overflow": with_norm(f"""
 g AS (SELECT formato, anio, CAST(year(dropoff_datetime) AS BIGINT) AS anio_real, COUNT(*) AS filas FROM all_norm GROUP BY 1, 2, 3)
+SELECT formato, anio, anio_real, filas, anio_real = CAST(anio AS BIGINT) + 1 AS desborde,
+  NOT COALESCE(anio_real BETWEEN {_LO} AND {_HI}, false) AS fuera_de_rango
+FROM g WHERE anio_real IS NULL OR anio_real <> CAST(anio AS BIGINT)"""),
+    "profile_year_overflow_pickup": with_norm(f"""
+g AS (SELECT formato, anio, CAST(year(pickup_datetime) AS BIGINT) AS anio_real, COUNT(*) AS filas FROM all_norm GROUP BY 1, 2, 3)
 SELECT formato, anio, anio_real, filas, anio_real = CAST(anio AS BIGINT) + 1 AS desborde,
   NOT COALESCE(anio_real BETWEEN {_LO} AND {_HI}, false) AS fuera_de_rango
 FROM g WHERE anio_real IS NULL OR anio_real <> CAST(anio AS BIGINT)"""),
@@ -701,8 +717,10 @@ SELECT e.formato, e.anio, e.mes, printf('%04d-%02d', CAST(e.anio AS INT), CAST(e
 FROM e LEFT JOIN p ON e.formato = p.formato AND e.anio = p.anio AND e.mes = p.mes
 WHERE p.formato IS NULL"""),
     "pending_periods": with_norm(f"""
-r AS (SELECT DISTINCT tipo_taxi AS formato, anio, mes FROM taxi_norm),
-s AS ({_passing('yellow')} UNION ALL {_passing('green')})
+r AS (SELECT DISTINCT formato, anio, mes FROM all_norm),
+s AS ({_passing('yellow')} UNION ALL {_passing('green')}
+  UNION ALL SELECT DISTINCT 'fhv', anio, mes FROM fhv_norm WHERE {_reason('fhv')} IS NULL
+  UNION ALL SELECT DISTINCT 'fhvhv', anio, mes FROM trips_fhvhv WHERE {_reason('fhvhv')} IS NULL)
 SELECT r.formato, r.anio, r.mes FROM r LEFT JOIN s ON r.formato = s.formato AND r.anio = s.anio AND r.mes = s.mes
 WHERE s.formato IS NULL"""),
 })
@@ -713,10 +731,46 @@ ORACLE["profile_volume_files"] = with_views("""
 v AS (
   SELECT tipo_taxi AS formato, anio, mes, 1 AS files_per_month FROM trips_taxi
   UNION ALL SELECT 'fhv', anio, mes, 2 FROM trips_fhv
+  UNION ALL SELECT 'fhvhv', anio, mes, 2 FROM trips_fhvhv
 )
 SELECT formato, CAST(COUNT(DISTINCT anio || '-' || mes) * MAX(files_per_month) AS BIGINT) AS archivos,
   COUNT(*) AS filas, MIN(anio || '-' || mes) AS primer_periodo, MAX(anio || '-' || mes) AS ultimo_periodo
-FROM v GROUP BY formato""", TRIPS_TAXI, TRIPS_FHV)
+FROM v GROUP BY formato""", TRIPS_TAXI, TRIPS_FHV, TRIPS_FHVHV)
+
+# physical types of the written raw folders: formats, columns, declared type, types found
+_TYPES = [
+    ("yellow green", "congestion_surcharge fare_amount tip_amount tolls_amount total_amount trip_distance", "double",
+     "double"),
+    ("yellow green", "vendorid", "int32", "int32"),
+    ("yellow green", "pulocationid dolocationid", "int32", "double,int32"),
+    ("yellow green", "passenger_count", "int64", "double,int64"),
+    ("yellow green", "payment_type", "int64", "int64,string"),
+    ("yellow green", "fare_amt tip_amt tolls_amt total_amt", None, "double"),
+    ("yellow green", "trip_pickup_datetime trip_dropoff_datetime vendor_name", None, "string"),
+    ("yellow green", "trip_key trip_line", None, "int64"),
+    ("yellow", "tpep_pickup_datetime tpep_dropoff_datetime", "timestamp", "timestamp"),
+    ("green", "lpep_pickup_datetime lpep_dropoff_datetime", "timestamp", "timestamp"),
+    ("fhv fhvhv", "pickup_datetime dropoff_datetime", "timestamp", "timestamp"),
+    ("fhv fhvhv", "dispatching_base_num", "string", "string"),
+    ("fhv fhvhv", "event_id", None, "int64"),
+    ("fhv", "pulocationid dolocationid", "int64", "double,int64"),
+    ("fhvhv", "hvfhs_license_num", "string", "string"),
+    ("fhvhv", "trip_miles base_passenger_fare tolls bcf sales_tax congestion_surcharge tips driver_pay", "double", "double"),
+    ("fhvhv", "trip_time", "int64", "int64"),
+    ("fhvhv", "pulocationid dolocationid", "int32", "int32,int64"),
+    ("fhvhv", "airport_fee", "double", "double,int32"),
+    ("fhvhv", "wav_match_flag", "string", "int64,string"),
+]
+
+
+def _types(*formats: str) -> str:
+    rows = [f"('{f}', '{c}', {repr(declared) if declared else 'NULL'}, '{found}', {str(declared != found).lower()})"
+            for fs, cs, declared, found in _TYPES for f in fs.split() if f in formats for c in cs.split()]
+    return f"(VALUES {', '.join(rows)}) t(formato, column_name, declared_type, physical_types, drift)"
+
+
+ORACLE["type_drift_formats"] = f"SELECT * FROM {_types('yellow', 'green', 'fhv', 'fhvhv')}"
+ORACLE["type_drift_audit"] = f"SELECT column_name, declared_type, physical_types, drift FROM {_types('yellow')}"
 
 ORACLE["staging_period_rows"] = with_views("""
 SELECT anio, mes, COUNT(*) AS total_filas FROM (

@@ -57,6 +57,12 @@ def profile_year_overflow(spark, root):
     return P.year_overflow(_union(normalized(spark, root).values(), ["formato", "anio", "dropoff_datetime"]))
 
 
+def profile_year_overflow_pickup(spark, root):
+    """E5 by the pickup's year."""
+    return P.year_overflow(_union(normalized(spark, root).values(), ["formato", "anio", "pickup_datetime"]),
+                           "pickup_datetime")
+
+
 def profile_duplicates(spark, root):
     n = normalized(spark, root)
     out = None
@@ -138,15 +144,11 @@ def missing_periods_q(spark, root):
 
 
 def pending_periods_q(spark, root):
-    """Taxi periods with raw rows but no row surviving the cleaning rules (nothing to stage)."""
+    """Periods of every format with raw rows but no row surviving the cleaning rules (nothing to stage)."""
     n = normalized(spark, root)
-    raw, staged = None, None
-    for tipo in ("yellow", "green"):
-        r = n[tipo].select("formato", "anio", "mes")
-        s = Q.split(Q.apply_rules(n[tipo], tipo))[0].select("formato", "anio", "mes")
-        raw = r if raw is None else raw.unionByName(r)
-        staged = s if staged is None else staged.unionByName(s)
-    return pending_periods(raw.distinct(), staged)
+    cols = ["formato", "anio", "mes"]
+    return pending_periods(_union(n.values(), cols).distinct(),
+                           _union([Q.split(Q.apply_rules(df, fmt))[0] for fmt, df in n.items()], cols))
 
 
 QUERIES = {
@@ -154,6 +156,7 @@ QUERIES = {
     "profile_inverted_dates": profile_inverted_dates,
     "profile_sentinel": profile_sentinel,
     "profile_year_overflow": profile_year_overflow,
+    "profile_year_overflow_pickup": profile_year_overflow_pickup,
     "profile_duplicates": profile_duplicates,
     "profile_amounts": profile_amounts,
     "profile_amount_parts": profile_amount_parts,

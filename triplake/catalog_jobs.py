@@ -15,7 +15,7 @@ from triplake.operators.normalize import normalize
 from triplake.operators import marts
 from triplake.plans import incremental as inc
 from triplake.plans.clean import clean_periods, read_quarantine
-from triplake.schema import RAW_DECLARED, STAGING_TABLE
+from triplake.schema import FORMATS, RAW_DECLARED, STAGING_TABLE
 from triplake.session import checkpoint_dir
 from triplake.sources import adapter
 from triplake.sources.commit import Folders
@@ -100,6 +100,41 @@ def write_raw_fhv(spark: SparkSession, root: str, raw_root: str) -> None:
     ).repartition(_cores(spark), "anio", "mes").write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
 
 
+def write_raw_fhvhv(spark: SparkSession, root: str, raw_root: str) -> None:
+    """fhvhv raw folder, two files per period: in one the airport fee is int32 (whole units) and the wav match flag a
+    number, and the zones are int64."""
+    f = adapter.trips_fhvhv(spark, root)
+    old = F.col("event_id") % 3 == 0
+    base = ["hvfhs_license_num", "dispatching_base_num", "pickup_datetime", "dropoff_datetime", "trip_miles", "trip_time",
+            *[F.col(c).cast("double").alias(c) for c in ("base_passenger_fare", "tolls", "bcf", "sales_tax",
+                                                         "congestion_surcharge", "tips", "driver_pay")],
+            "event_id", "anio", "mes"]
+    current = f.where(~old).select(
+        *base, F.col("pulocationid").cast("int").alias("PULocationID"), F.col("dolocationid").cast("int").alias(
+            "DOLocationID"), F.col("airport_fee").cast("double").alias("airport_fee"),
+        F.when(F.col("event_id") % 2 == 0, "Y").otherwise("N").alias("wav_match_flag"))
+    legacy = f.where(old).select(
+        *base, F.col("pulocationid").alias("PULocationID"), F.col("dolocationid").alias("DOLocationID"),
+        F.col("airport_fee").cast("int").alias("airport_fee"), (F.col("event_id") % 2).alias("wav_match_flag"))
+    for part in (current, legacy):
+        part.repartition(_cores(spark), "anio", "mes").write.mode("append").partitionBy("anio", "mes") \
+            .parquet(f"{raw_root}/fhvhv")
+
+
+def write_raw(spark: SparkSession, root: str, raw_root: str) -> None:
+    """The raw folders of all four formats."""
+    write_raw_taxi(spark, root, raw_root)
+    write_raw_fhv(spark, root, raw_root)
+    write_raw_fhvhv(spark, root, raw_root)
+
+
+def _all_formats(frames) -> DataFrame:
+    out = None
+    for f in frames:
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
 SCAN_COLUMNS = [*TAXI_ID, "source_anio", "source_mes", "vendorid", "pickup_datetime", "dropoff_datetime",
                 "passenger_count", "payment_type", "fare_amount", "total_amount", "congestion_surcharge",
                 "pulocationid", "dolocationid"]
@@ -112,6 +147,32 @@ def drifted_scan(spark, root) -> DataFrame:
     return read_raw(spark, f"{raw}/yellow", "yellow", keep=TAXI_ID).select(*SCAN_COLUMNS)
 
 
+def drifted_scan_formats(spark, root) -> DataFrame:
+    """S1/§4.3 for the four formats: every folder read by fingerprint; the app's fee and flag change their types."""
+    raw = scratch(spark, "raw")
+    write_raw(spark, root, raw)
+
+    def rows(fmt: str) -> DataFrame:
+        df = read_raw(spark, f"{raw}/{fmt}", fmt)
+        own = {c: (F.col(c) if fmt == "fhvhv" else F.lit(None)).cast(t) for c, t in (
+            ("airport_fee", "double"), ("wav_match_flag", "string"))}
+        return df.select(F.lit(fmt).alias("formato"), "source_anio", "source_mes", "pickup_datetime", "dropoff_datetime",
+                         "pulocationid", "dolocationid", *[v.alias(c) for c, v in own.items()])
+    return _all_formats(map(rows, FORMATS))
+
+
+def type_drift_formats(spark, root) -> DataFrame:
+    """E2 for the four formats."""
+    raw = scratch(spark, "raw")
+    write_raw(spark, root, raw)
+
+    def rows(fmt: str) -> DataFrame:
+        d = type_drift(footers(spark, f"{raw}/{fmt}"), dict(RAW_DECLARED[fmt]))
+        return d.select(F.lit(fmt).alias("formato"), "column_name", "declared_type",
+                        F.array_join("physical_types", ",").alias("physical_types"), "drift")
+    return _all_formats(map(rows, FORMATS))
+
+
 def type_drift_audit(spark, root) -> DataFrame:
     """Physical types per column across the raw files, flagged against the declared types."""
     raw = scratch(spark, "raw")
@@ -125,10 +186,8 @@ def profile_volume_files(spark, root) -> DataFrame:
     """E1 on raw folders: files, rows and period coverage per format from the Parquet footers alone."""
     from triplake.operators.profile import volume_from_footers
     raw = scratch(spark, "raw")
-    write_raw_taxi(spark, root, raw)
-    write_raw_fhv(spark, root, raw)
-    parts = [volume_from_footers(footers(spark, f"{raw}/{f}"), f) for f in ("yellow", "green", "fhv")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    write_raw(spark, root, raw)
+    return _all_formats(volume_from_footers(footers(spark, f"{raw}/{f}"), f) for f in FORMATS)
 
 
 def csv_zone_lookup(spark, root) -> DataFrame:
@@ -288,22 +347,21 @@ def _text_as_parquet(spark, folder: str) -> tuple[str, str]:
 def period_listings(spark, root) -> DataFrame:
     """Periods of the raw folders and of the staged table, from file listings alone."""
     base = scratch(spark, "lake")
-    write_raw_taxi(spark, root, f"{base}/raw")
-    write_raw_fhv(spark, root, f"{base}/raw")
+    write_raw(spark, root, f"{base}/raw")
     clean_periods(spark, f"{base}/raw", f"{base}/staging", "yellow", order_by=TAXI_ID, keep=TAXI_ID)
+    clean_periods(spark, f"{base}/raw", f"{base}/staging", "fhvhv")
     parts = [raw_periods(spark, f"{base}/raw/{f}", nonempty_only=True).select(F.lit(f"raw {f}").alias("listado"), "*")
-             for f in ("yellow", "green", "fhv")]
-    parts.append(staged_periods(spark, f"{base}/staging/{STAGING_TABLE['yellow']}", "yellow").select(
-        F.lit("staged yellow").alias("listado"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+             for f in FORMATS]
+    parts += [staged_periods(spark, f"{base}/staging/{STAGING_TABLE[f]}", f if f == "yellow" else None).select(
+        F.lit(f"staged {f}").alias("listado"), "*") for f in ("yellow", "fhvhv")]
+    return _all_formats(parts)
 
 
 QUERIES = {
     "drifted_scan": drifted_scan,
+    "drifted_scan_formats": drifted_scan_formats,
     "type_drift_audit": type_drift_audit,
+    "type_drift_formats": type_drift_formats,
     "csv_zone_lookup": csv_zone_lookup,
     "profile_volume_files": profile_volume_files,
     "staging_roundtrip": staging_roundtrip,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from triplake.schema import DEDUP_KEYS, FHV_DROPOFF_SENTINEL, LICENSE_LABELS, TAXI_AMOUNT_PARTS, UNKNOWN_ZONES, YEAR_WINDOW
 from triplake.functions.numeric import ratio
@@ -45,9 +46,9 @@ def sentinel_by_year(fhv_raw: DataFrame) -> DataFrame:
                    .agg(F.count(F.lit(1)).alias("filas"), F.count_if(s).alias("centinelas")))
 
 
-def year_overflow(df: DataFrame) -> DataFrame:
-    """E5: file year vs the real (dropoff) year; flags the normal new-year overflow and out-of-window years."""
-    real = F.year("dropoff_datetime").cast("bigint")
+def year_overflow(df: DataFrame, column: str = "dropoff_datetime") -> DataFrame:
+    """E5: file year vs the real (dropoff or pickup) year; flags the new-year overflow and out-of-window years."""
+    real = F.year(column).cast("bigint")
     g = df.groupBy("formato", "anio", real.alias("anio_real")).agg(F.count(F.lit(1)).alias("filas"))
     lo = F.lit(None).cast("bigint")
     hi = F.lit(None).cast("bigint")
@@ -128,8 +129,8 @@ def ratecode_flex_contingency(df: DataFrame) -> DataFrame:
 def accounting_gap(df: DataFrame, parts=TAXI_AMOUNT_PARTS, top: int = 10) -> DataFrame:
     """Total minus the sum of its components (exact, in cents), most frequent values and their share.
 
-    The top-k is the report itself.  The share's denominator is one global count taken as a
-    scalar subquery, not a window over every value and not a join.
+    The top-k is the report itself.  The share's denominator is the grand total of the same aggregation
+    (a rollup), taken along as the first row of the top-k, so the trips are read and counted once.
     """
     cents = "decimal(18,2)"
     comp = None
@@ -138,11 +139,12 @@ def accounting_gap(df: DataFrame, parts=TAXI_AMOUNT_PARTS, top: int = 10) -> Dat
         comp = t if comp is None else comp + t
     gap = (F.col("total_amount").cast(cents) - comp).alias("diferencia")
     rows = df.select(gap).where(F.col("diferencia").isNotNull())
-    counts = rows.groupBy("diferencia").agg(F.count(F.lit(1)).alias("viajes"))
-    total = counts.select(F.sum("viajes")).scalar()          # scalar subquery: one value, no join
-    topk = counts.orderBy(F.col("viajes").desc(), F.col("diferencia").asc()).limit(top)
-    return topk.select(F.col("diferencia").cast("double").alias("diferencia"), "viajes",
-                       _rate(F.col("viajes"), total).alias("proporcion"))
+    counts = rows.rollup("diferencia").agg(F.count(F.lit(1)).alias("viajes"), F.grouping("diferencia").alias("todo"))
+    first = counts.orderBy(F.col("todo").desc(), F.col("viajes").desc(), F.col("diferencia").asc()).limit(top + 1)
+    total = F.max(F.when(F.col("todo") == 1, F.col("viajes"))).over(Window.partitionBy())     # top + 1 rows
+    return (first.withColumn("total", total).where(F.col("todo") == 0)
+                 .select(F.col("diferencia").cast("double").alias("diferencia"), "viajes",
+                         _rate(F.col("viajes"), F.col("total")).alias("proporcion")))
 
 
 def unknown_zone_share(df: DataFrame) -> DataFrame:
