@@ -106,6 +106,25 @@ def test_incremental_equals_rebuild_for_all_marts(spark, tmp_path):
         assert _rows(a) == _rows(b.select(*a.columns)), mart
 
 
+def test_a_list_of_periods_equals_one_by_one(spark, tmp_path):
+    tables = _staging_from_views(spark, SF_SMALL, str(tmp_path / "staging"))
+    periods = sorted((r["anio"], r["mes"]) for r in inc.rows_per_period(tables).orderBy("anio", "mes").collect())[-3:]
+    early = {k: (v.where(~inc.in_periods(periods)) if k != "zones" else v) for k, v in tables.items()}
+    for name in ("single", "list"):
+        inc.rebuild_marts(spark, early, str(tmp_path / name))
+    for a, m in periods:
+        inc.append_period(spark, tables, str(tmp_path / "single"), a, m)
+    out = inc.append_periods(spark, tables, str(tmp_path / "list"), [(int(a), int(m)) for a, m in periods[::-1]])
+    assert out["periodos"] == [f"{a}-{m}" for a, m in periods] and out["skipped"] == []
+    for mart in inc.MONTHLY + inc.ANNUAL:
+        one, many = (spark.read.parquet(str(tmp_path / n / mart)) for n in ("single", "list"))
+        assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
+    again = inc.append_periods(spark, tables, str(tmp_path / "list"), periods, skip_if_present=True)
+    assert again["periodos"] == [] and len(again["skipped"]) == 3
+    with pytest.raises(inc.PeriodMissing, match="1999-01"):
+        inc.append_periods(spark, tables, str(tmp_path / "list"), [*periods, ("1999", "01")])
+
+
 def test_period_guards(spark, tmp_path):
     tables = _staging_from_views(spark, SF_SMALL, str(tmp_path / "staging"))
     mart = str(tmp_path / "mart")

@@ -242,17 +242,15 @@ LAST_PERIODS = 3                 # periods that the increments of the registered
 
 
 def _incremental(spark, root) -> str:
-    """Rebuild without the last periods, then append them one by one (one of them twice)."""
+    """Rebuild without the last periods, then append them as a list, the last one once more on its own."""
     base = scratch(spark, "lake")
     tables = _staging_from_views(spark, root, f"{base}/staging")
     last = inc.rows_per_period(tables).orderBy(F.desc("anio"), F.desc("mes")).limit(LAST_PERIODS)
     periods = sorted((r["anio"], r["mes"]) for r in last.collect())
-    held = F.lit(False)
-    for a, m in periods:
-        held = held | ((F.col("anio") == a) & (F.col("mes") == m))
-    early = {k: (v.where(~held) if k != "zones" else v) for k, v in tables.items()}
+    early = {k: (v.where(~inc.in_periods(periods)) if k != "zones" else v) for k, v in tables.items()}
     inc.rebuild_marts(spark, early, f"{base}/mart")
-    for a, m in periods + periods[-1:]:
+    inc.append_periods(spark, tables, f"{base}/mart", periods)
+    for a, m in periods[-1:]:
         inc.append_period(spark, tables, f"{base}/mart", a, m)
     return f"{base}/mart"
 

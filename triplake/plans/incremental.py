@@ -17,6 +17,8 @@ that refuses a retry, no duplicate rows on ``force``).
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 from triplake.functions.numeric import ratio, round2
 from triplake.operators import marts
 from triplake.schema import STAGING_TABLE
-from triplake.sources.sinks import count_rows, read_staging, staged_tables, swap_in, write_table
+from triplake.sources.commit import Folders
+from triplake.sources.sinks import read_staging, staged_tables, swap_in, write_table
 
 STATE_SUM = "decimal(22,6)"   # exact for amounts and distances with up to 6 decimals
 
@@ -46,7 +49,6 @@ def load_staging(spark: SparkSession, staging_root: str, zones: DataFrame) -> di
     """The staging tables; a table that no format was cleaned into yet is empty. A root without any table, or a missing
     table of a format that the processed-periods log knows, is an error."""
     from triplake.plans.clean import processed_log
-    from triplake.sources.commit import Folders
     present = staged_tables(spark, staging_root)
     if not present:
         raise FileNotFoundError(f"no staging table ({', '.join(sorted(set(STAGING_TABLE.values())))}) in {staging_root}")
@@ -173,26 +175,59 @@ def normalise_period(anio, mes) -> tuple[str, str]:
     return str(anio).strip(), str(mes).strip().zfill(2)
 
 
-def append_period(spark: SparkSession, tables: dict[str, DataFrame], mart_root: str, anio, mes,
-                  skip_if_present: bool = False) -> dict:
-    """Recompute one period of the monthly marts and state, then re-finalise that year."""
-    anio, mes = normalise_period(anio, mes)
-    n = staging_rows_for_period(tables, anio, mes)
-    if n == 0:
-        raise PeriodMissing(f"no staging rows for {anio}-{mes}")
-    cond = (F.col("anio") == anio) & (F.col("mes") == mes)
-    if skip_if_present and (count_rows(spark, _path(mart_root, "mart_cuota_mercado_mensual"), cond) or 0):
-        return {"periodo": f"{anio}-{mes}", "skipped": True, "staging_rows": n}    # C2, opt-in only
-    period = {k: (v.where(cond) if k != "zones" else v) for k, v in tables.items()}
-    report = {"periodo": f"{anio}-{mes}", "skipped": False, "staging_rows": n}
-    for name, df in _monthly_and_state(period).items():
-        rows = write_table(df, _path(mart_root, name), ["anio", "mes"], folders=[f"anio={anio}/mes={mes}"])
+def in_periods(periods) -> F.Column:
+    """The rows of these (anio, mes): partition filters, one for each year."""
+    years: dict[str, list[str]] = {}
+    for a, m in periods:
+        years.setdefault(a, []).append(m)
+    return reduce(or_, ((F.col("anio") == a) & F.col("mes").isin(ms) for a, ms in sorted(years.items())), F.lit(False))
+
+
+def append_periods(spark: SparkSession, tables: dict[str, DataFrame], mart_root: str, periods,
+                   skip_if_present: bool = False) -> dict:
+    """S12 for a list of periods: each monthly mart and state is computed once over all of them, and each year they
+    touch is finalised once. A period without staging rows raises (C1) before anything is written."""
+    periods = sorted({normalise_period(a, m) for a, m in periods})
+    chosen = {k: (v.where(in_periods(periods)) if k != "zones" else v) for k, v in tables.items()}
+    counted = {(r.anio, r.mes): r.total_filas for r in rows_per_period(chosen).collect()}     # a period list
+    empty = [f"{a}-{m}" for a, m in periods if (a, m) not in counted]
+    if empty:
+        raise PeriodMissing(f"no staging rows for {', '.join(empty)}")
+    skipped = []
+    if skip_if_present:                                                            # C2, opt-in only
+        skipped = _present(spark, mart_root, periods)
+        periods = [p for p in periods if p not in skipped]
+        chosen = {k: (v.where(in_periods(periods)) if k != "zones" else v) for k, v in tables.items()}
+    report = {"periodos": [f"{a}-{m}" for a, m in periods], "skipped": [f"{a}-{m}" for a, m in skipped],
+              "staging_rows": {f"{a}-{m}": n for (a, m), n in sorted(counted.items())}}
+    if not periods:
+        return report
+    for name, df in _monthly_and_state(chosen).items():
+        rows = write_table(df, _path(mart_root, name), ["anio", "mes"],
+                           folders=[f"anio={a}/mes={m}" for a, m in periods])
         if name in MONTHLY:
             report[name] = rows
-    report.update(_finalize(spark, mart_root, [anio]))
+    report.update(_finalize(spark, mart_root, sorted({a for a, _ in periods})))
     return report
 
 
+def _present(spark: SparkSession, mart_root: str, periods) -> list[tuple[str, str]]:
+    """Which of these periods the share mart holds, from its folders."""
+    folders = Folders(spark)
+    mart = _path(mart_root, "mart_cuota_mercado_mensual")
+    return [(a, m) for a, m in periods if folders.exists(f"{mart}/anio={a}/mes={m}")]
+
+
+def append_period(spark: SparkSession, tables: dict[str, DataFrame], mart_root: str, anio, mes,
+                  skip_if_present: bool = False) -> dict:
+    """Recompute one period of the monthly marts and state, then re-finalise that year."""
+    out = append_periods(spark, tables, mart_root, [(anio, mes)], skip_if_present)
+    period, = out.pop("staging_rows").items()
+    skipped = bool(out.pop("skipped"))
+    out.pop("periodos")
+    return {"periodo": period[0], "skipped": skipped, "staging_rows": period[1], **out}
+
+
 def read_mart(spark: SparkSession, mart_root: str, mart: str) -> DataFrame:
     df = spark.read.parquet(_path(mart_root, mart))
     cols = marts.KPI_COLUMNS if mart == "mart_kpis_financieros" else None
