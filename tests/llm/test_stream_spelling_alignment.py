@@ -230,6 +230,17 @@ def test_alignment_equals_brute_force(spark, docs):
     assert aligned(spark.createDataFrame(rows, SCHEMA)) == brute_alignment(rows)
 
 
+def test_both_encoders_give_the_same_ids():
+    """Texts that the fast encoder takes, character by character and at random, against the library."""
+    a, _ = alignment.sides(*paths())
+    rnd = random.Random(3)
+    letters = [chr(c) for c in range(0x250)]
+    texts = [f"a{c}b {c}{c} 1{c}'{c}s" for c in letters]
+    texts += ["".join(rnd.choice(letters + list(" \n\t'sdl19.,")*20) for _ in range(rnd.choice([5, 80]))) for _ in range(2000)]
+    assert a.fast is not None and sum(map(a._settled, texts)) > 2000
+    assert a.encode(texts) == a.tok.encode([" " + t for t in texts])
+
+
 def test_alignment_in_small_rounds(spark, docs, monkeypatch):
     """Rounds, merged partial counts and their rows give what one round gives."""
     a, b = alignment.sides(*paths())

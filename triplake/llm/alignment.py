@@ -1,6 +1,7 @@
 """Operator 13, alignment of two tokenizers, Arrow-native.
 
-Each task encodes its documents with both tokenizers and works on Arrow arrays of a bounded number of bytes:
+Each task encodes its documents with both tokenizers (the byte-level one by tiktoken with the file's own vocabulary
+where the text's characters have long been settled in Unicode, else by the tokenizers library: the same ids) and works on Arrow arrays of a bounded number of bytes:
 
 1. the id lists are flattened; parent indices name the document of each token, and cumulative sums of the tokens'
    byte lengths, less the sum before the document, are the tokens' end offsets;
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from functools import lru_cache
 from itertools import chain
 
@@ -33,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import byte_letters
+from .bpe import LATIN, byte_letters
 from .common import arrow_batches, scratch, written
 from .files import _located, write_whole
 from .token_files import Encoder
@@ -44,6 +46,10 @@ ROW_PAIRS = 100_000              # pairs of one written row of partial counts
 FIRST_BITS, SECOND_BITS = 9, 16  # first ids of one file; bits of an id in a pair
 END_BITS = 40                    # bits of an end offset in a key of document and end
 SPACE = "▁"
+# The pattern that splits text before byte-level merges (a fixed value of the format).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+FAST_TEXT = 50_000               # code points of a text that tiktoken encodes; its pattern may not take very long runs
+_UNSURE = re.compile("[\x1c-\x1f\x85]")
 PAIRED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
           "pairs array<bigint>, times array<bigint>, partial boolean")
 
@@ -78,9 +84,29 @@ class ByteSide(Side):
         for t, i in vocabulary.items():
             tokens[i] = bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode()
         super().__init__(tokens)
+        self.fast = self._ranked(path, tokens)
+
+    def _ranked(self, path: str, tokens: list[bytes]):
+        """The same vocabulary for tiktoken, where its ids are in the order of the merges; else nothing."""
+        import tiktoken
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if merged != sorted(merged):
+            return None
+        special = self.tok.tok.get_added_tokens_decoder()
+        ranks = {t: i for i, t in enumerate(tokens) if i not in special}
+        return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _settled(self, text: str) -> bool:
+        """Whether both libraries' character classes surely agree on a text."""
+        return self.fast is not None and len(text) <= FAST_TEXT and (
+            text.isascii() or max(text) <= LATIN) and not _UNSURE.search(text)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.tok.encode([" " + t for t in texts])
+        settled = [self._settled(t) for t in texts]
+        rest = iter(self.tok.encode([" " + t for t, ok in zip(texts, settled, strict=True) if not ok]))
+        return [self.fast.encode_ordinary(" " + t) if ok else next(rest) for t, ok in zip(texts, settled, strict=True)]
 
 
 class PieceSide(Side):
