@@ -422,6 +422,24 @@ FROM trips_taxi WHERE tipo_taxi = 'yellow'""", TRIPS_TAXI),
     "csv_zone_lookup": with_views("SELECT locationid, borough, zone, service_zone FROM zones", ZONES),
     "staging_roundtrip": with_views(TAXI_NORM.strip() + _staged_taxi("yellow") + "\nUNION ALL" + _staged_taxi("green"),
                                     TRIPS_TAXI),
+    "staging_by_pickup": with_views(TAXI_NORM.strip() + f""", files AS (
+  SELECT *, strftime(dropoff_datetime, '%Y-%m') AS origen FROM taxi_norm WHERE tipo_taxi = 'yellow'
+)
+SELECT tipo_taxi, anio, mes, vendorid, pickup_datetime, dropoff_datetime, payment_type, fare_amount, trip_distance,
+  pulocationid, dolocationid
+FROM files
+WHERE {CHRONO} AND {YW(*WINDOW['yellow'])} AND COALESCE({NN('fare_amount')}, false) AND COALESCE({NN('trip_distance')}, false)
+  AND (trip_line % 2 = 1 OR origen <> (SELECT MAX(origen) FROM files))
+QUALIFY row_number() OVER (PARTITION BY {DEDUP_TAXI_KEY['yellow']}, origen ORDER BY trip_key, trip_line) = 1""",
+                                    TRIPS_TAXI),
+    "clean_one_period": with_views(TAXI_NORM.strip() + f""", staged AS ({_staged_taxi("yellow")}
+UNION ALL {_staged_taxi("green")}
+)
+SELECT * FROM staged WHERE anio = '2013' AND mes = '03'""", TRIPS_TAXI),
+    "mart_row_counts": " UNION ALL ".join(
+        f"SELECT '{m}' AS mart, COUNT(*) AS escritas, COUNT(*) AS leidas FROM ({q})" for m, q in (
+            ("mart_cuota_mercado_mensual", MARKET_SHARE), ("mart_kpis_financieros", FINANCIAL_KPIS),
+            ("mart_demanda_territorial", TERRITORIAL), ("mart_patrones_temporales", TEMPORAL))),
     "mart_rebuild": MARKET_SHARE,
     "mart_rebuild_kpis": FINANCIAL_KPIS,
     "mart_incremental": TEMPORAL,

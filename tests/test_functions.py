@@ -96,3 +96,12 @@ def test_typed_casts_equal_text_route(spark):
         a = [r[0] for r in df.select(safe_double(c, t)).collect()]
         b = [r[0] for r in df.select(safe_double(c)).collect()]
         assert [repr(v) for v in a] == [repr(v) for v in b], c
+
+
+def test_round2_keeps_what_has_no_cents(spark):
+    import math
+    from triplake.functions.numeric import round2
+    values = [float("nan"), float("inf"), float("-inf"), 1e300, -9.3e16, 4e13 + 0.25, -2.005, 0.125, None]
+    got = [r.x for r in spark.createDataFrame([(v,) for v in values], "x double").select(round2("x").alias("x")).collect()]
+    assert math.isnan(got[0]) and got[1:5] == values[1:5]
+    assert got[5:] == [4e13 + 0.25, -2.01, 0.13, None]

@@ -420,3 +420,87 @@ def test_state_skips_nan_and_values_beyond_the_decimal(spark):
     df = spark.createDataFrame([("2020", 1.0), ("2020", float("nan")), ("2020", 1e17)], "anio string, tarifa double")
     r = df.groupBy("anio").agg(inc._exact_sum("tarifa").alias("s"), inc._exact_count("tarifa").alias("c")).first()
     assert float(r.s) == 1.0 and r.c == 1
+
+
+def _span(spark, root, period: str, pickups: list[str]):
+    """A yellow file of ``period`` with trips of the given days."""
+    a, m = period.split("-")
+    spark.createDataFrame([(i, d, 10.0) for i, d in enumerate(pickups)], "VendorID int, d string, fare_amount double") \
+        .select("VendorID", F.col("d").cast("timestamp_ntz").alias("tpep_pickup_datetime"),
+                F.expr("CAST(d AS TIMESTAMP_NTZ) + INTERVAL 1 HOUR").alias("tpep_dropoff_datetime"), "fare_amount") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{root}/yellow/anio={a}/mes={m}")
+
+
+def _two_spanning_files(spark, root):
+    _span(spark, root, "2020-05", ["2020-04-30", "2020-05-01", "2020-05-02"])
+    _span(spark, root, "2020-06", ["2020-05-31", "2020-06-01"])
+
+
+def test_rows_staged_by_pickup_month_are_replaced_by_file(spark, tmp_path):
+    raw, staging = str(tmp_path / "raw"), str(tmp_path / "staging")
+    _two_spanning_files(spark, raw)
+    first = clean_periods(spark, raw, staging, "yellow", period="pickup")
+    assert first == {"yellow": ["2020-05", "2020-06"], "yellow_touched": ["2020-04", "2020-05", "2020-06"]}
+    assert _staged(spark, staging) == [("2020", "04", 1), ("2020", "05", 3), ("2020", "06", 1)]
+    assert clean_periods(spark, raw, staging, "yellow", period="pickup") == {"yellow": []}      # by file month
+    _span(spark, raw, "2020-05", ["2020-05-07", "2020-07-01"])          # April's row goes, the other file's rows stay
+    again = clean_periods(spark, raw, staging, "yellow", "2020", "5", resume=False, period="pickup")
+    assert again["yellow_touched"] == ["2020-04", "2020-05", "2020-07"]
+    assert _staged(spark, staging) == [("2020", "05", 2), ("2020", "06", 1), ("2020", "07", 1)]
+    assert read_staging(spark, staging, "taxi").columns[-2:] == ["anio", "mes"]
+
+
+def test_one_staging_table_has_one_layout(spark, tmp_path):
+    from triplake.sources.sinks import MixedLayout
+    raw = str(tmp_path / "raw")
+    _two_spanning_files(spark, raw)
+    for first, second in (("file", "pickup"), ("pickup", "file")):
+        staging = str(tmp_path / first)
+        clean_periods(spark, raw, staging, "yellow", period=first)
+        before = _staged(spark, staging)
+        with pytest.raises(MixedLayout):
+            clean_periods(spark, raw, staging, "yellow", resume=False, period=second)
+        assert _staged(spark, staging) == before
+
+
+def test_a_file_without_rows_left_is_logged_by_pickup_too(spark, tmp_path):
+    raw, staging = str(tmp_path / "raw"), str(tmp_path / "staging")
+    _span(spark, raw, "2020-05", ["1999-01-01"])
+    assert clean_periods(spark, raw, staging, "yellow", period="pickup") == {"yellow": ["2020-05"], "yellow_touched": []}
+    assert clean_periods(spark, raw, staging, "yellow", period="pickup") == {"yellow": []}
+
+
+def test_stream_by_pickup_month_equals_the_job(spark, tmp_path):
+    raw, staging, streamed = str(tmp_path / "raw"), str(tmp_path / "staging"), str(tmp_path / "streamed")
+    _two_spanning_files(spark, raw)
+    clean_periods(spark, raw, staging, "yellow", period="pickup")
+    stream_arrivals(spark, f"{raw}/yellow", "yellow", streamed, str(tmp_path / "cp"), max_files_per_trigger=1,
+                    period="pickup").awaitTermination()
+    assert _rows(read_staging(spark, streamed, "taxi")) == _rows(read_staging(spark, staging, "taxi"))
+    with pytest.raises(ValueError, match="file period"):
+        stream_arrivals(spark, f"{raw}/yellow", "yellow", streamed, str(tmp_path / "cp2"), merge_staged=True,
+                        period="pickup")
+
+
+def test_merge_mode_finishes_what_a_lost_batch_left(spark, tmp_path, monkeypatch):
+    """The batch ends between its moves; replayed, it finds whole periods and adds nothing twice."""
+    from triplake.sources import commit
+    from triplake.sources.files import list_files
+    from triplake.streaming.arrivals import merge_new_files
+    raw, staging = str(tmp_path / "raw"), str(tmp_path / "staging")
+    _raw_month(spark, raw, 10.0)
+    merge_new_files(spark, list_files(spark, f"{raw}/yellow"), "yellow", staging)
+    _raw_month(spark, raw, 20.0)
+    new, move, left = list_files(spark, f"{raw}/yellow"), commit.Folders.move, [1]
+
+    def ending(self, source, target):
+        if not left[0]:
+            raise OSError("lost")
+        left[0] -= 1
+        move(self, source, target)
+    monkeypatch.setattr(commit.Folders, "move", ending)
+    with pytest.raises(OSError, match="lost"):
+        merge_new_files(spark, new, "yellow", staging)
+    monkeypatch.setattr(commit.Folders, "move", move)
+    merge_new_files(spark, new, "yellow", staging)
+    assert _staged(spark, staging) == [("2020", "01", 10)]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.catalog_rules import TAXI_ID
+from triplake.functions.dates import anio_of, mes_of
 from triplake.operators.normalize import normalize
 from triplake.operators import marts
 from triplake.plans import incremental as inc
@@ -21,7 +22,8 @@ from triplake.sources import adapter
 from triplake.sources.commit import Folders
 from triplake.sources.files import raw_periods, staged_periods
 from triplake.sources.scan import footers, read_raw, type_drift
-from triplake.sources.sinks import read_staging, read_zone_csv, write_staging, write_zone_csv
+from triplake.sources.sinks import (count_rows, read_staging, read_staging_period, read_zone_csv, write_staging,
+                                    write_zone_csv)
 from triplake.streaming.arrivals import stream_arrivals
 
 YELLOW_DECLARED = dict(RAW_DECLARED["yellow"])
@@ -209,6 +211,47 @@ def staging_roundtrip(spark, root) -> DataFrame:
     return read_staging(spark, f"{base}/staging", "taxi").select(*STAGED_TAXI)
 
 
+def write_raw_by_dropoff(spark: SparkSession, root: str, raw_root: str) -> None:
+    """A yellow raw folder whose files are named by the month of the dropoff, so that one holds several pickup months."""
+    t = adapter.trips_taxi(spark, root).where(F.col("tipo_taxi") == "yellow")
+    t.select(F.col("vendorid").alias("VendorID"), F.col("pickup_datetime").alias("tpep_pickup_datetime"),
+             F.col("dropoff_datetime").alias("tpep_dropoff_datetime"), "trip_distance",
+             F.col("pulocationid").alias("PULocationID"), F.col("dolocationid").alias("DOLocationID"),
+             F.col("payment_type_raw").alias("payment_type"), F.col("fare_amount").cast("double").alias("fare_amount"),
+             *TAXI_ID, anio_of("dropoff_datetime").alias("anio"), mes_of("dropoff_datetime").alias("mes")) \
+        .repartition(_cores(spark), "anio", "mes").write.partitionBy("anio", "mes").parquet(f"{raw_root}/yellow")
+
+
+def staging_by_pickup(spark, root) -> DataFrame:
+    """Rows staged in their pickup's month. The last file is published again without its even trip lines: what
+    it had put into any month is replaced, the rows of other files in those months stay."""
+    base = scratch(spark, "lake")
+    job = dict(order_by=TAXI_ID, keep=TAXI_ID, period="pickup")
+    write_raw_by_dropoff(spark, root, f"{base}/raw")
+    clean_periods(spark, f"{base}/raw", f"{base}/staging", "yellow", **job)
+    last = raw_periods(spark, f"{base}/raw/yellow").orderBy(F.desc("anio"), F.desc("mes")).first()
+    if last:
+        folder = f"yellow/anio={last['anio']}/mes={last['mes']}"
+        spark.read.parquet(f"{base}/raw/{folder}").where(F.col("trip_line") % 2 == 1).coalesce(1) \
+            .write.parquet(f"{base}/again/{folder}")
+        clean_periods(spark, f"{base}/again", f"{base}/staging", "yellow", resume=False, **job)
+    return read_staging(spark, f"{base}/staging", "taxi").select(*STAGED_TAXI)
+
+
+SCOPE = ("2013", "3")            # the year and month that clean_one_period asks for
+
+
+def clean_one_period(spark, root) -> DataFrame:
+    """The job for the taxi formats of one month. That month is read through its own folders, and whatever
+    else were staged would be among the rows too."""
+    base = scratch(spark, "lake")
+    write_raw_taxi(spark, root, f"{base}/raw")
+    clean_periods(spark, f"{base}/raw", f"{base}/staging", "taxi", *SCOPE, order_by=TAXI_ID, keep=TAXI_ID)
+    period = inc.normalise_period(*SCOPE)
+    rest = read_staging(spark, f"{base}/staging", "taxi").where(~inc.in_periods([period]))
+    return read_staging_period(spark, f"{base}/staging", "taxi", *period).unionByName(rest).select(*STAGED_TAXI)
+
+
 def _staging_from_views(spark, root, base) -> dict[str, DataFrame]:
     """The trip views written as staging tables (they already satisfy the rules the marts rely on)."""
     t = adapter.trips_taxi(spark, root).withColumnRenamed("payment_type_raw", "payment_type")
@@ -238,6 +281,14 @@ def mart_rebuild_kpis(spark, root) -> DataFrame:
     return inc.read_mart(spark, _rebuilt(spark, root), "mart_kpis_financieros").select(*marts.KPI_COLUMNS)
 
 
+def mart_row_counts(spark, root) -> DataFrame:
+    """Rows that the rebuild reports for each mart, and rows that can be read."""
+    base = scratch(spark, "lake")
+    report = inc.rebuild_marts(spark, _staging_from_views(spark, root, f"{base}/staging"), f"{base}/mart")
+    rows = [(m, report[m], count_rows(spark, f"{base}/mart/{m}")) for m in sorted(marts.ORDER)]
+    return spark.createDataFrame(rows, "mart string, escritas bigint, leidas bigint")
+
+
 LAST_PERIODS = 3                 # periods that the increments of the registered queries append
 
 
@@ -363,6 +414,9 @@ QUERIES = {
     "csv_zone_lookup": csv_zone_lookup,
     "profile_volume_files": profile_volume_files,
     "staging_roundtrip": staging_roundtrip,
+    "staging_by_pickup": staging_by_pickup,
+    "clean_one_period": clean_one_period,
+    "mart_row_counts": mart_row_counts,
     "mart_rebuild": mart_rebuild,
     "mart_rebuild_kpis": mart_rebuild_kpis,
     "mart_incremental": mart_incremental,

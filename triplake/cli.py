@@ -37,6 +37,7 @@ def main(argv=None) -> None:
     c.add_argument("--mes")
     c.add_argument("--force", action="store_true", help="reprocess periods already staged")
     c.add_argument("--quarantine", help="folder for rejected rows with their reason")
+    c.add_argument("--period", choices=("file", "pickup"), default="file", help="month a row is staged in")
     c.add_argument("--skip-unreadable", action="store_true", help="leave out files without a readable footer")
     r = sub.add_parser("rebuild")
     i = sub.add_parser("increment")
@@ -59,13 +60,14 @@ def main(argv=None) -> None:
     s.add_argument("--staging", required=True)
     s.add_argument("--formato", required=True)
     s.add_argument("--checkpoint", required=True)
+    s.add_argument("--period", choices=("file", "pickup"), default="file", help="month a row is staged in")
     s.add_argument("--available-now", action="store_true")
     a = ap.parse_args(argv)
 
     spark = build_session(app=f"triplake-{a.cmd}", cluster=a.cluster)
     if a.cmd == "clean":
         out = clean_periods(spark, a.raw, a.staging, a.formato, a.anio, a.mes, resume=not a.force,
-                            quarantine_root=a.quarantine, skip_unreadable=a.skip_unreadable)
+                            quarantine_root=a.quarantine, skip_unreadable=a.skip_unreadable, period=a.period)
     elif a.cmd == "rebuild":
         out = inc.rebuild_marts(spark, inc.load_staging(spark, a.staging, read_zone_csv(spark, a.zones)), a.marts)
     elif a.cmd == "increment":
@@ -87,7 +89,8 @@ def main(argv=None) -> None:
         d = type_drift(footers(spark, f"{a.raw.rstrip('/')}/{a.formato}"), dict(RAW_DECLARED[a.formato]))
         out = [r.asDict() for r in d.orderBy("column_name").collect()]     # one row per column
     else:
-        q = stream_arrivals(spark, a.raw, a.formato, a.staging, a.checkpoint, available_now=a.available_now)
+        q = stream_arrivals(spark, a.raw, a.formato, a.staging, a.checkpoint, available_now=a.available_now,
+                            period=a.period)
         q.awaitTermination()
         out = {"stream": "stopped"}
     print(json.dumps(out, default=str))

@@ -10,16 +10,20 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+WHOLE_CENTS = 2.0 ** 52 / 100   # NaN compares as the largest value, so it is beyond this too
+
+
 def round2(c) -> Column:
     """Round to 2 decimals, halves away from zero (as SQL ROUND does), on the double value.
 
     Written as integer arithmetic on |x|*100 instead of ``F.round`` so every engine returns
     the same IEEE double (``round`` on doubles breaks ties differently across engines), and
-    no negative zero appears.
+    no negative zero appears.  NaN, infinities and values from ``WHOLE_CENTS`` on, whose hundredfold has no
+    fraction, come back unchanged: the integer would clip them.
     """
     x = _col(c).cast("double")
     cents = F.when(x < 0, -F.floor(-x * F.lit(100.0) + F.lit(0.5))).otherwise(F.floor(x * F.lit(100.0) + F.lit(0.5)))
-    return (cents / F.lit(100.0)).cast("double")
+    return F.when(F.abs(x) >= F.lit(WHOLE_CENTS), x).otherwise((cents / F.lit(100.0)).cast("double"))
 
 
 def ratio(num, den, scale: float = 1.0) -> Column:

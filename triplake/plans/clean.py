@@ -15,7 +15,7 @@ from triplake.functions.dates import anio_of, mes_of
 from triplake.operators.dedup import dedup
 from triplake.operators.normalize import normalize
 from triplake.operators.quality import REASON, add_flags, apply_rules, passes, split
-from triplake.schema import CANONICAL, FORMATS, TAXI_FORMATS
+from triplake.schema import CANONICAL, FORMATS, SOURCE_FOLDER, TAXI_FORMATS
 
 SOURCE_PERIOD = ("source_anio", "source_mes")
 
@@ -32,7 +32,8 @@ def expand_formats(formato: str | None) -> list[str]:
 
 
 def with_period(df: DataFrame, fmt: str, period: str = "file", scope=SOURCE_PERIOD) -> DataFrame:
-    """Partition columns: the file's period (as executed, default) or the pickup's (as documented)."""
+    """Partition columns: the file's period (as executed, default) or the pickup's (as documented), there with the
+    file's period as ``origen``."""
     if period == "file":
         a, m = F.col(scope[0]), F.col(scope[1])
     elif period == "pickup":
@@ -40,6 +41,8 @@ def with_period(df: DataFrame, fmt: str, period: str = "file", scope=SOURCE_PERI
     else:
         raise ValueError("period must be 'file' or 'pickup'")
     cols = {"anio": a, "mes": m}
+    if period == "pickup":
+        cols[SOURCE_FOLDER] = F.concat_ws("-", *scope)
     if fmt in TAXI_FORMATS:
         cols["tipo_taxi"] = F.lit(fmt)
     return df.withColumns(cols)
@@ -82,7 +85,8 @@ def processed_log(staging_root: str, fmt: str) -> str:
 
 def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None = None, anio: str | None = None,
                   mes: str | None = None, order_by=(), keep=(), resume: bool = True,
-                  quarantine_root: str | None = None, skip_unreadable: bool = False) -> dict[str, list[str]]:
+                  quarantine_root: str | None = None, skip_unreadable: bool = False,
+                  period: str = "file") -> dict[str, list[str]]:
     """The cleaning job: raw ``<raw_root>/<fmt>/anio=/mes=/`` -> staging, one distributed job per format.
 
     ``resume`` skips the periods of the processed-periods log (R3). Rows, quarantine and log of a period
@@ -92,6 +96,11 @@ def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None =
     never appended, also by an empty result, so ``resume=False`` reruns safely.  With ``quarantine_root`` the rejected rows and their reason go to
     ``<quarantine_root>/<fmt>``, partitioned by source period (E15).  Returns the periods written
     per format, and under ``<fmt>_unreadable`` the files that were left out, if any.
+
+    ``period="pickup"`` (P14 as documented) puts a row into its pickup's month, in a folder of its file's month: a
+    rerun replaces what its files contributed, in every month. Log, resume and quarantine stay by file month;
+    ``<fmt>_touched`` reports the staging months that changed, for ``append_periods`` (which refuses a month that is
+    now without any rows). One staging table holds one of the two layouts.
     """
     from triplake.sources.commit import commit_periods, recover
     from triplake.sources.files import pending_periods, raw_periods
@@ -117,9 +126,11 @@ def clean_periods(spark, raw_root: str, staging_root: str, formato: str | None =
                 todo = [(a, m) for a, m in todo if not any(f"/anio={a}/mes={m}/" in f for f in bad)]
         if todo:
             raw = read_raw(spark, _folders(root, todo), fmt, keep=keep)
-            rows, rejected = clean(raw, fmt, order_by=order_by, keep=keep)
-            commit_periods(rows, rejected, staging_root, fmt, todo, quarantine_root,
-                           log=processed_log(staging_root, fmt))
+            rows, rejected = clean(raw, fmt, order_by=order_by, keep=keep, period=period)
+            touched = commit_periods(rows, rejected, staging_root, fmt, todo, quarantine_root,
+                                     log=processed_log(staging_root, fmt), by_source=period == "pickup")
+            if period == "pickup":
+                report[f"{fmt}_touched"] = [f"{a}-{m}" for a, m in touched]
         report[fmt] = [f"{a}-{m}" for a, m in todo]
     return report
 

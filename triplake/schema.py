@@ -56,6 +56,8 @@ ZONE_SCHEMA = _struct([("locationid", S), ("borough", S), ("zone", S), ("service
 
 # Staging layout: table -> partition columns (all partition values are strings, month zero-padded).
 STAGING_TABLE = {"yellow": "taxi", "green": "taxi", "fhvhv": "fhvhv", "fhv": "fhv"}
+# Below the partition columns when rows land in their pickup's period: the source file's period, YYYY-MM.
+SOURCE_FOLDER = "origen"
 PARTITION_COLS = {"taxi": ["tipo_taxi", "anio", "mes"], "fhvhv": ["anio", "mes"], "fhv": ["anio", "mes"]}
 
 # --- Fixed values (must equal the reference's for identical results) -----------------------

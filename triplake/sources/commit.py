@@ -41,6 +41,10 @@ class Folders:
         if not fs.rename(self._at(source)[1], p):
             raise OSError(f"{source} could not be moved to {target}")
 
+    def glob(self, pattern: str) -> list[str]:
+        fs, p = self._at(pattern)
+        return sorted(s.getPath().toString() for s in (fs.globStatus(p) or []))
+
     def names(self, path: str) -> list[str]:
         fs, p = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
@@ -51,37 +55,64 @@ def commit_root(staging_root: str) -> str:
 
 
 class PeriodCommit:
-    """One run's commit: write below ``staging`` and ``quarantine``, then ``publish`` the periods."""
+    """One run's commit: write below ``staging`` and ``quarantine``, then ``publish`` the periods.
+
+    ``by_source``: a file's rows lie in several staging periods, each with a folder for every source period. A source
+    period is replaced by replacing its folders in all of them, also in those where it has no rows any more.
+    """
 
-    def __init__(self, spark: SparkSession, staging_root: str, fmt: str, quarantine_root: str | None = None):
+    def __init__(self, spark: SparkSession, staging_root: str, fmt: str, quarantine_root: str | None = None,
+                 by_source: bool = False):
         self.spark, self.fmt, self.staging_root, self.quarantine_root = spark, fmt, staging_root, quarantine_root
+        self.by_source = by_source
         self.id = uuid.uuid4().hex
         self.folder = f"{commit_root(staging_root)}/{self.id}"
         self.staging = f"{self.folder}/staging"
         # moves stay on one file system
         self.quarantine = f"{commit_root(quarantine_root)}/{self.id}" if quarantine_root else None
 
-    def _rows(self, periods, log: str | None):
+    def _staging_places(self, periods):
+        """(source period, staging period, folder below it or '') of what may change."""
+        if not self.by_source:
+            return [((a, m), (a, m), "") for a, m in periods]
+        from triplake.schema import SOURCE_FOLDER
+        from triplake.sources.sinks import staging_folder
+        mine = {f"{a}-{m}": (a, m) for a, m in periods}
+        found = set()
+        for root in (self.staging, self.staging_root):       # a list of folders
+            for p in Folders(self.spark).glob(f"{staging_folder(root, self.fmt, '*', '*')}/{SOURCE_FOLDER}=*"):
+                a, m, own = (x.split("=", 1)[1] for x in p.split("/")[-3:])
+                if own in mine:
+                    found.add((mine[own], (a, m), f"/{SOURCE_FOLDER}={own}"))
+        return sorted(found)
+
+    def _rows(self, periods, places_of, log: str | None):
         from triplake.sources.sinks import staging_folder
         folders = Folders(self.spark)
         for a, m in periods:
-            places = [(staging_folder(self.staging, self.fmt, a, m), staging_folder(self.staging_root, self.fmt, a, m),
-                       f"{self.folder}/aside/{self.fmt}/anio={a}/mes={m}")]
+            places = [(staging_folder(self.staging, self.fmt, *at) + below,
+                       staging_folder(self.staging_root, self.fmt, *at) + below,
+                       f"{self.folder}/aside/{self.fmt}/anio={at[0]}/mes={at[1]}{below}")
+                      for own, at, below in places_of if own == (a, m)]
             if self.quarantine:
                 own = f"{self.fmt}/anio={a}/mes={m}"
                 places.append((f"{self.quarantine}/{own}", f"{self.quarantine_root.rstrip('/')}/{own}",
                                f"{self.quarantine}/aside/{own}"))
-            for source, target, aside in places:
+            # a period without any folder is logged all the same
+            for source, target, aside in places or [(f"{self.folder}/none",) * 3]:
                 yield self.fmt, a, m, source, target, aside, folders.exists(source), log
 
-    def publish(self, periods, log: str | None = None) -> None:
-        """Put the written ``periods`` in place; with ``log`` they are then added to the processed-periods log."""
-        rows = list(self._rows(periods, log))                # a period list
+    def publish(self, periods, log: str | None = None) -> list[tuple[str, str]]:
+        """Put the written ``periods`` in place; with ``log`` they are then added to the processed-periods log.
+        Returns the staging periods that they touch."""
+        places = self._staging_places(periods)
+        rows = list(self._rows(periods, places, log))        # a period list
         if rows:
             self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.parquet(f"{self.folder}/manifest")
         finish(self.spark, self.folder)
         if self.quarantine:
             Folders(self.spark).delete(self.quarantine)
+        return sorted({at for _, at, _ in places})
 
 
 def finish(spark: SparkSession, folder: str) -> bool:
@@ -115,12 +146,15 @@ def recover(spark: SparkSession, staging_root: str, quarantine_root: str | None
 
 
 def commit_periods(rows: DataFrame, rejected: DataFrame | None, staging_root: str, fmt: str, periods,
-                   quarantine_root: str | None = None, log: str | None = None) -> None:
-    """Replace ``periods`` of staging (and of the quarantine, if there is one) by ``rows`` (and ``rejected``)."""
+                   quarantine_root: str | None = None, log: str | None = None,
+                   by_source: bool = False) -> list[tuple[str, str]]:
+    """Replace ``periods`` of staging (and of the quarantine, if there is one) by ``rows`` (and ``rejected``); returns
+    the staging periods touched. With ``by_source`` the periods are those of the files, and ``rows`` lie in any."""
     from triplake.plans.clean import write_quarantine
-    from triplake.sources.sinks import write_staging
-    commit = PeriodCommit(rows.sparkSession, staging_root, fmt, quarantine_root)
-    write_staging(rows, commit.staging, fmt)
+    from triplake.sources.sinks import check_layout, write_staging
+    check_layout(rows.sparkSession, staging_root, fmt, by_source)
+    commit = PeriodCommit(rows.sparkSession, staging_root, fmt, quarantine_root, by_source)
+    write_staging(rows, commit.staging, fmt, by_source=by_source)
     if commit.quarantine:
         write_quarantine(rejected, commit.quarantine, fmt)
-    commit.publish(periods, log)
+    return commit.publish(periods, log)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triplake.schema import CANONICAL, PARTITION_COLS, STAGING_TABLE, ZONE_SCHEMA
+from triplake.schema import CANONICAL, PARTITION_COLS, SOURCE_FOLDER, STAGING_TABLE, ZONE_SCHEMA
 from triplake.sources.commit import Folders
 
 
@@ -84,12 +84,25 @@ def staging_folder(root: str, fmt: str, anio: str, mes: str) -> str:
     return f"{staging_path(root, fmt)}{taxi}/anio={anio}/mes={mes}"
 
 
-def write_staging(df: DataFrame, root: str, fmt: str, periods=()) -> str:
+class MixedLayout(RuntimeError):
+    """A staging table holds rows by file period or by pickup period, not both."""
+
+
+def check_layout(spark: SparkSession, root: str, fmt: str, by_source: bool) -> None:
+    """Raise ``MixedLayout`` if the table was staged the other way."""
+    table = STAGING_TABLE[fmt]
+    other = f"{period_path(root, table, '*', '*')}/{'*.parquet' if by_source else SOURCE_FOLDER + '=*'}"
+    if Folders(spark).glob(other):
+        raise MixedLayout(f"{root}/{table} was staged by {'file' if by_source else 'pickup'} period")
+
+
+def write_staging(df: DataFrame, root: str, fmt: str, periods=(), by_source: bool = False) -> str:
     """Canonical payload + partition columns -> <root>/<table>/[tipo_taxi=]/anio=/mes=/ (period replace).
 
     ``periods`` are the (anio, mes) processed: those without rows are emptied, not left as they were.
+    ``by_source``: one more folder level, the period of the source file.
     """
-    parts = PARTITION_COLS[STAGING_TABLE[fmt]]
+    parts = PARTITION_COLS[STAGING_TABLE[fmt]] + [SOURCE_FOLDER] * by_source
     payload = CANONICAL[fmt].fieldNames()
     path = staging_path(root, fmt)
     with Replacing(df.sparkSession, [staging_folder(root, fmt, a, m) for a, m in periods]):
@@ -104,7 +117,7 @@ def read_staging(spark: SparkSession, root: str, table: str) -> DataFrame:
     schema = T.StructType(CANONICAL[fmt].fields + [T.StructField(p, T.StringType(), True) for p in parts])
     from pyspark.errors import AnalysisException
     try:
-        return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}")
+        return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}").select(schema.names)
     except AnalysisException as e:                 # a table nothing was written to yet is empty
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -127,17 +140,20 @@ def period_path(root: str, table: str, anio: str, mes: str) -> str:
 
 def read_staging_period(spark: SparkSession, root: str, table: str, anio: str, mes: str) -> DataFrame:
     """One period of a staging table without listing the rest of the table; empty if the period is absent."""
-    from pyspark.errors import AnalysisException
+    return read_staging_periods(spark, root, table, [(anio, mes)])
+
+
+def read_staging_periods(spark: SparkSession, root: str, table: str, periods) -> DataFrame:
+    """The periods of a staging table that exist, as one read of their folders."""
     fmt = {"taxi": "yellow"}.get(table, table)
     parts = PARTITION_COLS[table]
     schema = T.StructType(CANONICAL[fmt].fields + [T.StructField(p, T.StringType(), True) for p in parts])
-    try:
-        return (spark.read.schema(schema).option("basePath", f"{root.rstrip('/')}/{table}")
-                .parquet(period_path(root, table, anio, mes)))
-    except AnalysisException as e:                 # a period nothing was written to is empty
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    folders = Folders(spark)
+    paths = [p for a, m in periods for p in folders.glob(period_path(root, table, a, m))]
+    if not paths:                                  # periods nothing was written to are empty
         return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema).option("basePath", f"{root.rstrip('/')}/{table}").parquet(*paths)
+            .select(schema.names))
 
 
 def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = None, static: bool = False,

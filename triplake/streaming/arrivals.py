@@ -18,7 +18,6 @@ from triplake.plans.clean import clean
 from triplake.sources.commit import commit_periods, recover
 from triplake.sources.files import with_period_of_path
 from triplake.sources.scan import read_raw
-from triplake.sources.sinks import write_staging
 
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -33,7 +32,8 @@ def arrivals(spark: SparkSession, landing_root: str, max_files_per_trigger: int
 
 
 def clean_touched_periods(spark: SparkSession, batch: DataFrame, landing_root: str, fmt: str,
-                          staging_root: str, order_by=(), quarantine_root: str | None = None) -> list[tuple[str, str]]:
+                          staging_root: str, order_by=(), quarantine_root: str | None = None,
+                          period: str = "file") -> list[tuple[str, str]]:
     """Re-clean every period the batch touches. A file outside ``anio=/mes=`` fails the batch, so the
     checkpoint does not mark it as seen."""
     touched = (with_period_of_path(batch).where(F.col("length") > 0)
@@ -46,9 +46,9 @@ def clean_touched_periods(spark: SparkSession, batch: DataFrame, landing_root: s
     root = landing_root.rstrip("/")
     dirs = [f"{root}/anio={a}/mes={m}" for a, m in periods]
     keep = tuple(order_by)
-    rows, rejected = clean(read_raw(spark, dirs, fmt, keep=keep), fmt, order_by=order_by, keep=keep)
+    rows, rejected = clean(read_raw(spark, dirs, fmt, keep=keep), fmt, order_by=order_by, keep=keep, period=period)
     recover(spark, staging_root, quarantine_root)              # a replayed batch finishes what it left
-    commit_periods(rows, rejected, staging_root, fmt, periods, quarantine_root)
+    commit_periods(rows, rejected, staging_root, fmt, periods, quarantine_root, by_source=period == "pickup")
     return periods
 
 
@@ -57,15 +57,14 @@ def merge_new_files(spark: SparkSession, batch: DataFrame, fmt: str, staging_roo
 
     De-duplication keeps the smallest row per key (no ``order_by``), and that minimum is
     associative, so merging batch by batch gives the same staging as cleaning all files at
-    once.  The merged rows are checkpointed (lineage cut in ``spark.checkpoint.dir``) because
-    the write replaces the very folders they were read from.
+    once.  The merged rows are written beside the table and moved in by a commit, so nothing they
+    are read from changes while they are written, and a replayed batch finds whole periods.
     """
     from triplake.operators.dedup import dedup
     from triplake.operators.quality import apply_rules, split
     from triplake.plans.clean import SOURCE_PERIOD, with_period
     from triplake.schema import CANONICAL, STAGING_TABLE
-    from triplake.session import checkpoint_dir
-    from triplake.sources.sinks import read_staging_period
+    from triplake.sources.sinks import read_staging_periods
 
     found = with_period_of_path(batch.where(F.col("length") > 0)).collect()                  # this batch's files
     if any(r["anio"] is None or r["mes"] is None for r in found):
@@ -73,31 +72,31 @@ def merge_new_files(spark: SparkSession, batch: DataFrame, fmt: str, staging_roo
     files = [r["path"] for r in found]
     if not files:
         return []
-    new_rows = split(apply_rules(read_raw(spark, files, fmt), fmt))[0]
-    periods = sorted({tuple(r) for r in new_rows.select(*SOURCE_PERIOD).distinct().collect()})
+    recover(spark, staging_root)
+    periods = sorted({(r["anio"], r["mes"]) for r in found})
     cols = CANONICAL[fmt].fieldNames() + list(SOURCE_PERIOD)
-    merged = new_rows.select(*cols)
-    for a, m in periods:
-        staged = read_staging_period(spark, staging_root, STAGING_TABLE[fmt], a, m)
-        if "tipo_taxi" in staged.columns:
-            staged = staged.where(F.col("tipo_taxi") == fmt)
-        merged = merged.unionByName(staged.withColumnsRenamed({"anio": SOURCE_PERIOD[0], "mes": SOURCE_PERIOD[1]})
-                                    .select(*cols))
-    checkpoint_dir(spark)
-    out = with_period(dedup(merged, fmt), fmt).checkpoint(eager=True)
-    write_staging(out, staging_root, fmt)
+    new_rows = split(apply_rules(read_raw(spark, files, fmt), fmt))[0].select(*cols)
+    staged = read_staging_periods(spark, staging_root, STAGING_TABLE[fmt], periods)
+    if "tipo_taxi" in staged.columns:
+        staged = staged.where(F.col("tipo_taxi") == fmt)
+    staged = staged.withColumnsRenamed({"anio": SOURCE_PERIOD[0], "mes": SOURCE_PERIOD[1]}).select(*cols)
+    commit_periods(with_period(dedup(new_rows.unionByName(staged), fmt), fmt), None, staging_root, fmt, periods)
     return periods
 
 
 def stream_arrivals(spark: SparkSession, landing_root: str, fmt: str, staging_root: str, checkpoint: str,
                     available_now: bool = True, max_files_per_trigger: int | None = None,
-                    order_by=(), merge_staged: bool = False, quarantine_root: str | None = None) -> StreamingQuery:
+                    order_by=(), merge_staged: bool = False, quarantine_root: str | None = None,
+                    period: str = "file") -> StreamingQuery:
     """Start the arrival stream; ``available_now`` processes what is there and stops (batch-like runs).
 
     ``merge_staged`` cleans only each batch's new files and merges them into the staged periods
     (for periods assembled from many arrivals); the default re-cleans every file of a touched period.
     With ``quarantine_root`` the rejected rows of re-cleaned periods are kept with their reason (E15).
+    ``period="pickup"`` lays the rows into their pickup's month, as in ``clean_periods``.
     """
+    if merge_staged and period != "file":
+        raise ValueError("the merge mode stages by file period")
     if merge_staged and quarantine_root:
         raise ValueError("the merge mode sees new files only; a quarantine needs whole periods")
 
@@ -106,7 +105,7 @@ def stream_arrivals(spark: SparkSession, landing_root: str, fmt: str, staging_ro
             merge_new_files(batch.sparkSession, batch, fmt, staging_root)
         else:
             clean_touched_periods(batch.sparkSession, batch, landing_root, fmt, staging_root, order_by,
-                                  quarantine_root)
+                                  quarantine_root, period)
 
     w = (arrivals(spark, landing_root, max_files_per_trigger).writeStream
          .foreachBatch(process).option("checkpointLocation", checkpoint))
