@@ -144,7 +144,7 @@ class Files:
         key, shard, out = key[order], shard[order], np.zeros(len(key), np.int64)
         cuts = np.searchsorted(shard, np.arange(self.model.shards + 1))
         for s in np.unique(shard):
-            keys, counts = self.array(f"pair-{s:06d}", "<u8"), self.array(f"paircount-{s:06d}", "<u4")
+            keys, counts = self.array(f"pair-{s:06d}", "<u8"), self.array(f"paircount-{s:06d}", "<i8")
             if len(keys):
                 own = key[cuts[s]:cuts[s + 1]]
                 i = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
@@ -312,7 +312,7 @@ def _write_pairs(blocks: DataFrame, model: Model) -> DataFrame:
             counts.append(n)
         key, n = _summed(np.concatenate(keys), np.concatenate(counts))
         write_whole(f"{folder}/pair-{s:06d}", key.astype("<u8").tobytes())
-        write_whole(f"{folder}/paircount-{s:06d}", np.minimum(n, 2 ** 32 - 1).astype("<u4").tobytes())
+        write_whole(f"{folder}/paircount-{s:06d}", n.astype("<i8").tobytes())
         one, two, more = (n == 1).astype(np.int64), (n == 2).astype(np.int64), (n > 2).astype(np.int64)
         out = [(-1, "sums", _block(np.array([len(n), *((n == k).sum() for k in (1, 2, 3, 4))])))]
         v = _summed(key >> 32, n, one, two, more)
