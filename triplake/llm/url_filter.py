@@ -3,14 +3,13 @@
 Rules decide where one fits (the longest wins). Every other url is judged by the method: host labels and path
 parts are split at non-letters, each piece is cut into words by a unigram Viterbi search, and a multinomial
 naive Bayes model scores the words. The unigram model is counted in Spark over all words of the pages' html plus the
-seed words. The naive Bayes model learns from the pages themselves:
-a url with a seed word among its segmented words is an example of the class to block, any other is an example of
+seed words. The naive Bayes model learns from the pages themselves, which carry no labels, by a list of seed words
+(a parameter): a url with a seed word among its segmented words is an example of the class to block, any other is an example of
 the class to allow; token counts per class are summed in Spark. Word counts and
 token weights, all of them, lie in the shared folder as sorted hash arrays that workers memory-map.
 
 Defined results: null url or one without ``://`` has empty host and path, no rule, verdict allow; urls of any
-length are judged (pieces longer than ``LONGEST`` are cut into blocks for the search); equal urls get
-equal verdicts; null ids and extra columns do not matter; an empty table gives an empty result.
+length are judged, and words of any length count; equal urls get equal verdicts; null ids and extra columns do not matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,8 +32,9 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 SEEDS = ("spam", "farm", "cheap", "pills", "casino", "bets", "bet", "win", "adult", "xxx", "porn", "sex", "viagra",
          "loan", "loans", "free", "ads", "track", "tracker", "poker", "lottery", "replica", "escort", "clickbait")
 SEED_COUNT = 200                 # count a seed word has in the unigram model at least
-LONGEST = 400
+UNKNOWN = 0.9                    # cost of each letter of an unknown word
 ASKED = 500_000                  # parts of pieces looked up at a time
+ASKED_LETTERS = 5_000_000        # letters of the parts looked up at a time, of a long piece
 SMOOTH = 20
 _PIECE = re.compile(r"[a-z]+|[0-9]+")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -58,7 +58,10 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 class Segmenter:
-    """Unigram Viterbi word segmentation; counts in memory go before those of a mapped table."""
+    """Unigram Viterbi word segmentation; counts in memory go before those of a mapped table.
+
+    A known word costs -log10 of its share; any other stretch is one unknown word that costs more the longer it is, so
+    the best one ending at a place begins where ``best - UNKNOWN * place`` is least. Only known lengths are tried."""
 
     def __init__(self, counts: dict[str, int], table: HashTable | None = None, total: int = 0,
                  lengths: tuple[int, ...] = ()):
@@ -67,7 +70,8 @@ class Segmenter:
         self.held = {w: -math.log10(c / total) for w, c in counts.items()}
         self.cost = self.held
         self.table, self.lengths = table, lengths
-        self.widest = max([*map(len, counts), *lengths], default=1)
+        # the longest word first, so that ties go to fewer words
+        self.tried = sorted({*map(len, counts), *lengths}, reverse=True)
         self.unknown = math.log10(total)
         self.seen: dict[str, list[str]] = {}
 
@@ -82,23 +86,29 @@ class Segmenter:
         """Cut the pieces not cut yet; the table is asked for many of their parts at a time."""
         if len(self.seen) > 200_000:
             self.seen.clear()
-        blocks: dict[str, list[str]] = {}
+        batch: list[str] = []
         asked: set[str] = set()
         for p in set(pieces).difference(self.seen):
-            blocks[p] = [p[k:k + LONGEST] for k in range(0, len(p), LONGEST)]
-            if self.table:
-                asked.update(s[b:b + n] for s in blocks[p] for n in self.lengths for b in range(len(s) - n + 1))
+            fits = [n for n in self.lengths if n <= len(p)] if self.table else []
+            if len(p) * len(fits) > ASKED:               # parts of some places at a time
+                self.seen[p] = self._cut(p, max(1, ASKED_LETTERS // sum(fits)))
+                continue
+            batch.append(p)
+            asked.update(p[b:b + n] for n in fits for b in range(len(p) - n + 1))
             if len(asked) > ASKED:
-                self._learn(blocks, asked)
-                blocks, asked = {}, set()
-        self._learn(blocks, asked)
+                self._learn(batch, asked)
+                batch, asked = [], set()
+        self._learn(batch, asked)
+
+    def _learn(self, batch: list[str], asked: set[str]) -> None:
+        self._look(asked)
+        for p in batch:
+            self.seen[p] = self._cut(p)
 
-    def _learn(self, blocks: dict[str, list[str]], asked: set[str]) -> None:
+    def _look(self, asked: set[str]) -> None:
         if self.table:
             got = self.table.found(list(asked))
             self.cost = {w: -math.log10(c / self.total) for w, c in got.items()} | self.held
-        for p, cut in blocks.items():
-            self.seen[p] = [w for s in cut for w in self._cut(s)]
 
     def all_tokens(self, hosts: list[str], paths: list[str]) -> list[list[str]]:
         """The tokens of many urls."""
@@ -106,19 +116,21 @@ class Segmenter:
         self.learn([p for t in texts for p in _PIECE.findall(t) if p[0] > "9"])
         return [self.tokens(h, p) for h, p in zip(hosts, paths, strict=True)]
 
-    def _cut(self, s: str) -> list[str]:
-        best, back = [0.0], [0]
+    def _cut(self, s: str, places: int = 0) -> list[str]:
+        """The cheapest words of ``s``; with ``places`` the table is asked for the words that end at so many at a time."""
+        best, back, begin = [0.0], [0], 0
         for e in range(1, len(s) + 1):
-            cost, start = math.inf, 0
-            # the longest word first, so that ties go to fewer words
-            for b in range(max(0, e - max(self.widest, 20)), e):
-                w = s[b:e]
-                # an unknown word costs more the longer it is
-                c = best[b] + (self.cost[w] if w in self.cost else self.unknown + 0.9 * len(w))
-                if c < cost:
-                    cost, start = c, b
+            if places and (e - 1) % places == 0:
+                self._look({s[x - n:x] for x in range(e, min(e + places, len(s) + 1)) for n in self.lengths if n <= x})
+            cost, start = best[begin] + self.unknown + UNKNOWN * (e - begin), begin
+            for n in self.tried:
+                c = self.cost.get(s[e - n:e]) if n <= e else None
+                if c is not None and (best[e - n] + c < cost or (best[e - n] + c == cost and e - n < start)):
+                    cost, start = best[e - n] + c, e - n
             best.append(cost)
             back.append(start)
+            if cost - UNKNOWN * e < best[begin] - UNKNOWN * begin:
+                begin = e
         out, e = [], len(s)
         while e:
             out.append(s[back[e]:e])
@@ -148,26 +160,25 @@ class Bayes:
         return [self.prior + sum(weight.get(t, 0.0) for t in tokens) for tokens in urls]
 
 
-def unigrams(html: DataFrame) -> Segmenter:
+def unigrams(html: DataFrame, seed_words=SEEDS) -> Segmenter:
     """The segmenter of all words of a table with one column of html, seed words included."""
     text = F.lower(F.regexp_replace(F.coalesce(html[0], F.lit("")), "<[^>]*>", " "))
     w = html.select(F.explode(F.split(text, "[^a-z]+", -1)).alias("w")).where("w != ''")
     counts = written(w.groupBy("w").agg(F.count("*").alias("n")), "url-words")
-    seeds = {r["w"]: r["n"] for r in counts.where(F.col("w").isin(*SEEDS)).collect()}
-    raised = {s: max(SEED_COUNT, seeds.get(s, 0)) for s in SEEDS}
-    # one row a length; no piece has a word longer than LONGEST
-    sizes = counts.groupBy(F.least(F.length("w"), F.lit(LONGEST + 1)).alias("len")).agg(
-        F.count("*").alias("words"), F.sum("n").alias("n")).collect()
+    seeds = {r["w"]: r["n"] for r in counts.where(F.col("w").isin(*seed_words)).collect()}
+    raised = {s: max(SEED_COUNT, seeds.get(s, 0)) for s in seed_words}
+    # one row a length
+    sizes = counts.groupBy(F.length("w").alias("len")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
     total = sum(r["n"] for r in sizes) + sum(raised.values()) - sum(seeds.values())
-    rows = counts.where(F.length("w") <= LONGEST).select(F.col("w").alias("key"), F.col("n").alias("value"))
+    rows = counts.select(F.col("w").alias("key"), F.col("n").alias("value"))
     table = write_hash_table(rows, sum(r["words"] for r in sizes), scratch(html.sparkSession, "url-unigrams"))
-    return Segmenter(raised, table, total, tuple(sorted(r["len"] for r in sizes if r["len"] <= LONGEST)))
+    return Segmenter(raised, table, total, tuple(sorted(r["len"] for r in sizes)))
 
 
-def token_counts(urls: DataFrame, segmenter: Segmenter) -> Bayes:
+def token_counts(urls: DataFrame, segmenter: Segmenter, seed_words=SEEDS) -> Bayes:
     """The naive Bayes model of a table (host, path)."""
     arrow_batches(urls.sparkSession, 10_000)
-    seeds = frozenset(SEEDS)
+    seeds = frozenset(seed_words)
 
     def run(batches):
         seen: Counter = Counter()
@@ -206,12 +217,12 @@ def _counted(seen: Counter) -> pa.RecordBatch:
         pa.array([n for _, n in items], pa.int64())], ["token", "block", "n"])
 
 
-def judge(pages: DataFrame, *keep: str) -> DataFrame:
+def judge(pages: DataFrame, *keep: str, seed_words=SEEDS) -> DataFrame:
     """``keep`` columns, host, path, rule, verdict, words (segmented) and log_odds (of block) of every page."""
     host, path = parts(F.col("url"))
     urls = pages.select(*keep, host.alias("__host"), path.alias("__path"))
-    segmenter = unigrams(pages.select("html"))
-    model = token_counts(urls.select("__host", "__path"), segmenter)
+    segmenter = unigrams(pages.select("html"), seed_words)
+    model = token_counts(urls.select("__host", "__path"), segmenter, seed_words)
     arrow_batches(pages.sparkSession, 10_000)
 
     def run(batches):
