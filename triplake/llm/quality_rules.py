@@ -3,7 +3,8 @@
 Every document gets a vector of transformed statistics. For each (language, source) a minimum-covariance-
 determinant estimate of centre and scatter is fitted by C-steps: order the documents of the group by
 Mahalanobis distance, keep the closest share ``SUPPORT``, re-estimate centre and covariance from those, repeat.
-A reweighting step follows, and a document is rejected when its squared distance exceeds the chi-square
+Three deterministic starts race for ``RACE_STEPS`` steps, all in the same aggregations; in each group the one whose
+covariance has the least determinant goes on to ``C_STEPS``. A reweighting step follows, and a document is rejected when its squared distance exceeds the chi-square
 quantile at ``TAIL``. All work is DataFrame aggregation over one small statistics table: moments and quantile
 sketches are pre-aggregated on the map side, so a source with a third of all rows ships one partial row per task.
 Estimates are joined on (group, salt), each repeated for every salt: where Spark shuffles that join instead of
@@ -33,7 +34,9 @@ MAX_REPEAT_PCT = 20
 SPAN = 5                 # words of a repetition window
 MIN_ROWS = 200           # documents a group needs for an estimate of its own
 SUPPORT = 0.75           # share of a group that the C-steps keep
-C_STEPS = 4
+C_STEPS = 5
+RACE_STEPS = 2           # C-steps that every start takes before the least determinant decides which one goes on
+START_FLOOR = 0.01       # added to the diagonal of a start's scaled scatter
 SALTS = 64               # keys that the rows of one group are spread over when they meet its estimate
 SKETCH = 2000            # accuracy of the per-group distance quantiles
 TAIL_Z = 5.0             # normal quantile of the rejection cutoff (about 3e-7 of a normal group lies beyond)
@@ -131,17 +134,26 @@ def _for_salts(small: DataFrame, name: str) -> DataFrame:
     return written(small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), name)
 
 
-def _moments(rows: DataFrame) -> DataFrame:
+def _moments(rows: DataFrame, *by: str) -> DataFrame:
     """Per group: mean and inverse Cholesky factor of the covariance of the statistics (regularised)."""
-    d = len(STATS)
+    d, by = len(STATS), by or ("g",)
     # second moments around zero; statistics are of order one, so doubles hold them well
     sums = [F.avg(c).alias(f"m{i}") for i, c in enumerate(STATS)]
     prods = [F.avg(F.col(STATS[i]) * F.col(STATS[j])).alias(f"q{i}_{j}") for i in range(d) for j in range(i + 1)]
-    p = rows.groupBy("g").agg(*sums, *prods)
-    p = p.select("g", *[f"m{i}" for i in range(d)], *[
+    p = rows.groupBy(*by).agg(*sums, *prods)
+    p = p.select(*by, *[f"m{i}" for i in range(d)], *[
         (F.col(f"q{i}_{j}") - F.col(f"m{i}") * F.col(f"m{j}")
          + (F.lit(FLOOR[STATS[i]] ** 2) if i == j else F.lit(0.0))).alias(f"c{i}_{j}")
         for i in range(d) for j in range(i + 1)])
+    return _inverse_factor(p).select(*by, *[f"m{i}" for i in range(d)], *_FACTOR, F.lit(1.0).alias("scale"))
+
+
+_FACTOR = [f"w{i}_{j}" for i in range(len(STATS)) for j in range(i + 1)]
+
+
+def _inverse_factor(p: DataFrame) -> DataFrame:
+    """Adds the inverse (w) of the Cholesky factor (l) of the matrix (c)."""
+    d = len(STATS)
     for j in range(d):
         diag = F.sqrt(F.greatest(F.lit(1e-12), reduce(
             lambda a, k: a - F.col(f"l{j}_{k}") * F.col(f"l{j}_{k}"), range(j), F.col(f"c{j}_{j}"))))
@@ -153,21 +165,57 @@ def _moments(rows: DataFrame) -> DataFrame:
         p = p.withColumns({f"w{i}_{j}": (1 / F.col(f"l{i}_{i}")) if i == j else -reduce(add, [
             F.col(f"l{i}_{k}") * F.col(f"w{k}_{j}") for k in range(j, i)]) / F.col(f"l{i}_{i}")
             for j in range(i + 1)})
-    return p.select("g", *[f"m{i}" for i in range(d)], *[f"w{i}_{j}" for i in range(d) for j in range(i + 1)],
-                    F.lit(1.0).alias("scale"))
+    return p
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Per group: coordinate-wise median and interquartile scale, the deterministic start of the C-steps."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """Per group three deterministic starts of the C-steps, all around the coordinate-wise medians: with the
+    interquartile scales alone, with the correlation of tanh of the scaled statistics, with their spatial signs."""
+    d = len(STATS)
     p = rows.groupBy("g").agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75], SKETCH).alias(f"p{i}")
                                 for i, c in enumerate(STATS)])
+    means = [f"m{i}" for i in range(d)]
     cols = []
     for i, c in enumerate(STATS):
         iqr = (F.get(f"p{i}", F.lit(2)) - F.get(f"p{i}", F.lit(0))) / 1.349
-        cols.append(F.get(f"p{i}", F.lit(1)).alias(f"m{i}"))
-        cols += [(1 / F.sqrt(iqr * iqr + FLOOR[c] ** 2) if j == i else F.lit(0.0)).alias(f"w{i}_{j}")
-                 for j in range(i + 1)]
-    return p.select("g", *cols, F.lit(1.0).alias("scale"))
+        cols += [F.get(f"p{i}", F.lit(1)).alias(means[i]), (1 / F.sqrt(iqr * iqr + FLOOR[c] ** 2)).alias(f"v{i}")]
+    p = _for_salts(p.select("g", *cols), "scales")
+    z = rows.join(p, ["g", "__salt"]).select("g", *[((F.col(c) - F.col(means[i])) * F.col(f"v{i}")).alias(f"z{i}")
+                                                   for i, c in enumerate(STATS)])
+    z = z.withColumn("__len", F.greatest(F.lit(1e-9), F.sqrt(reduce(add, [F.col(f"z{i}") ** 2 for i in range(d)]))))
+    z = z.withColumns({f"t{i}": F.tanh(f"z{i}") for i in range(d)} | {f"u{i}": F.col(f"z{i}") / F.col("__len")
+                                                                      for i in range(d)})
+    s = z.groupBy("g").agg(*[F.avg(f"t{i}").alias(f"a{i}") for i in range(d)], *[
+        F.avg(F.col(f"{k}{i}") * F.col(f"{k}{j}")).alias(f"{k}{i}_{j}")
+        for k in ("t", "u") for i in range(d) for j in range(i + 1)])
+
+    def matrix(start: int, cell) -> DataFrame:
+        part = s.select("g", *[(cell(i, j) + F.lit(START_FLOOR if i == j else 0.0)).alias(f"c{i}_{j}")
+                               for i in range(d) for j in range(i + 1)])
+        return _inverse_factor(part).select("g", F.lit(start).alias("start"), *_FACTOR)
+
+    def spread(i: int, j: int) -> Column:
+        return F.col(f"t{i}_{j}") - F.col(f"a{i}") * F.col(f"a{j}")
+
+    def correlation(i: int, j: int) -> Column:
+        return spread(i, j) / F.sqrt((spread(i, i) + START_FLOOR) * (spread(j, j) + START_FLOOR))
+
+    shapes = [s.select("g", F.lit(0).alias("start"), *[F.lit(float(i == j)).alias(f"w{i}_{j}")
+                                                       for i in range(d) for j in range(i + 1)]),
+              matrix(1, correlation), matrix(2, lambda i, j: F.col(f"u{i}_{j}"))]
+    scales = p.where(F.col("__salt") == 0).drop("__salt")
+    return reduce(DataFrame.unionByName, shapes).join(scales, "g").select(
+        "g", "start", *means, *[(F.col(f"w{i}_{j}") * F.col(f"v{j}")).alias(f"w{i}_{j}")
+                                for i in range(d) for j in range(i + 1)], F.lit(1.0).alias("scale"))
+
+
+def _least_determinant(params: DataFrame) -> DataFrame:
+    """The start of each group whose covariance has the least determinant (ties: the first)."""
+    p = params.where(F.col("__salt") == 0).drop("__salt")
+    log_det = -2 * reduce(add, [F.log(F.col(f"w{i}_{i}")) for i in range(len(STATS))])
+    rest = [c for c in p.columns if c not in ("g", "start")]
+    best = p.groupBy("g").agg(F.min(F.struct(log_det.alias("log_det"), "start", *rest)).alias("b"))
+    return best.select("g", "b.start", *[f"b.{c}" for c in rest])
 
 
 def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
@@ -175,7 +223,7 @@ def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
     d = len(STATS)
     z = [reduce(add, [F.col(f"w{i}_{j}") * (F.col(STATS[j]) - F.col(f"m{j}")) for j in range(i + 1)])
          for i in range(d)]
-    keep = rows.columns
+    keep = rows.columns + ["start"] * ("start" in params.columns)
     return rows.join(params, ["g", "__salt"], "left").select(*keep, (reduce(add, [x * x for x in z]) / F.col("scale")).alias("d2"))
 
 
@@ -190,12 +238,15 @@ def _rescaled(rows: DataFrame, params: DataFrame) -> DataFrame:
 def fit(rows: DataFrame) -> DataFrame:
     """The estimate of every group of ``rows`` (columns g, salt and the statistics): a small row per group and salt."""
     rows = rows.where(F.col("g").isNotNull()).select("g", "__salt", *STATS)
-    params = _for_salts(_start(rows), "mcd")
-    for _ in range(C_STEPS):
+    params = _for_salts(_starts(rows), "mcd")
+    for step in range(C_STEPS):
+        if step == RACE_STEPS:
+            params = _for_salts(_least_determinant(params), "mcd")
         far = _distance(rows, params)
-        near = _for_salts(far.groupBy("g").agg(F.percentile_approx("d2", SUPPORT, SKETCH).alias("__h")), "mcd")
-        params = _for_salts(_moments(far.join(near, ["g", "__salt"]).where(F.col("d2") <= F.col("__h"))), "mcd")
-    params = _for_salts(_rescaled(rows, params), "mcd")
+        near = _for_salts(far.groupBy("g", "start").agg(F.percentile_approx("d2", SUPPORT, SKETCH).alias("__h")), "mcd")
+        half = far.join(near, ["g", "start", "__salt"]).where(F.col("d2") <= F.col("__h"))
+        params = _for_salts(_moments(half, "g", "start"), "mcd")
+    params = _for_salts(_rescaled(rows, params.drop("start")), "mcd")
     inner = _distance(rows, params).where(F.col("d2") <= chi2_quantile(len(STATS), REWEIGHT_Z))
     params = _for_salts(_moments(inner), "mcd")
     return _for_salts(_rescaled(rows, params), "mcd")
