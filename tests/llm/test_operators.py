@@ -78,6 +78,80 @@ def test_quality_rules_reject_outliers(spark):
     assert all(r.kept == (r.doc_id < 1000) for r in got)
 
 
+def brute_mcd(x):
+    """(centre, factor, scale, start) of one group, as quality_rules.fit defines them."""
+    q, floor, d = quality_rules, np.array(list(quality_rules.FLOOR.values())), x.shape[1]
+
+    def quantile(v, p):
+        return np.sort(v)[max(0, math.ceil(p * len(v)) - 1)]
+
+    def factor(c):
+        return np.linalg.inv(np.linalg.cholesky(c))
+
+    def moments(y):
+        m = y.mean(0)
+        return m, factor(y.T @ y / len(y) - np.outer(m, m) + np.diag(floor ** 2))
+
+    def distance(m, w):
+        return (((x - m) @ w.T) ** 2).sum(1)
+
+    def step(m, w):
+        d2 = distance(m, w)
+        return moments(x[d2 <= quantile(d2, q.SUPPORT)])
+
+    def scale(m, w):
+        return max(1.0, quantile(distance(m, w), 0.5) / q.chi2_quantile(d, 0.0))
+
+    mid = np.array([quantile(v, 0.5) for v in x.T])
+    v = 1 / np.sqrt(np.array([(quantile(c, 0.75) - quantile(c, 0.25)) / 1.349 for c in x.T]) ** 2 + floor ** 2)
+    z = (x - mid) * v
+    t, u = np.tanh(z), z / np.maximum(1e-9, np.linalg.norm(z, axis=1))[:, None]
+    spread = t.T @ t / len(x) - np.outer(t.mean(0), t.mean(0))
+    wide = np.sqrt(np.diag(spread) + q.START_FLOOR)
+    eye = q.START_FLOOR * np.eye(d)
+    found = []
+    for w in (np.eye(d), factor(spread / np.outer(wide, wide) + eye), factor(u.T @ u / len(x) + eye)):
+        est = mid, w * v
+        for _ in range(q.RACE_STEPS):
+            est = step(*est)
+        found.append(est)
+    dets = [-2 * np.log(np.diag(w)).sum() for _, w in found]
+    best = int(np.argmin(dets))
+    est = found[best]
+    for _ in range(q.C_STEPS - q.RACE_STEPS):
+        est = step(*est)
+    inner = moments(x[distance(*est) / scale(*est) <= q.chi2_quantile(d, q.REWEIGHT_Z)])
+    return *inner, scale(*inner), best, dets
+
+
+def test_quality_rules_estimates_equal_brute_force(spark):
+    """Groups of one cloud, of two clouds along a slope, and of many equal rows, with far rows among them."""
+    rng, d = np.random.default_rng(5), len(quality_rules.STATS)
+    groups = {}
+    for name, n in (("a", 500), ("b", 400), ("c", 333)):
+        x = rng.normal(size=(n, d)) @ np.tril(rng.normal(size=(d, d)))
+        if name == "b":
+            x[: n // 3] = rng.normal(size=(n // 3, d)) * 0.3 + 4
+        if name == "c":
+            x[:, 3] = np.where(rng.random(n) < 0.9, 0.0, x[:, 3])
+            x[n // 2:] = x[: n - n // 2]
+        x[: n // 20] += 30
+        groups[name] = x
+    rows = [(g, int(rng.integers(quality_rules.SALTS)), *map(float, r)) for g, x in groups.items() for r in x]
+    names = ", ".join(f"{c} double" for c in quality_rules.STATS)
+    fitted = quality_rules.fit(spark.createDataFrame(rows, f"g string, __salt int, {names}"))
+    got = {r.g: r for r in fitted.where("__salt = 0").collect()}
+    chosen = set()
+    for g, x in groups.items():
+        m, w, scale, best, dets = brute_mcd(x)
+        assert np.allclose([got[g][f"m{i}"] for i in range(d)], m, rtol=1e-6, atol=1e-8)
+        assert np.allclose([[got[g][f"w{i}_{j}"] if j <= i else 0.0 for j in range(d)] for i in range(d)], w,
+                           rtol=1e-5, atol=1e-6)
+        assert math.isclose(got[g].scale, scale, rel_tol=1e-6)
+        chosen.add(best)
+    assert chosen != {0}                                 # the plain start is not always the best
+
+
 def test_personal_data(docs, empty):
     assert pii.detect(empty, "doc_id").count() == 0
     for r in pii.detect(docs, "doc_id", "text").collect():
@@ -357,6 +431,41 @@ def test_quality_classifier_held_out(spark, docs, empty):
     assert quality_classifier.score(empty, none, "doc_id").count() == 0
 
 
+def test_tree_arrays_equal_a_walk_and_a_plain_fit(monkeypatch):
+    """Scores by walking node by node; each split has the largest gain that a search over all cuts finds."""
+    q, rng = quality_classifier, np.random.default_rng(1)
+    monkeypatch.setattr(q, "TREES", 6)
+    x = np.round(rng.normal(size=(400, 4)), 2)
+    y = ((x[:, 0] > 0.3) ^ (x[:, 2] > 0) ^ (rng.random(400) < 0.1)).astype(np.float64)
+    trees = q.fit(x, y)
+    inner = trees.stat.shape[1]
+    margin = np.full(len(x), trees.bias)
+    for t in range(6):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = p - y, np.maximum(p * (1 - p), 1e-6)
+        members = {0: np.arange(len(x))}
+
+        def worth(rows, g=g, h=h):
+            return g[rows].sum() ** 2 / (h[rows].sum() + q.RIDGE)
+        for node in range(inner):
+            rows = members[node]
+            right = x[rows, trees.stat[t, node]] > trees.cut[t, node]
+            members[2 * node + 1], members[2 * node + 2] = rows[~right], rows[right]
+            best = 0.0
+            for j in range(x.shape[1]):
+                for c in np.unique(np.quantile(x[:, j], np.linspace(0, 1, q.BINS + 1)[1:-1])):
+                    a, b = rows[x[rows, j] <= c], rows[x[rows, j] > c]
+                    if h[a].sum() >= 1 and h[b].sum() >= 1:
+                        best = max(best, worth(a) + worth(b) - worth(rows))
+            split = worth(rows[~right]) + worth(rows[right]) - worth(rows) if right.any() else 0.0
+            assert math.isclose(split, best, rel_tol=1e-6, abs_tol=1e-6)
+        for leaf in range(inner + 1):
+            rows = members[inner + leaf]
+            assert math.isclose(trees.leaf[t, leaf], -q.RATE * g[rows].sum() / (h[rows].sum() + q.RIDGE), abs_tol=1e-9)
+            margin[rows] += trees.leaf[t, leaf]
+    assert np.allclose(trees.score(x), 1 / (1 + np.exp(-margin)))
+
+
 @pytest.mark.parametrize("shard_tokens,range_words", [(10 ** 6, 10 ** 6), (300, 40)])
 def test_kneser_ney_equals_brute_force(docs, empty, shard_tokens, range_words):
     texts = [r.text for r in docs.collect()]
@@ -422,6 +531,69 @@ def test_segmentation():
     assert len("".join(s.words("q" * 5000))) == 5000
 
 
+def brute_cost(s, piece, cut):
+    """The cost of one segmentation: begins of its words."""
+    ends = [*cut[1:], len(piece)]
+    return sum(s.held.get(piece[b:e], s.unknown + url_filter.UNKNOWN * (e - b)) for b, e in zip(cut, ends, strict=True))
+
+
+def test_segmentation_equals_brute_force():
+    rnd = random.Random(9)
+    for _ in range(60):
+        counts = {"".join(rnd.choice("abc") for _ in range(rnd.randint(1, 4))): rnd.randint(1, 90) for _ in range(12)}
+        s = url_filter.Segmenter(counts)
+        piece = "".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 9)))
+        least = min(brute_cost(s, piece, [0, *(k for k in range(1, len(piece)) if bits >> k & 1)])
+                    for bits in range(2 ** len(piece)))
+        got = s.words(piece)
+        begins = [sum(map(len, got[:k])) for k in range(len(got))]
+        assert "".join(got) == piece and math.isclose(brute_cost(s, piece, begins), least)
+
+
+def test_segmentation_of_long_pieces_and_words(spark, monkeypatch):
+    """A word of 900 letters counts, and a piece asked for a few places at a time is cut as in one go."""
+    rnd = random.Random(2)
+    long = "".join(rnd.choice("abcdefgh") for _ in range(900))
+    html = spark.createDataFrame([(f"<b>{long}</b> some words of a page words",)], "html string")
+    s = url_filter.unigrams(html)
+    pieces = [f"some{long}words", "wordsof" * 300 + long + "page" * 200, "qz" * 700]
+    whole = [s.words(p) for p in pieces]
+    assert whole[0] == ["some", long, "words"]
+    assert long in whole[1] and "".join(whole[1]) == pieces[1]
+    monkeypatch.setattr(url_filter, "ASKED", 50)
+    monkeypatch.setattr(url_filter, "ASKED_LETTERS", 9_000)
+    s.seen.clear()
+    assert [s.words(p) for p in pieces] == whole
+
+
+def test_url_scores_equal_brute_force(spark):
+    """The log odds are recomputed from the segmented words with plain counters; null ids and repeated rows stay."""
+    rnd = random.Random(4)
+    hosts = ["news", "cheappills", "garden", "freebets", "mill", "betgarden", "tulip7"]
+    rows = [(i, f"http://{rnd.choice(hosts)}.{rnd.choice(['org', 'example.org'])}/{rnd.choice(['x', 'pills', 'tea/3'])}",
+             "news garden mill tulip tea cheap") for i in range(200)]
+    rows += [(None, "http://freebets.org/x", None), rows[3], rows[3], (None, None, None)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for seeds in (url_filter.SEEDS, ("garden", "tulip")):
+        got = url_filter.judge(df, "page_id", seed_words=seeds).collect()
+        assert collections.Counter(r.page_id for r in got) == collections.Counter(r[0] for r in rows)
+        count, pages = [collections.Counter(), collections.Counter()], [0, 0]
+        for r in got:
+            if r.host:
+                k = int(any(t in seeds for t in r.words.split()))
+                pages[k] += 1
+                count[k].update(r.words.split())
+        total = [sum(c.values()) for c in count]
+        for r in got:
+            odds = math.log((pages[1] + 1) / (pages[0] + 1))
+            for t in r.words.split() if r.host else []:
+                mix = url_filter.SMOOTH * (count[0][t] + count[1][t]) / sum(total)
+                odds += math.log((count[1][t] + mix) / (total[1] + url_filter.SMOOTH)) - math.log(
+                    (count[0][t] + mix) / (total[0] + url_filter.SMOOTH))
+            assert math.isclose(r.log_odds, odds, rel_tol=1e-9, abs_tol=1e-9)
+            assert r.rule or r.verdict == ("block" if r.host and odds > 0 else "allow")
+
+
 def test_url_model_keeps_every_count(spark):
     def name(i):
         return "".join(chr(97 + i // 26 ** k % 26) for k in range(5))
