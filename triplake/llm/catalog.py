@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (alignment, bpe, decontamination, kneser_ney, line_dedup, pii, quality_classifier, quality_rules,
+from . import (alignment, bpe, decontamination, kneser_ney, line_dedup, oracle, pii, quality_classifier, quality_rules,
                simhash_dedup, spelling, stream_dedup, token_files, url_filter)
 from .common import remainder, scratch, table
 
@@ -113,4 +113,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.ORACLE_SQL)
