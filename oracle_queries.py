@@ -450,6 +450,19 @@ SELECT * FROM staged WHERE anio = '2013' AND mes = '03'""", TRIPS_TAXI),
   SELECT anio, mes, {_reason('fhv')} AS reject_reason FROM fhv_norm
 )
 SELECT anio, mes, reject_reason, COUNT(*) AS filas FROM r WHERE reject_reason IS NOT NULL GROUP BY 1, 2, 3""", TRIPS_FHV),
+    "stream_merge": with_views(TAXI_NORM.strip() + "," + FHV_NORM + f""", published AS (
+  SELECT 'yellow' AS formato, CAST(vendorid AS VARCHAR) AS clave, anio, mes, pickup_datetime, dropoff_datetime,
+    {_reason('yellow')} AS reject_reason, fare_amount, CAST(NULL AS BIGINT) AS pulocationid,
+    CAST(NULL AS BIGINT) AS dolocationid
+  FROM taxi_norm WHERE tipo_taxi = 'yellow' AND (trip_line % 2 = 1
+    OR anio || mes <> (SELECT MAX(anio || mes) FROM trips_taxi WHERE tipo_taxi = 'yellow'))
+  UNION ALL
+  SELECT 'fhv', dispatching_base_num, anio, mes, pickup_datetime, dropoff_datetime, {_reason('fhv')},
+    CAST(NULL AS DOUBLE), pulocationid, dolocationid
+  FROM fhv_norm WHERE event_id % 4 <> 3 OR anio || mes <> (SELECT MAX(anio || mes) FROM trips_fhv)
+)
+SELECT DISTINCT * FROM published WHERE reject_reason IS NULL
+UNION ALL SELECT * FROM published WHERE reject_reason IS NOT NULL""", TRIPS_TAXI, TRIPS_FHV),
     "rerun_empty_period": with_views(TAXI_NORM.strip() + f""", staged AS ({_staged_taxi("yellow")}
 )
 SELECT * FROM staged

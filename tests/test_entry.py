@@ -25,7 +25,7 @@ def test_oracle_keys_are_queries():
 
 WRITERS = {"drifted_scan", "type_drift_audit", "csv_zone_lookup", "staging_roundtrip", "mart_rebuild",
            "mart_incremental", "mart_incremental_demand", "stream_arrival", "profile_volume_files",
-           "mart_rebuild_kpis", "mart_incremental_share", "mart_incremental_kpis", "stream_quarantine",
+           "mart_rebuild_kpis", "mart_incremental_share", "mart_incremental_kpis", "stream_quarantine", "stream_merge",
            "rerun_empty_period", "rerun_unreadable_period", "period_listings",
            "drifted_scan_formats", "type_drift_formats"}
 

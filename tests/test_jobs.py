@@ -504,3 +504,76 @@ def test_merge_mode_finishes_what_a_lost_batch_left(spark, tmp_path, monkeypatch
     monkeypatch.setattr(commit.Folders, "move", move)
     merge_new_files(spark, new, "yellow", staging)
     assert _staged(spark, staging) == [("2020", "01", 10)]
+
+
+def _fhv_file(spark, path, rows):
+    """One fhv raw file of (base, pickup day) under a fixed name; day 0 has no pickup time and is rejected."""
+    from triplake.sources.commit import Folders
+    made = f"{path}-made"
+    df = spark.createDataFrame([(b, f"2020-01-{d:02d} 10:00:00" if d else None) for b, d in rows], "b string, t string")
+    at = F.col("t").cast("timestamp_ntz")
+    df.select(F.col("b").alias("dispatching_base_num"), at.alias("pickup_datetime"),
+              (at + F.expr("INTERVAL 10 MINUTE")).alias("dropoff_datetime"), F.lit(1).alias("PUlocationID"),
+              F.lit(2).alias("DOlocationID")).coalesce(1).write.parquet(made)
+    folders = Folders(spark)
+    name = next(n for n in folders.names(made) if n.endswith(".parquet"))
+    folders.delete(path)
+    folders.move(f"{made}/{name}", path)
+    folders.delete(made)
+
+
+def _bases(spark, staging, quarantine):
+    from triplake.plans.clean import read_quarantine
+    return (sorted(r[0] for r in read_staging(spark, staging, "fhv").select("dispatching_base_num").collect()),
+            sorted(r[0] for r in read_quarantine(spark, quarantine, "fhv").select("dispatching_base_num").collect()))
+
+
+def test_merge_mode_knows_its_files(spark, tmp_path):
+    """Unchanged files add nothing, a replaced one takes its rows along (not those another file has too)."""
+    from triplake.sources.files import list_files
+    from triplake.streaming.arrivals import FilesGone, merge_new_files
+    raw, staging, q = str(tmp_path / "raw" / "fhv"), str(tmp_path / "staging"), str(tmp_path / "q")
+    month = f"{raw}/anio=2020/mes=01"
+
+    def merge():
+        return merge_new_files(spark, list_files(spark, raw), "fhv", staging, q)
+    _fhv_file(spark, f"{month}/a.parquet", [("both", 1), ("a", 1), ("bad-a", 0)])
+    assert merge() == [("2020", "01")]
+    _fhv_file(spark, f"{month}/b.parquet", [("both", 1), ("b", 1), ("bad-b", 0)])
+    _fhv_file(spark, f"{raw}/anio=2020/mes=02/a.parquet", [("feb", 2)])
+    assert merge() == [("2020", "01"), ("2020", "02")]
+    first = ["a", "b", "both", "feb"], ["bad-a", "bad-b"]
+    assert _bases(spark, staging, q) == first
+    assert merge() == [] and _bases(spark, staging, q) == first          # replayed: nothing is added twice
+    _fhv_file(spark, f"{month}/a.parquet", [("new", 1), ("bad-new", 0), ("bad-new", 0)])
+    assert merge() == [("2020", "01")]
+    assert _bases(spark, staging, q) == (["b", "both", "feb", "new"], ["bad-b", "bad-new", "bad-new"])
+    # a stream's own list goes by name; what was replaced is found when it starts
+    job = dict(merge_staged=True, quarantine_root=q)
+    stream_arrivals(spark, raw, "fhv", staging, str(tmp_path / "cp"), **job).awaitTermination()
+    _fhv_file(spark, f"{month}/a.parquet", [("new", 1), ("newer", 1)])
+    stream_arrivals(spark, raw, "fhv", staging, str(tmp_path / "cp"), **job).awaitTermination()
+    assert _bases(spark, staging, q) == (["b", "both", "feb", "new", "newer"], ["bad-b"])
+    # with another file gone its rows could not be made again: nothing changes
+    (tmp_path / "raw" / "fhv" / "anio=2020" / "mes=01" / "b.parquet").unlink()
+    _fhv_file(spark, f"{month}/a.parquet", [("late", 1)])
+    with pytest.raises(FilesGone, match="b.parquet"):
+        merge()
+    assert _bases(spark, staging, q) == (["b", "both", "feb", "new", "newer"], ["bad-b"])
+
+
+def test_merge_mode_cleans_a_month_of_another_job_whole(spark, tmp_path):
+    from triplake.sources.commit import logged_files
+    from triplake.sources.files import list_files
+    from triplake.streaming.arrivals import merge_new_files
+    raw, staging, q = str(tmp_path / "raw"), str(tmp_path / "staging"), str(tmp_path / "q")
+    month, periods = f"{raw}/fhv/anio=2020/mes=01", [("2020", "01")]
+    _fhv_file(spark, f"{month}/a.parquet", [("a", 1), ("bad-a", 0)])
+    clean_periods(spark, raw, staging, "fhv", quarantine_root=q)
+    _fhv_file(spark, f"{month}/b.parquet", [("b", 1)])
+    assert merge_new_files(spark, list_files(spark, f"{raw}/fhv"), "fhv", staging, q) == periods
+    assert _bases(spark, staging, q) == (["a", "b"], ["bad-a"])
+    assert logged_files(spark, staging, "fhv", periods).count() == 2
+    clean_periods(spark, raw, staging, "fhv", quarantine_root=q, resume=False)
+    assert logged_files(spark, staging, "fhv", periods).count() == 0     # whole periods keep no file log
+    assert _bases(spark, staging, q) == (["a", "b"], ["bad-a"])

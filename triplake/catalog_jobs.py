@@ -14,13 +14,14 @@ from triplake.catalog_rules import TAXI_ID
 from triplake.functions.dates import anio_of, mes_of
 from triplake.operators.normalize import normalize
 from triplake.operators import marts
+from triplake.operators.quality import REASON
 from triplake.plans import incremental as inc
 from triplake.plans.clean import clean_periods, read_quarantine
 from triplake.schema import FORMATS, RAW_DECLARED, STAGING_TABLE
 from triplake.session import checkpoint_dir
 from triplake.sources import adapter
 from triplake.sources.commit import Folders
-from triplake.sources.files import raw_periods, staged_periods
+from triplake.sources.files import list_files, raw_periods, staged_periods
 from triplake.sources.scan import footers, read_raw, type_drift
 from triplake.sources.sinks import (count_rows, read_staging, read_staging_period, read_zone_csv, write_staging,
                                     write_zone_csv)
@@ -356,6 +357,56 @@ def stream_quarantine(spark, root) -> DataFrame:
         F.count(F.lit(1)).alias("filas"))
 
 
+def _merged_stream(spark, base: str, fmt: str, of_file, kept) -> DataFrame:
+    """Staged and rejected rows of a format whose files were merged some at a time, after a file of the last month
+    (one that ``of_file`` picks by its schema) was published again with the rows ``kept``."""
+    raw, staging, quarantine = f"{base}/raw/{fmt}", f"{base}/staging", f"{base}/quarantine"
+
+    def arrive():
+        stream_arrivals(spark, raw, fmt, staging, f"{base}/checkpoint-{fmt}", max_files_per_trigger=40,
+                        merge_staged=True, quarantine_root=quarantine).awaitTermination()
+    arrive()
+    last = raw_periods(spark, raw).orderBy(F.desc("anio"), F.desc("mes")).first()
+    files = list_files(spark, f"{raw}/anio={last['anio']}/mes={last['mes']}").collect() if last else []
+    for path in (r["path"] for r in files):
+        rows = spark.read.parquet(path)
+        if of_file(rows.schema):
+            rows.where(kept).coalesce(1).write.parquet(f"{base}/again-{fmt}")
+            _put_in_place(spark, f"{base}/again-{fmt}", path)
+    arrive()
+    staged = read_staging(spark, staging, STAGING_TABLE[fmt]).withColumn(REASON, F.lit(None).cast("string"))
+    if "tipo_taxi" in staged.columns:
+        staged = staged.where(F.col("tipo_taxi") == fmt)
+    rejected = read_quarantine(spark, quarantine, fmt)
+    return staged.select(*rejected.columns).unionByName(rejected)
+
+
+def stream_merge(spark, root) -> DataFrame:
+    """Files merged into their months some at a time, for yellow (many months) and fhv (two files a month);
+    then one file of each format's last month is published again with some of its rows. Staged rows (their key) and
+    rejected ones with their reason."""
+    base = scratch(spark, "stream")
+    write_raw_taxi(spark, root, f"{base}/raw")
+    write_raw_fhv(spark, root, f"{base}/raw")
+    yellow = _merged_stream(spark, base, "yellow", lambda schema: True, F.col("trip_line") % 2 == 1)
+    fhv = _merged_stream(spark, base, "fhv", lambda schema: schema["PUlocationID"].dataType.typeName() == "double",
+                         F.col("event_id") % 4 == 1)                          # the file of the odd ids
+    cols = ["anio", "mes", "pickup_datetime", "dropoff_datetime", REASON]
+    return yellow.select(F.lit("yellow").alias("formato"), F.col("vendorid").cast("string").alias("clave"), *cols,
+                         "fare_amount", F.lit(None).cast("bigint").alias("pulocationid"),
+                         F.lit(None).cast("bigint").alias("dolocationid")).unionByName(
+        fhv.select(F.lit("fhv").alias("formato"), F.col("dispatching_base_num").alias("clave"), *cols,
+                   F.lit(None).cast("double").alias("fare_amount"), "pulocationid", "dolocationid"))
+
+
+def _put_in_place(spark, folder: str, path: str) -> None:
+    """The Parquet file of ``folder`` under the name of the file ``path``."""
+    folders = Folders(spark)
+    name = next(n for n in folders.names(folder) if n.endswith(".parquet"))
+    folders.delete(path)
+    folders.move(f"{folder}/{name}", path)
+
+
 def rerun_empty_period(spark, root) -> DataFrame:
     """The last yellow period is published again with nothing but rejected rows; its staged rows go."""
     base = scratch(spark, "lake")
@@ -425,6 +476,7 @@ QUERIES = {
     "mart_incremental_demand": mart_incremental_demand,
     "stream_arrival": stream_arrival,
     "stream_quarantine": stream_quarantine,
+    "stream_merge": stream_merge,
     "rerun_empty_period": rerun_empty_period,
     "rerun_unreadable_period": rerun_unreadable_period,
     "period_listings": period_listings,

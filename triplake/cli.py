@@ -62,6 +62,8 @@ def main(argv=None) -> None:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--period", choices=("file", "pickup"), default="file", help="month a row is staged in")
     s.add_argument("--available-now", action="store_true")
+    s.add_argument("--merge", action="store_true", help="merge new files into staged months instead of cleaning them anew")
+    s.add_argument("--quarantine", help="keep rejected rows here")
     a = ap.parse_args(argv)
 
     spark = build_session(app=f"triplake-{a.cmd}", cluster=a.cluster)
@@ -90,7 +92,7 @@ def main(argv=None) -> None:
         out = [r.asDict() for r in d.orderBy("column_name").collect()]     # one row per column
     else:
         q = stream_arrivals(spark, a.raw, a.formato, a.staging, a.checkpoint, available_now=a.available_now,
-                            period=a.period)
+                            period=a.period, merge_staged=a.merge, quarantine_root=a.quarantine)
         q.awaitTermination()
         out = {"stream": "stopped"}
     print(json.dumps(out, default=str))

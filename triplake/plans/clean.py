@@ -74,8 +74,21 @@ def write_quarantine(rejected: DataFrame, root: str, fmt: str, periods=()) -> st
 
 def read_quarantine(spark, root: str, fmt: str) -> DataFrame:
     """The rejected rows of a format with their reason; without any, an empty table."""
-    fields = [*CANONICAL[fmt].fields, *[T.StructField(c, T.StringType()) for c in (REASON, "anio", "mes")]]
-    return spark.read.schema(T.StructType(fields)).parquet(f"{root.rstrip('/')}/{fmt}")
+    return spark.read.schema(_quarantine_schema(fmt)).parquet(f"{root.rstrip('/')}/{fmt}")
+
+
+def _quarantine_schema(fmt: str) -> T.StructType:
+    return T.StructType([*CANONICAL[fmt].fields, *[T.StructField(c, T.StringType()) for c in (REASON, "anio", "mes")]])
+
+
+def read_quarantine_periods(spark, root: str, fmt: str, periods) -> DataFrame:
+    """The rejected rows of the periods that have any, as one read of their folders."""
+    from triplake.sources.commit import Folders
+    path, folders = f"{root.rstrip('/')}/{fmt}", Folders(spark)
+    paths = [p for p in (f"{path}/anio={a}/mes={m}" for a, m in periods) if folders.exists(p)]
+    if not paths:
+        return spark.createDataFrame([], _quarantine_schema(fmt))
+    return spark.read.schema(_quarantine_schema(fmt)).option("basePath", path).parquet(*paths)
 
 
 def processed_log(staging_root: str, fmt: str) -> str:

@@ -5,6 +5,9 @@ the run's periods is complete; from then on the run only moves folders: each per
 new one into its place (no new folder: the period is now empty).  Every step tells by what exists whether it was done,
 so a run that ended half-way is finished by ``recover`` (manifest complete) or forgotten (no manifest), and staging,
 quarantine and the processed-periods log of a period change together.  One run at a time per staging root.
+
+A run that merges single files also keeps the files whose rows a period holds (``logged_files``), replaced with the
+period. A run that cleans whole periods keeps none, and takes away what was known of theirs.
 """
 
 from __future__ import annotations
@@ -17,6 +20,9 @@ MANIFEST = ("formato string, anio string, mes string, source string, target stri
             "log string")
 
 
+FILE_STATE = "path string, modificationTime timestamp, length bigint, anio string, mes string"
+
+
 class Folders:
     """The few file-system calls a commit needs, on the file system of each path."""
 
@@ -54,6 +60,20 @@ def commit_root(staging_root: str) -> str:
     return f"{staging_root.rstrip('/')}/_commit"
 
 
+def file_log(staging_root: str, fmt: str) -> str:
+    """Folder of the merged files' log, one folder a period below it."""
+    return f"{staging_root.rstrip('/')}/_archivos/{fmt}"
+
+
+def logged_files(spark: SparkSession, staging_root: str, fmt: str, periods) -> DataFrame:
+    """The files that are known to make up ``periods`` of staging; none for a period that was cleaned whole."""
+    log, folders = file_log(staging_root, fmt), Folders(spark)
+    paths = [p for p in (f"{log}/anio={a}/mes={m}" for a, m in periods) if folders.exists(p)]
+    if not paths:
+        return spark.createDataFrame([], FILE_STATE)
+    return spark.read.schema(FILE_STATE).option("basePath", log).parquet(*paths)
+
+
 class PeriodCommit:
     """One run's commit: write below ``staging`` and ``quarantine``, then ``publish`` the periods.
 
@@ -68,6 +88,7 @@ class PeriodCommit:
         self.id = uuid.uuid4().hex
         self.folder = f"{commit_root(staging_root)}/{self.id}"
         self.staging = f"{self.folder}/staging"
+        self.files = f"{self.folder}/files"
         # moves stay on one file system
         self.quarantine = f"{commit_root(quarantine_root)}/{self.id}" if quarantine_root else None
 
@@ -98,8 +119,10 @@ class PeriodCommit:
                 own = f"{self.fmt}/anio={a}/mes={m}"
                 places.append((f"{self.quarantine}/{own}", f"{self.quarantine_root.rstrip('/')}/{own}",
                                f"{self.quarantine}/aside/{own}"))
-            # a period without any folder is logged all the same
-            for source, target, aside in places or [(f"{self.folder}/none",) * 3]:
+            # always one place, so a period without any folder is logged all the same
+            places.append((f"{self.files}/anio={a}/mes={m}", f"{file_log(self.staging_root, self.fmt)}/anio={a}/mes={m}",
+                           f"{self.folder}/aside-files/{self.fmt}/anio={a}/mes={m}"))
+            for source, target, aside in places:
                 yield self.fmt, a, m, source, target, aside, folders.exists(source), log
 
     def publish(self, periods, log: str | None = None) -> list[tuple[str, str]]:
@@ -147,13 +170,16 @@ def recover(spark: SparkSession, staging_root: str, quarantine_root: str | None
 
 def commit_periods(rows: DataFrame, rejected: DataFrame | None, staging_root: str, fmt: str, periods,
                    quarantine_root: str | None = None, log: str | None = None,
-                   by_source: bool = False) -> list[tuple[str, str]]:
+                   by_source: bool = False, files: DataFrame | None = None) -> list[tuple[str, str]]:
     """Replace ``periods`` of staging (and of the quarantine, if there is one) by ``rows`` (and ``rejected``); returns
-    the staging periods touched. With ``by_source`` the periods are those of the files, and ``rows`` lie in any."""
+    the staging periods touched. With ``by_source`` the periods are those of the files, and ``rows`` lie in any.
+    ``files`` (columns of ``FILE_STATE``) are then known as the files of the periods."""
     from triplake.plans.clean import write_quarantine
     from triplake.sources.sinks import check_layout, write_staging
     check_layout(rows.sparkSession, staging_root, fmt, by_source)
     commit = PeriodCommit(rows.sparkSession, staging_root, fmt, quarantine_root, by_source)
+    if files is not None:      # before any row is read: a file replaced meanwhile then differs from its logged state
+        files.coalesce(1).write.partitionBy("anio", "mes").parquet(commit.files)
     write_staging(rows, commit.staging, fmt, by_source=by_source)
     if commit.quarantine:
         write_quarantine(rejected, commit.quarantine, fmt)

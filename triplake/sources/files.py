@@ -21,6 +21,14 @@ def list_files(spark: SparkSession, root: str | list[str], glob: str = "*.parque
             .option("recursiveFileLookup", "true").load(roots).select("path", "length"))
 
 
+def file_states(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, modificationTime, length, anio, mes) of the files in ``paths`` (files or folders): a file that was
+    replaced under its name differs in time or length."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+             .load(paths).select("path", "modificationTime", "length"))
+    return with_period_of_path(files.where(F.col("length") > 0))
+
+
 def with_period_of_path(files: DataFrame) -> DataFrame:
     """anio/mes strings from ``.../anio=YYYY/mes=MM/...``; NULL when the path does not match."""
     a = F.regexp_extract("path", PERIOD_RE, 1)
