@@ -198,6 +198,23 @@ def test_personal_data_long_runs_are_linear():
     assert pii.find_spans("9." * 50_000) is not None and pii.find_spans("a" * 200_000 + "@") == []
 
 
+def test_token_files_pieces_give_the_ids_of_whole_texts(docs):
+    enc = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    r = random.Random(5)
+    parts = [" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "a", "The", "ñ", "Ā", "ª", "²", "Ⅷ", "7", "漢", "\u0301", "'s", "'", "'ll",
+             ".", "!", "_", "|", "<|endoftext|>", "<|end", "\0", "😀"]
+    texts = ["".join(r.choices(parts, k=r.randrange(25))) for _ in range(20000)] + [None, "", "x" * 100, "x " * 50]
+    texts += [x["text"] for x in docs.select("text").limit(200).collect()]
+    whole = enc.encode(texts)
+    for _ in range(2):                                        # all pieces new, then all remembered
+        assert [np.frombuffer(x, enc.kind).tolist() for x in enc.packed(texts)] == whole
+    assert enc.by_word and 0 < len(enc.known) and max(map(len, enc.known)) <= token_files.PIECE_CHARS
+    asked = []
+    enc.tok = type("Counting", (), {"encode_batch_fast": lambda self, t, **k: asked.extend(t) or []})()
+    enc.packed(["The a The a 7 a"] * 9)                       # nothing is encoded again
+    assert not asked
+
+
 def test_token_files_round_trip(docs, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)

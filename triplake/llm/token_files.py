@@ -1,6 +1,7 @@
 """Operator 3, token files: frequency-ranked ids in byte-aligned variable-length code with separate control bytes.
 
-1. Every text is encoded once; its ids are kept in the shared folder as packed 16- or 32-bit integers, beside one row
+1. Every text is encoded once by the tokenizers library, where the file's method allows in pieces cut at words, whose
+   ids are remembered (``Encoder``); its ids are kept in the shared folder as packed 16- or 32-bit integers, beside one row
    for each task that tells how often each id occurred in it. Ids are ranked by their summed count (ties: smaller id
    first), so that the most frequent 256 ids take one byte.
 2. The packed documents are range-partitioned and sorted by id; each task writes files of up to ``FILE_TOKENS`` ids (a
@@ -18,7 +19,9 @@ their packed tokens, so order among rows that are still equal does not matter; e
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from functools import lru_cache
 from itertools import chain
@@ -36,8 +39,33 @@ from .files import write_whole
 MAGIC = b"SVBRANK1"
 END_ID = 2
 FILE_TOKENS = 4 << 20
+
+# Words at whose both ends byte-level pre-tokenization always ends a token, whatever else a text holds: Latin letters with
+# the space before them, or after visible ASCII (or one line end after it); not after an apostrophe, which may begin a
+# contraction; and up to an ASCII character that is no letter. Other text stays in the pieces between them.
+WORD = re.compile(r"((?: |\A|(?<=[!-&(-@\[-`{-~])|(?<=[!-~]\n))[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)"
+                  r"(?=[\0-@\[-`{-\x7f]|\Z)")
+PIECE_CHARS = 64          # longer pieces are not remembered
+PIECES = 1 << 19          # remembered pieces (some 100 MB a worker); then the memory is emptied and fills anew
+SLICE_CHARS = 1 << 20     # text whose pieces are held at once (a longer text has its own slice)
+
+
+def cuts_at_words(file: dict) -> bool:
+    """Whether a tokenizers file encodes a ``WORD`` and what is between words each on its own: byte-level BPE with the
+    regular expression that splits before words, without a normaliser, an added prefix or chance."""
+    pre, model = file["pre_tokenizer"] or {}, file["model"]
+    return (pre.get("type") == "ByteLevel" and pre.get("use_regex") is True and pre.get("add_prefix_space") is False
+            and not file.get("normalizer") and model.get("type") == "BPE" and not model.get("dropout")
+            and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix"))
+
+
 class Encoder:
-    """A tokenizers file. With ``plain`` the strings of special tokens are ordinary text."""
+    """A tokenizers file. With ``plain`` the strings of special tokens are ordinary text.
+
+    ``packed`` gives the same ids as ``encode``. Where ``cuts_at_words`` holds, it cuts a text at its words, the library
+    encodes each new piece, and the ids of a piece are remembered. Texts that hold the string of an added token, which
+    may span pieces, are encoded whole.
+    """
 
     def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
@@ -46,10 +74,46 @@ class Encoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.tok.encode_special_tokens = plain
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self.by_word = cuts_at_words(file)
+        self.added = [t["content"] for t in file.get("added_tokens") or []]
+        self.known: dict[str, bytes] = {}
+        self.kind = width(self.tok.get_vocab_size())
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
 
+    def packed(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as integers of ``kind``."""
+        out, begun, held = [], 0, 0
+        for i, t in enumerate(texts, 1):
+            held += len(t or "")
+            if held >= SLICE_CHARS or i == len(texts):
+                out += self._packed(texts[begun:i])
+                begun, held = i, 0
+        return out
+
+    def _packed(self, texts: list[str | None]) -> list[bytes]:
+        cut = [WORD.split(t) if self.by_word and t and not any(a in t for a in self.added) else [t or ""]
+               for t in texts]
+        if len(self.known) > PIECES:
+            self.known.clear()
+        found = [[*map(self.known.get, pieces)] for pieces in cut]
+        lacking = [None in f for f in found]
+        new = list({p for pieces, f, some in zip(cut, found, lacking, strict=True) if some
+                    for p, v in zip(pieces, f, strict=True) if v is None})
+        ids = self.encode(new)
+        flat = np.fromiter(chain.from_iterable(ids), self.kind).tobytes()
+        ends = (np.cumsum([*map(len, ids)], dtype=np.int64) * self.kind.itemsize).tolist()
+        self.known.update((p, flat[i:j]) for p, i, j in zip(new, [0, *ends], ends))
+        out = [b"".join(map(self.known.__getitem__, pieces) if some else f)
+               for pieces, f, some in zip(cut, found, lacking, strict=True)]
+        for piece in new:
+            if len(piece) > PIECE_CHARS:
+                del self.known[piece]
+        return out
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -92,18 +156,14 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches):
         enc = encoder(tokenizer)
-        kind, total = width(enc.tok.get_vocab_size()), np.zeros(max(END_ID + 1, enc.tok.get_vocab_size()), np.int64)
+        total = np.zeros(max(END_ID + 1, enc.tok.get_vocab_size()), np.int64)
         for b in batches:
-            ids = enc.encode(b.column(1).to_pylist())
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32)
-            n = np.bincount(flat, minlength=len(total))
+            packed = enc.packed(b.column(1).to_pylist())
+            n = np.bincount(np.frombuffer(b"".join(packed), enc.kind), minlength=len(total))
             total = n + np.pad(total, (0, len(n) - len(total)))
-            total[END_ID] += len(ids)
-            packed = flat.astype(kind).tobytes()
-            offsets = np.cumsum([0, *map(len, ids)]) * kind.itemsize
+            total[END_ID] += len(packed)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([packed[i:j] for i, j in zip(offsets[:-1], offsets[1:], strict=True)],
-                                       pa.binary()), pa.nulls(len(ids), pa.list_(pa.int64()))],
+                [b.column(0), pa.array(packed, pa.binary()), pa.nulls(len(packed), pa.list_(pa.int64()))],
                 ["doc_id", "ids", "counts"])
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
                                           pa.array([total.tolist()], pa.list_(pa.int64()))],
