@@ -577,3 +577,40 @@ def test_merge_mode_cleans_a_month_of_another_job_whole(spark, tmp_path):
     clean_periods(spark, raw, staging, "fhv", quarantine_root=q, resume=False)
     assert logged_files(spark, staging, "fhv", periods).count() == 0     # whole periods keep no file log
     assert _bases(spark, staging, q) == (["a", "b"], ["bad-a"])
+
+
+def test_tasks_are_bounded_for_trip_queries_only(spark):
+    import __spark_entry__ as e
+    from conftest import SF_SMALL
+    from triplake.session import FIRST_PARTITIONS, bound_tasks
+    first, writers = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers)
+    try:
+        e.queries()["rule_flags"](spark, SF_SMALL)
+        assert int(spark.conf.get(first)) == FIRST_PARTITIONS and spark.conf.get(writers) == "2"
+        e.queries()["op6_bpe"](spark, SF_SMALL)
+        assert spark.conf.get(writers) == before and spark.conf.get(first, None) is None
+    finally:
+        bound_tasks(spark, False)
+
+
+def test_jobs_at_once_return_in_order_and_raise():
+    import time
+    from triplake.session import at_once
+    assert at_once(lambda: (time.sleep(0.2), 1)[1], lambda: 2) == [1, 2]
+    with pytest.raises(ZeroDivisionError):
+        at_once(lambda: 1 / 0, lambda: 2)
+
+
+def test_stream_batches_run_in_the_session_of_the_caller(spark, tmp_path, monkeypatch):
+    from triplake.streaming import arrivals
+    spark.range(3).write.parquet(str(tmp_path / "raw/anio=2024/mes=01"))
+    seen = []
+    monkeypatch.setattr(arrivals, "clean_touched_periods", lambda s, batch, *a: seen.append(
+        (s is spark, s.conf.get("spark.sql.adaptive.enabled"))))
+    monkeypatch.setattr(arrivals, "merge_new_files", lambda s, batch, *a: seen.append(
+        (s is spark, s.conf.get("spark.sql.adaptive.enabled"))))
+    for n, merge in enumerate((False, True)):
+        arrivals.stream_arrivals(spark, str(tmp_path / "raw"), "fhv", str(tmp_path / "staging"), str(tmp_path / f"c{n}"),
+                                 merge_staged=merge).awaitTermination()
+    assert seen and all(x == (True, "true") for x in seen)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings that change results or robustness (not just speed).
@@ -64,6 +67,33 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+FIRST_PARTITIONS = 200
+_FIRST = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def bound_tasks(spark: SparkSession, on: bool = True) -> None:
+    """Settings that keep a task of the trip queries from holding a fixed share of the input.
+
+    Shuffles begin with many partitions, which AQE merges by their size, so what a task sorts or joins is bounded by the
+    partition size it aims at. A task writes its first period as rows come; only rows of further periods are sorted
+    before, so a month that holds most rows, and has one file, is never sorted for its writing.
+    """
+    if on:
+        spark.conf.set(_FIRST, str(max(FIRST_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+        spark.conf.set(_WRITERS, "2")
+    else:
+        spark.conf.unset(_FIRST)
+        spark.conf.unset(_WRITERS)
+
+
+def at_once(*jobs: Callable) -> list:
+    """Run independent jobs at the same time; their results in order, or the first error."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        return [r.result() for r in running]
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared lineage-cut folder.
 
