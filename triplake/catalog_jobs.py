@@ -5,6 +5,7 @@ aggregated or streamed.  Each call works in a fresh sub-folder."""
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from triplake.operators.quality import REASON
 from triplake.plans import incremental as inc
 from triplake.plans.clean import clean_periods, read_quarantine
 from triplake.schema import FORMATS, RAW_DECLARED, STAGING_TABLE
-from triplake.session import checkpoint_dir
+from triplake.session import at_once, checkpoint_dir
 from triplake.sources import adapter
 from triplake.sources.commit import Folders
 from triplake.sources.files import list_files, raw_periods, staged_periods
@@ -34,12 +35,9 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/triplake-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def _cores(spark: SparkSession) -> int:
-    """Hash partitions for the raw writes: each month lands in one task (one file), months spread over the cores."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+def write_months(rows: DataFrame, folder: str) -> None:
+    """One file per month, like the published files: each month lands in one task."""
+    rows.repartition("anio", "mes").write.mode("append").partitionBy("anio", "mes").parquet(folder)
 
 
 def _even_month(c: str = "mes") -> F.Column:
@@ -83,9 +81,8 @@ def write_raw_taxi(spark: SparkSession, root: str, raw_root: str) -> None:
             F.col("total_amount").cast("double").alias("Total_Amt"),
             F.col("congestion_surcharge").cast("double").alias("congestion_surcharge"),
             F.col("trip_key").alias("Trip_Key"), F.col("trip_line").alias("Trip_Line"), "anio", "mes")
-        for part in (current, legacy):                       # one file per month, like the published files
-            part.repartition(_cores(spark), "anio", "mes").write.mode("append").partitionBy("anio", "mes") \
-                .parquet(f"{raw_root}/{tipo}")
+        for part in (current, legacy):
+            write_months(part, f"{raw_root}/{tipo}")
     t.unpersist()
 
 
@@ -94,13 +91,13 @@ def write_raw_fhv(spark: SparkSession, root: str, raw_root: str) -> None:
     f = adapter.trips_fhv(spark, root)
     base = [F.col("dispatching_base_num"), F.col("pickup_datetime"), F.col("dropoff_datetime"), "event_id",
             "anio", "mes"]
-    f.where(F.col("event_id") % 2 == 0).select(
-        *base, F.col("pulocationid").alias("PUlocationID"), F.col("dolocationid").alias("DOlocationID")
-    ).repartition(_cores(spark), "anio", "mes").write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
-    f.where(F.col("event_id") % 2 == 1).select(
+    whole = f.where(F.col("event_id") % 2 == 0).select(
+        *base, F.col("pulocationid").alias("PUlocationID"), F.col("dolocationid").alias("DOlocationID"))
+    drifted = f.where(F.col("event_id") % 2 == 1).select(
         *base, F.col("pulocationid").cast("double").alias("PUlocationID"),
-        F.col("dolocationid").cast("double").alias("DOlocationID")
-    ).repartition(_cores(spark), "anio", "mes").write.mode("append").partitionBy("anio", "mes").parquet(f"{raw_root}/fhv")
+        F.col("dolocationid").cast("double").alias("DOlocationID"))
+    write_months(whole, f"{raw_root}/fhv")
+    write_months(drifted, f"{raw_root}/fhv")
 
 
 def write_raw_fhvhv(spark: SparkSession, root: str, raw_root: str) -> None:
@@ -120,15 +117,12 @@ def write_raw_fhvhv(spark: SparkSession, root: str, raw_root: str) -> None:
         *base, F.col("pulocationid").alias("PULocationID"), F.col("dolocationid").alias("DOLocationID"),
         F.col("airport_fee").cast("int").alias("airport_fee"), (F.col("event_id") % 2).alias("wav_match_flag"))
     for part in (current, legacy):
-        part.repartition(_cores(spark), "anio", "mes").write.mode("append").partitionBy("anio", "mes") \
-            .parquet(f"{raw_root}/fhvhv")
+        write_months(part, f"{raw_root}/fhvhv")
 
 
 def write_raw(spark: SparkSession, root: str, raw_root: str) -> None:
-    """The raw folders of all four formats."""
-    write_raw_taxi(spark, root, raw_root)
-    write_raw_fhv(spark, root, raw_root)
-    write_raw_fhvhv(spark, root, raw_root)
+    """The raw folders of all four formats, at the same time: a format's writes may keep few cores busy."""
+    at_once(*(partial(write, spark, root, raw_root) for write in (write_raw_fhvhv, write_raw_fhv, write_raw_taxi)))
 
 
 def _all_formats(frames) -> DataFrame:
@@ -215,12 +209,12 @@ def staging_roundtrip(spark, root) -> DataFrame:
 def write_raw_by_dropoff(spark: SparkSession, root: str, raw_root: str) -> None:
     """A yellow raw folder whose files are named by the month of the dropoff, so that one holds several pickup months."""
     t = adapter.trips_taxi(spark, root).where(F.col("tipo_taxi") == "yellow")
-    t.select(F.col("vendorid").alias("VendorID"), F.col("pickup_datetime").alias("tpep_pickup_datetime"),
+    named = t.select(F.col("vendorid").alias("VendorID"), F.col("pickup_datetime").alias("tpep_pickup_datetime"),
              F.col("dropoff_datetime").alias("tpep_dropoff_datetime"), "trip_distance",
              F.col("pulocationid").alias("PULocationID"), F.col("dolocationid").alias("DOLocationID"),
              F.col("payment_type_raw").alias("payment_type"), F.col("fare_amount").cast("double").alias("fare_amount"),
-             *TAXI_ID, anio_of("dropoff_datetime").alias("anio"), mes_of("dropoff_datetime").alias("mes")) \
-        .repartition(_cores(spark), "anio", "mes").write.partitionBy("anio", "mes").parquet(f"{raw_root}/yellow")
+             *TAXI_ID, anio_of("dropoff_datetime").alias("anio"), mes_of("dropoff_datetime").alias("mes"))
+    write_months(named, f"{raw_root}/yellow")
 
 
 def staging_by_pickup(spark, root) -> DataFrame:
@@ -256,9 +250,10 @@ def clean_one_period(spark, root) -> DataFrame:
 def _staging_from_views(spark, root, base) -> dict[str, DataFrame]:
     """The trip views written as staging tables (they already satisfy the rules the marts rely on)."""
     t = adapter.trips_taxi(spark, root).withColumnRenamed("payment_type_raw", "payment_type")
-    write_staging(normalize(t, "yellow", keep=["tipo_taxi", "anio", "mes"]), base, "yellow")
-    write_staging(normalize(adapter.trips_fhvhv(spark, root), "fhvhv", keep=["anio", "mes"]), base, "fhvhv")
-    write_staging(normalize(adapter.trips_fhv(spark, root), "fhv", keep=["anio", "mes"]), base, "fhv")
+    views = {"yellow": (t, ["tipo_taxi"]), "fhvhv": (adapter.trips_fhvhv(spark, root), []),
+             "fhv": (adapter.trips_fhv(spark, root), [])}
+    at_once(*(partial(write_staging, normalize(df, fmt, keep=[*own, "anio", "mes"]), base, fmt)
+              for fmt, (df, own) in views.items()))
     return inc.load_staging(spark, base, adapter.zones(spark, root))
 
 
@@ -360,7 +355,7 @@ def stream_quarantine(spark, root) -> DataFrame:
 def _merged_stream(spark, base: str, fmt: str, of_file, kept) -> DataFrame:
     """Staged and rejected rows of a format whose files were merged some at a time, after a file of the last month
     (one that ``of_file`` picks by its schema) was published again with the rows ``kept``."""
-    raw, staging, quarantine = f"{base}/raw/{fmt}", f"{base}/staging", f"{base}/quarantine"
+    raw, staging, quarantine = f"{base}/raw/{fmt}", f"{base}/staging-{fmt}", f"{base}/quarantine"
 
     def arrive():
         stream_arrivals(spark, raw, fmt, staging, f"{base}/checkpoint-{fmt}", max_files_per_trigger=40,
@@ -371,7 +366,7 @@ def _merged_stream(spark, base: str, fmt: str, of_file, kept) -> DataFrame:
     for path in (r["path"] for r in files):
         rows = spark.read.parquet(path)
         if of_file(rows.schema):
-            rows.where(kept).coalesce(1).write.parquet(f"{base}/again-{fmt}")
+            rows.where(kept).repartition(1).write.parquet(f"{base}/again-{fmt}")
             _put_in_place(spark, f"{base}/again-{fmt}", path)
     arrive()
     staged = read_staging(spark, staging, STAGING_TABLE[fmt]).withColumn(REASON, F.lit(None).cast("string"))
@@ -386,11 +381,16 @@ def stream_merge(spark, root) -> DataFrame:
     then one file of each format's last month is published again with some of its rows. Staged rows (their key) and
     rejected ones with their reason."""
     base = scratch(spark, "stream")
-    write_raw_taxi(spark, root, f"{base}/raw")
-    write_raw_fhv(spark, root, f"{base}/raw")
-    yellow = _merged_stream(spark, base, "yellow", lambda schema: True, F.col("trip_line") % 2 == 1)
-    fhv = _merged_stream(spark, base, "fhv", lambda schema: schema["PUlocationID"].dataType.typeName() == "double",
-                         F.col("event_id") % 4 == 1)                          # the file of the odd ids
+
+    def merged_yellow() -> DataFrame:
+        write_raw_taxi(spark, root, f"{base}/raw")
+        return _merged_stream(spark, base, "yellow", lambda schema: True, F.col("trip_line") % 2 == 1)
+
+    def merged_fhv() -> DataFrame:
+        write_raw_fhv(spark, root, f"{base}/raw")
+        return _merged_stream(spark, base, "fhv", lambda schema: schema["PUlocationID"].dataType.typeName() == "double",
+                              F.col("event_id") % 4 == 1)                     # the file of the odd ids
+    yellow, fhv = at_once(merged_yellow, merged_fhv)             # each format has a staging root of its own
     cols = ["anio", "mes", "pickup_datetime", "dropoff_datetime", REASON]
     return yellow.select(F.lit("yellow").alias("formato"), F.col("vendorid").cast("string").alias("clave"), *cols,
                          "fare_amount", F.lit(None).cast("bigint").alias("pulocationid"),
@@ -448,12 +448,13 @@ def period_listings(spark, root) -> DataFrame:
     """Periods of the raw folders and of the staged table, from file listings alone."""
     base = scratch(spark, "lake")
     write_raw(spark, root, f"{base}/raw")
-    clean_periods(spark, f"{base}/raw", f"{base}/staging", "yellow", order_by=TAXI_ID, keep=TAXI_ID)
-    clean_periods(spark, f"{base}/raw", f"{base}/staging", "fhvhv")
+    staging = {f: f"{base}/staging-{f}" for f in ("yellow", "fhvhv")}         # one run at a time per staging root
+    at_once(lambda: clean_periods(spark, f"{base}/raw", staging["yellow"], "yellow", order_by=TAXI_ID, keep=TAXI_ID),
+            lambda: clean_periods(spark, f"{base}/raw", staging["fhvhv"], "fhvhv"))
     parts = [raw_periods(spark, f"{base}/raw/{f}", nonempty_only=True).select(F.lit(f"raw {f}").alias("listado"), "*")
              for f in FORMATS]
-    parts += [staged_periods(spark, f"{base}/staging/{STAGING_TABLE[f]}", f if f == "yellow" else None).select(
-        F.lit(f"staged {f}").alias("listado"), "*") for f in ("yellow", "fhvhv")]
+    parts += [staged_periods(spark, f"{staging[f]}/{STAGING_TABLE[f]}", f if f == "yellow" else None).select(
+        F.lit(f"staged {f}").alias("listado"), "*") for f in staging]
     return _all_formats(parts)
 
 
