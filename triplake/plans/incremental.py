@@ -17,7 +17,7 @@ that refuses a retry, no duplicate rows on ``force``).
 from __future__ import annotations
 
 import uuid
-from functools import reduce
+from functools import partial, reduce
 from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from triplake.functions.numeric import ratio, round2
 from triplake.operators import marts
 from triplake.schema import STAGING_TABLE
+from triplake.session import at_once
 from triplake.sources.commit import Folders
 from triplake.sources.sinks import read_staging, staged_tables, swap_in, write_table
 
@@ -126,15 +127,14 @@ def _monthly_and_state(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def _finalize(spark: SparkSession, mart_root: str, years: list[str] | None) -> dict[str, int]:
     # a year whose state became empty is emptied too
     """Annual marts from the monthly state: the given years, or every year (a full rebuild)."""
-    out = {}
-    for mart, fin in (("mart_demanda_territorial", finalize_demand),
-                      ("mart_patrones_temporales", finalize_temporal)):
+    def write(mart: str, fin) -> int:
         st = spark.read.parquet(_path(mart_root, STATE[mart]))
         if years is not None:
             st = st.where(F.col("anio").isin(years))
-        out[mart] = write_table(fin(st), _path(mart_root, mart), ["anio"], static=years is None,
-                                folders=[f"anio={y}" for y in years or ()])
-    return out
+        return write_table(fin(st), _path(mart_root, mart), ["anio"], static=years is None,
+                           folders=[f"anio={y}" for y in years or ()])
+    finals = {"mart_demanda_territorial": finalize_demand, "mart_patrones_temporales": finalize_temporal}
+    return dict(zip(finals, at_once(*(partial(write, mart, fin) for mart, fin in finals.items())), strict=True))
 
 
 def rebuild_marts(spark: SparkSession, tables: dict[str, DataFrame], mart_root: str) -> dict[str, int]:
@@ -143,10 +143,15 @@ def rebuild_marts(spark: SparkSession, tables: dict[str, DataFrame], mart_root:
     Everything is built in a folder of its own and put in place only when it is complete and not empty.
     """
     report, new = {}, f"{mart_root.rstrip('/')}/_rebuild-{uuid.uuid4().hex}"
-    for name, df in _monthly_and_state(tables).items():
-        report[name] = write_table(df, _path(new, name), ["anio", "mes"], static=True)
-        if name == MONTHLY[0] and not report[name]:
-            raise EmptyRebuild("no staging rows: the marts are left as they are")
+    frames = _monthly_and_state(tables)
+
+    def write(name: str) -> int:
+        return write_table(frames[name], _path(new, name), ["anio", "mes"], static=True)
+    first, *others = frames
+    report[first] = write(first)
+    if not report[first]:
+        raise EmptyRebuild("no staging rows: the marts are left as they are")
+    report |= zip(others, at_once(*(partial(write, name) for name in others)), strict=True)
     report.update(_finalize(spark, new, None))
     swap_in(spark, [(_path(new, name), _path(mart_root, name)) for name in (*MONTHLY, *STATE.values(), *ANNUAL)])
     return {m: report[m] for m in MONTHLY + ANNUAL}
@@ -202,11 +207,10 @@ def append_periods(spark: SparkSession, tables: dict[str, DataFrame], mart_root:
               "staging_rows": {f"{a}-{m}": n for (a, m), n in sorted(counted.items())}}
     if not periods:
         return report
-    for name, df in _monthly_and_state(chosen).items():
-        rows = write_table(df, _path(mart_root, name), ["anio", "mes"],
-                           folders=[f"anio={a}/mes={m}" for a, m in periods])
-        if name in MONTHLY:
-            report[name] = rows
+    frames = _monthly_and_state(chosen)
+    rows = at_once(*(partial(write_table, df, _path(mart_root, name), ["anio", "mes"],
+                             folders=[f"anio={a}/mes={m}" for a, m in periods]) for name, df in frames.items()))
+    report.update((name, n) for name, n in zip(frames, rows, strict=True) if name in MONTHLY)
     report.update(_finalize(spark, mart_root, sorted({a for a, _ in periods})))
     return report
 
