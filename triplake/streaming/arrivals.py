@@ -157,11 +157,13 @@ def stream_arrivals(spark: SparkSession, landing_root: str, fmt: str, staging_ro
     if merge_staged and period != "file":
         raise ValueError("the merge mode stages by file period")
 
+    # the batch only lists files; its rows are read in the caller's session, as a stream's own may run without AQE, and
+    # then a hot period would be written by one task
     def process(batch: DataFrame, epoch_id: int) -> None:
         if merge_staged:
-            merge_new_files(batch.sparkSession, batch, fmt, staging_root, quarantine_root)
+            merge_new_files(spark, batch, fmt, staging_root, quarantine_root)
         else:
-            clean_touched_periods(batch.sparkSession, batch, landing_root, fmt, staging_root, order_by,
+            clean_touched_periods(spark, batch, landing_root, fmt, staging_root, order_by,
                                   quarantine_root, period)
 
     if merge_staged and Folders(spark).exists(landing_root):
