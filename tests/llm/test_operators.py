@@ -4,10 +4,12 @@ import collections
 import math
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -215,6 +217,40 @@ def test_token_files_pieces_give_the_ids_of_whole_texts(docs):
     assert not asked
 
 
+def test_token_files_remember_pieces_and_cut_in_slices(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    letters = [chr(c) for c in [*range(0xC0, 0x240), *range(0x400, 0x480)]]
+    for c in letters:                                         # a letter for the rules is a letter for Unicode
+        cut = token_files.cuts(np.frombuffer(f"{c} ".encode(), np.uint8))
+        assert cut[2] == unicodedata.category(c).startswith("L")
+    r = random.Random(9)
+    parts = [*" \n\t'.,;7aZ\x7f\0", "  ", "\r\n", "\xd7", "\xf7", "é", "Ж", "Ω", "ɏ", "\xa0", "\u2003", "'re", "<|endoftext|>"]
+    texts = ["".join(r.choices(parts, k=r.randrange(25))) for _ in range(3000)] + [None, "", "é" * 70]
+    enc = token_files.Encoder(path)
+    whole = enc.encode(texts)
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 1000)
+    monkeypatch.setattr(token_files, "PIECES", 300)
+    for array in (pa.array(texts), pa.array(["x é", *texts, "y"]).slice(1, len(texts)), pa.chunked_array([texts]).chunk(0)):
+        assert [np.frombuffer(x, enc.kind).tolist() for x in enc.packed(array)] == whole
+    assert enc.packed([]) == [] and enc.packed([None, ""]) == [b"", b""]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[i:i + 40]}) for i in range(0, len(texts), 40)]
+    joined = [*token_files.gathered(iter(batches))]
+    assert len(joined) < len(batches) and [t for b in joined for t in b["text"].to_pylist()] == texts
+    assert all(b.nbytes >= 1000 for b in joined[:-1])
+
+    # a full memory is not emptied at once, and a piece is asked for once however often a slice holds it
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 1 << 20)
+    monkeypatch.setattr(token_files, "PIECES", 4)
+    enc, asked = token_files.Encoder(path), []
+    encode = enc.encode
+    monkeypatch.setattr(enc, "encode", lambda t: asked.extend(t) or encode(t))
+    enc.packed(["One two three, four five six"] * 9)
+    assert sorted(asked) == sorted(["One", " two", " three", ",", " four", " five", " six"])
+    asked.clear()
+    enc.packed(["One two"])
+    assert not asked
+
+
 def test_token_files_round_trip(docs, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)

@@ -1,7 +1,7 @@
 """Operator 3, token files: frequency-ranked ids in byte-aligned variable-length code with separate control bytes.
 
-1. Every text is encoded once by the tokenizers library, where the file's method allows in pieces cut at words, whose
-   ids are remembered (``Encoder``); its ids are kept in the shared folder as packed 16- or 32-bit integers, beside one row
+1. Every text is encoded once by the tokenizers library, where the file's method allows in pieces cut at words, each
+   different piece once and remembered (``Encoder``); its ids are kept in the shared folder as packed 16- or 32-bit integers, beside one row
    for each task that tells how often each id occurred in it. Ids are ranked by their summed count (ties: smaller id
    first), so that the most frequent 256 ids take one byte.
 2. The packed documents are range-partitioned and sorted by id; each task writes files of up to ``FILE_TOKENS`` ids (a
@@ -21,13 +21,14 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,31 +41,55 @@ MAGIC = b"SVBRANK1"
 END_ID = 2
 FILE_TOKENS = 4 << 20
 
-# Words at whose both ends byte-level pre-tokenization always ends a token, whatever else a text holds: Latin letters with
-# the space before them, or after visible ASCII (or one line end after it); not after an apostrophe, which may begin a
-# contraction; and up to an ASCII character that is no letter. Other text stays in the pieces between them.
-WORD = re.compile(r"((?: |\A|(?<=[!-&(-@\[-`{-~])|(?<=[!-~]\n))[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)"
-                  r"(?=[\0-@\[-`{-\x7f]|\Z)")
-PIECE_CHARS = 64          # longer pieces are not remembered
-PIECES = 1 << 19          # remembered pieces (some 100 MB a worker); then the memory is emptied and fills anew
-SLICE_CHARS = 1 << 20     # text whose pieces are held at once (a longer text has its own slice)
+# Classes of bytes: two-byte letters (U+00C0 to U+023F without the two signs, U+0400 to U+047F) are letters too, and
+# bytes of other characters and control bytes have class 0, beside which nothing is cut.
+LETTER, DIGIT, SIGN, APOSTROPHE, SPACE, LINE = range(1, 7)
+CLASS = bytes(LETTER if chr(b).isalpha() else DIGIT if chr(b).isdigit() else APOSTROPHE if b == 0x27 else
+              SPACE if b == 0x20 else LINE if 9 <= b <= 13 else SIGN if 0x21 <= b <= 0x7E else 0
+              for b in range(128)) + bytes(128)
+# Pairs of classes (8 * former + latter) between which byte-level pre-tokenization always ends a token, whatever else a text
+# holds. An apostrophe may begin a contraction, a space goes with what follows it.
+ENDS = {LETTER: (DIGIT, SIGN, APOSTROPHE, SPACE, LINE), DIGIT: (LETTER, SIGN, APOSTROPHE, SPACE, LINE),
+        SIGN: (LETTER, DIGIT, SPACE, LINE), APOSTROPHE: (SPACE, LINE)}
+PAIR = bytes(b & 7 in ENDS.get(b >> 3, ()) for b in range(256))
+VISIBLE = np.isin(np.arange(8), [LETTER, DIGIT, SIGN, APOSTROPHE])
+
+PIECE_CHARS = 64          # pieces of more bytes are not remembered
+PIECES = 1 << 19          # remembered pieces of one generation (some 100 MB a worker); there are two
+CALL_PIECES = 500         # new pieces in one call of the library, whose results hold much more than the ids
+SLICE_BYTES = 8 << 20     # text whose pieces are held at once (a longer text has its own slice)
 
 
 def cuts_at_words(file: dict) -> bool:
-    """Whether a tokenizers file encodes a ``WORD`` and what is between words each on its own: byte-level BPE with the
-    regular expression that splits before words, without a normaliser, an added prefix or chance."""
+    """Whether a tokenizers file encodes what is between two ``cuts`` on its own: byte-level BPE with the regular
+    expression that splits before words, without a normaliser, an added prefix or chance."""
     pre, model = file["pre_tokenizer"] or {}, file["model"]
     return (pre.get("type") == "ByteLevel" and pre.get("use_regex") is True and pre.get("add_prefix_space") is False
             and not file.get("normalizer") and model.get("type") == "BPE" and not model.get("dropout")
             and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix"))
 
 
+def cuts(data: np.ndarray) -> np.ndarray:
+    """For each place in UTF-8 bytes, both ends included, whether pieces that end and begin there are encoded as the whole
+    is: between ``ENDS``, and after a single line end or tab that stands between visible characters."""
+    kind = np.frombuffer(bytearray(data.tobytes().translate(CLASS)), np.uint8)
+    two = np.flatnonzero((data >= 0xC3) & (data <= 0xD1))
+    lead, follow = data[two], data[two + 1]
+    two = two[((lead <= 0xC8) | (lead >= 0xD0)) & ((lead != 0xC3) | (follow != 0x97) & (follow != 0xB7))]
+    kind[two] = kind[two + 1] = LETTER
+    out = np.zeros(len(data) + 1, bool)
+    out[1:-1] = np.frombuffer((kind[:-1] << 3 | kind[1:]).tobytes().translate(PAIR), bool)
+    line = np.flatnonzero(kind[1:-1] == LINE) + 1
+    out[line[VISIBLE[kind[line - 1]] & VISIBLE[kind[line + 1]]] + 1] = True
+    return out
+
+
 class Encoder:
     """A tokenizers file. With ``plain`` the strings of special tokens are ordinary text.
 
-    ``packed`` gives the same ids as ``encode``. Where ``cuts_at_words`` holds, it cuts a text at its words, the library
-    encodes each new piece, and the ids of a piece are remembered. Texts that hold the string of an added token, which
-    may span pieces, are encoded whole.
+    ``packed`` gives the same ids as ``encode``. Where ``cuts_at_words`` holds, it cuts many texts at once, looks each
+    different piece up once, lets the library encode the new ones and remembers their ids. Texts that hold the string of
+    an added token, which may span pieces, are encoded whole.
     """
 
     def __init__(self, path: str, plain: bool = False):
@@ -78,40 +103,68 @@ class Encoder:
             file = json.load(f)
         self.by_word = cuts_at_words(file)
         self.added = [t["content"] for t in file.get("added_tokens") or []]
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.kind = width(self.tok.get_vocab_size())
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
 
-    def packed(self, texts: list[str | None]) -> list[bytes]:
+    def packed(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """The ids of each text as integers of ``kind``."""
-        out, begun, held = [], 0, 0
-        for i, t in enumerate(texts, 1):
-            held += len(t or "")
-            if held >= SLICE_CHARS or i == len(texts):
-                out += self._packed(texts[begun:i])
-                begun, held = i, 0
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if not len(texts):
+            return []
+        off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        size = off[-1] - off[0]
+        rows = np.searchsorted(off[1:] - off[0], np.arange(1, size // SLICE_BYTES) * SLICE_BYTES) + 1
+        rows = np.unique([0, *rows, len(texts)]).tolist()
+        return [x for i, j in pairwise(rows) for x in self._packed(texts[i:j], off[i:j + 1])]
+
+    def _packed(self, texts: pa.Array, off: np.ndarray) -> list[bytes]:
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[off[0]:off[-1]]
+        off = off - off[0]
+        cut = cuts(data) if self.by_word else np.zeros(len(data) + 1, bool)
+        for a in self.added:
+            for i in np.flatnonzero(pc.match_substring(texts, a)):
+                cut[off[i]:off[i + 1]] = False
+        cut[off] = True
+        at = np.flatnonzero(cut)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)])
+        pieces = pieces.dictionary_encode()
+        ids = self._ids(pieces.dictionary.to_pylist())
+        n = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        which = pieces.indices.to_numpy()
+        ends = np.cumsum(n[which])
+        # the place of each id among those of the different pieces
+        begin = np.repeat((np.cumsum(n) - n)[which] - ends + n[which], n[which])
+        flat = np.frombuffer(b"".join(ids), self.kind)[begin + np.arange(len(begin))].tobytes()
+        ends = (np.concatenate([[0], ends])[np.searchsorted(at, off)] * self.kind.itemsize).tolist()
+        return [flat[i:j] for i, j in pairwise(ends)]
+
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of different pieces. What is asked for again moves from the old generation to the new one."""
+        if len(self.known) >= PIECES:
+            self.old, self.known = self.known, {}
+        out = [*map(self.known.get, pieces)]
+        lacking = [i for i, x in enumerate(out) if x is None]
+        for i in lacking:
+            out[i] = self.old.get(pieces[i])
+        new = [i for i in lacking if out[i] is None]
+        for i, x in zip(new, self._encoded([pieces[i] for i in new]), strict=True):
+            out[i] = x
+        self.known.update((pieces[i], out[i]) for i in lacking if len(pieces[i]) <= PIECE_CHARS)
         return out
 
-    def _packed(self, texts: list[str | None]) -> list[bytes]:
-        cut = [WORD.split(t) if self.by_word and t and not any(a in t for a in self.added) else [t or ""]
-               for t in texts]
-        if len(self.known) > PIECES:
-            self.known.clear()
-        found = [[*map(self.known.get, pieces)] for pieces in cut]
-        lacking = [None in f for f in found]
-        new = list({p for pieces, f, some in zip(cut, found, lacking, strict=True) if some
-                    for p, v in zip(pieces, f, strict=True) if v is None})
-        ids = self.encode(new)
-        flat = np.fromiter(chain.from_iterable(ids), self.kind).tobytes()
-        ends = (np.cumsum([*map(len, ids)], dtype=np.int64) * self.kind.itemsize).tolist()
-        self.known.update((p, flat[i:j]) for p, i, j in zip(new, [0, *ends], ends))
-        out = [b"".join(map(self.known.__getitem__, pieces) if some else f)
-               for pieces, f, some in zip(cut, found, lacking, strict=True)]
-        for piece in new:
-            if len(piece) > PIECE_CHARS:
-                del self.known[piece]
+    def _encoded(self, pieces: list[bytes]) -> list[bytes]:
+        out = []
+        for i in range(0, len(pieces), CALL_PIECES):
+            ids = self.encode([p.decode() for p in pieces[i:i + CALL_PIECES]])
+            flat = np.fromiter(chain.from_iterable(ids), self.kind).tobytes()
+            ends = (np.cumsum([0, *map(len, ids)], dtype=np.int64) * self.kind.itemsize).tolist()
+            out += [flat[a:z] for a, z in pairwise(ends)]
         return out
 
 
@@ -147,6 +200,19 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return v & MASKS[lengths]
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at least ``SLICE_BYTES`` of text (the last one may be smaller)."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= SLICE_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 PACKED = "doc_id bigint, ids binary, counts array<bigint>"
 
 
@@ -157,8 +223,8 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches):
         enc = encoder(tokenizer)
         total = np.zeros(max(END_ID + 1, enc.tok.get_vocab_size()), np.int64)
-        for b in batches:
-            packed = enc.packed(b.column(1).to_pylist())
+        for b in gathered(batches):
+            packed = enc.packed(b.column(1))
             n = np.bincount(np.frombuffer(b"".join(packed), enc.kind), minlength=len(total))
             total = n + np.pad(total, (0, len(n) - len(total)))
             total[END_ID] += len(packed)
