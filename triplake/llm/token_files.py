@@ -148,15 +148,18 @@ class Encoder:
         """The ids of different pieces. What is asked for again moves from the old generation to the new one."""
         if len(self.known) >= PIECES:
             self.old, self.known = self.known, {}
-        out = [*map(self.known.get, pieces)]
-        lacking = [i for i, x in enumerate(out) if x is None]
-        for i in lacking:
-            out[i] = self.old.get(pieces[i])
-        new = [i for i in lacking if out[i] is None]
-        for i, x in zip(new, self._encoded([pieces[i] for i in new]), strict=True):
-            out[i] = x
-        self.known.update((pieces[i], out[i]) for i in lacking if len(pieces[i]) <= PIECE_CHARS)
-        return out
+        found = [*map(self.known.get, pieces)]
+        lacking = [p for p, x in zip(pieces, found, strict=True) if x is None]
+        moved = [*map(self.old.get, lacking)]
+        new = [p for p, x in zip(lacking, moved, strict=True) if x is None]
+        ids = iter(self._encoded(new))
+        moved = [next(ids) if x is None else x for x in moved]
+        self.known.update(zip(lacking, moved, strict=True))
+        for p in new:
+            if len(p) > PIECE_CHARS:
+                del self.known[p]
+        ids = iter(moved)
+        return [next(ids) if x is None else x for x in found]
 
     def _encoded(self, pieces: list[bytes]) -> list[bytes]:
         out = []
